@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField
 
 from tablewatch.schemas import COLUMN_PROFILE, SOURCE_PROFILE, TABLE_PROFILE
+from tablewatch.session import materialize
 from tablewatch.sources.tables import TableLike, read_table
 
 # Tables left out of every profile by default (schema-migration bookkeeping).
@@ -61,12 +62,15 @@ def table_profile(
     table_type: str = BASE_TABLE,
     exclude: Iterable[str] = DEFAULT_EXCLUDE,
     last_altered: str | Mapping[str, str | None] | None = None,
+    store: bool = True,
 ) -> DataFrame:
     """One row per table: ``table_catalog, table_schema, table_name, table_type, row_count,
     column_count, last_altered``.
 
     ``last_altered`` is a column (or column path such as ``FILE_MODIFIED``) whose maximum is the
     table's last change, given once for all tables or per table name; ``None`` leaves it null.
+    All tables are measured in one job; with ``store`` (default) the few result rows are
+    checkpointed at once, so the reports built on them never scan the tables again.
     """
     parts = []
     for name, t in tables.items():
@@ -87,7 +91,8 @@ def table_profile(
                 F.col("last_altered"),
             )
         )
-    return _union(parts, spark, TABLE_PROFILE)
+    prof = _union(parts, spark, TABLE_PROFILE)
+    return materialize(prof) if store and parts else prof
 
 
 def _declared(field: StructField) -> tuple[str, int | None]:
@@ -108,6 +113,7 @@ def column_profile(
     catalog: str = "",
     schema: str = "",
     observe: bool = True,
+    store: bool = False,
 ) -> DataFrame:
     """One row per column: ``table_catalog, table_schema, table_name, column_name,
     ordinal_position, is_nullable, data_type, character_maximum_length``.
@@ -157,7 +163,7 @@ def column_profile(
             )
         )
     long = wide.select(F.inline(F.array(*entries)))
-    return long.select(
+    prof = long.select(
         F.lit(catalog).alias("table_catalog"),
         F.lit(schema).alias("table_schema"),
         F.lit(table_name).alias("table_name"),
@@ -167,6 +173,7 @@ def column_profile(
         "data_type",
         "character_maximum_length",
     )
+    return materialize(prof) if store else prof
 
 
 def column_profiles(
@@ -177,14 +184,17 @@ def column_profiles(
     schema: str = "",
     exclude: Iterable[str] = DEFAULT_EXCLUDE,
     observe: bool = True,
+    store: bool = True,
 ) -> DataFrame:
-    """``column_profile`` of several tables as one frame (one job when observed)."""
+    """``column_profile`` of several tables as one frame. Observed profiles are measured in one
+    job and, with ``store`` (default), checkpointed at once."""
     parts = [
         column_profile(read_table(spark, t), name, catalog=catalog, schema=schema, observe=observe)
         for name, t in tables.items()
         if not _excluded(name, exclude)
     ]
-    return _union(parts, spark, COLUMN_PROFILE)
+    prof = _union(parts, spark, COLUMN_PROFILE)
+    return materialize(prof) if store and observe and parts else prof
 
 
 # REC-3
@@ -211,6 +221,7 @@ def source_profile(
     direct: Mapping[str, TableLike] | None = None,
     restrict_to: DataFrame | Iterable[str] | None = None,
     columns: DataFrame | None = None,
+    store: bool = True,
 ) -> DataFrame:
     """Source-side profile ``table_name, source_rows, source_columns`` (names upper-cased).
 
@@ -266,9 +277,10 @@ def source_profile(
         if allowed is not None:
             columns = columns.where(F.col("table_name").isin(sorted(allowed)))
         columns = columns.groupBy("table_name").agg(F.sum("column_count").alias("column_count"))
-    return rows.join(columns, "table_name", "left").select(
+    prof = rows.join(columns, "table_name", "left").select(
         "table_name", "source_rows", F.col("column_count").cast("bigint").alias("source_columns")
     )
+    return materialize(prof) if store else prof
 
 
 # REC-8

@@ -21,6 +21,7 @@ from tablewatch.operators.reconcile import (
     missing_columns,
     reconcile_counts,
 )
+from tablewatch.session import materialize
 from tablewatch.sources.tables import TableRef, write_table
 
 REPORTS = ("counts", "drift", "missing", "merged")
@@ -46,7 +47,7 @@ def append_reports(reports: Mapping[str, DataFrame], sinks: Mapping[str, TableRe
 
 
 def _stored(df: DataFrame, checkpoint: bool) -> DataFrame:
-    return df.checkpoint(eager=True) if checkpoint else df
+    return materialize(df) if checkpoint else df
 
 
 def run_validation(

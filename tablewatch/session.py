@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job here relies on; all are standard Spark knobs.
 DEFAULT_CONF = {
@@ -55,3 +56,20 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the shared folder (not created until written)."""
     return f"{shared_dir(spark)}/tablewatch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_STORED: weakref.WeakSet = weakref.WeakSet()  # DataFrames this library has already checkpointed
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` (eagerly, to the shared checkpoint folder) unless this library already did.
+
+    Used for small, expensive results -- profiles measured by full scans -- that several later
+    steps read: they are computed once, and a lost executor does not send Spark back to the scans.
+    """
+    if df in _STORED:
+        return df
+    shared_dir(df.sparkSession)
+    stored = df.checkpoint(eager=True)
+    _STORED.add(stored)
+    return stored
