@@ -37,10 +37,16 @@ def test_column_counts(spark):
 
 
 def test_table_profile_count_reads_no_columns(spark):
+    lazy = table_profile(spark, {"orders": f"{SF_SMALL}/orders.parquet"}, store=False)
+    plan = lazy._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    assert lazy.first().row_count == 1500
+
+
+def test_stored_profile_reads_no_table(spark):
     prof = table_profile(spark, {"orders": f"{SF_SMALL}/orders.parquet"})
     plan = prof._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<>" in plan
-    assert prof.first().row_count == 1500
+    assert "FileScan" not in plan and prof.first().row_count == 1500
 
 
 def test_source_profile_sums_files(spark, scratch):
