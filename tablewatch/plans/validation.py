@@ -26,6 +26,14 @@ from tablewatch.sources.tables import TableRef, write_table
 
 REPORTS = ("counts", "drift", "missing", "merged")
 
+# Presentation order of each report.
+REPORT_ORDER = {
+    "counts": ["database_name", "schema_name", "table_view_name"],
+    "drift": ["target_table_catalog", "target_table_schema", "target_table_name", "target_column_name"],
+    "missing": ["target_table_catalog", "target_table_schema", "target_table_name", "target_column_name"],
+    "merged": ["database_name", "schema_name", "table_name"],
+}
+
 
 @dataclass
 class ValidationRun:
@@ -38,6 +46,16 @@ class ValidationRun:
     def reports(self) -> dict[str, DataFrame]:
         return {"counts": self.counts, "drift": self.drift, "missing": self.missing, "merged": self.merged}
 
+    def ordered(self, failed: bool = False) -> dict[str, DataFrame]:
+        """Reports (or their failed rows) sorted for display -- a sort of a few metadata rows,
+        applied only at the presentation edge."""
+        frames = self.failed if failed else self.reports()
+        return {name: df.orderBy(*REPORT_ORDER[name]) for name, df in frames.items()}
+
+    def preview(self, n: int = 5, failed: bool = False) -> dict[str, DataFrame]:
+        """The first ``n`` rows of each ordered report, for a log or a message."""
+        return {name: df.limit(n) for name, df in self.ordered(failed).items()}
+
 
 def append_reports(reports: Mapping[str, DataFrame], sinks: Mapping[str, TableRef | str]) -> None:
     """REC-14: append each complete report to its table (created when absent)."""

@@ -8,7 +8,15 @@ from tablewatch.sources.files import (
     read_delimited_config,
     read_raw_json,
 )
-from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, table_exists, write_table
+from tablewatch.sources.tables import (
+    TableLike,
+    TableRef,
+    as_ref,
+    database_tables,
+    read_table,
+    table_exists,
+    write_table,
+)
 
 __all__ = [
     "CORRUPT_COLUMN",
@@ -16,6 +24,7 @@ __all__ = [
     "TableLike",
     "TableRef",
     "as_ref",
+    "database_tables",
     "positional_schema",
     "read_csv",
     "read_delimited_config",

@@ -67,3 +67,19 @@ def write_table(
         w.save(ref.location)
     else:
         w.saveAsTable(ref.location)
+
+
+def database_tables(
+    spark: SparkSession,
+    database: str,
+    *,
+    include_views: bool = False,
+) -> dict[str, str]:
+    """``{table name: qualified name}`` of a catalog database, the Spark counterpart of listing a
+    schema's base tables (views left out unless ``include_views``)."""
+    out = {}
+    for t in spark.catalog.listTables(database):
+        if t.isTemporary or (t.tableType == "VIEW" and not include_views):
+            continue
+        out[t.name] = f"{database}.{t.name}"
+    return out

@@ -134,3 +134,25 @@ def test_table_profile_excludes_deny_list(spark):
     df = spark.range(3)
     prof = table_profile(spark, {"T": df, "DATABASECHANGELOG": df}).collect()
     assert [(r.table_name, r.row_count, r.column_count) for r in prof] == [("T", 3, 1)]
+
+
+def test_validation_run_order_and_preview(spark, scratch):
+    from tablewatch.plans import run_validation
+    from tablewatch.operators import column_profiles
+
+    a = spark.createDataFrame([(1, "x"), (2, None)], "k long, v string")
+    b = spark.createDataFrame([(1, "x")], "k long, v string")
+    tp = table_profile(spark, {"B": b, "A": a}, catalog="DB", schema="T")
+    rp = table_profile(spark, {"a": a, "b": b}, catalog="DB", schema="R")
+    tc = column_profiles(spark, {"A": a, "B": b}, catalog="DB", schema="T")
+    rc = column_profiles(spark, {"A": b, "B": b}, catalog="DB", schema="R")
+    sinks = {n: scratch(n) for n in ("counts", "drift", "missing", "merged")}
+    run = run_validation(
+        target_profile=tp, replica_profile=rp, target_columns=tc, replica_columns=rc,
+        inventory_profiles=tp, inventory_columns=tc, sources={"T": None}, as_of=AS_OF, sinks=sinks,
+    )
+    assert [r.table_view_name for r in run.ordered()["counts"].collect()] == ["A", "B"]
+    assert run.preview(1)["counts"].count() == 1
+    drift = run.failed["drift"].collect()
+    assert [(r.target_table_name, r.target_column_name, r.is_nullable_check) for r in drift] == [("A", "v", "N")]
+    assert spark.read.parquet(sinks["merged"]).count() == 2
