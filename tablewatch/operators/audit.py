@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewatch.functions.time import AsOf, as_of_ts, previous_day
+from tablewatch.operators.sequence import consecutive_ids
 from tablewatch.schemas import JOB_STATUS_COLUMNS
+from tablewatch.session import materialize
 from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, table_exists, write_table
 
 # Fixed values of the job-status rows written by the audit.
@@ -98,34 +100,33 @@ def to_job_status(
 def with_job_ids(rows: DataFrame, start_after: int | DataFrame = 0) -> DataFrame:
     """Give each row the next id: ``start_after + 1, +2, ...`` in (run date, table, task) order.
 
-    ``start_after`` is a number or the existing log (its ``max(job_id)`` is used). The ids come from
-    one ``row_number`` over the batch, which is meant for a job-status batch -- one row per audited
-    table and day, bounded by the audit config -- not for bulk data. Correct with a single writer
-    per log; concurrent writers need a sequence the store provides.
+    ``start_after`` is a number or the existing log (its ``max(job_id)`` is used). Ids are
+    assigned with ``consecutive_ids``, so a batch of any size is numbered without gathering it in
+    one task. Correct with a single writer per log; concurrent writers need a sequence the store
+    provides.
     """
     if isinstance(start_after, DataFrame):
         # One scalar comes back: the log's highest id (reads only the job_id column).
         start_after = start_after.agg(F.coalesce(F.max("job_id"), F.lit(0))).first()[0]
-    base_col = F.lit(int(start_after)).cast("bigint")
-    order = Window.orderBy(
+    order = [
         F.col("dag_run_exec_date").asc_nulls_first(),
         F.col("table_name").asc_nulls_first(),
         F.col("task_id").asc_nulls_first(),
-    )
-    with_id = rows.withColumn("job_id", (base_col + F.row_number().over(order)).cast("bigint"))
-    return with_id.select(*JOB_STATUS_COLUMNS)
+    ]
+    numbered = consecutive_ids(rows.drop("job_id"), order, int(start_after), "job_id")
+    return numbered.select(*JOB_STATUS_COLUMNS)
 
 
 def append_job_status(rows: DataFrame, log: TableRef | str) -> DataFrame:
     """Append job-status rows to ``log`` with fresh ids, in one write; returns the rows written.
 
-    The new rows are checkpointed before the write, so the ids stay fixed: the write and the
+    The numbered rows are checkpointed before the write, so the ids stay fixed: the write and the
     returned frame do not recompute them against the grown log.
     """
     spark = rows.sparkSession
     log = as_ref(log)
     existing = read_table(spark, log) if table_exists(spark, log) else 0
-    batch = with_job_ids(rows, existing).checkpoint(eager=True)
+    batch = materialize(with_job_ids(rows, existing))
     write_table(batch, log, mode="append")
     return batch
 

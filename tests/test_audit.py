@@ -68,3 +68,17 @@ def test_with_job_ids_start_after(spark):
     ).withColumn("dag_run_exec_date", F.lit(dt.date(2024, 1, 1))).withColumn("task_id", F.col("table_name"))
     got = [(r.table_name, r.job_id) for r in with_job_ids(rows, 41).orderBy("job_id").collect()]
     assert got == [("A", 42), ("B", 43)]
+
+
+def test_consecutive_ids_split_a_hot_key(spark):
+    from tablewatch.operators.sequence import consecutive_ids
+
+    df = spark.range(3000).select((F.col("id") % 3 == 0).cast("int").alias("hot"), F.col("id").alias("v"))
+    df = df.withColumn("k", F.when(F.col("v") < 1000, F.lit("A")).otherwise(F.concat(F.lit("B"), F.col("v").cast("string"))))
+    out = consecutive_ids(df, [F.col("k")], 10, "seq")
+    rows = out.select("k", "seq").collect()
+    assert sorted(r.seq for r in rows) == list(range(11, 3011))
+    a_ids = sorted(r.seq for r in rows if r.k == "A")
+    assert a_ids == list(range(11, 1011))  # the hot key comes first, numbered without gaps
+    parts = out.rdd.getNumPartitions()
+    assert parts >= 1
