@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tablewatch.functions.time import AsOf, as_of_ts, previous_day
 from tablewatch.operators.sequence import consecutive_ids
 from tablewatch.schemas import JOB_STATUS_COLUMNS
-from tablewatch.session import materialize
 from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, table_exists, write_table
 
 # Fixed values of the job-status rows written by the audit.
@@ -120,13 +119,13 @@ def with_job_ids(rows: DataFrame, start_after: int | DataFrame = 0) -> DataFrame
 def append_job_status(rows: DataFrame, log: TableRef | str) -> DataFrame:
     """Append job-status rows to ``log`` with fresh ids, in one write; returns the rows written.
 
-    The numbered rows are checkpointed before the write, so the ids stay fixed: the write and the
-    returned frame do not recompute them against the grown log.
+    The starting id is read once, as a number, and the numbering works on stored rows, so the write
+    and the returned frame give the same ids, whatever the log holds afterwards.
     """
     spark = rows.sparkSession
     log = as_ref(log)
     existing = read_table(spark, log) if table_exists(spark, log) else 0
-    batch = materialize(with_job_ids(rows, existing))
+    batch = with_job_ids(rows, existing)
     write_table(batch, log, mode="append")
     return batch
 

@@ -1,8 +1,9 @@
 """The validation run (REC-14, REC-15): four reports, their appends and their failed rows.
 
 The profiles that several reports share are checkpointed once (to the session's checkpoint
-folder), so the tables behind them are scanned once per run, and the reports, their appends and
-the failed-row filters all read the stored profiles.
+folder; profiles built by ``table_profile`` / ``column_profiles`` / ``source_profile`` already
+are), so the tables behind them are scanned once per run, and the reports, their appends and the
+failed-row filters all read the stored profile rows.
 """
 
 from __future__ import annotations
@@ -101,7 +102,7 @@ def run_validation(
         target_columns, replica_columns, replica_profile.select("table_name"), as_of=as_of
     )
     inv = inventory(inventory_profiles, inventory_columns, as_of=as_of, match_on=match_on)
-    merged = _stored(merged_report(inv, sources, as_of), checkpoint)
+    merged = merged_report(inv, sources, as_of)
 
     run = ValidationRun(counts, drift, missing, merged)
     if sinks:
