@@ -40,15 +40,18 @@ def daily_ingest_counts(
     as_of: AsOf,
     *,
     include_empty: bool = False,
+    date_format: str | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose ``date_column`` falls on the day before ``as_of``.
 
     Columns ``table_name, ingest_date, ingested_rows``. A table with no such rows yields **no row**
-    (a grouped count); ``include_empty=True`` yields a row with 0 instead.
+    (a grouped count); ``include_empty=True`` yields a row with 0 instead. A text date column is
+    parsed with ``date_format`` (Spark datetime pattern) when given; a ``timestamp`` column is
+    cut to its date in the session time zone.
     """
     col = _resolve_column(df, date_column)
     day = previous_day(as_of)
-    d = F.to_date(F.col(col))
+    d = F.to_date(F.col(col), date_format) if date_format else F.to_date(F.col(col))
     hits = df.where(d == day)
     if include_empty:
         counted = hits.agg(F.count(F.lit(1)).alias("ingested_rows")).select(day.alias("ingest_date"), "*")

@@ -9,30 +9,66 @@ resumes without loading a file twice or skipping one.
 
 One checkpoint belongs to one (prefix, target) pair; point a new prefix or target at a new
 checkpoint.
+
+Parse counts are observed on the stream (``observe``): each micro-batch reports how many records
+it read and how many did not parse, and a run can leave a job-status record like a batch load.
+On a landing prefix that keeps growing, ``clean_source="archive"`` (or ``"delete"``) moves
+processed files away, so each run lists only what is new.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablewatch.functions.time import AsOf
-from tablewatch.operators.ingest import LOADED_AT, load_raw_json
+from tablewatch.functions.time import AsOf, to_datetime
+from tablewatch.operators.ingest import LOADED_AT, JobMeta, job_status_row, load_raw_json
 from tablewatch.sources.files import CORRUPT_COLUMN, RAW_COLUMN, read_csv
+from tablewatch.sources.tables import TableRef
+
+_METRICS = "tablewatch_load"
 
 
 @dataclass(frozen=True)
 class IncrementalRun:
-    batches: int
-    rows: int
+    batches: int  # micro-batches that had new input
+    rows: int  # records read (and written)
+    rejected: int = 0  # of those, records that did not parse (kept with their text)
+
+
+def _source_options(options: dict, max_files: int | None, clean_source: str | None, archive_dir: str | None) -> dict:
+    out = dict(options)
+    if max_files:
+        out["maxFilesPerTrigger"] = str(max_files)
+    if clean_source:
+        out["cleanSource"] = clean_source
+        if archive_dir:
+            out["sourceArchiveDir"] = archive_dir
+    return out
 
 
-def _run(stream: DataFrame, target: str, checkpoint: str, fmt: str, max_files: int | None) -> IncrementalRun:
+def _run(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    fmt: str,
+    corrupt_column: str | None,
+    audit: tuple[JobMeta, TableRef | str] | None,
+    clock: Callable[[], dt.datetime] | None,
+) -> IncrementalRun:
+    metrics = [F.count(F.lit(1)).alias("parsed")]
+    if corrupt_column and corrupt_column in stream.columns:
+        metrics.append(F.count_if(F.col(corrupt_column).isNotNull()).alias("rejected"))
+    clock = clock or (lambda: to_datetime(None))
+    start = clock()
     q = (
-        stream.writeStream.format(fmt)
+        stream.observe(_METRICS, *metrics)
+        .writeStream.format(fmt)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
@@ -42,7 +78,23 @@ def _run(stream: DataFrame, target: str, checkpoint: str, fmt: str, max_files: i
     if q.exception() is not None:
         raise q.exception()
     progress = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
-    return IncrementalRun(batches=len(progress), rows=sum(int(p["numInputRows"]) for p in progress))
+    rows = sum(int(p["numInputRows"]) for p in progress)
+    rejected = 0
+    for p in progress:
+        observed = (p.get("observedMetrics") or {}).get(_METRICS)
+        if observed is not None and "rejected" in observed:
+            rejected += int(observed["rejected"])
+    run = IncrementalRun(batches=len(progress), rows=rows, rejected=rejected)
+    if audit is not None:
+        from tablewatch.operators.audit import append_job_status
+
+        meta, log = audit
+        rec = job_status_row(
+            stream.sparkSession, meta, start, clock(), "SUCCESS",
+            parsed=run.rows, staged=run.rows - run.rejected, inserted=run.rows,
+        )
+        append_job_status(rec, log)
+    return run
 
 
 def ingest_new_json_files(
@@ -57,16 +109,20 @@ def ingest_new_json_files(
     corrupt_column: str | None = CORRUPT_COLUMN,
     loaded_at: str = LOADED_AT,
     max_files_per_trigger: int | None = None,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
     sink_format: str = "parquet",
+    audit: tuple[JobMeta, TableRef | str] | None = None,
+    clock: Callable[[], dt.datetime] | None = None,
     **options,
 ) -> IncrementalRun:
     """Load the JSON files new under ``source`` into ``target`` (raw VARIANT + load time + keys).
 
     A line that does not parse is kept in the target with a null ``raw`` and its text in
-    ``corrupt_column``, so nothing is lost silently.
+    ``corrupt_column``, so nothing is lost silently; the run reports how many there were.
+    ``audit=(JobMeta, log)`` appends a job-status record for the run.
     """
-    if max_files_per_trigger:
-        options = {**options, "maxFilesPerTrigger": str(max_files_per_trigger)}
+    options = _source_options(options, max_files_per_trigger, clean_source, archive_dir)
     stream = load_raw_json(
         spark,
         source,
@@ -78,7 +134,7 @@ def ingest_new_json_files(
         streaming=True,
         **options,
     )
-    return _run(stream, target, checkpoint, sink_format, max_files_per_trigger)
+    return _run(stream, target, checkpoint, sink_format, corrupt_column, audit, clock)
 
 
 def ingest_new_csv_files(
@@ -91,11 +147,14 @@ def ingest_new_csv_files(
     header: bool = True,
     sep: str = ",",
     max_files_per_trigger: int | None = None,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
     sink_format: str = "parquet",
+    audit: tuple[JobMeta, TableRef | str] | None = None,
+    clock: Callable[[], dt.datetime] | None = None,
     **options,
 ) -> IncrementalRun:
     """Load the CSV files new under ``source`` into ``target``, typed by ``schema``."""
-    if max_files_per_trigger:
-        options = {**options, "maxFilesPerTrigger": str(max_files_per_trigger)}
+    options = _source_options(options, max_files_per_trigger, clean_source, archive_dir)
     stream = read_csv(spark, source, schema, header=header, sep=sep, streaming=True, **options)
-    return _run(stream, target, checkpoint, sink_format, max_files_per_trigger)
+    return _run(stream, target, checkpoint, sink_format, None, audit, clock)

@@ -82,3 +82,9 @@ def test_consecutive_ids_split_a_hot_key(spark):
     assert a_ids == list(range(11, 1011))  # the hot key comes first, numbered without gaps
     parts = out.rdd.getNumPartitions()
     assert parts >= 1
+
+
+def test_text_dates_with_format(spark):
+    df = spark.createDataFrame([("01/06/1998",), ("01/06/1998",), ("02/06/1998",)], "d string")
+    rows = daily_ingest_counts(df, "T", "d", "1998-06-02", date_format="dd/MM/yyyy").collect()
+    assert [(r.ingest_date, r.ingested_rows) for r in rows] == [(dt.date(1998, 6, 1), 2)]

@@ -98,3 +98,28 @@ def test_incremental_second_run_adds_nothing(spark, scratch):
     r3 = ingest_new_json_files(spark, f"{prefix}/*", target, ck, as_of=AS_OF)
     assert (r1.rows, r2.rows, r3.rows) == (2, 1, 0)
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == ["1", "2", "3"]
+
+
+def test_incremental_run_counts_rejects_and_audits(spark, scratch):
+    prefix, target, ck, log = scratch("landing"), scratch("landing-t"), scratch("landing-ck"), scratch("log")
+    _write_lines(spark, f"{prefix}/b1", LINES)
+    meta = JobMeta("RAW", "TRIPS", "load_trips", "LOAD", "loads")
+    run = ingest_new_json_files(spark, f"{prefix}/*", target, ck, paths={"id": "$.id"}, as_of=AS_OF,
+                                audit=(meta, log), clock=lambda: AS_OF)
+    assert (run.rows, run.rejected) == (3, 1)
+    rec = spark.read.parquet(log).first()
+    assert (rec.job_status, rec.recs_parsed, rec.recs_staged, rec.job_id) == ("SUCCESS", 3, 2, 1)
+    kept = spark.read.parquet(target).where("_corrupt_record IS NOT NULL").count()
+    assert kept == 1
+
+
+def test_incremental_archive_moves_processed_files(spark, scratch):
+    import os
+
+    landing, target, ck, archive = scratch("landing"), scratch("t"), scratch("ck"), scratch("archive")
+    _write_lines(spark, f"{landing}/b1", ['{"id":1}'])
+    ingest_new_json_files(spark, f"{landing}/*", target, ck, clean_source="archive", archive_dir=archive, as_of=AS_OF)
+    _write_lines(spark, f"{landing}/b2", ['{"id":2}'])
+    run = ingest_new_json_files(spark, f"{landing}/*", target, ck, clean_source="archive", archive_dir=archive, as_of=AS_OF)
+    assert run.rows == 1
+    assert spark.read.parquet(target).count() == 2

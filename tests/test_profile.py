@@ -69,3 +69,16 @@ def test_last_altered_from_file_time(spark):
 
     r = table_profile(spark, {"nation": f"{SF_SMALL}/nation.parquet"}, last_altered=FILE_MODIFIED).first()
     assert r.last_altered is not None
+
+
+def test_object_profile_isolates_a_failing_object(spark, scratch):
+    bad = scratch("corrupt")
+    spark.range(5).write.parquet(bad)
+    spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.mode("append").text(bad)
+    good = f"{SF_SMALL}/region.parquet"
+    prof, skipped = object_profile(
+        spark,
+        {"region": good, "broken": lambda: spark.read.schema("id long").parquet(bad)},
+    )
+    assert [(r.table_name, r.source_rows) for r in prof.collect()] == [("REGION", 5)]
+    assert [n for n, _ in skipped] == ["broken"]
