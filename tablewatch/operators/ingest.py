@@ -112,21 +112,35 @@ class LoadResult:
     rejects_location: str | None = None
 
 
+REJECTS_SUFFIX = "__rejects"
+
+
+def rejects_of(target: TableRef | str) -> TableRef:
+    """Default home of a target's rejected records: a sibling table named ``<target>__rejects``."""
+    t = as_ref(target)
+    return TableRef(t.location.rstrip("/") + REJECTS_SUFFIX, "parquet" if t.is_path else t.format)
+
+
 def write_load(
     df: DataFrame,
     target: TableRef | str,
     *,
     mode: str = "append",
     corrupt_column: str = CORRUPT_COLUMN,
-    rejects: TableRef | str | None = None,
+    rejects: TableRef | str | bool | None = True,
     partition_by: list[str] | None = None,
 ) -> LoadResult:
     """Write ``df`` to ``target``; rows whose ``corrupt_column`` is set go to ``rejects`` instead.
 
     One pass: counts are observed on the way into the write. The rejected rows are read a second
-    time only if some exist and a ``rejects`` location is given.
+    time only if some exist. ``rejects=True`` (default) appends them to ``rejects_of(target)``;
+    a location appends them there; ``False`` / ``None`` keeps only their count.
     """
     target = as_ref(target)
+    if rejects is True:
+        rejects = rejects_of(target)
+    elif rejects is False:
+        rejects = None
     spark = df.sparkSession
     has_corrupt = corrupt_column in df.columns
     deleted = 0

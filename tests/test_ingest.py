@@ -123,3 +123,15 @@ def test_incremental_archive_moves_processed_files(spark, scratch):
     run = ingest_new_json_files(spark, f"{landing}/*", target, ck, clean_source="archive", archive_dir=archive, as_of=AS_OF)
     assert run.rows == 1
     assert spark.read.parquet(target).count() == 2
+
+
+def test_rejects_default_next_to_target(spark, json_stage, scratch):
+    from tablewatch.operators.ingest import rejects_of
+
+    target = scratch("with-default-rejects")
+    res = append_load(load_raw_json(spark, json_stage, {"id": "$.id"}, AS_OF), target)
+    assert res.rejects_location == rejects_of(target).location
+    assert [r._corrupt_record for r in spark.read.parquet(res.rejects_location).collect()] == ["{bad"]
+    clean = scratch("clean")
+    res2 = append_load(spark.range(2), clean)
+    assert res2.rejects_location is None and res2.rejected == 0
