@@ -5,18 +5,23 @@ profiles are *measured*: row counts, observed nullability and observed maximum t
 computed by Spark jobs that scale with the tables.
 
 - ``table_profile``: one ``count(*)`` per table (Parquet answers it from footers and row-group
-  sizes; the plan's ``ReadSchema`` is empty) plus an optional last-change time; all tables in one
-  union, i.e. one job.
-- ``column_profile``: every column of a table in **one** aggregate (a null count and, for text, a
-  max length per column), turned into rows with ``inline``; never a job per column.
+  sizes; the plan's ``ReadSchema`` is empty) plus an optional last-change time.
+- ``column_profile(s)``: every column of a table in **one** aggregate (a null count and, for text,
+  a max length per column); never a job per column.
 - ``source_profile``: row counts summed from per-file counts (``_metadata.file_path``), the file
   level being what a partition-statistics view reports.
 - ``object_profile``: row and column counts per object; an object that cannot be read is skipped
   and reported, not fatal.
+
+Each profile measures all its tables in **one** job -- a union of per-table partial/final
+aggregates, so the scans run side by side -- and returns the result, a few rows per table, as a
+local frame: metadata the size of a catalog view. Every report built on a profile reads those
+rows and never the tables again, and no executor loss can send Spark back to the scans.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
@@ -26,7 +31,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField
 
 from tablewatch.schemas import COLUMN_PROFILE, SOURCE_PROFILE, TABLE_PROFILE
-from tablewatch.session import materialize
 from tablewatch.sources.tables import TableLike, read_table
 
 # Tables left out of every profile by default (schema-migration bookkeeping).
@@ -46,53 +50,88 @@ def _excluded(name: str, exclude: Iterable[str]) -> bool:
     return name.upper() in {e.upper() for e in exclude}
 
 
+TableKey = str | tuple[str, str, str]
+
+
+def _key(key: TableKey, catalog: str, schema: str) -> tuple[str, str, str]:
+    """A table key is its name (catalog and schema from the arguments) or ``(catalog, schema, name)``."""
+    return tuple(key) if isinstance(key, tuple) else (catalog, schema, key)
+
+
 def _union(parts: list[DataFrame], spark: SparkSession, schema) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
+def _measure(spark: SparkSession, parts: list[DataFrame]) -> list:
+    """Run the per-table aggregates as one job (a union) and return their few rows."""
+    return reduce(DataFrame.unionByName, parts).collect() if parts else []
+
+
 # REC-1
 def table_profile(
     spark: SparkSession,
-    tables: Mapping[str, TableLike],
+    tables: Mapping[TableKey, TableLike],
     *,
     catalog: str = "",
     schema: str = "",
     table_type: str = BASE_TABLE,
     exclude: Iterable[str] = DEFAULT_EXCLUDE,
     last_altered: str | Mapping[str, str | None] | None = None,
-    store: bool = True,
+    measure: bool = True,
 ) -> DataFrame:
     """One row per table: ``table_catalog, table_schema, table_name, table_type, row_count,
     column_count, last_altered``.
 
-    ``last_altered`` is a column (or column path such as ``FILE_MODIFIED``) whose maximum is the
-    table's last change, given once for all tables or per table name; ``None`` leaves it null.
-    All tables are measured in one job; with ``store`` (default) the few result rows are
-    checkpointed at once, so the reports built on them never scan the tables again.
+    ``tables`` is keyed by table name, or by ``(catalog, schema, name)`` to measure tables of
+    several schemas or systems in the same job. ``last_altered`` is a column (or column path such
+    as ``FILE_MODIFIED``) whose maximum is the table's last change, given once for all tables or
+    per table key or name; ``None`` leaves it null.
+
+    All tables are measured in one job (a union of one partial/final aggregate per table) and the
+    result -- one row per table -- comes back as a local frame, so the reports built on it never
+    scan the tables again. ``measure=False`` returns the unevaluated plan instead.
     """
-    parts = []
-    for name, t in tables.items():
+    keys, parts = [], []
+    for key, t in tables.items():
+        cat, sch, name = _key(key, catalog, schema)
         if _excluded(name, exclude):
             continue
         df = read_table(spark, t)
-        la = last_altered.get(name) if isinstance(last_altered, Mapping) else last_altered
+        if isinstance(last_altered, Mapping):
+            la = last_altered.get(key, last_altered.get(name))
+        else:
+            la = last_altered
         changed = F.max(F.col(la)).cast("timestamp_ntz") if la else F.lit(None).cast("timestamp_ntz")
-        agg = df.agg(F.count(F.lit(1)).alias("row_count"), changed.alias("last_altered"))
+        i = len(keys)
+        keys.append((cat, sch, name, len(df.columns)))
         parts.append(
-            agg.select(
-                F.lit(catalog).alias("table_catalog"),
-                F.lit(schema).alias("table_schema"),
-                F.lit(name).alias("table_name"),
+            df.agg(
+                F.lit(i).alias("_i"),
+                F.count(F.lit(1)).alias("row_count"),
+                changed.alias("last_altered"),
+            )
+        )
+    if not measure:
+        plan = [
+            p.select(
+                F.lit(keys[i][0]).alias("table_catalog"),
+                F.lit(keys[i][1]).alias("table_schema"),
+                F.lit(keys[i][2]).alias("table_name"),
                 F.lit(table_type).alias("table_type"),
                 F.col("row_count").cast("bigint"),
-                F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-                F.col("last_altered"),
+                F.lit(keys[i][3]).cast("bigint").alias("column_count"),
+                "last_altered",
             )
-        )
-    prof = _union(parts, spark, TABLE_PROFILE)
-    return materialize(prof) if store and parts else prof
+            for i, p in enumerate(parts)
+        ]
+        return _union(plan, spark, TABLE_PROFILE)
+    rows = [
+        (*keys[r["_i"]][:3], table_type, r["row_count"], keys[r["_i"]][3], r["last_altered"])
+        for r in _measure(spark, parts)
+    ]
+    return spark.createDataFrame(rows, TABLE_PROFILE)
 
 
 def _declared(field: StructField) -> tuple[str, int | None]:
@@ -105,6 +144,36 @@ def _declared(field: StructField) -> tuple[str, int | None]:
     return field.dataType.simpleString(), None
 
 
+def _is_text(f: StructField) -> bool:
+    return isinstance(f.dataType, (StringType, BinaryType))
+
+
+def column_stats_plan(df: DataFrame, index: int = 0) -> DataFrame:
+    """One aggregate over ``df``: per column a null count (``n<i>``) and, for text, the longest
+    value (``l<i>``), packed as one JSON object so tables of any shape union into one job."""
+    aggs = []
+    for i, f in enumerate(df.schema.fields):
+        c = _q(f.name)
+        aggs.append(F.count_if(c.isNull()).alias(f"n{i}"))
+        if _is_text(f):
+            aggs.append(F.max(F.length(c)).alias(f"l{i}"))
+    return df.agg(F.lit(index).alias("_i"), F.to_json(F.struct(*aggs)).alias("_stats"))
+
+
+def _column_rows(fields, stats: dict | None, catalog: str, schema: str, table_name: str) -> list[tuple]:
+    rows = []
+    for i, f in enumerate(fields):
+        dtype, length = _declared(f)
+        if stats is None:
+            nullable = "YES" if f.nullable else "NO"
+        else:
+            nullable = "YES" if stats.get(f"n{i}", 0) > 0 else "NO"
+            if length is None and _is_text(f):
+                length = stats.get(f"l{i}")
+        rows.append((catalog, schema, table_name, f.name, i + 1, nullable, dtype, length))
+    return rows
+
+
 # REC-2
 def column_profile(
     df: DataFrame,
@@ -113,7 +182,6 @@ def column_profile(
     catalog: str = "",
     schema: str = "",
     observe: bool = True,
-    store: bool = False,
 ) -> DataFrame:
     """One row per column: ``table_catalog, table_schema, table_name, column_name,
     ordinal_position, is_nullable, data_type, character_maximum_length``.
@@ -123,78 +191,38 @@ def column_profile(
     ``char``/``varchar`` length wins). ``observe=False`` reads only the schema (no job): the
     declared nullable flag and declared lengths.
     """
-    spark = df.sparkSession
-    fields = df.schema.fields
-    if not observe:
-        rows = []
-        for i, f in enumerate(fields, start=1):
-            dtype, length = _declared(f)
-            rows.append(
-                (catalog, schema, table_name, f.name, i, "YES" if f.nullable else "NO", dtype, length)
-            )
-        return spark.createDataFrame(rows, COLUMN_PROFILE)
-
-    aggs = []
-    for i, f in enumerate(fields):
-        c = _q(f.name)
-        aggs.append(F.count_if(c.isNull()).alias(f"n{i}"))
-        if isinstance(f.dataType, (StringType, BinaryType)):
-            aggs.append(F.max(F.length(c)).alias(f"l{i}"))
-    if not aggs:
-        return spark.createDataFrame([], COLUMN_PROFILE)
-    wide = df.agg(*aggs)
-
-    entries = []
-    for i, f in enumerate(fields):
-        dtype, declared_len = _declared(f)
-        if declared_len is not None:
-            length = F.lit(declared_len)
-        elif isinstance(f.dataType, (StringType, BinaryType)):
-            length = F.col(f"l{i}")
-        else:
-            length = F.lit(None)
-        entries.append(
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(i + 1).alias("ordinal_position"),
-                F.when(F.col(f"n{i}") > 0, "YES").otherwise("NO").alias("is_nullable"),
-                F.lit(dtype).alias("data_type"),
-                length.cast("int").alias("character_maximum_length"),
-            )
-        )
-    long = wide.select(F.inline(F.array(*entries)))
-    prof = long.select(
-        F.lit(catalog).alias("table_catalog"),
-        F.lit(schema).alias("table_schema"),
-        F.lit(table_name).alias("table_name"),
-        "column_name",
-        "ordinal_position",
-        "is_nullable",
-        "data_type",
-        "character_maximum_length",
+    return column_profiles(
+        df.sparkSession, {(catalog, schema, table_name): df}, exclude=(), observe=observe
     )
-    return materialize(prof) if store else prof
 
 
 def column_profiles(
     spark: SparkSession,
-    tables: Mapping[str, TableLike],
+    tables: Mapping[TableKey, TableLike],
     *,
     catalog: str = "",
     schema: str = "",
     exclude: Iterable[str] = DEFAULT_EXCLUDE,
     observe: bool = True,
-    store: bool = True,
 ) -> DataFrame:
-    """``column_profile`` of several tables as one frame. Observed profiles are measured in one
-    job and, with ``store`` (default), checkpointed at once."""
-    parts = [
-        column_profile(read_table(spark, t), name, catalog=catalog, schema=schema, observe=observe)
-        for name, t in tables.items()
-        if not _excluded(name, exclude)
-    ]
-    prof = _union(parts, spark, COLUMN_PROFILE)
-    return materialize(prof) if store and observe and parts else prof
+    """``column_profile`` of several tables (keyed like ``table_profile``) as one local frame.
+
+    Observed profiles of all tables are measured in one job (one aggregate per table, a union);
+    its result is one row per table, turned into one row per column on the driver.
+    """
+    entries = []
+    for key, t in tables.items():
+        cat, sch, name = _key(key, catalog, schema)
+        if not _excluded(name, exclude):
+            entries.append((cat, sch, name, read_table(spark, t)))
+    stats: dict[int, dict] = {}
+    if observe:
+        measured = _measure(spark, [column_stats_plan(df, i) for i, (_, _, _, df) in enumerate(entries)])
+        stats = {r["_i"]: json.loads(r["_stats"]) for r in measured}
+    rows = []
+    for i, (cat, sch, name, df) in enumerate(entries):
+        rows += _column_rows(df.schema.fields, stats.get(i) if observe else None, cat, sch, name)
+    return spark.createDataFrame(rows, COLUMN_PROFILE)
 
 
 # REC-3
@@ -221,7 +249,6 @@ def source_profile(
     direct: Mapping[str, TableLike] | None = None,
     restrict_to: DataFrame | Iterable[str] | None = None,
     columns: DataFrame | None = None,
-    store: bool = True,
 ) -> DataFrame:
     """Source-side profile ``table_name, source_rows, source_columns`` (names upper-cased).
 
@@ -263,7 +290,9 @@ def source_profile(
         )
     if not parts:
         return spark.createDataFrame([], SOURCE_PROFILE)
-    rows = reduce(DataFrame.unionByName, parts).distinct()
+    # One job counts every table; its result (one row per table) is kept as a local frame.
+    measured = reduce(DataFrame.unionByName, parts).distinct().collect()
+    rows = spark.createDataFrame([tuple(r) for r in measured], "table_name string, source_rows bigint")
 
     if columns is None:
         counted = [
@@ -277,10 +306,9 @@ def source_profile(
         if allowed is not None:
             columns = columns.where(F.col("table_name").isin(sorted(allowed)))
         columns = columns.groupBy("table_name").agg(F.sum("column_count").alias("column_count"))
-    prof = rows.join(columns, "table_name", "left").select(
+    return rows.join(columns, "table_name", "left").select(
         "table_name", "source_rows", F.col("column_count").cast("bigint").alias("source_columns")
     )
-    return materialize(prof) if store else prof
 
 
 # REC-8

@@ -26,7 +26,8 @@ def consecutive_ids(df: DataFrame, order_by: list[Column], start_after: int = 0,
     ranged = materialize(
         df.withColumn(_TIE, F.monotonically_increasing_id())
         .repartitionByRange(*order_by, F.col(_TIE))
-        .withColumn(_PART, F.spark_partition_id())
+        .withColumn(_PART, F.spark_partition_id()),
+        force=True,
     )
     sizes = sorted((r[0], r[1]) for r in ranged.groupBy(_PART).count().collect())  # one row per partition
     offsets, running = [], int(start_after)

@@ -349,18 +349,24 @@ def _systems(spark: SparkSession, sf_dir: str, replica_case=str.lower):
 
 
 def _count_inputs(spark: SparkSession, sf_dir: str):
+    """Target, replica and legacy table profiles, measured together in one job."""
     target, replica = _systems(spark, sf_dir)
-    tp = table_profile(
-        spark, target, catalog=CATALOG, schema="TARGET",
-        last_altered={"ORDERS": "o_orderdate", "EVENTS": "ts"},
-    )
-    rp = table_profile(
-        spark, replica, catalog=CATALOG, schema="REPLICA",
-        last_altered={"orders": "o_orderdate", "lineitem": "l_shipdate"},
-    )
-    legacy = table_profile(
-        spark, {"ORDERS": _t(spark, sf_dir, "orders"), "CUSTOMER": _t(spark, sf_dir, "customer")}
-    ).select(
+    legacy_tables = {"ORDERS": _t(spark, sf_dir, "orders"), "CUSTOMER": _t(spark, sf_dir, "customer")}
+    tables = {
+        **{(CATALOG, "TARGET", n): df for n, df in target.items()},
+        **{(CATALOG, "REPLICA", n): df for n, df in replica.items()},
+        **{("", "LEGACY", n): df for n, df in legacy_tables.items()},
+    }
+    changed = {
+        (CATALOG, "TARGET", "ORDERS"): "o_orderdate",
+        (CATALOG, "TARGET", "EVENTS"): "ts",
+        (CATALOG, "REPLICA", "orders"): "o_orderdate",
+        (CATALOG, "REPLICA", "lineitem"): "l_shipdate",
+    }
+    prof = table_profile(spark, tables, last_altered=changed)
+    tp = prof.where(F.col("table_schema") == "TARGET")
+    rp = prof.where(F.col("table_schema") == "REPLICA")
+    legacy = prof.where(F.col("table_schema") == "LEGACY").select(
         F.col("table_name").alias("tablename"),
         F.col("row_count").alias("rowcount"),
         F.col("column_count").alias("columncount"),
@@ -376,11 +382,14 @@ def count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _column_inputs(spark: SparkSession, sf_dir: str):
+    """Target and replica column profiles, measured together in one job."""
     target, replica = _systems(spark, sf_dir, replica_case=str.upper)
-    replica = {k: v for k, v in replica.items() if k != "LINEITEM"}
-    tc = column_profiles(spark, target, catalog=CATALOG, schema="TARGET")
-    rc = column_profiles(spark, replica, catalog=CATALOG, schema="REPLICA")
-    return tc, rc
+    tables = {
+        **{(CATALOG, "TARGET", n): df for n, df in target.items()},
+        **{(CATALOG, "REPLICA", n): df for n, df in replica.items() if n != "LINEITEM"},
+    }
+    prof = column_profiles(spark, tables)
+    return prof.where(F.col("table_schema") == "TARGET"), prof.where(F.col("table_schema") == "REPLICA")
 
 
 def column_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,10 +453,10 @@ def _inventory_inputs(spark: SparkSession, sf_dir: str):
         ("HUB", "EVENTS"): {"EVENTS": _t(spark, sf_dir, "events")},
     }
     changed = {"ORDERS": "o_orderdate", "LINEITEM": "l_shipdate", "EVENTS": "ts"}
-    profiles = [
-        table_profile(spark, tabs, catalog=c, schema=s, last_altered={k: v for k, v in changed.items() if k in tabs})
-        for (c, s), tabs in schemas.items()
-    ]
+    # All three schemas measured in one job.
+    profiles = table_profile(
+        spark, {(c, s, n): df for (c, s), tabs in schemas.items() for n, df in tabs.items()}, last_altered=changed
+    )
     columns = [column_profiles(spark, tabs, catalog=c, schema=s, observe=False) for (c, s), tabs in schemas.items()]
     return profiles, columns
 
@@ -485,8 +494,8 @@ def report_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged-report table then holds both runs."""
     root = scratch_path(spark, "reports")
     sinks = {name: TableRef(f"{root}/{name}") for name in ("counts", "drift", "missing", "merged")}
-    # The profiles do not depend on the run day: they are measured and stored once, both runs
-    # read the stored rows.
+    # The profiles do not depend on the run day: they are measured once, both runs read the
+    # measured rows.
     tp, rp, legacy = _count_inputs(spark, sf_dir)
     tc, rc = _column_inputs(spark, sf_dir)
     profiles, columns = _inventory_inputs(spark, sf_dir)

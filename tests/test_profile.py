@@ -15,9 +15,11 @@ def test_column_profile_observed(spark):
 
 
 def test_column_profile_is_one_aggregate(spark):
+    from tablewatch.operators.profile import column_stats_plan
+
     df = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    plan = column_profile(df, "orders")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1
+    plan = column_stats_plan(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange") == 1
 
 
 def test_column_profile_declared_varchar(spark, scratch):
@@ -37,16 +39,17 @@ def test_column_counts(spark):
 
 
 def test_table_profile_count_reads_no_columns(spark):
-    lazy = table_profile(spark, {"orders": f"{SF_SMALL}/orders.parquet"}, store=False)
+    lazy = table_profile(spark, {"orders": f"{SF_SMALL}/orders.parquet"}, measure=False)
     plan = lazy._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan
     assert lazy.first().row_count == 1500
 
 
-def test_stored_profile_reads_no_table(spark):
+def test_measured_profile_reads_no_table(spark):
     prof = table_profile(spark, {"orders": f"{SF_SMALL}/orders.parquet"})
     plan = prof._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan and prof.first().row_count == 1500
+    assert prof.inputFiles() == []
 
 
 def test_source_profile_sums_files(spark, scratch):
