@@ -117,3 +117,46 @@ def warehouse_tables(
     return prof.join(counts, keys, "left").select(
         *keys, "table_type", "row_count", "column_count", "last_altered"
     )
+
+
+def partition_row_counts(
+    partitions: DataFrame,
+    tables: DataFrame,
+    *,
+    restrict_to: Iterable[str] | None = None,
+    name_column: str = "name",
+) -> DataFrame:
+    """Rows per table from a database's partition statistics, without scanning any table.
+
+    ``partitions`` has ``object_id, index_id, rows`` (one row per partition of each index);
+    ``tables`` has ``object_id`` and the table name. Only the base data is counted (``index_id``
+    0 for a heap, 1 for a clustered index; other indexes repeat the rows). Names are upper-cased
+    and the sum is per name. ``restrict_to`` keeps listed names only (a semi-join, never a list
+    spliced into SQL text). Returns ``table_name, source_rows``.
+    """
+    base = partitions.where(F.col("index_id") < 2).select("object_id", F.col("rows").cast("bigint").alias("rows"))
+    named = tables.select("object_id", F.upper(F.col(name_column)).alias("table_name"))
+    counts = base.join(named, "object_id").groupBy("table_name").agg(F.sum("rows").cast("bigint").alias("source_rows"))
+    if restrict_to is not None:
+        spark = partitions.sparkSession
+        wanted = spark.createDataFrame([(n.upper(),) for n in restrict_to], "table_name string")
+        counts = counts.join(wanted, "table_name", "left_semi")
+    return counts
+
+
+def read_partition_row_counts(
+    spark: SparkSession,
+    url: str,
+    *,
+    restrict_to: Iterable[str] | None = None,
+    partitions_view: str = "sys.partitions",
+    tables_view: str = "sys.tables",
+    **properties: str,
+) -> DataFrame:
+    """``partition_row_counts`` over a database's catalog views read through JDBC (the
+    ``index_id`` filter is pushed into the query sent to the database)."""
+    return partition_row_counts(
+        read_jdbc(spark, url, partitions_view, **properties),
+        read_jdbc(spark, url, tables_view, **properties),
+        restrict_to=restrict_to,
+    )

@@ -17,6 +17,10 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+# Physical operators that must not appear in any registered query: Python UDF evaluation,
+# cartesian products and nested-loop joins.
+FORBIDDEN_PLAN_NODES = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"]
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -57,8 +61,10 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     t0 = time.time()
     df = entry.queries()[name](spark, sf_dir)
     got_cols, got = normalise(df.columns, [tuple(r) for r in df.collect()])
+    plan = df._jdf.queryExecution().executedPlan().toString()
     spark_sec = time.time() - t0
     res = {"query": name, "spark_sec": round(spark_sec, 2), "rows": len(got)}
+    res["plan_flags"] = [bad for bad in FORBIDDEN_PLAN_NODES if bad in plan]
     sql = entry.oracle_sql().get(name)
     if sql is None:
         res["oracle"] = "none"

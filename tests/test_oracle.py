@@ -16,6 +16,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, SF_SMALL, name, con)
+    assert r["plan_flags"] == [], r
     assert r["columns_match"], r
     assert r["rows"] == r["oracle_rows"], r
     assert r["values_match"], r

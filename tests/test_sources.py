@@ -41,3 +41,15 @@ def test_csv_stream_picks_up_new_files_once(spark, scratch):
 def test_partitioned_jdbc_read_needs_bounds(spark):
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none://nowhere", "t", partition_column="id", num_partitions=8)
+
+
+def test_partition_row_counts_from_catalog_views(spark):
+    from tablewatch.sources.jdbc import partition_row_counts
+
+    parts = spark.createDataFrame(
+        [(1, 0, 10), (1, 0, 5), (1, 2, 15), (2, 1, 7), (2, 3, 7), (3, 1, 4)],
+        "object_id int, index_id int, rows long",
+    )
+    tables = spark.createDataFrame([(1, "books", 1), (2, "TenStatus", 1), (3, "other", 2)], "object_id int, name string, schema_id int")
+    got = {r.table_name: r.source_rows for r in partition_row_counts(parts, tables, restrict_to=["BOOKS", "tenstatus"]).collect()}
+    assert got == {"BOOKS": 15, "TENSTATUS": 7}
