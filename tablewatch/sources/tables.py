@@ -13,16 +13,23 @@ class TableRef:
     """Where a table lives. ``location`` is a catalog name (``db.table``) or a path (has ``/`` or ``:``).
 
     ``format`` is any Spark data source. Plain Parquet overwrites delete then write; use a
-    transactional format (Delta, Iceberg) when a replace must be atomic for readers.
+    transactional format (Delta, Iceberg) when a replace must be atomic for readers. With
+    ``format="jdbc"`` the location is the database table (``dbtable``) and ``options`` carry the
+    ``url`` and credentials: reads and appends go through Spark's JDBC source (appends in batches
+    of ``batchsize`` rows per task, not row by row).
     """
 
     location: str
     format: str = "parquet"
     options: dict = field(default_factory=dict, hash=False, compare=False)
 
+    @property
+    def is_jdbc(self) -> bool:
+        return self.format == "jdbc"
+
     @property
     def is_path(self) -> bool:
-        return "/" in self.location or ":" in self.location
+        return not self.is_jdbc and ("/" in self.location or ":" in self.location)
 
 
 TableLike = TableRef | str | DataFrame
@@ -36,6 +43,8 @@ def read_table(spark: SparkSession, t: TableLike) -> DataFrame:
     if isinstance(t, DataFrame):
         return t
     ref = as_ref(t)
+    if ref.is_jdbc:
+        return spark.read.format("jdbc").options(**ref.options).option("dbtable", ref.location).load()
     if ref.is_path:
         return spark.read.format(ref.format).options(**ref.options).load(ref.location)
     return spark.read.table(ref.location)
@@ -43,14 +52,19 @@ def read_table(spark: SparkSession, t: TableLike) -> DataFrame:
 
 def table_exists(spark: SparkSession, t: TableRef | str) -> bool:
     ref = as_ref(t)
-    if not ref.is_path:
+    if not ref.is_path and not ref.is_jdbc:
         return spark.catalog.tableExists(ref.location)
     try:
-        # Resolving the relation lists the files and reads one footer; no data job runs.
-        spark.read.format(ref.format).options(**ref.options).load(ref.location).schema
+        # Resolving the relation lists the files (or asks the database for the columns); no
+        # data is read.
+        read_table(spark, ref).schema
         return True
     except AnalysisException:
         return False
+    except Exception as err:  # noqa: BLE001 - a JDBC table that is not there
+        if ref.is_jdbc:
+            return False
+        raise err
 
 
 def write_table(
@@ -61,6 +75,9 @@ def write_table(
 ) -> None:
     ref = as_ref(t)
     w = df.write.mode(mode).format(ref.format).options(**ref.options)
+    if ref.is_jdbc:
+        w.option("dbtable", ref.location).save()
+        return
     if partition_by:
         w = w.partitionBy(*partition_by)
     if ref.is_path:

@@ -53,3 +53,9 @@ def test_partition_row_counts_from_catalog_views(spark):
     tables = spark.createDataFrame([(1, "books", 1), (2, "TenStatus", 1), (3, "other", 2)], "object_id int, name string, schema_id int")
     got = {r.table_name: r.source_rows for r in partition_row_counts(parts, tables, restrict_to=["BOOKS", "tenstatus"]).collect()}
     assert got == {"BOOKS": 15, "TENSTATUS": 7}
+
+
+def test_jdbc_ref_is_not_a_path():
+    ref = TableRef("etlaudit.etl_job_status", "jdbc", {"url": "jdbc:postgresql://db/x"})
+    assert ref.is_jdbc and not ref.is_path
+    assert TableRef("/data/t").is_path and not TableRef("db.t").is_path
