@@ -121,6 +121,19 @@ def rejects_of(target: TableRef | str) -> TableRef:
     return TableRef(t.location.rstrip("/") + REJECTS_SUFFIX, "parquet" if t.is_path else t.format)
 
 
+def _norm(uri: str) -> str:
+    """Comparable form of a local path / ``file:`` URI (other schemes are kept as they are)."""
+    u = uri[len("file:"):] if uri.startswith("file:") else uri
+    if u.startswith("/"):
+        u = "/" + u.lstrip("/")
+    return u.rstrip("/")
+
+
+def _reads_location(df: DataFrame, location: str) -> bool:
+    root = _norm(location)
+    return any(_norm(f) == root or _norm(f).startswith(root + "/") for f in df.inputFiles())
+
+
 def write_load(
     df: DataFrame,
     target: TableRef | str,
@@ -144,6 +157,9 @@ def write_load(
     spark = df.sparkSession
     has_corrupt = corrupt_column in df.columns
     deleted = 0
+    if mode == "overwrite" and target.is_path and _reads_location(df, target.location):
+        # A path overwrite deletes the old files before the job reads them: the data would be lost.
+        raise ValueError(f"refusing to overwrite {target.location}: the load reads from it")
     if mode == "overwrite" and table_exists(spark, target):
         deleted = read_table(spark, target).count()
 
@@ -173,7 +189,8 @@ def append_load(df: DataFrame, target: TableRef | str, **kw) -> LoadResult:
 def replace_table(df: DataFrame, target: TableRef | str, **kw) -> LoadResult:
     """Full refresh: the target afterwards holds exactly ``df`` (delete-all and load in one write).
 
-    ``df`` must not read ``target`` itself; Spark refuses to overwrite a table it is reading.
+    ``df`` must not read ``target`` itself: Spark refuses that for catalog tables, and for a path
+    target it is refused here before anything is deleted.
     """
     return write_load(df, target, mode="overwrite", **kw)
 

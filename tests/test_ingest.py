@@ -135,3 +135,13 @@ def test_rejects_default_next_to_target(spark, json_stage, scratch):
     clean = scratch("clean")
     res2 = append_load(spark.range(2), clean)
     assert res2.rejects_location is None and res2.rejected == 0
+
+
+def test_d16_refresh_cannot_read_its_own_target(spark, scratch):
+    target = scratch("self")
+    spark.range(3).write.parquet(target)
+    with pytest.raises(ValueError):
+        replace_table(spark.read.parquet(target), target)
+    assert spark.read.parquet(target).count() == 3
+    with pytest.raises(ValueError):
+        replace_table(spark.read.parquet(target).where("id > 0"), target.replace("file:", "file://"))

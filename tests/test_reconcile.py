@@ -156,3 +156,14 @@ def test_validation_run_order_and_preview(spark, scratch):
     drift = run.failed["drift"].collect()
     assert [(r.target_table_name, r.target_column_name, r.is_nullable_check) for r in drift] == [("A", "v", "N")]
     assert spark.read.parquet(sinks["merged"]).count() == 2
+
+
+def test_d24_duplicate_legacy_rows_collapse_and_d26_left_keeps_target_only(spark):
+    tgt = _profile(spark, [("ORDERS", 10, 7, None), ("EVENTS", 3, 6, None)], "EDW")
+    rep = _profile(spark, [("orders", 10, 7, None)], "REPLICA")
+    legacy = spark.createDataFrame([("ORDERS", 10, 7), ("ORDERS", 10, 7)], "tablename string, rowcount long, columncount long")
+    inner = reconcile_counts(tgt, rep, legacy, as_of=AS_OF).collect()
+    assert [(r.table_view_name, r.rows_match_check) for r in inner] == [("ORDERS", "Y")]
+    left = {r.table_view_name: r for r in reconcile_counts(tgt, rep, legacy, as_of=AS_OF, how="left").collect()}
+    assert set(left) == {"ORDERS", "EVENTS"}
+    assert (left["EVENTS"].rows_match_check, left["EVENTS"].columns_match_check) == ("", "")
