@@ -157,10 +157,11 @@ def write_load(
     spark = df.sparkSession
     has_corrupt = corrupt_column in df.columns
     deleted = 0
-    if mode == "overwrite" and target.is_path and _reads_location(df, target.location):
-        # A path overwrite deletes the old files before the job reads them: the data would be lost.
-        raise ValueError(f"refusing to overwrite {target.location}: the load reads from it")
     if mode == "overwrite" and table_exists(spark, target):
+        # A path overwrite deletes the old files before the job reads them: a load that reads its
+        # own target would lose it. (The check lists the load's input files, once per refresh.)
+        if target.is_path and _reads_location(df, target.location):
+            raise ValueError(f"refusing to overwrite {target.location}: the load reads from it")
         deleted = read_table(spark, target).count()
 
     obs = Observation("load")

@@ -1,10 +1,11 @@
 """The validation run (REC-14, REC-15): four reports, their appends and their failed rows.
 
 The profiles that several reports share are measured once: those built by ``table_profile`` /
-``column_profiles`` / ``source_profile`` are already local rows; any other profile frame that
-still reads files is checkpointed (to the session's checkpoint folder) before use. So the tables
-behind them are scanned once per run, and the reports, their appends and the failed-row filters
-all read the measured rows.
+``column_profiles`` / ``source_profile`` are already local rows, so the tables behind them are
+scanned once per run, and the reports, their appends and the failed-row filters all read the
+measured rows. Profile frames that are still lazy plans over tables (e.g. read from a database
+view) should be passed with ``checkpoint=True``: they are then stored once in the session's
+checkpoint folder before the reports use them.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def run_validation(
     exempt_suffix: str | None = "WID",
     match_on: Iterable[str] = ("table_catalog", "table_schema", "table_name"),
     sinks: Mapping[str, TableRef | str] | None = None,
-    checkpoint: bool = True,
+    checkpoint: bool = False,
 ) -> ValidationRun:
     """REC-15: build the counts, drift, missing-column and merged reports, append the complete
     reports to ``sinks`` (when given) and return them with their failed rows.

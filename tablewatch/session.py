@@ -61,19 +61,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _STORED: weakref.WeakSet = weakref.WeakSet()  # DataFrames this library has already checkpointed
 
 
-def materialize(df: DataFrame, force: bool = False) -> DataFrame:
-    """Checkpoint ``df`` (eagerly, to the shared checkpoint folder) unless that buys nothing.
-
-    Used for small, expensive results -- profiles measured by full scans -- that several later
-    steps read: they are computed once, and a lost executor does not send Spark back to the scans.
-    A frame this library already stored, or one that reads no files at all (e.g. a filter over
-    stored rows), is returned as it is, unless ``force`` (used where the rows must be pinned,
-    not just cheap to recompute).
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` (eagerly, to the shared checkpoint folder) unless this library already did.
+
+    Used where rows must be computed once and then stay fixed -- rows numbered after a
+    nondeterministic partitioning, or small expensive results several steps read -- so that a
+    lost executor does not make Spark recompute them differently or rescan their sources.
     """
     if df in _STORED:
         return df
-    if not force and not df.inputFiles():
-        return df
     shared_dir(df.sparkSession)
     stored = df.checkpoint(eager=True)
     _STORED.add(stored)
