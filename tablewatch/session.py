@@ -33,7 +33,8 @@ def build_session(app: str = "tablewatch", master: str | None = None, conf: dict
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; registers a fresh local one only when none is set."""
+    """The session's checkpoint folder. Only a local-mode session (tests) with none set gets a
+    fresh local folder; a cluster session without one is an error."""
     sc = getattr(spark, "sparkContext", None)
     if sc is not None:
         current = sc.getCheckpointDir()
@@ -45,6 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir().rstrip("/")
         return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+    if not master.startswith("local"):
+        # A machine-local folder is invisible to executors on other hosts.
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared file system")
     local = tempfile.mkdtemp(prefix="tablewatch-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)
