@@ -33,7 +33,8 @@ from pyspark.sql.types import BinaryType, StringType, StructField
 from tablewatch.schemas import COLUMN_PROFILE, SOURCE_PROFILE, TABLE_PROFILE
 from tablewatch.sources.tables import TableLike, read_table
 
-# Tables left out of every profile by default (schema-migration bookkeeping).
+# Fixed values (as in the reconciled systems' catalogs): the tables left out of every profile by
+# default (schema-migration bookkeeping) and the table type of a base table.
 DEFAULT_EXCLUDE = ("DATABASECHANGELOG", "DATABASECHANGELOGLOCK")
 BASE_TABLE = "BASE TABLE"
 # Column path of a file's modification time, usable as a last-change time of file tables.

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 
 from tablewatch.functions.time import AsOf
 from tablewatch.operators.reconcile import (
+    DEFAULT_EXEMPT_SUFFIX,
     column_drift,
     failed_rows,
     inventory,
@@ -90,7 +91,7 @@ def run_validation(
     as_of: AsOf,
     legacy: DataFrame | None = None,
     extra: Iterable[str] = (),
-    exempt_suffix: str | None = "WID",
+    exempt_suffix: str | None = DEFAULT_EXEMPT_SUFFIX,
     match_on: Iterable[str] = ("table_catalog", "table_schema", "table_name"),
     sinks: Mapping[str, TableRef | str] | None = None,
     checkpoint: bool = False,
