@@ -13,11 +13,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tablewatch.functions.time import AsOf, as_of_ts, previous_day
 from tablewatch.operators.sequence import consecutive_ids
 from tablewatch.schemas import JOB_STATUS_COLUMNS
-from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, table_exists, write_table
+from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, try_read_table, write_table
 
 # Fixed values of the job-status rows written by the audit.
 DEFAULT_STATUS = "SUCCESS"
@@ -110,12 +111,17 @@ def with_job_ids(rows: DataFrame, start_after: int | DataFrame = 0) -> DataFrame
     if isinstance(start_after, DataFrame):
         # One scalar comes back: the log's highest id (reads only the job_id column).
         start_after = start_after.agg(F.coalesce(F.max("job_id"), F.lit(0))).first()[0]
-    order = [
-        F.col("dag_run_exec_date").asc_nulls_first(),
-        F.col("table_name").asc_nulls_first(),
-        F.col("task_id").asc_nulls_first(),
-    ]
-    numbered = consecutive_ids(rows.drop("job_id"), order, int(start_after), "job_id")
+    keys = ["dag_run_exec_date", "table_name", "task_id"]
+    rows = rows.drop("job_id")
+    if rows.isLocal():
+        # Rows already held by the driver (e.g. one record of a load): number them where they are.
+        local = sorted(rows.collect(), key=lambda r: tuple((r[k] is not None, r[k]) for k in keys))
+        spark = rows.sparkSession
+        schema = StructType([StructField("job_id", LongType(), True), *rows.schema.fields])
+        numbered = spark.createDataFrame([(int(start_after) + i, *r) for i, r in enumerate(local, start=1)], schema)
+        return numbered.select(*JOB_STATUS_COLUMNS)
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    numbered = consecutive_ids(rows, order, int(start_after), "job_id")
     return numbered.select(*JOB_STATUS_COLUMNS)
 
 
@@ -127,8 +133,8 @@ def append_job_status(rows: DataFrame, log: TableRef | str) -> DataFrame:
     """
     spark = rows.sparkSession
     log = as_ref(log)
-    existing = read_table(spark, log) if table_exists(spark, log) else 0
-    batch = with_job_ids(rows, existing)
+    existing = try_read_table(spark, log)
+    batch = with_job_ids(rows, existing if existing is not None else 0)
     write_table(batch, log, mode="append")
     return batch
 

@@ -53,7 +53,7 @@ from tablewatch.plans.validation import run_validation
 from tablewatch.session import scratch_path
 from tablewatch.sources.files import read_delimited_config
 from tablewatch.sources.tables import TableRef
-from tablewatch.streaming.incremental import ingest_new_json_files
+from tablewatch.streaming.incremental import ingest_new_csv_files, ingest_new_json_files
 
 # Fixed run times and cut-offs of the registered queries (the oracle SQL uses the same values).
 LOAD_AS_OF = "2024-01-31 00:00:00"
@@ -64,6 +64,8 @@ FRESHNESS_AS_OF = "2024-01-31 23:30:00"
 REPORT_AS_OF_NEXT = "2024-02-01 00:00:00"
 TARGET_LOADED_BEFORE = "2001-07-01 00:00:00"
 EVENTS_BATCH_SPLIT = "2024-01-16 00:00:00"
+ORDERS_BATCH_SPLIT = "1998-01-01 00:00:00"
+PART_BATCH_MAX_SIZE = 25
 CLEANED_PRIORITY = "4-NOT SPECIFIED"
 AUDIT_CONFIG = [("ORDERS", "o_orderdate"), ("LINEITEM", "l_shipdate"), ("EVENTS", "ts")]
 CATALOG = "WH"
@@ -217,6 +219,49 @@ def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-7 on CSV: part lands as two header CSV batches (by size); two runs load every part once,
+    typed by the table's schema."""
+    part = _t(spark, sf_dir, "part")
+    prefix = scratch_path(spark, "csv-landing")
+    target, ckpt = scratch_path(spark, "csv-landing-target"), scratch_path(spark, "csv-landing-checkpoint")
+    small = F.col("p_size") <= PART_BATCH_MAX_SIZE
+    part.where(small).write.option("header", True).csv(f"{prefix}/batch1")
+    ingest_new_csv_files(spark, f"{prefix}/*", target, ckpt, part.schema)
+    part.where(~small).write.option("header", True).csv(f"{prefix}/batch2")
+    ingest_new_csv_files(spark, f"{prefix}/*", target, ckpt, part.schema)
+    return spark.read.parquet(target)
+
+
+def incremental_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-7 + ING-8: orders land as two JSON batches, the second with a truncated copy of every
+    pending order; each of three runs leaves a job-status record of what it read and parsed."""
+    orders = _t(spark, sf_dir, "orders")
+    prefix = scratch_path(spark, "audited-landing")
+    target, ckpt = scratch_path(spark, "audited-landing-target"), scratch_path(spark, "audited-landing-ckpt")
+    log = scratch_path(spark, "audited-landing-log")
+    split = F.lit(ORDERS_BATCH_SPLIT).cast("timestamp_ntz")
+    rec = _json(F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderdate")
+    meta = JobMeta("SALES", "ORDERS", "load_orders_task", "LOAD", "file_loads")
+    clock_value = to_datetime(LOAD_AS_OF)
+
+    def run():
+        ingest_new_json_files(
+            spark, f"{prefix}/*", target, ckpt, paths={"id": "$.id"}, as_of=LOAD_AS_OF,
+            audit=(meta, log), clock=lambda: clock_value,
+        )
+
+    _stage_lines(orders.where(F.col("o_orderdate") < split).select(rec), f"{prefix}/batch1")
+    run()
+    _stage_lines(orders.where(F.col("o_orderdate") >= split).select(rec), f"{prefix}/batch2")
+    _stage_lines(orders.where(F.col("o_orderstatus") == "P").select(F.substring(rec, 1, 20)), f"{prefix}/batch2-cut")
+    run()
+    run()
+    return spark.read.parquet(log).select(
+        "job_id", "table_name", "job_status", "recs_parsed", "recs_staged", "recs_inserted"
+    )
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING-8: orders as JSON plus a truncated (corrupt) copy of every pending order; the load's
     job-status record counts parsed, staged and inserted records."""
@@ -523,6 +568,8 @@ _QUERY_FUNCTIONS = {
     "gated_load": gated_load,
     "incremental_files": incremental_files,
     "load_audit": load_audit,
+    "incremental_csv": incremental_csv,
+    "incremental_audit": incremental_audit,
     "daily_ingest_audit": daily_ingest_audit,
     "daily_ingest_audit_recent": daily_ingest_audit_recent,
     "job_status_rows": job_status_rows,

@@ -15,6 +15,7 @@ from tablewatch.sources.tables import (
     database_tables,
     read_table,
     table_exists,
+    try_read_table,
     write_table,
 )
 
@@ -31,5 +32,6 @@ __all__ = [
     "read_raw_json",
     "read_table",
     "table_exists",
+    "try_read_table",
     "write_table",
 ]

@@ -67,6 +67,23 @@ def table_exists(spark: SparkSession, t: TableRef | str) -> bool:
         raise err
 
 
+def try_read_table(spark: SparkSession, t: TableRef | str) -> DataFrame | None:
+    """``read_table``, or ``None`` when the table does not exist (one lookup instead of two)."""
+    ref = as_ref(t)
+    if not ref.is_path and not ref.is_jdbc:
+        return spark.read.table(ref.location) if spark.catalog.tableExists(ref.location) else None
+    try:
+        df = read_table(spark, ref)
+        df.schema
+        return df
+    except AnalysisException:
+        return None
+    except Exception:  # noqa: BLE001 - a JDBC table that is not there
+        if ref.is_jdbc:
+            return None
+        raise
+
+
 def write_table(
     df: DataFrame,
     t: TableRef | str,
