@@ -20,6 +20,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # A long-lived driver running many small jobs keeps only recent status history.
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "20000",
 }
 
 
