@@ -46,6 +46,7 @@ def load_raw_json(
     corrupt_column: str | None = CORRUPT_COLUMN,
     loaded_at: str = LOADED_AT,
     streaming: bool = False,
+    strip_outer_array: bool = False,
     **options,
 ) -> DataFrame:
     """Raw JSON records plus load time plus keys extracted as strings.
@@ -54,11 +55,20 @@ def load_raw_json(
     A key that is absent, sits under a non-object or cannot be read as a string gives null.
     Columns: ``raw`` (VARIANT), ``loaded_at``, one per path, and ``corrupt_column`` (the text of a
     line that did not parse; null otherwise).
+
+    ``strip_outer_array=True`` turns a record that is a JSON array into one record per element
+    (files holding one array need ``multiLine=True``; such a file is one record, read by one
+    task, so line-delimited JSON is the better layout for large drops).
     """
     paths = {"id": "$.id"} if paths is None else paths
     df = read_raw_json(
         spark, path, raw_column=raw_column, corrupt_column=corrupt_column, streaming=streaming, **options
     )
+    if strip_outer_array:
+        raw = F.col(raw_column)
+        elements = F.coalesce(F.try_variant_get(raw, "$", "array<variant>"), F.array(raw))
+        keep = [F.col(c) for c in df.columns if c != raw_column]
+        df = df.select(F.explode_outer(elements).alias(raw_column), *keep)
     cols = [F.col(raw_column), load_time(as_of).alias(loaded_at), *extract_paths(raw_column, paths)]
     if corrupt_column:
         cols.append(F.col(corrupt_column))

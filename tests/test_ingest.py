@@ -145,3 +145,10 @@ def test_d16_refresh_cannot_read_its_own_target(spark, scratch):
     assert spark.read.parquet(target).count() == 3
     with pytest.raises(ValueError):
         replace_table(spark.read.parquet(target).where("id > 0"), target.replace("file:", "file://"))
+
+
+def test_strip_outer_array(spark, scratch):
+    path = _write_lines(spark, scratch("arr"), ['[{"id": 1, "device": {"id": "x"}}, {"id": 2}]', '{"id": 3}', "{bad"])
+    df = load_raw_json(spark, path, {"id": "$.id", "device_id": "$.device.id"}, AS_OF, strip_outer_array=True)
+    got = {(r.id, r.device_id, r._corrupt_record) for r in df.collect()}
+    assert got == {("1", "x", None), ("2", None, None), ("3", None, None), (None, None, "{bad")}
