@@ -115,6 +115,11 @@ def _json(*cols: Column) -> Column:
     return F.to_json(F.struct(*cols))
 
 
+def _unterminated(record: Column) -> Column:
+    """The whole JSON record without its closing brace: a malformed line a loader must reject."""
+    return F.regexp_replace(record, r"\}$", "")
+
+
 # ---------------------------------------------------------------------------------------------
 # Ingest
 # ---------------------------------------------------------------------------------------------
@@ -235,8 +240,8 @@ def incremental_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ING-7 + ING-8: orders land as two JSON batches, the second with a truncated copy of every
-    pending order; each of three runs leaves a job-status record of what it read and parsed."""
+    """ING-7 + ING-8: orders land as two JSON batches, the second with an unterminated copy of
+    every pending order; each of three runs leaves a job-status record of what it read and parsed."""
     orders = _t(spark, sf_dir, "orders")
     prefix = scratch_path(spark, "audited-landing")
     target, ckpt = scratch_path(spark, "audited-landing-target"), scratch_path(spark, "audited-landing-ckpt")
@@ -255,7 +260,7 @@ def incremental_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     _stage_lines(orders.where(F.col("o_orderdate") < split).select(rec), f"{prefix}/batch1")
     run()
     _stage_lines(orders.where(F.col("o_orderdate") >= split).select(rec), f"{prefix}/batch2")
-    _stage_lines(orders.where(F.col("o_orderstatus") == "P").select(F.substring(rec, 1, 20)), f"{prefix}/batch2-cut")
+    _stage_lines(orders.where(F.col("o_orderstatus") == "P").select(_unterminated(rec)), f"{prefix}/batch2-cut")
     run()
     run()
     return spark.read.parquet(log).select(
@@ -264,15 +269,15 @@ def incremental_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ING-8: orders as JSON plus a truncated (corrupt) copy of every pending order; the load's
-    job-status record counts parsed, staged and inserted records."""
+    """ING-8: orders as JSON plus an unterminated (corrupt) copy of every pending order; the
+    load's job-status record counts parsed, staged and inserted records."""
     orders = _t(spark, sf_dir, "orders")
     stage = scratch_path(spark, "audited-json")
     rec = _json(
         F.col("o_orderkey").alias("id"), "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
     _stage_lines(orders.select(rec), f"{stage}/good")
-    _stage_lines(orders.where(F.col("o_orderstatus") == "P").select(F.substring(rec, 1, 20)), f"{stage}/cut")
+    _stage_lines(orders.where(F.col("o_orderstatus") == "P").select(_unterminated(rec)), f"{stage}/cut")
     loaded = load_raw_json(spark, [f"{stage}/good", f"{stage}/cut"], {"id": "$.id"}, LOAD_AS_OF)
     clock_value = to_datetime(LOAD_AS_OF)
     _, record = load_with_audit(
