@@ -17,7 +17,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tablewatch.functions.time import AsOf, as_of_ts, previous_day
 from tablewatch.operators.sequence import consecutive_ids
-from tablewatch.schemas import JOB_STATUS_COLUMNS
+from tablewatch.schemas import JOB_STATUS_COLUMNS, schema_of
+from tablewatch.session import local_frame
 from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, try_read_table, write_table
 
 # Fixed values of the job-status rows written by the audit.
@@ -118,7 +119,7 @@ def with_job_ids(rows: DataFrame, start_after: int | DataFrame = 0) -> DataFrame
         local = sorted(rows.collect(), key=lambda r: tuple((r[k] is not None, r[k]) for k in keys))
         spark = rows.sparkSession
         schema = StructType([StructField("job_id", LongType(), True), *rows.schema.fields])
-        numbered = spark.createDataFrame([(int(start_after) + i, *r) for i, r in enumerate(local, start=1)], schema)
+        numbered = local_frame(spark, [(int(start_after) + i, *r) for i, r in enumerate(local, start=1)], schema)
         return numbered.select(*JOB_STATUS_COLUMNS)
     order = [F.col(k).asc_nulls_first() for k in keys]
     numbered = consecutive_ids(rows, order, int(start_after), "job_id")
@@ -176,5 +177,5 @@ def audit_all(
         for n, c in pairs
     ]
     if not parts:
-        return spark.createDataFrame([], "table_name string, ingest_date date, ingested_rows bigint")
+        return local_frame(spark, [], schema_of("table_name string, ingest_date date, ingested_rows bigint"))
     return reduce(DataFrame.unionByName, parts)

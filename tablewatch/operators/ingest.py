@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from tablewatch.functions.columns import extract_paths
 from tablewatch.functions.time import AsOf, load_time, to_datetime
 from tablewatch.schemas import JOB_STATUS
+from tablewatch.session import local_frame
 from tablewatch.sources.files import (
     CORRUPT_COLUMN,
     RAW_COLUMN,
@@ -277,7 +278,7 @@ def job_status_row(
         deleted,
         failure_reason,
     )
-    return spark.createDataFrame([row], JOB_STATUS)
+    return local_frame(spark, [row], JOB_STATUS)
 
 
 def load_with_audit(

@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField
 
-from tablewatch.schemas import COLUMN_PROFILE, SOURCE_PROFILE, TABLE_PROFILE
+from tablewatch.schemas import COLUMN_PROFILE, SOURCE_PROFILE, TABLE_PROFILE, schema_of
+from tablewatch.session import local_frame
 from tablewatch.sources.tables import TableLike, read_table
 
 # Fixed values (as in the reconciled systems' catalogs): the tables left out of every profile by
@@ -61,7 +62,7 @@ def _key(key: TableKey, catalog: str, schema: str) -> tuple[str, str, str]:
 
 def _union(parts: list[DataFrame], spark: SparkSession, schema) -> DataFrame:
     if not parts:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -132,7 +133,7 @@ def table_profile(
         (*keys[r["_i"]][:3], table_type, r["row_count"], keys[r["_i"]][3], r["last_altered"])
         for r in _measure(spark, parts)
     ]
-    return spark.createDataFrame(rows, TABLE_PROFILE)
+    return local_frame(spark, rows, TABLE_PROFILE)
 
 
 def _declared(field: StructField) -> tuple[str, int | None]:
@@ -223,7 +224,7 @@ def column_profiles(
     rows = []
     for i, (cat, sch, name, df) in enumerate(entries):
         rows += _column_rows(df.schema.fields, stats.get(i) if observe else None, cat, sch, name)
-    return spark.createDataFrame(rows, COLUMN_PROFILE)
+    return local_frame(spark, rows, COLUMN_PROFILE)
 
 
 # REC-3
@@ -290,10 +291,10 @@ def source_profile(
             .select(F.lit(name.upper()).alias("table_name"), "source_rows")
         )
     if not parts:
-        return spark.createDataFrame([], SOURCE_PROFILE)
+        return local_frame(spark, [], SOURCE_PROFILE)
     # One job counts every table; its result (one row per table) is kept as a local frame.
     measured = reduce(DataFrame.unionByName, parts).distinct().collect()
-    rows = spark.createDataFrame([tuple(r) for r in measured], "table_name string, source_rows bigint")
+    rows = local_frame(spark, [tuple(r) for r in measured], schema_of("table_name string, source_rows bigint"))
 
     if columns is None:
         counted = [
@@ -301,7 +302,7 @@ def source_profile(
             for name, t in {**partitioned, **direct}.items()
             if listed(name)
         ]
-        columns = spark.createDataFrame(counted, "table_name string, column_count bigint")
+        columns = local_frame(spark, counted, schema_of("table_name string, column_count bigint"))
     else:
         columns = columns.select(F.upper("table_name").alias("table_name"), "column_count")
         if allowed is not None:
@@ -351,4 +352,4 @@ def object_profile(
                     rows.extend(counted(n, d).collect())
                 except Exception as err:  # noqa: BLE001
                     skipped.append((n, str(err).splitlines()[0] if str(err) else type(err).__name__))
-    return spark.createDataFrame([tuple(r) for r in rows], SOURCE_PROFILE), skipped
+    return local_frame(spark, [tuple(r) for r in rows], SOURCE_PROFILE), skipped

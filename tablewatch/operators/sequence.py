@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tablewatch.session import materialize
+from tablewatch.session import local_frame, materialize
 
 _PART, _TIE, _LOCAL, _OFFSET = "_tw_part", "_tw_tie", "_tw_local", "_tw_offset"
+_OFFSETS = StructType([StructField(_PART, IntegerType(), True), StructField(_OFFSET, LongType(), True)])
 
 
 def consecutive_ids(df: DataFrame, order_by: list[Column], start_after: int = 0, id_column: str = "id") -> DataFrame:
@@ -36,7 +38,7 @@ def consecutive_ids(df: DataFrame, order_by: list[Column], start_after: int = 0,
     if not offsets:
         return ranged.drop(_TIE, _PART).withColumn(id_column, F.lit(None).cast("bigint"))
     # Bounded by the number of partitions, not by the data: safe to broadcast.
-    offset_df = F.broadcast(spark.createDataFrame(offsets, f"{_PART} int, {_OFFSET} bigint"))
+    offset_df = F.broadcast(local_frame(spark, offsets, _OFFSETS))
     local = F.row_number().over(Window.partitionBy(_PART).orderBy(*order_by, F.col(_TIE)))
     numbered = ranged.withColumn(_LOCAL, local).join(offset_df, _PART)
     return numbered.withColumn(id_column, (F.col(_OFFSET) + F.col(_LOCAL)).cast("bigint")).drop(

@@ -12,6 +12,7 @@ import uuid
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings a job here relies on; all are standard Spark knobs.
 DEFAULT_CONF = {
@@ -84,3 +85,25 @@ def materialize(df: DataFrame) -> DataFrame:
     stored = df.checkpoint(eager=True)
     _STORED.add(stored)
     return stored
+
+
+def local_frame(spark: SparkSession, rows: list, schema: StructType) -> DataFrame:
+    """Driver-held rows (profile results, job-status records, offsets) as a local relation.
+
+    Built through an Arrow table, so the plan holds the rows themselves (``LocalRelation``):
+    the planner knows their size (a join with them is broadcast from the start), ``isLocal()``
+    is true, and no RDD has to be shipped. Falls back to the row-by-row path if Arrow is
+    unavailable.
+    """
+    try:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow_schema = to_arrow_schema(schema)
+        columns = list(zip(*rows)) if rows else [() for _ in schema.fields]
+        table = pa.Table.from_arrays(
+            [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow_schema)], schema=arrow_schema
+        )
+        return spark.createDataFrame(table, schema)
+    except Exception:  # noqa: BLE001 - same rows, ordinary path
+        return spark.createDataFrame(rows, schema)

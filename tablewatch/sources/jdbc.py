@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewatch.operators.profile import BASE_TABLE, DEFAULT_EXCLUDE
+from tablewatch.schemas import schema_of
+from tablewatch.session import local_frame
 
 
 def read_jdbc(
@@ -139,7 +141,7 @@ def partition_row_counts(
     counts = base.join(named, "object_id").groupBy("table_name").agg(F.sum("rows").cast("bigint").alias("source_rows"))
     if restrict_to is not None:
         spark = partitions.sparkSession
-        wanted = spark.createDataFrame([(n.upper(),) for n in restrict_to], "table_name string")
+        wanted = local_frame(spark, [(n.upper(),) for n in restrict_to], schema_of("table_name string"))
         counts = counts.join(wanted, "table_name", "left_semi")
     return counts
 
