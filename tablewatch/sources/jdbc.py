@@ -53,16 +53,12 @@ def read_jdbc(
     return r.load()
 
 
-def warehouse_columns(
-    spark: SparkSession,
-    url: str,
-    *,
-    schemas: Iterable[str] | None = None,
-    view: str = "INFORMATION_SCHEMA.COLUMNS",
-    **properties: str,
-) -> DataFrame:
-    """The catalog's column view as a column profile (declared nullability and lengths)."""
-    cols = read_jdbc(spark, url, view, **properties)
+def catalog_columns(columns_view: DataFrame, *, schemas: Iterable[str] | None = None) -> DataFrame:
+    """An information-schema column view as a column profile (declared nullability, lengths).
+
+    Column names of the view are matched case-insensitively (``TABLE_NAME`` or ``table_name``).
+    """
+    cols = columns_view
     if schemas is not None:
         cols = cols.where(F.col("table_schema").isin(list(schemas)))
     return cols.select(
@@ -77,25 +73,23 @@ def warehouse_columns(
     )
 
 
-def warehouse_tables(
-    spark: SparkSession,
-    url: str,
+def catalog_tables(
+    tables_view: DataFrame,
+    columns_view: DataFrame,
     *,
     schemas: Iterable[str] | None = None,
     exclude: Iterable[str] = DEFAULT_EXCLUDE,
     table_type: str | None = BASE_TABLE,
     row_count: str = "row_count",
     last_altered: str | None = "last_altered",
-    view: str = "INFORMATION_SCHEMA.TABLES",
-    columns_view: str = "INFORMATION_SCHEMA.COLUMNS",
-    **properties: str,
 ) -> DataFrame:
-    """The catalog's table view as a table profile; ``column_count`` from the column view.
+    """An information-schema table view as a table profile; ``column_count`` from the column view.
 
     ``row_count`` / ``last_altered`` name the view's columns holding them (they differ between
-    databases; ``last_altered=None`` leaves it null).
+    databases; ``last_altered=None`` leaves it null). Views are left out unless ``table_type`` is
+    ``None``; names in ``exclude`` are left out (case-insensitive).
     """
-    t = read_jdbc(spark, url, view, **properties)
+    t = tables_view
     if schemas is not None:
         t = t.where(F.col("table_schema").isin(list(schemas)))
     if table_type:
@@ -105,7 +99,7 @@ def warehouse_tables(
         t = t.where(~F.upper(F.col("table_name")).isin(exclude))
     keys = ["table_catalog", "table_schema", "table_name"]
     counts = (
-        warehouse_columns(spark, url, schemas=schemas, view=columns_view, **properties)
+        catalog_columns(columns_view, schemas=schemas)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).cast("bigint").alias("column_count"))
     )
@@ -116,8 +110,44 @@ def warehouse_tables(
         F.col(row_count).cast("bigint").alias("row_count"),
         changed.alias("last_altered"),
     )
-    return prof.join(counts, keys, "left").select(
-        *keys, "table_type", "row_count", "column_count", "last_altered"
+    return prof.join(counts, keys, "left").select(*keys, "table_type", "row_count", "column_count", "last_altered")
+
+
+def warehouse_columns(
+    spark: SparkSession,
+    url: str,
+    *,
+    schemas: Iterable[str] | None = None,
+    view: str = "INFORMATION_SCHEMA.COLUMNS",
+    **properties: str,
+) -> DataFrame:
+    """``catalog_columns`` of a warehouse read over JDBC (the schema filter reaches the database)."""
+    return catalog_columns(read_jdbc(spark, url, view, **properties), schemas=schemas)
+
+
+def warehouse_tables(
+    spark: SparkSession,
+    url: str,
+    *,
+    schemas: Iterable[str] | None = None,
+    exclude: Iterable[str] = DEFAULT_EXCLUDE,
+    table_type: str | None = BASE_TABLE,
+    row_count: str = "row_count",
+    last_altered: str | None = "last_altered",
+    view: str = "INFORMATION_SCHEMA.TABLES",
+    columns_view: str = "INFORMATION_SCHEMA.COLUMNS",
+    **properties: str,
+) -> DataFrame:
+    """``catalog_tables`` of a warehouse read over JDBC. Both views are small; run the result
+    through ``run_validation(checkpoint=True)`` (or collect it once) when several reports use it."""
+    return catalog_tables(
+        read_jdbc(spark, url, view, **properties),
+        read_jdbc(spark, url, columns_view, **properties),
+        schemas=schemas,
+        exclude=exclude,
+        table_type=table_type,
+        row_count=row_count,
+        last_altered=last_altered,
     )
 
 
