@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tablewatch.functions import freshness_flag, match_flag, type_length_flag
 
 

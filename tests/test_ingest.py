@@ -114,8 +114,6 @@ def test_incremental_run_counts_rejects_and_audits(spark, scratch):
 
 
 def test_incremental_archive_moves_processed_files(spark, scratch):
-    import os
-
     landing, target, ck, archive = scratch("landing"), scratch("t"), scratch("ck"), scratch("archive")
     _write_lines(spark, f"{landing}/b1", ['{"id":1}'])
     ingest_new_json_files(spark, f"{landing}/*", target, ck, clean_source="archive", archive_dir=archive, as_of=AS_OF)

@@ -1,7 +1,5 @@
 """Profiles: observed nullability and length, declared lengths, per-file sums, skipped objects."""
 
-from pyspark.sql import functions as F
-
 from tablewatch.operators import column_counts, column_profile, object_profile, source_profile, table_profile
 
 from conftest import SF_SMALL

@@ -167,3 +167,17 @@ def test_d24_duplicate_legacy_rows_collapse_and_d26_left_keeps_target_only(spark
     left = {r.table_view_name: r for r in reconcile_counts(tgt, rep, legacy, as_of=AS_OF, how="left").collect()}
     assert set(left) == {"ORDERS", "EVENTS"}
     assert (left["EVENTS"].rows_match_check, left["EVENTS"].columns_match_check) == ("", "")
+
+
+def test_merge_sources_and_checks(spark):
+    inv = spark.createDataFrame(
+        [("A", "S1", "DB", 5, 2, AS_OF), ("B", "S2", "DB", 1, 1, None), ("C", "S9", "DB", 1, 1, None)],
+        "table_name string, schema_name string, database_name string, target_rows long, target_columns long, "
+        "last_altered timestamp_ntz",
+    )
+    src = spark.createDataFrame([("A", 5, 3)], "table_name string, source_rows long, source_columns long")
+    merged = merge_sources(inv, {"S1": src, "S2": None})
+    assert sorted(r.table_name for r in merged.collect()) == ["A", "B"]  # S9 is not named
+    flags = {r.table_name: (r.daily_refresh_check, r.columns_match_check, r.rows_match_check)
+             for r in with_checks(merged, AS_OF).collect()}
+    assert flags == {"A": ("Y", "N", "Y"), "B": ("", "", "")}
