@@ -35,9 +35,10 @@ def as_of_ts(as_of: AsOf) -> Column:
 
 
 def load_time(as_of: AsOf) -> Column:
-    """Load-time column: the given ``as_of``, or ``current_timestamp()`` as NTZ when it is ``None``."""
+    """Load-time column: the given ``as_of``, or the query's start time as UTC wall-clock NTZ when
+    it is ``None`` (the same clock as the job-status records, whatever the session time zone)."""
     if as_of is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     return as_of_ts(as_of)
 
 

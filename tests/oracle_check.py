@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import os
 import sys
 import time
 from pathlib import Path
@@ -94,7 +95,7 @@ def main(argv: list[str]) -> int:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "UTC"))
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
