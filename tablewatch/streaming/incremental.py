@@ -32,6 +32,9 @@ from tablewatch.sources.files import CORRUPT_COLUMN, RAW_COLUMN, read_csv
 from tablewatch.sources.tables import TableRef
 
 _METRICS = "tablewatch_load"
+_PROGRESS_KEEP = "spark.sql.streaming.numRecentProgressUpdates"
+# Micro-batches whose progress a run keeps for its counts (default Spark keeps 100).
+PROGRESS_RETAINED = 100_000
 
 
 @dataclass(frozen=True)
@@ -66,18 +69,32 @@ def _run(
         metrics.append(F.count_if(F.col(corrupt_column).isNotNull()).alias("rejected"))
     clock = clock or (lambda: to_datetime(None))
     start = clock()
-    q = (
-        stream.observe(_METRICS, *metrics)
-        .writeStream.format(fmt)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    q.awaitTermination()
+    spark = stream.sparkSession
+    # Progress is kept per micro-batch, up to a session setting read while the query runs: raise
+    # it for the run, so the counts cover a backlog of any length.
+    previous = spark.conf.get(_PROGRESS_KEEP, None)
+    spark.conf.set(_PROGRESS_KEEP, str(PROGRESS_RETAINED))
+    try:
+        q = (
+            stream.observe(_METRICS, *metrics)
+            .writeStream.format(fmt)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start(target)
+        )
+        q.awaitTermination()
+        recent = q.recentProgress
+    finally:
+        if previous is None:
+            spark.conf.unset(_PROGRESS_KEEP)
+        else:
+            spark.conf.set(_PROGRESS_KEEP, previous)
     if q.exception() is not None:
         raise q.exception()
-    progress = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
+    if len(recent) >= PROGRESS_RETAINED:
+        raise RuntimeError("more micro-batches than progress kept: raise PROGRESS_RETAINED or max_files_per_trigger")
+    progress = [p for p in recent if p.get("numInputRows", 0) > 0]
     rows = sum(int(p["numInputRows"]) for p in progress)
     rejected = 0
     for p in progress:

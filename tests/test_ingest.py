@@ -150,3 +150,16 @@ def test_strip_outer_array(spark, scratch):
     df = load_raw_json(spark, path, {"id": "$.id", "device_id": "$.device.id"}, AS_OF, strip_outer_array=True)
     got = {(r.id, r.device_id, r._corrupt_record) for r in df.collect()}
     assert got == {("1", "x", None), ("2", None, None), ("3", None, None), (None, None, "{bad")}
+
+
+def test_incremental_counts_cover_many_batches(spark, scratch):
+    prefix, target, ck = scratch("many"), scratch("many-t"), scratch("many-ck")
+    for i in range(4):
+        _write_lines(spark, f"{prefix}/b{i}", [f'{{"id":{i}}}', "{bad"])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        run = ingest_new_json_files(spark, f"{prefix}/*", target, ck, as_of=AS_OF, max_files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (run.batches, run.rows, run.rejected) == (4, 8, 4)
+    assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", None) in (None, "100")
