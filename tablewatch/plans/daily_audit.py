@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewatch.functions.time import AsOf
 from tablewatch.operators.audit import append_job_status, audit_all, to_job_status
+from tablewatch.session import local_frame
 from tablewatch.sources.tables import TableLike, TableRef
 
 
@@ -24,7 +25,12 @@ def run_daily_audit(
     include_empty: bool = False,
 ) -> DataFrame:
     """Count yesterday's rows of every configured table and append one job-status row per table
-    that had any (all tables in one Spark job, one append). Returns the rows appended."""
+    that had any (all tables in one Spark job, one append). Returns the rows appended.
+
+    The batch has at most one row per configured table: it is measured once (one job) and kept
+    as local rows, so numbering and appending do not count the tables again.
+    """
     counts = audit_all(spark, config, tables, as_of, include_empty=include_empty)
     rows = to_job_status(counts, schema_name=schema_name, job_type=job_type, dag_id=dag_id, as_of=as_of)
-    return append_job_status(rows, log)
+    measured = local_frame(spark, [tuple(r) for r in rows.collect()], rows.schema)
+    return append_job_status(measured, log)
