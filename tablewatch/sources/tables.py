@@ -93,6 +93,9 @@ def write_table(
     ref = as_ref(t)
     w = df.write.mode(mode).format(ref.format).options(**ref.options)
     if ref.is_jdbc:
+        if mode == "overwrite" and "truncate" not in ref.options:
+            # Truncate-then-load: keep the table's definition, indexes and grants.
+            w = w.option("truncate", "true")
         w.option("dbtable", ref.location).save()
         return
     if partition_by:
