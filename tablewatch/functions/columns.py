@@ -15,7 +15,9 @@ def lower_columns(df: DataFrame) -> DataFrame:
 
 def prefixed(df: DataFrame, prefix: str, columns: list[str] | None = None) -> DataFrame:
     """Select ``columns`` (default all) renamed ``prefix + name``, to disambiguate a self-join."""
-    return df.select(*[F.col(c).alias(prefix + c) for c in (columns or df.columns)])
+    if columns is None:
+        return df.toDF(*[prefix + c for c in df.columns])  # one rename of every column
+    return df.select(*[F.col(c).alias(prefix + c) for c in columns])
 
 
 def extract_paths(raw: Column | str, paths: Mapping[str, str], cast: str = "string") -> list[Column]:
