@@ -57,3 +57,66 @@ def test_failed_rows_subset(spark, flags):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(flags)], "i int, a string, b string")
     got = {r.i for r in failed_checks(df, ["a", "b"], ["b"]).collect()}
     assert got == {i for i, (a, b) in enumerate(flags) if a == "N" or b == "N" or b == ""}
+
+
+# --- reconcile_counts against a plain-Python model of its SQL -----------------------------------
+
+NAMES = ["ORDERS", "orders", "Cust", "CUST", "X"]
+count_or_null = st.one_of(st.none(), st.integers(min_value=0, max_value=2))
+profile_rows = st.lists(
+    st.tuples(st.sampled_from(NAMES), count_or_null, count_or_null, st.booleans()), min_size=0, max_size=4
+)
+
+
+def _flag(anchor, *others):
+    if anchor is None:
+        return ""
+    return "Y" if all(o is not None and o == anchor for o in others) else "N"
+
+
+def _model(tgt, rep, legacy, extra, as_of):
+    rows, cols = set(), set()
+    for tn, tr, tc, tla in tgt:
+        for rn, rr, rc, rla in rep:
+            if tn.lower() == rn.lower():
+                rows.add((tn, "T", "DB", tr, rr, tla))
+                cols.add((tn, tc, rc))
+    for rn, rr, rc, rla in rep:
+        if rn in extra:
+            rows.add((rn, "R", "DB", None, rr, rla))
+            cols.add((rn, None, rc))
+    out = set()
+    cut = as_of - dt.timedelta(hours=24)
+    for n, sch, db, tr, rr, la in rows:
+        cs = [c for c in cols if c[0] == n] or [(n, None, None)]
+        ls = [l for l in legacy if l[0] == n] or [(n, None, None)]
+        for _, tc, rc in cs:
+            for _, lr, lc in ls:
+                fresh = "" if la is None else ("Y" if la > cut else "N")
+                out.add((n, sch, db, tr, rr, lr, tc, rc, lc, la, fresh, _flag(rr, tr, lr), _flag(rc, tc, lc)))
+    return out
+
+
+@SETTINGS
+@given(profile_rows, profile_rows, st.lists(st.tuples(st.sampled_from(NAMES), count_or_null, count_or_null), max_size=3),
+       st.lists(st.sampled_from(NAMES), max_size=2))
+def test_reconcile_counts_model(spark, tgt, rep, legacy, extra):
+    from tablewatch.operators import reconcile_counts
+    from tablewatch.schemas import TABLE_PROFILE
+
+    as_of = dt.datetime(2024, 1, 31)
+    changed = lambda fresh: as_of - dt.timedelta(hours=1) if fresh else None
+    tgt = [(n, r, c, changed(f)) for n, r, c, f in tgt]
+    rep = [(n, r, c, changed(f)) for n, r, c, f in rep]
+    tdf = spark.createDataFrame([("DB", "T", n, "BASE TABLE", r, c, la) for n, r, c, la in tgt], TABLE_PROFILE)
+    rdf = spark.createDataFrame([("DB", "R", n, "BASE TABLE", r, c, la) for n, r, c, la in rep], TABLE_PROFILE)
+    ldf = spark.createDataFrame(legacy, "tablename string, rowcount long, columncount long")
+    got = reconcile_counts(tdf, rdf, ldf, as_of=as_of, extra=extra).collect()
+    got_set = {
+        (r.table_view_name, r.schema_name, r.database_name, r.target_rows, r.replica_rows, r.legacy_rows,
+         r.target_columns, r.replica_columns, r.legacy_columns, r.last_altered, r.daily_refresh_check,
+         r.rows_match_check, r.columns_match_check)
+        for r in got
+    }
+    assert len(got) == len(got_set)  # the report is distinct
+    assert got_set == _model(tgt, rep, legacy, extra, as_of)
