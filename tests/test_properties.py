@@ -120,3 +120,45 @@ def test_reconcile_counts_model(spark, tgt, rep, legacy, extra):
     }
     assert len(got) == len(got_set)  # the report is distinct
     assert got_set == _model(tgt, rep, legacy, extra, as_of)
+
+
+# --- column_drift / missing_columns against plain-Python models ---------------------------------
+
+col_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B"]),
+        st.sampled_from(["K", "X_WID", "X_WID  ", "x_wid", "V"]),
+        st.sampled_from(["YES", "NO"]),
+        st.sampled_from(["TEXT", "NUMBER"]),
+        st.one_of(st.none(), st.integers(min_value=0, max_value=2)),
+    ),
+    max_size=6,
+    unique_by=lambda r: (r[0], r[1]),
+)
+
+
+@SETTINGS
+@given(col_rows, col_rows)
+def test_drift_and_missing_models(spark, rep, tgt):
+    from tablewatch.operators import column_drift, missing_columns
+    from tablewatch.schemas import COLUMN_PROFILE
+
+    as_of = dt.datetime(2024, 1, 31)
+    to_df = lambda rows, sch: spark.createDataFrame(
+        [("DB", sch, t, c, i, n, ty, ln) for i, (t, c, n, ty, ln) in enumerate(rows, 1)], COLUMN_PROFILE
+    )
+    rdf, tdf = to_df(rep, "R"), to_df(tgt, "T")
+    typed = lambda ty, ln: ty + str(1 if ln is None else ln)
+    want = set()
+    for rt, rc, rn, rty, rln in rep:
+        for tt, tc, tn, tty, tln in tgt:
+            if (rt, rc) == (tt, tc) and (rn != tn or rty != tty):
+                ok = typed(rty, rln) == typed(tty, tln) or rc.rstrip().endswith("WID")
+                want.add((tt, tc, "Y" if ok else "N", "Y" if rn == tn else "N"))
+    got = {(r.target_table_name, r.target_column_name, r.data_type_length_check, r.is_nullable_check)
+           for r in column_drift(rdf, tdf, as_of=as_of).collect()}
+    assert got == want
+    rep_keys, rep_tables = {(t, c) for t, c, *_ in rep}, {t for t, *_ in rep}
+    want_missing = {(t, c) for t, c, *_ in tgt if (t, c) not in rep_keys and t in rep_tables}
+    got_missing = {(r.target_table_name, r.target_column_name) for r in missing_columns(tdf, rdf, as_of=as_of).collect()}
+    assert got_missing == want_missing
