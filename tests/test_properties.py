@@ -162,3 +162,19 @@ def test_drift_and_missing_models(spark, rep, tgt):
     want_missing = {(t, c) for t, c, *_ in tgt if (t, c) not in rep_keys and t in rep_tables}
     got_missing = {(r.target_table_name, r.target_column_name) for r in missing_columns(tdf, rdf, as_of=as_of).collect()}
     assert got_missing == want_missing
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(min_value=-3 * 24 * 60, max_value=24 * 60)), max_size=30),
+       st.booleans())
+def test_daily_counts_model(spark, minutes, include_empty):
+    from tablewatch.operators import daily_ingest_counts
+
+    as_of = dt.datetime(2024, 1, 31)
+    stamps = [None if m is None else as_of + dt.timedelta(minutes=m) for m in minutes]
+    df = spark.createDataFrame([(t,) for t in stamps], "ts timestamp_ntz")
+    rows = daily_ingest_counts(df, "T", "ts", as_of, include_empty=include_empty).collect()
+    day = dt.date(2024, 1, 30)
+    n = sum(1 for t in stamps if t is not None and t.date() == day)
+    want = [(day, n)] if (n or include_empty) else []
+    assert [(r.ingest_date, r.ingested_rows) for r in rows] == want
