@@ -163,3 +163,15 @@ def test_incremental_counts_cover_many_batches(spark, scratch):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert (run.batches, run.rows, run.rejected) == (4, 8, 4)
     assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", None) in (None, "100")
+
+
+def test_audited_refresh_records_deleted_rows_and_partitioned_append(spark, scratch):
+    target = scratch("refresh-audit")
+    append_load(spark.range(5).toDF("id"), target)
+    meta = JobMeta("RAW", "T", "refresh_t", "LOAD", "loads")
+    res, rec = load_with_audit(spark.range(3).toDF("id"), target, meta, mode="overwrite", clock=lambda: AS_OF)
+    r = rec.first()
+    assert (res.deleted, r.recs_deleted, r.recs_inserted) == (5, 5, 3)
+    parted = scratch("parted")
+    append_load(spark.range(6).select((F.col("id") % 2).alias("p"), "id"), parted, partition_by=["p"])
+    assert sorted(r.p for r in spark.read.parquet(parted).select("p").distinct().collect()) == [0, 1]
