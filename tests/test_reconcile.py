@@ -181,3 +181,10 @@ def test_merge_sources_and_checks(spark):
     flags = {r.table_name: (r.daily_refresh_check, r.columns_match_check, r.rows_match_check)
              for r in with_checks(merged, AS_OF).collect()}
     assert flags == {"A": ("Y", "N", "Y"), "B": ("", "", "")}
+
+
+def test_reconcile_without_legacy_is_two_way(spark):
+    tgt = _profile(spark, [("ORDERS", 10, 7, None), ("CUST", 5, 5, None)], "EDW")
+    rep = _profile(spark, [("orders", 10, 6, None), ("cust", 4, 5, None)], "REPLICA")
+    got = {r.table_view_name: (r.rows_match_check, r.columns_match_check) for r in reconcile_counts(tgt, rep, as_of=AS_OF).collect()}
+    assert got == {"ORDERS": ("Y", "N"), "CUST": ("N", "Y")}
