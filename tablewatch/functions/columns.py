@@ -20,14 +20,21 @@ def prefixed(df: DataFrame, prefix: str, columns: list[str] | None = None) -> Da
     return df.select(*[F.col(c).alias(prefix + c) for c in columns])
 
 
-def extract_paths(raw: Column | str, paths: Mapping[str, str], cast: str = "string") -> list[Column]:
-    """One column per ``{name: json_path}`` read out of a VARIANT column.
+def extract_paths(
+    raw: Column | str, paths: Mapping[str, str | tuple[str, str]], cast: str = "string"
+) -> list[Column]:
+    """One column per ``{name: json_path}`` (or ``{name: (json_path, type)}``) read out of a VARIANT
+    column; the type defaults to ``cast``.
 
     ``try_variant_get`` is used, not ``variant_get``: a path through a non-object and a value that
     cannot be cast both give null instead of failing the job.
     """
     v = F.col(raw) if isinstance(raw, str) else raw
-    return [F.try_variant_get(v, path, cast).alias(name) for name, path in paths.items()]
+    out = []
+    for name, spec in paths.items():
+        path, type_name = spec if isinstance(spec, tuple) else (spec, cast)
+        out.append(F.try_variant_get(v, path, type_name).alias(name))
+    return out
 
 
 def typed_null(type_name: str) -> Column:

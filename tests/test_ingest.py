@@ -175,3 +175,10 @@ def test_audited_refresh_records_deleted_rows_and_partitioned_append(spark, scra
     parted = scratch("parted")
     append_load(spark.range(6).select((F.col("id") % 2).alias("p"), "id"), parted, partition_by=["p"])
     assert sorted(r.p for r in spark.read.parquet(parted).select("p").distinct().collect()) == [0, 1]
+
+
+def test_typed_paths(spark, scratch):
+    path = _write_lines(spark, scratch("typed"), ['{"id": 7, "t": "2024-01-02 03:04:05"}', '{"id": "x"}'])
+    df = load_raw_json(spark, path, {"id": ("$.id", "bigint"), "t": ("$.t", "timestamp_ntz")}, AS_OF)
+    got = {(r.id, r.t) for r in df.collect()}
+    assert got == {(7, dt.datetime(2024, 1, 2, 3, 4, 5)), (None, None)}
