@@ -15,6 +15,7 @@ from tablewatch.sources.tables import (
     database_tables,
     read_table,
     table_exists,
+    tables_in,
     try_read_table,
     write_table,
 )
@@ -32,6 +33,7 @@ __all__ = [
     "read_raw_json",
     "read_table",
     "table_exists",
+    "tables_in",
     "try_read_table",
     "write_table",
 ]

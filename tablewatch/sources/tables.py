@@ -120,3 +120,14 @@ def database_tables(
             continue
         out[t.name] = f"{database}.{t.name}"
     return out
+
+
+def tables_in(spark: SparkSession, *databases: str, include_views: bool = False) -> dict[tuple[str, str, str], str]:
+    """Base tables of several catalog databases keyed ``(catalog, database, table)`` -- the input
+    of one ``table_profile`` / ``column_profiles`` call that measures them all in one job."""
+    catalog = spark.catalog.currentCatalog()
+    return {
+        (catalog, db, name): qualified
+        for db in databases
+        for name, qualified in database_tables(spark, db, include_views=include_views).items()
+    }

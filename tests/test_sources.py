@@ -24,6 +24,14 @@ def test_catalog_append_creates_then_appends(spark):
     assert tables == {"counts_log": "tw_reports.counts_log"}
     prof = table_profile(spark, tables, schema="tw_reports").collect()
     assert [(r.table_name, r.row_count, r.column_count) for r in prof] == [("counts_log", 6, 1)]
+    from tablewatch.sources import tables_in
+
+    keyed = tables_in(spark, "tw_reports")
+    assert list(keyed.values()) == ["tw_reports.counts_log"]
+    prof2 = table_profile(spark, keyed).collect()
+    assert [(r.table_catalog, r.table_schema, r.table_name, r.row_count) for r in prof2] == [
+        ("spark_catalog", "tw_reports", "counts_log", 6)
+    ]
 
 
 def test_csv_stream_picks_up_new_files_once(spark, scratch):
