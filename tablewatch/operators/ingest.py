@@ -154,12 +154,15 @@ def write_load(
     corrupt_column: str = CORRUPT_COLUMN,
     rejects: TableRef | str | bool | None = True,
     partition_by: list[str] | None = None,
+    count_replaced: bool = True,
 ) -> LoadResult:
     """Write ``df`` to ``target``; rows whose ``corrupt_column`` is set go to ``rejects`` instead.
 
     One pass: counts are observed on the way into the write. The rejected rows are read a second
     time only if some exist. ``rejects=True`` (default) appends them to ``rejects_of(target)``;
-    a location appends them there; ``False`` / ``None`` keeps only their count.
+    a location appends them there; ``False`` / ``None`` keeps only their count. On an overwrite,
+    ``count_replaced`` counts the rows being replaced (a footer-only count of the old target,
+    one job; turn it off for targets with very many files, ``deleted`` is then 0).
     """
     target = as_ref(target)
     if rejects is True:
@@ -174,7 +177,8 @@ def write_load(
         # own target would lose it. (The check lists the load's input files, once per refresh.)
         if target.is_path and _reads_location(df, target.location):
             raise ValueError(f"refusing to overwrite {target.location}: the load reads from it")
-        deleted = read_table(spark, target).count()
+        if count_replaced:
+            deleted = read_table(spark, target).count()
 
     obs = Observation("load")
     metrics = [F.count(F.lit(1)).alias("parsed")]
