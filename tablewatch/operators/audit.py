@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tablewatch.functions.time import AsOf, as_of_ts, previous_day
 from tablewatch.operators.sequence import consecutive_ids
-from tablewatch.schemas import JOB_STATUS_COLUMNS, schema_of
+from tablewatch.schemas import JOB_STATUS, JOB_STATUS_COLUMNS, schema_of
 from tablewatch.session import local_frame
 from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, try_read_table, write_table
 
@@ -134,7 +134,7 @@ def append_job_status(rows: DataFrame, log: TableRef | str) -> DataFrame:
     """
     spark = rows.sparkSession
     log = as_ref(log)
-    existing = try_read_table(spark, log)
+    existing = try_read_table(spark, log, JOB_STATUS)  # fixed schema: no inference job
     batch = with_job_ids(rows, existing if existing is not None else 0)
     write_table(batch, log, mode="append")
     return batch

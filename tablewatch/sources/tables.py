@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -39,14 +40,18 @@ def as_ref(t: TableRef | str) -> TableRef:
     return t if isinstance(t, TableRef) else TableRef(t)
 
 
-def read_table(spark: SparkSession, t: TableLike) -> DataFrame:
+def read_table(spark: SparkSession, t: TableLike, schema: StructType | None = None) -> DataFrame:
+    """The table as a DataFrame. A known ``schema`` spares a file table the schema-inference job."""
     if isinstance(t, DataFrame):
         return t
     ref = as_ref(t)
     if ref.is_jdbc:
         return spark.read.format("jdbc").options(**ref.options).option("dbtable", ref.location).load()
     if ref.is_path:
-        return spark.read.format(ref.format).options(**ref.options).load(ref.location)
+        reader = spark.read.format(ref.format).options(**ref.options)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.load(ref.location)
     return spark.read.table(ref.location)
 
 
@@ -67,13 +72,13 @@ def table_exists(spark: SparkSession, t: TableRef | str) -> bool:
         raise err
 
 
-def try_read_table(spark: SparkSession, t: TableRef | str) -> DataFrame | None:
+def try_read_table(spark: SparkSession, t: TableRef | str, schema: StructType | None = None) -> DataFrame | None:
     """``read_table``, or ``None`` when the table does not exist (one lookup instead of two)."""
     ref = as_ref(t)
     if not ref.is_path and not ref.is_jdbc:
         return spark.read.table(ref.location) if spark.catalog.tableExists(ref.location) else None
     try:
-        df = read_table(spark, ref)
+        df = read_table(spark, ref, schema)
         df.schema
         return df
     except AnalysisException:
