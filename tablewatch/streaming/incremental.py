@@ -18,7 +18,9 @@ processed files away, so each run lists only what is new.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import threading
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -38,6 +40,37 @@ _PROGRESS_KEEP = "spark.sql.streaming.numRecentProgressUpdates"
 PROGRESS_RETAINED = 100_000
 
 
+_RETENTION_LOCK = threading.Lock()
+_RETENTION_USERS: dict[int, list] = {}  # session id -> [active runs, previous value]
+
+
+@contextlib.contextmanager
+def _progress_retained(spark: SparkSession):
+    """Keep every micro-batch's progress while at least one run of this session is active.
+
+    The setting is read by running queries, so it is raised by the first run to start and put
+    back by the last one to finish (runs may overlap, e.g. from a thread pool).
+    """
+    key = id(spark)
+    with _RETENTION_LOCK:
+        entry = _RETENTION_USERS.get(key)
+        if entry is None:
+            entry = _RETENTION_USERS[key] = [0, spark.conf.get(_PROGRESS_KEEP, None)]
+            spark.conf.set(_PROGRESS_KEEP, str(PROGRESS_RETAINED))
+        entry[0] += 1
+    try:
+        yield
+    finally:
+        with _RETENTION_LOCK:
+            entry[0] -= 1
+            if entry[0] == 0:
+                del _RETENTION_USERS[key]
+                if entry[1] is None:
+                    spark.conf.unset(_PROGRESS_KEEP)
+                else:
+                    spark.conf.set(_PROGRESS_KEEP, entry[1])
+
+
 @dataclass(frozen=True)
 class IncrementalRun:
     batches: int  # micro-batches that had new input
@@ -71,11 +104,7 @@ def _run(
     clock = clock or (lambda: to_datetime(None))
     start = clock()
     spark = stream.sparkSession
-    # Progress is kept per micro-batch, up to a session setting read while the query runs: raise
-    # it for the run, so the counts cover a backlog of any length.
-    previous = spark.conf.get(_PROGRESS_KEEP, None)
-    spark.conf.set(_PROGRESS_KEEP, str(PROGRESS_RETAINED))
-    try:
+    with _progress_retained(spark):
         q = (
             stream.observe(_METRICS, *metrics)
             .writeStream.format(fmt)
@@ -86,11 +115,6 @@ def _run(
         )
         q.awaitTermination()
         recent = q.recentProgress
-    finally:
-        if previous is None:
-            spark.conf.unset(_PROGRESS_KEEP)
-        else:
-            spark.conf.set(_PROGRESS_KEEP, previous)
     if q.exception() is not None:
         raise q.exception()
     if len(recent) >= PROGRESS_RETAINED:
