@@ -141,26 +141,20 @@ def append_job_status(rows: DataFrame, log: TableRef | str) -> DataFrame:
 
 
 # AUD-4
-def audit_all(
-    spark: SparkSession,
-    config: DataFrame | list[tuple[str, str]],
-    tables: Mapping[str, TableLike] | Callable[[str], TableLike],
-    as_of: AsOf,
-    *,
-    include_empty: bool = False,
-) -> DataFrame:
-    """``daily_ingest_counts`` for every ``(OBJECT_NAME, DATE_COLUMN)`` of ``config``, as one frame.
-
-    ``config`` is the pipe-separated config read with ``read_delimited_config`` (a few rows: it is
-    collected because it shapes the plan) or a list of pairs. ``tables`` resolves an object name
-    to a table: a mapping (exact name, then case-insensitive) or a function.
-    """
+def config_pairs(config: DataFrame | list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """``(OBJECT_NAME, DATE_COLUMN)`` pairs of the audit config (a few rows, collected: they shape
+    the plan)."""
     if isinstance(config, DataFrame):
         name_col = _resolve_column(config, "OBJECT_NAME")
         date_col = _resolve_column(config, "DATE_COLUMN")
-        pairs = [(r[0], r[1]) for r in config.select(name_col, date_col).collect()]
-    else:
-        pairs = list(config)
+        return [(r[0], r[1]) for r in config.select(name_col, date_col).collect()]
+    return list(config)
+
+
+def table_resolver(
+    spark: SparkSession, tables: Mapping[str, TableLike] | Callable[[str], TableLike]
+) -> Callable[[str], DataFrame]:
+    """Object name -> DataFrame: a mapping (exact name, then case-insensitive) or a function."""
 
     def resolve(name: str) -> DataFrame:
         if callable(tables):
@@ -172,9 +166,27 @@ def audit_all(
                 return read_table(spark, v)
         raise KeyError(f"no table for audit object {name!r}")
 
+    return resolve
+
+
+def audit_all(
+    spark: SparkSession,
+    config: DataFrame | list[tuple[str, str]],
+    tables: Mapping[str, TableLike] | Callable[[str], TableLike],
+    as_of: AsOf,
+    *,
+    include_empty: bool = False,
+) -> DataFrame:
+    """``daily_ingest_counts`` for every ``(OBJECT_NAME, DATE_COLUMN)`` of ``config``, as one frame.
+
+    ``config`` is the pipe-separated config read with ``read_delimited_config`` or a list of pairs.
+    ``tables`` resolves an object name to a table (see ``table_resolver``). All tables are counted
+    in one job; an unreadable table fails it (``plans.run_daily_audit`` isolates such tables).
+    """
+    resolve = table_resolver(spark, tables)
     parts = [
         daily_ingest_counts(resolve(n), n, c, as_of, include_empty=include_empty)
-        for n, c in pairs
+        for n, c in config_pairs(config)
     ]
     if not parts:
         return local_frame(spark, [], schema_of("table_name string, ingest_date date, ingested_rows bigint"))

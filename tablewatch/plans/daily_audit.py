@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewatch.functions.time import AsOf
-from tablewatch.operators.audit import append_job_status, audit_all, to_job_status
+from tablewatch.functions.time import as_of_date, to_datetime
+from tablewatch.operators.audit import (
+    DEFAULT_TASK_PREFIX,
+    append_job_status,
+    audit_all,
+    config_pairs,
+    table_resolver,
+    to_job_status,
+)
 from tablewatch.session import local_frame
 from tablewatch.sources.tables import TableLike, TableRef
 
@@ -27,10 +37,28 @@ def run_daily_audit(
     """Count yesterday's rows of every configured table and append one job-status row per table
     that had any (all tables in one Spark job, one append). Returns the rows appended.
 
+    A configured table that cannot be read (missing, or without the date column) does not stop
+    the others: it gets a ``FAILURE`` row carrying the error, as a failed per-table task would.
     The batch has at most one row per configured table: it is measured once (one job) and kept
     as local rows, so numbering and appending do not count the tables again.
     """
-    counts = audit_all(spark, config, tables, as_of, include_empty=include_empty)
+    resolve = table_resolver(spark, tables)
+    readable, failures = [], []
+    for name, date_col in config_pairs(config):
+        try:
+            df = resolve(name)
+            if not any(c.lower() == date_col.lower() for c in df.columns):
+                raise ValueError(f"column {date_col!r} not in {name}")
+            readable.append((name, date_col))
+        except Exception as err:  # noqa: BLE001 - recorded as that table's FAILURE row
+            failures.append((name, str(err).splitlines()[0] if str(err) else type(err).__name__))
+    counts = audit_all(spark, readable, tables, as_of, include_empty=include_empty)
     rows = to_job_status(counts, schema_name=schema_name, job_type=job_type, dag_id=dag_id, as_of=as_of)
-    measured = local_frame(spark, [tuple(r) for r in rows.collect()], rows.schema)
-    return append_job_status(measured, log)
+    measured = [tuple(r) for r in rows.collect()]
+    when, day = to_datetime(as_of), as_of_date(as_of) - dt.timedelta(days=1)
+    for name, reason in failures:
+        measured.append(
+            (when, when, schema_name, name, DEFAULT_TASK_PREFIX + name, job_type, dag_id, day, "FAILURE",
+             0, 0, 0, 0, 0, reason[:4000])
+        )
+    return append_job_status(local_frame(spark, measured, rows.schema), log)

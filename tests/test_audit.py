@@ -88,3 +88,15 @@ def test_text_dates_with_format(spark):
     df = spark.createDataFrame([("01/06/1998",), ("01/06/1998",), ("02/06/1998",)], "d string")
     rows = daily_ingest_counts(df, "T", "d", "1998-06-02", date_format="dd/MM/yyyy").collect()
     assert [(r.ingest_date, r.ingested_rows) for r in rows] == [(dt.date(1998, 6, 1), 2)]
+
+
+def test_unreadable_table_gets_a_failure_row(spark, scratch):
+    log = scratch("log")
+    config = CONFIG + [("GONE", "d"), ("EVENTS2", "no_such_col")]
+    tables = {**_tables(SF_SMALL), "GONE": f"{SF_SMALL}/gone.parquet", "EVENTS2": f"{SF_SMALL}/events.parquet"}
+    run_daily_audit(spark, config, tables, "2024-01-30", log=log, schema_name="S", job_type="AUDIT", dag_id="d")
+    rows = {r.table_name: r for r in spark.read.parquet(log).collect()}
+    assert rows["EVENTS"].job_status == "SUCCESS" and rows["EVENTS"].recs_inserted == 23
+    assert rows["GONE"].job_status == "FAILURE" and rows["GONE"].failure_reason
+    assert rows["EVENTS2"].job_status == "FAILURE" and "no_such_col" in rows["EVENTS2"].failure_reason
+    assert sorted(r.job_id for r in rows.values()) == [1, 2, 3]
