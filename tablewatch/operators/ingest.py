@@ -250,8 +250,7 @@ class JobMeta:
     run_date: dt.date | None = None
 
 
-def job_status_row(
-    spark: SparkSession,
+def job_status_values(
     meta: JobMeta,
     start: dt.datetime,
     end: dt.datetime,
@@ -263,9 +262,9 @@ def job_status_row(
     updated: int = 0,
     deleted: int = 0,
     failure_reason: str | None = None,
-) -> DataFrame:
-    """One job-status record (``job_id`` left null; ``append_job_status`` assigns it)."""
-    row = (
+) -> tuple:
+    """One job-status record as a tuple in ``JOB_STATUS`` order (``job_id`` left null)."""
+    return (
         None,
         start,
         end,
@@ -283,7 +282,19 @@ def job_status_row(
         deleted,
         failure_reason,
     )
-    return local_frame(spark, [row], JOB_STATUS)
+
+
+def job_status_row(spark: SparkSession, meta: JobMeta, start: dt.datetime, end: dt.datetime, status: str, **counts) -> DataFrame:
+    """One job-status record (``job_id`` left null; ``append_job_status`` assigns it)."""
+    return local_frame(spark, [job_status_values(meta, start, end, status, **counts)], JOB_STATUS)
+
+
+def success_values(meta: JobMeta, start: dt.datetime, end: dt.datetime, res: LoadResult) -> tuple:
+    """The ``SUCCESS`` record of a load: records read, parsed, written and replaced."""
+    return job_status_values(
+        meta, start, end, "SUCCESS",
+        parsed=res.parsed, staged=res.parsed - res.rejected, inserted=res.inserted, deleted=res.deleted,
+    )
 
 
 def load_with_audit(
@@ -313,17 +324,7 @@ def load_with_audit(
         if audit_log is not None:
             append_job_status(rec, audit_log)
         raise
-    rec = job_status_row(
-        spark,
-        meta,
-        start,
-        clock(),
-        "SUCCESS",
-        parsed=res.parsed,
-        staged=res.parsed - res.rejected,
-        inserted=res.inserted,
-        deleted=res.deleted,
-    )
+    rec = local_frame(spark, [success_values(meta, start, clock(), res)], JOB_STATUS)
     if audit_log is not None:
         append_job_status(rec, audit_log)
     return res, rec

@@ -182,3 +182,18 @@ def test_typed_paths(spark, scratch):
     df = load_raw_json(spark, path, {"id": ("$.id", "bigint"), "t": ("$.t", "timestamp_ntz")}, AS_OF)
     got = {(r.id, r.t) for r in df.collect()}
     assert got == {(7, dt.datetime(2024, 1, 2, 3, 4, 5)), (None, None)}
+
+
+def test_gated_loads_leave_records_and_isolate_failures(spark, scratch):
+    log = scratch("gated-log")
+    bad = spark.range(2).select(F.col("id"), F.col("id").alias("id"))  # duplicate column: the write fails
+    with pytest.raises(Exception):
+        run_gated_loads(
+            spark, {"A": "Y", "B": "Y", "C": "N"}, {"A": spark.range(4), "B": bad, "C": spark.range(1)},
+            {"A": scratch("a"), "B": scratch("b"), "C": scratch("c")}, audit_log=log, clock=lambda: AS_OF,
+        )
+    rows = {r.table_name: r for r in spark.read.parquet(log).collect()}
+    assert set(rows) == {"A", "B"}  # C was not flagged: no record
+    assert (rows["A"].job_status, rows["A"].recs_inserted, rows["A"].task_id) == ("SUCCESS", 4, "load_a_table")
+    assert rows["B"].job_status == "FAILURE" and rows["B"].failure_reason
+    assert sorted(r.job_id for r in rows.values()) == [1, 2]
