@@ -204,6 +204,21 @@ def gated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, run_flag string, rows_loaded bigint")
 
 
+def gated_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-6 + ING-8: gated reloads of three tables (two flagged ``Y``) leaving job-status records."""
+    root = scratch_path(spark, "gated-audited")
+    flags = {"ORDERS": "Y", "LINEITEM": "N", "CUSTOMER": "Y"}
+    sources = {n: _t(spark, sf_dir, n.lower()) for n in flags}
+    log = f"{root}/job_status"
+    clock_value = to_datetime(LOAD_AS_OF)
+    run_gated_loads(
+        spark, flags, sources, lambda n: TableRef(f"{root}/{n.lower()}"), audit_log=log, clock=lambda: clock_value
+    )
+    return spark.read.parquet(log).select(
+        "job_id", "table_name", "task_id", "job_status", "recs_parsed", "recs_inserted", "recs_deleted"
+    )
+
+
 def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING-7: events land as two file batches; three runs (the last with nothing new) load each
     event exactly once."""
@@ -575,6 +590,7 @@ _QUERY_FUNCTIONS = {
     "csv_positional": csv_positional,
     "csv_load": csv_load,
     "gated_load": gated_load,
+    "gated_load_audit": gated_load_audit,
     "incremental_files": incremental_files,
     "load_audit": load_audit,
     "incremental_csv": incremental_csv,
