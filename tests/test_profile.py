@@ -83,3 +83,18 @@ def test_object_profile_isolates_a_failing_object(spark, scratch):
     )
     assert [(r.table_name, r.source_rows) for r in prof.collect()] == [("REGION", 5)]
     assert [n for n, _ in skipped] == ["broken"]
+
+
+def test_profile_counts_push_down_to_footers_when_enabled(spark):
+    keys = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text"}
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        lazy = table_profile(spark, {"orders": f"{SF_SMALL}/orders.parquet"}, measure=False)
+        plan = lazy._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan
+        assert lazy.first().row_count == 1500
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
