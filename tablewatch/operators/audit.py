@@ -113,8 +113,9 @@ def with_job_ids(rows: DataFrame, start_after: int | DataFrame = 0) -> DataFrame
         # One scalar comes back: the log's highest id (reads only the job_id column).
         start_after = start_after.agg(F.coalesce(F.max("job_id"), F.lit(0))).first()[0]
     keys = ["dag_run_exec_date", "table_name", "task_id"]
-    rows = rows.drop("job_id")
-    if rows.isLocal():
+    on_driver = rows.isLocal()  # asked before any projection, which would hide the local rows
+    rows = rows.drop("job_id") if "job_id" in rows.columns else rows
+    if on_driver:
         # Rows already held by the driver (e.g. one record of a load): number them where they are.
         local = sorted(rows.collect(), key=lambda r: tuple((r[k] is not None, r[k]) for k in keys))
         spark = rows.sparkSession

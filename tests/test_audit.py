@@ -100,3 +100,15 @@ def test_unreadable_table_gets_a_failure_row(spark, scratch):
     assert rows["GONE"].job_status == "FAILURE" and rows["GONE"].failure_reason
     assert rows["EVENTS2"].job_status == "FAILURE" and "no_such_col" in rows["EVENTS2"].failure_reason
     assert sorted(r.job_id for r in rows.values()) == [1, 2, 3]
+
+
+def test_driver_held_records_are_numbered_on_the_driver(spark, monkeypatch):
+    import tablewatch.operators.audit as audit
+    from tablewatch.operators import JobMeta, job_status_row
+
+    def fail(*a, **k):
+        raise AssertionError("distributed numbering used for a local record")
+
+    monkeypatch.setattr(audit, "consecutive_ids", fail)
+    rec = job_status_row(spark, JobMeta("S", "T", "t"), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), "SUCCESS")
+    assert [r.job_id for r in with_job_ids(rec, 9).collect()] == [10]
