@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,8 @@ BASE_TABLE = "BASE TABLE"
 # Column path of a file's modification time, usable as a last-change time of file tables.
 FILE_MODIFIED = "_metadata.file_modification_time"
 
+RESOLVE_CONCURRENCY = 16
+
 _VARCHAR = re.compile(r"^\s*(var)?char\((\d+)\)\s*$", re.IGNORECASE)
 
 
@@ -324,15 +327,20 @@ def object_profile(
     are counted in one job; if that job fails, each object is counted on its own so that only the
     failing ones are skipped. The result has one row per object.
     """
-    resolved: dict[str, DataFrame] = {}
-    skipped: list[tuple[str, str]] = []
-    for name, src in objects.items():
+    def resolve(item):
+        name, src = item
         try:
             df = src() if callable(src) else read_table(spark, src)
-            df.schema  # resolves the relation: a missing object fails here, without a job
-            resolved[name] = df
+            df.schema  # resolves the relation: a missing object fails here, without a data job
+            return name, df, None
         except Exception as err:  # noqa: BLE001 - an unreadable object is reported, not fatal
-            skipped.append((name, str(err).splitlines()[0] if str(err) else type(err).__name__))
+            return name, None, str(err).splitlines()[0] if str(err) else type(err).__name__
+
+    # Objects resolve independently (each may list files or ask a database): side by side.
+    with ThreadPoolExecutor(max_workers=max(1, min(RESOLVE_CONCURRENCY, len(objects)))) as pool:
+        outcomes = list(pool.map(resolve, objects.items()))
+    resolved = {name: df for name, df, err in outcomes if err is None}
+    skipped: list[tuple[str, str]] = [(name, err) for name, _, err in outcomes if err is not None]
 
     def counted(name: str, df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).cast("bigint").alias("source_rows")).select(
