@@ -105,6 +105,7 @@ def run_validation(
     replica_profile = _stored(replica_profile, checkpoint)
     target_columns = _stored(target_columns, checkpoint)
     replica_columns = _stored(replica_columns, checkpoint)
+    legacy = _stored(legacy, checkpoint) if legacy is not None else None
 
     counts = reconcile_counts(target_profile, replica_profile, legacy, as_of=as_of, extra=extra)
     drift = column_drift(replica_columns, target_columns, as_of=as_of, exempt_suffix=exempt_suffix)
