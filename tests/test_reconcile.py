@@ -188,3 +188,19 @@ def test_reconcile_without_legacy_is_two_way(spark):
     rep = _profile(spark, [("orders", 10, 6, None), ("cust", 4, 5, None)], "REPLICA")
     got = {r.table_view_name: (r.rows_match_check, r.columns_match_check) for r in reconcile_counts(tgt, rep, as_of=AS_OF).collect()}
     assert got == {"ORDERS": ("Y", "N"), "CUST": ("N", "Y")}
+
+
+def test_validation_stores_lazy_profiles_when_asked(spark):
+    from tablewatch.plans import run_validation
+    from tablewatch.operators import column_profiles
+
+    a = spark.createDataFrame([(1, "x")], "k long, v string")
+    tp = table_profile(spark, {"A": a}, catalog="DB", schema="T", measure=False)
+    rp = table_profile(spark, {"a": a}, catalog="DB", schema="R", measure=False)
+    legacy = tp.select(F.col("table_name").alias("tablename"), F.col("row_count").alias("rowcount"),
+                       F.col("column_count").alias("columncount"))
+    cols = column_profiles(spark, {"A": a})
+    run = run_validation(target_profile=tp, replica_profile=rp, target_columns=cols, replica_columns=cols,
+                         inventory_profiles=tp, inventory_columns=cols, sources={"T": None}, as_of=AS_OF,
+                         legacy=legacy, checkpoint=True)
+    assert [(r.rows_match_check, r.columns_match_check) for r in run.counts.collect()] == [("Y", "Y")]
