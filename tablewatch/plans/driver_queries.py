@@ -72,6 +72,45 @@ AUDIT_CONFIG = [("ORDERS", "o_orderdate"), ("LINEITEM", "l_shipdate"), ("EVENTS"
 CATALOG = "WH"
 
 
+# Column names and Spark type names of the driver tables.
+DRIVER_SCHEMAS = {
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
+    "customer": [
+        ("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+        ("c_acctbal", "double"), ("c_mktsegment", "string"),
+    ],
+    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
+    "part": [
+        ("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
+        ("p_size", "int"), ("p_retailprice", "double"),
+    ],
+    "orders": [
+        ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+        ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"),
+    ],
+    "lineitem": [
+        ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+        ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+        ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"),
+    ],
+    "events": [
+        ("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
+        ("value", "double"), ("props", "string"),
+    ],
+    "documents": [
+        ("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"),
+    ],
+    "embeddings": [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")],
+    "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
+}
+
+DRIVER_DDL = {name: ", ".join(f"{c} {ty}" for c, ty in cols) for name, cols in DRIVER_SCHEMAS.items()}
+
+
 def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -80,14 +119,18 @@ _READS: contextvars.ContextVar[dict | None] = contextvars.ContextVar("tablewatch
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a DataFrame, read once per registered query (a read resolves the
-    Parquet schema with a small job, so repeated reads of one table are shared)."""
+    """The driver table as a DataFrame, read once per registered query with its known schema."""
     memo = _READS.get()
     path = _path(sf_dir, name)
+
+    def read() -> DataFrame:
+        # The driver tables' schema is known (like a catalog's): no schema-inference job.
+        return spark.read.schema(DRIVER_DDL[name]).parquet(path) if name in DRIVER_DDL else spark.read.parquet(path)
+
     if memo is None:
-        return spark.read.parquet(path)
+        return read()
     if path not in memo:
-        memo[path] = spark.read.parquet(path)
+        memo[path] = read()
     return memo[path]
 
 
