@@ -8,14 +8,17 @@ a limit on the Hamming distance, and of ``d + 1`` words one must be equal (pigeo
 - **Size bands.** Two sets at the threshold differ little in size, so sizes are cut into bands
   (ratio ``BAND``); a band's largest pair gives its ``d`` and so its k. A document joins in its own
   band and in a lower one that a smaller partner could have.
-- **Light words.** A word that few shingles fell into says little, and empty words would
-  make one huge bucket. A band has ``spare`` words more than ``d + 1``: then at least ``spare + 1``
-  words are equal. A document leaves out its light words, unless it has more than ``spare`` of them;
-  a pair that only light words join has more than ``spare`` equal ones, so both sides keep them.
-  No pair is lost.
-- **Candidates.** Buckets (band, word number, word) link each member with the bucket's smallest, a
-  star, so their number is linear in the members. The components of these links are the *clusters*:
-  every link of the join lies within one.
+- **Spare words.** A band has ``spare`` words more than ``d + 1``, so a linked pair has at least
+  ``spare + 1`` equal words. That makes words safe to leave out: a document leaves out its *light*
+  words (few shingles fell into them; empty ones would make one huge bucket) and its words in
+  *crowded* buckets (a passage that many documents share), unless these together are more than
+  ``spare``. If a pair's equal words are all left out, both sides have more than ``spare`` of them,
+  so both keep them: no pair is lost.
+- **Candidates.** In buckets of up to ``CROWD`` members pairs are counted; a pair stays if it meets in
+  more buckets than the larger of its two rooms (``spare`` less the words left out), which every
+  linked pair does. Crowded buckets link each remaining member with the smallest, a star. Either way
+  the rows are linear in the members. The components of these links are the *clusters*: every
+  link of the join lies within one.
 - **Verification.** A cluster is cut into blocks, block pairs go to tasks, and a task compares the
   sketches of its block pair (Hamming limit), then the shingle sets of pairs that pass and are not
   yet joined. It returns a spanning forest of the true links, never all pairs of a group.
@@ -49,7 +52,8 @@ from tablewatch.llm.common import ASCII_BLANKS, stored
 from tablewatch.llm.components import components
 
 BAND = 1.25  # ratio of a band's end to its start
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 2_000_000  # a block holds at most about so many documents, shingles
+BLOCK_DOCS, BLOCK_SHINGLES = 8192, 4_000_000  # a block holds at most about so many documents, shingles
+CROWD = 6  # buckets with more members are crowded
 CACHED_WORDS = 400_000
 _BLANKS = str.maketrans(ASCII_BLANKS + "ABCDEFGHIJKLMNOPQRSTUVWXYZ", " " * 6 + "abcdefghijklmnopqrstuvwxyz")
 
@@ -83,19 +87,20 @@ def bands(percent: int, longest: int = 1 << 31) -> list[Band]:
 
 
 def _spare(start: int, need: int) -> tuple[int, int]:
-    """How many shingles a light word has at most, and how many light words a band provides for: the
-    expected number and two deviations more for sets at the band's start, but an eighth of the
-    others at most. (Any choice is exact; a set with more light words shows them all.)"""
-    most = 1 + need // 8
+    """How many shingles a light word has at most, and how many words a band spares: a tenth of the
+    others for counting, and the light words to expect (two deviations more) in sets at its start.
+    Any choice is exact."""
+    most = 1 + need // 5
     for light in (2, 1, 0):
-        for spare in range(1, most + 1):
+        spare, wanted = 0, 1
+        while spare < wanted <= most:
+            spare = wanted
             words = need + spare
             mean = start / words
             p = sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(light + 1))
-            if words * p + 2 * math.sqrt(words * p * (1 - p)) <= spare:
-                return light, spare
-            if spare > 2000:  # as good as any for sets of tens of thousands
-                break
+            wanted = 1 + math.ceil(need / 10 + words * p + 2 * math.sqrt(words * p * (1 - p)))
+        if wanted <= spare:
+            return light, spare
     return 0, most
 
 
@@ -143,20 +148,22 @@ def sketch(shingles: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return out, count
 
 
-def bucket_keys(shingles: np.ndarray, plan: list[Band], starts: list[int]) -> np.ndarray:
-    """The buckets of a document: one key for each word it shows, in each of its bands."""
-    n, keys = len(shingles), []
+def bucket_keys(shingles: np.ndarray, plan: list[Band], starts: list[int]) -> list[tuple[int, int, np.ndarray]]:
+    """The buckets of a document, for each band it joins in: (band, room, keys). Room: how many
+    more words it may leave out (below 0: it left out none)."""
+    n, found = len(shingles), []
     at = bisect.bisect_right(starts, n) - 1
     while at >= 0 and (plan[at].start <= n < plan[at].end or plan[at].partner >= n):
         band = plan[at]
         if band.words > 1:  # else linked sets of the band are equal, and one vertex
             parity, count = sketch(shingles, band.words)
             heavy = count > band.light
-            shown = np.flatnonzero(heavy) if (~heavy).sum() <= band.spare else np.arange(band.words)
+            room = band.spare - int((~heavy).sum())
+            shown = np.flatnonzero(heavy) if room >= 0 else np.arange(band.words)
             place = np.uint64(at << 32) + shown.astype(np.uint64)
-            keys.append(_mix(_mix(place + np.uint64(1)) + parity[shown]))
+            found.append((at, room, _mix(_mix(place + np.uint64(1)) + parity[shown])))
         at -= 1
-    return np.concatenate(keys) if keys else np.empty(0, np.uint64)
+    return found
 
 
 def set_name(shingles: np.ndarray) -> tuple[int, int]:
@@ -165,35 +172,71 @@ def set_name(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def shingle_table(docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, set_hi, set_lo, keys), stored."""
+    """(doc_id, n_shingles, set_hi, set_lo, shown), stored. ``shown``: band, room and bucket keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, plan = Shingler(n, seed), bands(percent)
         starts = [b.start for b in plan]
         for b in batches:
-            sizes, names, keys = [], [], []
+            sizes, names, shown = [], [], []
             for text in b.column(1).to_pylist():
                 s = shingler(text)
                 sizes.append(len(s))
                 names.append(set_name(s))
-                keys.append(bucket_keys(s, plan, starts).view(np.int64))
+                shown.append(bucket_keys(s, plan, starts))
             name = np.array(names, np.int64).reshape(-1, 2)
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
+            flat = [x for row in shown for x in row]
+            keys = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *(len(x[2]) for x in flat)]), pa.int32()),
+                pa.array(np.concatenate([np.empty(0, np.uint64), *(x[2] for x in flat)]).view(np.int64)),
+            )
+            entries = pa.StructArray.from_arrays(
+                [pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], pa.int32()), keys], ["band", "room", "keys"]
+            )
             yield pa.record_batch({
                 "doc_id": b.column(0), "n_shingles": pa.array(sizes, pa.int64()), "set_hi": name[:, 0], "set_lo": name[:, 1],
-                "keys": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64())),
+                "shown": pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, shown)]), pa.int32()), entries),
             })
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return stored(rows.mapInArrow(run, "doc_id long, n_shingles long, set_hi long, set_lo long, keys array<long>"), "shingles")
+    kind = "doc_id long, n_shingles long, set_hi long, set_lo long, shown array<struct<band:int,room:int,keys:array<long>>>"
+    return stored(rows.mapInArrow(run, kind), "shingles")
+
+
+def candidate_links(sets: DataFrame) -> DataFrame:
+    """(band, a, b): links whose components, band by band, hold every linked pair; a, b: ``set_hi``."""
+    members = sets.select(F.col("set_hi").alias("a"), F.explode("shown").alias("s")).select(
+        "a", "s.band", "s.room", F.explode("s.keys").alias("key")
+    )
+    in_order = Window.partitionBy("key").orderBy("a")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    once = members.withColumn("_before", F.lag("a").over(in_order)).where(~F.col("a").eqNullSafe(F.col("_before"))).drop("_before")
+    followers = F.array(*[F.lead(F.struct("a", "room"), i).over(in_order) for i in range(1, CROWD)])
+    size = F.count(F.lit(1)).over(whole)
+    shared = once.withColumns({"size": size, "followers": followers}).where("size > 1")
+    shared = shared.withColumn("followers", F.when(F.col("size") <= CROWD, F.filter("followers", lambda x: x.isNotNull())))
+    shared = stored(shared, "buckets")
+
+    crowded = shared.where(F.col("size") > CROWD).select("key", "a", "band", "room")
+    left_out = crowded.groupBy("a", "band").agg(F.count(F.lit(1)).alias("_n"), F.first("room").alias("_room"))
+    left_out = stored(left_out, "crowded")
+    star = F.first("a").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    stays = left_out.where("_n > _room").select("a", "band")
+    stars = crowded.join(stays, ["a", "band"]).withColumn("b", star).where("a <> b").select("band", "a", "b")
+
+    met = (
+        shared.where(F.col("size") <= CROWD)
+        .select("band", "a", "room", F.explode("followers").alias("f"))
+        .groupBy("band", "a", F.col("f.a").alias("b"))
+        .agg(F.count(F.lit(1)).alias("_met"), F.max("room").alias("_room_a"), F.max("f.room").alias("_room_b"))
+    )
 
+    def of(side: str) -> DataFrame:
+        return left_out.select(F.col("a").alias(side), "band", F.col("_n").alias(f"_n_{side}"))
 
-def candidate_stars(sets: DataFrame) -> DataFrame:
-    """(a, b): each bucket's members linked with its smallest one; vertices are ``set_hi``."""
-    members = sets.select(F.col("set_hi").alias("a"), F.explode("keys").alias("key"))
-    first = F.first("a").over(Window.partitionBy("key").orderBy("a").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return members.withColumn("b", first).where("a <> b").select("a", "b").distinct()
+    room = [F.col(f"_room_{x}") - F.coalesce(F.col(f"_n_{x}"), F.lit(0)) for x in "ab"]
+    pairs = met.join(of("a"), ["a", "band"], "left").join(of("b"), ["b", "band"], "left").where(F.col("_met") > F.greatest(*room))
+    return stars.unionByName(pairs.select("band", "a", "b")).distinct()
 
 
 def _verify(n: int, percent: int, seed: int):
@@ -204,12 +247,13 @@ def _verify(n: int, percent: int, seed: int):
         # Rows that repeat an id may bring a text that is another vertex's: the set's name tells.
         named = [(r[4], r[3], shingler(r[5])) for r in rows]
         kept = {v: (v, side, s) for v, side, s in named if set_name(s)[0] == v}
-        vertices, sets = [k[:2] for k in kept.values()], [k[2] for k in kept.values()]
-        if len(sets) < 2:
+        if len(kept) < 2:
             return
-        sizes = np.array([len(s) for s in sets])
-        words = max(8, limit(int(sizes.max()), int(sizes.max()), percent) + 1)
+        vertex, side, sets = zip(*sorted(kept.values(), key=lambda k: (len(k[2]), k[0])))
+        side, sizes = np.array(side), np.array([len(s) for s in sets])
+        words = max(8, limit(int(sizes[-1]), int(sizes[-1]), percent) + 1)
         parity = np.stack([sketch(s, words)[0] for s in sets])
+        first = words // 4  # the distance of a part of the sketch is a bound too
         parent = list(range(len(sets)))
 
         def root(i: int) -> int:
@@ -218,23 +262,22 @@ def _verify(n: int, percent: int, seed: int):
                 i = parent[i]
             return i
 
-        side = np.array([s for _, s in vertices])
-        across = rows[0][1] != rows[0][2]
+        ends = np.searchsorted(sizes, sizes * 100 // percent, side="right")
         for i in range(len(sets)):
-            others = np.flatnonzero(side == 1) if across and side[i] == 0 else (np.arange(i + 1, len(sets)) if not across else [])
-            if len(others) == 0:
-                continue
-            bound = (sizes[i] + sizes[others]) * (100 - percent) // (100 + percent)
-            near = np.bitwise_count(parity[others] ^ parity[i]).sum(axis=1, dtype=np.int64) <= bound
-            near &= np.minimum(sizes[i], sizes[others]) * 100 >= np.maximum(sizes[i], sizes[others]) * percent
-            for j in others[near]:
-                p, q = root(i), root(int(j))
+            others = np.arange(i + 1, ends[i])
+            if rows[0][1] != rows[0][2]:
+                others = others[side[others] != side[i]]
+            for part in (slice(0, first), slice(0, words)):
+                bound = (sizes[i] + sizes[others]) * (100 - percent) // (100 + percent)
+                others = others[np.bitwise_count(parity[others, part] ^ parity[i, part]).sum(axis=1, dtype=np.int32) <= bound]
+            for j in others.tolist():
+                p, q = root(i), root(j)
                 if p == q:
                     continue
                 same = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if 100 * same >= percent * (sizes[i] + sizes[j] - same):
                     parent[p] = q
-                    yield vertices[i][0], vertices[j][0]
+                    yield vertex[i], vertex[j]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n, seed)
@@ -280,7 +323,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, seed: int
     if not names.where("_lo <> _hi").isEmpty():
         return jaccard_components(docs, n, percent, seed + 1)
 
-    clusters = components(candidate_stars(sets)).withColumnsRenamed({"id": "vertex", "component": "cluster"})
+    links = stored(candidate_links(sets), "links")
+    ends = [F.xxhash64("band", x).alias(y) for x, y in (("a", "a"), ("b", "b"))]
+    ids = links.select("band", F.explode(F.array("a", "b")).alias("vertex")).distinct().withColumn("id", F.xxhash64("band", "vertex"))
+    clusters = ids.join(components(links.select(*ends)), "id").select("vertex", F.col("component").alias("cluster"))
     inside = names.withColumnRenamed("set_hi", "vertex").join(clusters, "vertex")
     # Of each vertex in a cluster, one document's text is fetched.
     wanted = block_pairs(inside.select("vertex", "cluster", "n_shingles", "_id"))
