@@ -46,12 +46,6 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def split_item(text: str | None) -> tuple[str, str]:
-    """(question, answer): the last sentence is the answer, if the item has more than one."""
-    parts = re.split(r"(?<=[.!?])\s+", (text or "").strip())
-    return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (parts[0], "")
-
-
 def grams(words: list[str], n: int) -> set[tuple[str, ...]]:
     n = min(n, len(words))
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()

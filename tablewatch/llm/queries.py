@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm import mix, url_trie
+from tablewatch.llm import bm25, cover_tree, mix, parity_join, token_records, toxicity, url_trie, zip_warc
 from tablewatch.llm.common import table
 
 # Fixed by the contract of op1: (host, path, verdict).
@@ -37,8 +37,54 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.token_digests(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
+
+
+def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=3, percent=90)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """(item_id, question, answer) of the ``benchmark`` table: the last sentence is the answer."""
+    ends = F.regexp_extract(F.trim("text"), r"(?s)^(.*[.!?])\s+(.+)$", 1)
+    last = F.regexp_extract(F.trim("text"), r"(?s)^(.*[.!?])\s+(.+)$", 2)
+    return benchmark.select("item_id", F.when(ends != "", ends).otherwise(F.col("text")).alias("question"), last.alias("answer"))
+
+
+def op5_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bm25.find_leaks(docs, benchmark_items(table(spark, sf_dir, "benchmark")))
+
+
+def op9_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zip_warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return cover_tree.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 QUERIES = {
     "op1_url_trie": op1_url_trie,
+    "op2_token_records": op2_token_records,
+    "op3_parity_join": op3_parity_join,
+    "op4_toxicity": op4_toxicity,
+    "op5_bm25_leaks": op5_bm25_leaks,
+    "op9_zip_warc": op9_zip_warc,
+    "op10_cover_tree": op10_cover_tree,
     "op8_mix": op8_mix,
 }
 

@@ -252,10 +252,8 @@ def _writer(folder: str, tokenizer: str, end_id: int | None) -> Callable:
                     doc_ids, counts, payloads = group.column(0).to_pylist(), [], []
                     for doc_id, ids in zip(doc_ids, encoder.encode(group.column(1).to_pylist())):
                         ids = np.concatenate([ids, end])
-                        wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
-                        flags = (doc_id is not None) | wide << 1
                         counts.append(len(ids))
-                        payloads.append(_PREFIX.pack(flags, doc_id or 0) + ids.astype("<u4" if wide else "<u2").tobytes())
+                        payloads.append(payload(doc_id, ids))
                     yield from zip(doc_ids, counts, frame_all(payloads))
 
         rows = records()
@@ -286,6 +284,11 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int | None = 1, folde
     return folder, stored(ordered.mapInArrow(_writer(folder, tokenizer, end_id), INDEX), "token-index")
 
 
+def payload(doc_id: int | None, ids: np.ndarray) -> bytes:
+    wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
+    return _PREFIX.pack((doc_id is not None) | wide << 1, doc_id or 0) + ids.astype("<u4" if wide else "<u2").tobytes()
+
+
 def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
     flags, doc_id = _PREFIX.unpack_from(payload)
     return (doc_id if flags & 1 else None), np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=_PREFIX.size)
