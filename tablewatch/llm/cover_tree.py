@@ -31,14 +31,16 @@ from tablewatch.llm.common import stored
 
 BLOCK_ROWS = 8192
 LEAF = 64
+EXPANSION = 1.25  # a child covers with the radius of its parent divided by this
 SLICE = 512  # query rows multiplied with a node's members at a time
 _NONE = -(1 << 62)  # below every score
 
 
 class CoverTree:
-    """Nested covers: a node's centre is a member; its children's centres are members more than half
-    its radius apart, and each member lies within half the radius of its child's centre. ``radius``
-    is then shrunk to the largest distance that occurs."""
+    """Nested covers: a node's centre is a member; its children's centres are members more than
+    ``radius / EXPANSION`` apart, and each member lies within that of its child's centre. ``radius`` is
+    then shrunk to the largest distance that occurs. Where members lie so evenly that a cover would be
+    an eighth of them or more (random directions in many dimensions), the node stays a leaf."""
 
     def __init__(self, points: np.ndarray):
         self.points = points.astype(np.float64)
@@ -52,13 +54,13 @@ class CoverTree:
         if len(members) <= LEAF or radius == 0.0:
             return members[centre], radius, members, ()
         nearest, owner, centres = apart, np.zeros(len(members), np.int64), [centre]
-        while nearest.max() > radius / 2 and len(centres) <= len(members) // 8:
+        while nearest.max() > radius / EXPANSION and len(centres) <= len(members) // 8:
             far = int(nearest.argmax())  # the member no centre covers that is farthest off
             distance = np.sqrt(((self.points[members] - self.points[members[far]]) ** 2).sum(axis=1))
             closer = distance < nearest
             nearest, owner = np.where(closer, distance, nearest), np.where(closer, len(centres), owner)
             centres.append(far)
-        if len(centres) > len(members) // 8:  # the members lie so evenly that covers would be single rows
+        if len(centres) > len(members) // 8:
             return members[centre], radius, members, ()
         children = []
         for k, c in enumerate(centres):

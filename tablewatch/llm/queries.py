@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm import bm25, cover_tree, mix, parity_join, token_records, toxicity, url_trie, zip_warc
+from tablewatch.llm import bm25, column_bwt, cover_tree, mix, parity_join, token_records, toxicity, url_trie, zip_warc
 from tablewatch.llm.common import table
 
 # Fixed by the contract of op1: (host, path, verdict).
@@ -68,6 +68,10 @@ def op5_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.find_leaks(docs, benchmark_items(table(spark, sf_dir, "benchmark")))
 
 
+def op7_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_bwt.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("removed")
+
+
 def op9_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zip_warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
@@ -83,6 +87,7 @@ QUERIES = {
     "op3_parity_join": op3_parity_join,
     "op4_toxicity": op4_toxicity,
     "op5_bm25_leaks": op5_bm25_leaks,
+    "op7_column_bwt": op7_column_bwt,
     "op9_zip_warc": op9_zip_warc,
     "op10_cover_tree": op10_cover_tree,
     "op8_mix": op8_mix,
