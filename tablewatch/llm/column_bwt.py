@@ -10,7 +10,9 @@ included) is removed. Texts are UTF-8 bytes; matches never cross documents, over
    What is shuffled is a few numbers per window (one for about 85 bytes).
 2. **Equal windows** (same anchor, same bytes) repeat as a whole. Windows alone with their anchor
    repeat nothing. Both are settled without their bytes.
-3. **The rest** -- of each kind of window one -- goes, with its bytes, to a task by anchor. There the windows
+3. **The rest** -- of each kind of window one -- goes, with its bytes, to a task by anchor. There windows are
+   first trimmed: a string reaches some bytes to the left and to the right of its anchor, and if no other window of
+   the anchor has as many in common there, it is not repeated. The trimmed windows
    are the documents of a collection whose BWT and common prefixes are built column by column:
    round j inserts the j-th symbol from the end of each window, its place found by counting symbols in
    the BWT so far, its common prefixes by the smallest entries between neighbours. Both columns are
@@ -44,7 +46,8 @@ from tablewatch.llm.common import stored
 LENGTH, KMER = 200, 32
 PIECE = (1 << 24) - 1  # longer texts are worked through in pieces; a place must fit into 24 bits
 CROWD = 8192
-GROUP_WINDOWS = 8192  # small anchors' windows share a collection up to about this many
+GROUP_WINDOWS = 1024  # small anchors' windows share a collection up to about this many
+TRIM = 14  # bytes by which contexts are compared when windows are trimmed
 SPOOL_BYTES = 32 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PLACE = np.uint64(PIECE)
@@ -80,10 +83,11 @@ def powers_for(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows(data: np.ndarray, hashes: Hashes) -> tuple[np.ndarray, ...]:
-    """(anchor hash, first start, number of starts, hash of the window's bytes) of each window."""
+    """(anchor hash, first start, number of starts, hash of the window's bytes, first start's distance
+    to the anchor) of each window."""
     n = len(data)
     if n < LENGTH:
-        return (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))
+        return (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))
     at = np.arange(n - KMER + 1)
     h = hashes(at, at + KMER)
     least = (h & ~_PLACE) | at.astype(np.uint64)  # equal hashes: the first one
@@ -97,8 +101,39 @@ def windows(data: np.ndarray, hashes: Hashes) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(np.diff(anchor, prepend=-1))
     count = np.diff(first, append=len(anchor))
     key = h[anchor[first]]
-    body = hashes(first, first + count + (LENGTH - 1)) ^ _mix((anchor[first] - first + (count << 16)).astype(np.uint64))
-    return key, first, count, body
+    ahead = anchor[first] - first
+    body = hashes(first, first + count + (LENGTH - 1)) ^ _mix((ahead + (count << 16)).astype(np.uint64))
+    return key, first, count, body, ahead
+
+
+def trimmed(group: list[tuple[bytes, int]]) -> list[tuple[int, int]]:
+    """For windows (bytes, place of the anchor) of one anchor: the range of starts that may be repeated."""
+    left, right = _shared([d[a - 1 :: -1] if a else b"" for d, a in group]), _shared([d[a + KMER :] for d, a in group])
+    out = []
+    for (data, a), x, y in zip(group, left, right):
+        # A start lies o bytes before the anchor (o <= x) and its string ends LENGTH - KMER - o bytes after it (<= y).
+        low, high = max(0, a - x), min(len(data) - LENGTH, a - (LENGTH - KMER) + y)
+        out.append((low, max(low, high + 1)))
+    return out
+
+
+def _shared(contexts: list[bytes]) -> list[int]:
+    """For each context a length that its prefix shared with another one has at most."""
+    most, open_ = [0] * len(contexts), range(len(contexts))
+    for n in range(TRIM, LENGTH - KMER + TRIM, TRIM):
+        heads: dict[bytes, int] = {}
+        for i in open_:
+            heads[contexts[i][:n]] = heads.get(contexts[i][:n], 0) + 1
+        shared = []
+        for i in open_:
+            most[i] = n - 1  # what is shared may end just before
+            # A context that ends earlier may go on as any other does.
+            if len(contexts[i]) < n or heads[contexts[i][:n]] > 1:
+                shared.append(i)
+        open_ = shared
+    for i in open_:
+        most[i] = LENGTH
+    return most
 
 
 class _Column:
@@ -182,7 +217,7 @@ def repeated_starts(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray
 
 # --- Spark ---------------------------------------------------------------------------------------
 
-_ROW = "doc_id long, text_key long, key long, first int, count int, body long"
+_ROW = "doc_id long, text_key long, key long, first int, count int, body long, ahead int"
 
 
 def _find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,36 +230,36 @@ def _find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 piece = data[start : start + PIECE]
                 if len(piece) > len(powers):
                     powers, inverse = powers_for(len(piece))
-                key, first, count, body = windows(piece, Hashes(piece, powers, inverse))
+                key, first, count, body, ahead = windows(piece, Hashes(piece, powers, inverse))
                 # Starts that the next piece has too are left to it.
                 own = np.minimum(count, PIECE - LENGTH - first) if start + PIECE < len(data) else count
                 keep = own > 0
-                parts.append((np.full(keep.sum(), row), key[keep], first[keep] + start, own[keep], body[keep]))
-        row, key, first, count, body = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.int64)] * 5
+                parts.append((np.full(keep.sum(), row), key[keep], first[keep] + start, own[keep], body[keep], ahead[keep]))
+        row, key, first, count, body, ahead = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.int64)] * 6
         for lo in range(0, len(row), 100_000):
             at = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(row[at])), b.column(1).take(pa.array(row[at])), pa.array(key[at].view(np.int64)),
-                 pa.array(first[at].astype(np.int32)), pa.array(count[at].astype(np.int32)), pa.array(body[at].view(np.int64))],
+                 pa.array(first[at].astype(np.int32)), pa.array(count[at].astype(np.int32)), pa.array(body[at].view(np.int64)), pa.array(ahead[at].astype(np.int32))],
                 names=[x.split()[0] for x in _ROW.split(", ")],
             )
 
 
 def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_key, key, first, count, single, bytes) of rows (doc_id, text_key, text, wanted)."""
+    """(doc_id, text_key, key, first, count, ahead, single, bytes) of rows (doc_id, text_key, text, wanted)."""
     for b in batches:
         rows = []
         for doc_id, text_key, text, wanted in zip(*(c.to_pylist() for c in b.columns)):
             data = (text or "").encode("utf-8", "surrogatepass")
             for w in wanted:
-                rows.append((doc_id, text_key, w["key"], w["first"], w["count"], w["single"], data[w["first"] : w["first"] + w["count"] + LENGTH - 1]))
+                rows.append((doc_id, text_key, w["key"], w["first"], w["count"], w["ahead"], w["single"], data[w["first"] : w["first"] + w["count"] + LENGTH - 1]))
         for lo in range(0, len(rows), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo : lo + 10_000]), _CUT_TYPES)], names=_CUT_NAMES)
 
 
-_CUT = "doc_id long, text_key long, key long, first int, count int, single boolean, bytes binary"
+_CUT = "doc_id long, text_key long, key long, first int, count int, ahead int, single boolean, bytes binary"
 _CUT_NAMES = [x.split()[0] for x in _CUT.split(", ")]
-_CUT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+_CUT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +267,10 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
     held: list[tuple] = []
     for _, group in itertools.groupby(rows, key=lambda r: r[2]):
-        held.extend(group)
+        group = list(group)
+        for (doc_id, text_key, _, first, _, _, single, data), (low, high) in zip(group, trimmed([(r[7], r[5]) for r in group])):
+            if low < high:
+                held.append((doc_id, text_key, first + low, single, data[low : high + LENGTH - 1]))
         if len(held) >= GROUP_WINDOWS:
             yield from _intervals(held)
             held = []
@@ -241,7 +279,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _intervals(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     out = []
-    for (doc_id, text_key, _, first, count, single, _), starts in zip(rows, repeated_starts([r[6] for r in rows]) if rows else []):
+    for (doc_id, text_key, first, single, _), starts in zip(rows, repeated_starts([r[4] for r in rows]) if rows else []):
         if single and len(starts):
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 out.append((doc_id, text_key, first + int(run[0]), first + int(run[-1]) + LENGTH))
@@ -256,14 +294,14 @@ def _single_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for lo in range(0, b.num_rows, 1000):
             part = b.slice(lo, 1000)
             row, start, body = [], [], []
-            for i, (first, count, data) in enumerate(zip(part.column(3).to_pylist(), part.column(4).to_pylist(), part.column(6).to_pylist())):
+            for i, (first, count, data) in enumerate(zip(part.column(3).to_pylist(), part.column(4).to_pylist(), part.column(7).to_pylist())):
                 at = np.arange(count)
                 row.append(np.full(count, i))
                 start.append(first + at)
                 body.append(Hashes(np.frombuffer(data, np.uint8), powers, inverse)(at, at + LENGTH).view(np.int64))
             row, start, body = np.concatenate(row), np.concatenate(start), np.concatenate(body)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(body), pa.array(start.astype(np.int32)), pa.array(np.ones(len(row), np.int32)), pa.array(body)],
+                [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(body), pa.array(start.astype(np.int32)), pa.array(np.ones(len(row), np.int32)), pa.array(body), pa.array(np.zeros(len(row), np.int32))],
                 names=[x.split()[0] for x in _ROW.split(", ")],
             )
 
@@ -285,18 +323,18 @@ def repeated_intervals(docs: DataFrame) -> DataFrame:
     whole = paired.where("_n > 1").select("doc_id", "text_key", F.col("first").cast("long").alias("low"), (F.col("first") + F.col("count") + (LENGTH - 1)).cast("long").alias("high"))
 
     mixed = paired.where("kinds")
-    one = mixed.groupBy("key", "body").agg(F.min(F.struct("doc_id", "text_key", "first", "count")).alias("w"), F.count(F.lit(1)).alias("_n"))
+    one = mixed.groupBy("key", "body").agg(F.min(F.struct("doc_id", "text_key", "first", "count", "ahead")).alias("w"), F.count(F.lit(1)).alias("_n"))
     one = one.select("key", "w.*", (F.col("_n") == 1).alias("single"))
     crowded = mixed.groupBy("key").agg(F.approx_count_distinct("body").alias("_kinds")).where(F.col("_kinds") > CROWD).select("key")
     crowded = stored(crowded, "crowded-anchors")
     wanted = one.join(crowded, "key", "left_anti").withColumn("_crowded", F.lit(False))
-    hot = mixed.join(crowded, "key", "left_semi").where("_n = 1").select("key", "doc_id", "text_key", "first", "count", F.lit(True).alias("single"), F.lit(True).alias("_crowded"))
-    hot_whole = mixed.join(crowded, "key", "left_semi").where("_n > 1").groupBy("key", "body").agg(F.min(F.struct("doc_id", "text_key", "first", "count")).alias("w"))
+    hot = mixed.join(crowded, "key", "left_semi").where("_n = 1").select("key", "doc_id", "text_key", "first", "count", "ahead", F.lit(True).alias("single"), F.lit(True).alias("_crowded"))
+    hot_whole = mixed.join(crowded, "key", "left_semi").where("_n > 1").groupBy("key", "body").agg(F.min(F.struct("doc_id", "text_key", "first", "count", "ahead")).alias("w"))
     # Of windows that repeat as a whole two rows stand for all: their strings are repeated anyway.
     twice = hot_whole.select("key", "w.*", F.lit(False).alias("single"), F.lit(True).alias("_crowded"))
     wanted = wanted.unionByName(hot).unionByName(twice).unionByName(twice)
 
-    entry = F.struct("key", "first", "count", "single", "_crowded")
+    entry = F.struct("key", "first", "count", "ahead", "single", "_crowded")
     by_doc = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(entry).alias("wanted")).withColumnsRenamed({"doc_id": "_id", "text_key": "_text_key"})
     # Equal rows cut their windows more than once. That changes nothing: none of theirs is single.
     texts = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text_key"))).select("doc_id", "text_key", "text", "wanted")
