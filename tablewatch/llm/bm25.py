@@ -185,6 +185,28 @@ def find_leaks(
     return found
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose text holds no item, with all columns: nothing is shuffled."""
+    kept = docs
+    for index in indexes(benchmark):
+        held = docs.sparkSession.sparkContext.broadcast(index)
+
+        def clean(texts: pa.Array, held=held) -> pa.Array:
+            return _clean(held.value, texts, options)
+
+        kept = kept.where(F.arrow_udf(clean, "boolean")(F.col("text")))
+    return kept
+
+
+def _clean(index: Bm25Index, texts: pa.Array, options: dict) -> pa.Array:
+    clean = np.ones(len(texts), bool)
+    for start in range(0, len(texts), 512):
+        part = texts.slice(start, 512).to_pylist()
+        found = _leaks(index, list(range(start, start + len(part))), part, **{"threshold": 0.6, "least_q": 0.6, "least_a": 0.6, "n": 5} | options)
+        clean[[row for row, *_ in found]] = False
+    return pa.array(clean)
+
+
 def _leaks(index: Bm25Index, ids: list, texts: list, threshold: float, least_q: float, least_a: float, n: int) -> list[tuple]:
     if not index.items:
         return []

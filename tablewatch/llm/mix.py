@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tablewatch.llm.common import WORD_PATTERN, stored
 
 KEY_BUCKETS = 4096
+MOST_BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -72,7 +73,39 @@ def cycling_weights(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> D
     return sources.withColumn("weight", F.get(picks, F.pmod(place, F.lit(len(cycle))).cast("int")))
 
 
-def mix_sources(
+def source_cuts(sized: DataFrame, cycle: tuple[int, ...], max_epochs: int, budget: float) -> DataFrame:
+    """One row per source: (source, source_size, target, _epochs, _cut). ``sized``: doc_id, size,
+    source, _key, _bucket. Rows up to ``_cut`` (key, id, size) are taken once more; null: none."""
+    per_bucket = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_size"))
+    sources = cycling_weights(per_bucket.groupBy("source").agg(F.sum("_size").alias("source_size")), cycle)
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    targets = source_targets(sources, max_epochs, budget).withColumn("_epochs", epochs).withColumn("_rest", F.col("target") - epochs * F.col("source_size"))
+
+    # The first range whose summed sizes reach the rest of the target, and the words before it.
+    upto = Window.partitionBy("source").orderBy("_bucket")
+    edges = (
+        per_bucket.withColumn("_sum", F.sum("_size").over(upto)).alias("b")
+        .join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")))
+        .where(F.col("_sum") >= F.col("_rest"))
+        .groupBy("b.source").agg(F.min(F.struct("_bucket", (F.col("_sum") - F.col("_size")).alias("_before"))).alias("_edge"), F.first("_rest").alias("_rest"))
+    )
+    inside = sized.alias("d").join(edges.alias("e"), F.col("d.source").eqNullSafe(F.col("e.source")) & (F.col("_bucket") == F.col("_edge._bucket")))
+    in_order = Window.partitionBy("d.source").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = F.col("_edge._before") + F.sum("size").over(in_order)
+    # A document is taken if its middle lies within the rest, so the sum ends as near as can be.
+    taken = inside.select("d.source", "_key", "doc_id", "size", ((ends * 2 - F.col("size")).cast("double") <= F.col("_rest") * 2).alias("_in"))
+    last = taken.where("_in").groupBy("source").agg(F.max(F.struct("_key", "doc_id", "size")).alias("_last"))
+    # If the range's first document is too long already, all ranges before it are taken whole.
+    floor = edges.select("source", F.col("_edge._bucket").alias("_edge_bucket"))
+    return (
+        targets.alias("t")
+        .join(last.alias("l"), F.col("t.source").eqNullSafe(F.col("l.source")), "left")
+        .join(floor.alias("f"), F.col("t.source").eqNullSafe(F.col("f.source")), "left")
+        .select(F.col("t.source").alias("_source"), "source_size", "target", "_epochs", "_last", F.coalesce("_edge_bucket", F.lit(KEY_BUCKETS + 1)).alias("_edge_bucket"))
+    )
+
+
+def with_times(
     docs: DataFrame,
     doc_id: str = "doc_id",
     size: Column | None = None,
@@ -83,51 +116,32 @@ def mix_sources(
     budget: float = 1.0,
     seed: str = "mix",
 ) -> DataFrame:
-    """One row per input row: (doc_id, size, source, source_size, target, times, taken).
-
-    ``size`` defaults to the number of words in ``text``, ``quality`` (the weight in the key) to 1.
-    """
+    """``docs`` with ``_mix``: a struct of size, source_size, target and times (how often it is taken)."""
     size = word_count(F.col("text")) if size is None else size
     weight = F.lit(1.0) if quality is None else quality.cast("double")
     # exp(-key) lies in [0, 1): its ranges hold like shares of the documents whatever the keys' scale.
-    bucket = F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * F.lit(KEY_BUCKETS)).cast("int")
-    sized = stored(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            size.alias("size"),
-            F.col(source).alias("source"),
-            sampling_key(F.col(doc_id), weight, seed).alias("_key"),
-        ).withColumn("_bucket", bucket),
-        "mix-sizes",
-    )
-    per_bucket = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_size"))
-    sources = cycling_weights(per_bucket.groupBy("source").agg(F.sum("_size").alias("source_size")), cycle)
-    targets = source_targets(sources, max_epochs, budget).withColumn(
-        "_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    ).withColumn("_rest", F.col("target") - F.col("_epochs") * F.col("source_size"))
-
-    # The first range whose summed sizes reach the rest of the target, and the words before it.
-    upto = Window.partitionBy("source").orderBy("_bucket")
-    reach = (
-        per_bucket.withColumn("_sum", F.sum("_size").over(upto)).alias("b")
-        .join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")))
-        .where(F.col("_sum") >= F.col("_rest"))
-        .groupBy("b.source").agg(F.min(F.struct("_bucket", (F.col("_sum") - F.col("_size")).alias("_before"))).alias("_cut"))
-    )
-    cuts = (
-        targets.alias("t").join(reach.alias("r"), F.col("t.source").eqNullSafe(F.col("r.source")), "left")
-        .select(F.col("t.source").alias("_source"), "source_size", "target", "_epochs", "_rest",
-                F.coalesce(F.col("_cut._bucket"), F.lit(KEY_BUCKETS + 1)).alias("_cut"),
-                F.coalesce(F.col("_cut._before"), F.lit(0)).alias("_before"))
-    )
-    placed = sized.join(cuts, sized["source"].eqNullSafe(cuts["_source"])).drop("_source")
-    settled = placed.where(F.col("_bucket") != F.col("_cut")).withColumn("_extra", (F.col("_bucket") < F.col("_cut")).cast("long"))
-    in_order = Window.partitionBy("source").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = F.col("_before") + F.sum("size").over(in_order)
-    # A document is taken if its middle lies within the rest, so the sum ends as near as can be.
-    edge = placed.where(F.col("_bucket") == F.col("_cut")).withColumn(
-        "_extra", ((ends * 2 - F.col("size")).cast("double") <= F.col("_rest") * 2).cast("long")
-    )
-    return settled.unionByName(edge).withColumn("times", (F.col("_epochs") + F.col("_extra")).cast("int")).select(
-        "doc_id", "size", "source", "source_size", "target", "times", (F.col("times") * F.col("size")).cast("long").alias("taken")
-    )
+    bucket = F.floor((F.lit(1.0) - F.exp(-F.col("_m._key"))) * F.lit(KEY_BUCKETS)).cast("int")
+    drawn = F.struct(F.col(doc_id).alias("doc_id"), size.alias("size"), F.col(source).alias("source"), sampling_key(F.col(doc_id), weight, seed).alias("_key"))
+    keyed = docs.withColumn("_m", drawn).withColumn("_b", bucket)
+    sized = stored(keyed.select("_m.doc_id", "_m.size", "_m.source", "_m._key", F.col("_b").alias("_bucket")), "mix-sizes")
+    cuts = stored(source_cuts(sized, cycle, max_epochs, budget), "mix-cuts", partitions=1)
+    # One row per source: broadcast, unless sources are so many that they are a table of their own.
+    cuts = F.broadcast(cuts) if cuts.count() <= MOST_BROADCAST_SOURCES else cuts
+    joined = keyed.join(cuts, F.col("_m.source").eqNullSafe(F.col("_source")))
+    own = F.struct("_m._key", "_m.doc_id", "_m.size")
+    extra = (F.col("_b") < F.col("_edge_bucket")) | ((F.col("_b") == F.col("_edge_bucket")) & F.coalesce(own <= F.col("_last"), F.lit(False)))
+    times = (F.col("_epochs") + extra.cast("long")).cast("int")
+    out = joined.withColumn("_mix", F.struct(F.col("_m.size").alias("size"), "source_size", "target", times.alias("times")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "_mix")
+
+
+def mix_sources(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+    """One row per input row: (doc_id, size, source_size, target, times, taken); options of ``with_times``."""
+    mixed = with_times(docs, doc_id, **options)
+    return mixed.select(F.col(doc_id).alias("doc_id"), "_mix.*", (F.col("_mix.times") * F.col("_mix.size")).cast("long").alias("taken"))
+
+
+def repeat_mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken."""
+    mixed = with_times(docs, **options).where(F.col("_mix.times") > 0)
+    return mixed.withColumn("_mix", F.explode(F.array_repeat(F.lit(0), F.col("_mix.times")))).drop("_mix")

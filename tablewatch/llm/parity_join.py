@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import ASCII_BLANKS, stored
+from tablewatch.llm.common import ASCII_BLANKS, free_name, stored
 from tablewatch.llm.components import components
 
 BAND = 1.25  # ratio of a band's end to its start
@@ -348,3 +348,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, seed: int
         sets.join(labelled, "set_hi", "left")
         .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     )
+
+
+def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component, the one with the smallest id; all columns are kept.
+    Where ids repeat or are null, rows go by a hash of id and text instead, and equal rows are one."""
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or doc_id is null")
+    key, rows = "doc_id", docs
+    if not ids.isEmpty():
+        key = free_name(docs, "_row_key")
+        rows = docs.withColumn(key, F.xxhash64("doc_id", "text")).dropDuplicates([key])
+    kept = jaccard_components(rows.select(F.col(key).alias("doc_id"), "text"), n, percent).select(F.col("component_id").alias("_kept")).distinct()
+    return rows.join(kept, rows[key] == kept["_kept"], "left_semi").select(*docs.columns)

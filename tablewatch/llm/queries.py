@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm import bm25, column_bwt, cover_tree, mix, parity_join, token_records, toxicity, url_trie, zip_warc
+from tablewatch.llm import bm25, column_bwt, cover_tree, mix, parity_join, preference, token_records, toxicity, url_trie, zip_warc
 from tablewatch.llm.common import table
 
 # Fixed by the contract of op1: (host, path, verdict).
@@ -68,6 +68,16 @@ def op5_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.find_leaks(docs, benchmark_items(table(spark, sf_dir, "benchmark")))
 
 
+REFUSAL = "I cannot help with that."
+
+
+def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = preference.refusal_pairs(table(spark, sf_dir, "conversations"), REFUSAL)
+    return preference.format_preferences(chosen, rejected).select(
+        "pair_id", "part", "position", "role", F.md5(F.col("rendered").cast("binary")).alias("rendered_md5"), "start", "n_chars", "masked"
+    )
+
+
 def op7_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_bwt.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("removed")
 
@@ -87,6 +97,7 @@ QUERIES = {
     "op3_parity_join": op3_parity_join,
     "op4_toxicity": op4_toxicity,
     "op5_bm25_leaks": op5_bm25_leaks,
+    "op6_preference": op6_preference,
     "op7_column_bwt": op7_column_bwt,
     "op9_zip_warc": op9_zip_warc,
     "op10_cover_tree": op10_cover_tree,
@@ -114,6 +125,26 @@ ORACLE_SQL = {
             GROUP BY n)
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN best USING (n)
     """,
+    "op6_preference": f"""
+        WITH l AS (SELECT conv_id, max(turn) AS l FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+        c AS (SELECT conv_id, role, text, turn = l AND role IS NOT DISTINCT FROM 'assistant' AS answer,
+                     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS position
+              FROM conversations JOIN l USING (conv_id) WHERE turn <= l),
+        r AS (SELECT conv_id, role, CASE WHEN answer THEN '{REFUSAL}' ELSE text END AS text,
+                     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST,
+                                        CASE WHEN answer THEN '{REFUSAL}' ELSE text END NULLS FIRST) AS position
+              FROM (SELECT conversations.*, turn = l AND role IS NOT DISTINCT FROM 'assistant' AS answer
+                    FROM conversations JOIN l USING (conv_id) WHERE turn <= l)),
+        f AS (SELECT c.conv_id, min(CASE WHEN c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text THEN c.position END) AS first
+              FROM c JOIN r ON c.conv_id = r.conv_id AND c.position = r.position GROUP BY c.conv_id),
+        t AS (SELECT conv_id, CASE WHEN first IS NULL OR position < first THEN 'prompt' ELSE 'chosen' END AS part, position, role, text FROM c JOIN f USING (conv_id)
+              UNION ALL SELECT conv_id, 'rejected', position, role, text FROM r JOIN f USING (conv_id) WHERE position >= first),
+        x AS (SELECT *, '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS rendered FROM t)
+        SELECT conv_id AS pair_id, part, position::INTEGER AS position, role, md5(rendered) AS rendered_md5,
+               coalesce(sum(length(rendered)) OVER (PARTITION BY conv_id, part ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+               length(rendered)::BIGINT AS n_chars, part = 'prompt' OR role IS DISTINCT FROM 'assistant' AS masked
+        FROM x
+    """,
     "op8_mix": r"""
         WITH good AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
         d AS (

@@ -140,3 +140,13 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7
 
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.arrow_udf(score, "double")(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all columns."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array(held.value.scores(texts.to_pylist()) < threshold)
+
+    return docs.where(F.arrow_udf(clean, "boolean")(F.col("text")))
