@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
@@ -189,13 +189,15 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """The rows of ``docs`` whose text holds no item, with all columns: nothing is shuffled."""
     kept = docs
     for index in indexes(benchmark):
-        held = docs.sparkSession.sparkContext.broadcast(index)
+        kept = kept.where(_clean_column(docs.sparkSession.sparkContext.broadcast(index), options))
+    return kept
 
-        def clean(texts: pa.Array, held=held) -> pa.Array:
-            return _clean(held.value, texts, options)
 
-        kept = kept.where(F.arrow_udf(clean, "boolean")(F.col("text")))
-    return kept
+def _clean_column(held, options: dict) -> Column:
+    def clean(texts: pa.Array) -> pa.Array:
+        return _clean(held.value, texts, options)
+
+    return F.arrow_udf(clean, "boolean")(F.col("text"))
 
 
 def _clean(index: Bm25Index, texts: pa.Array, options: dict) -> pa.Array:
