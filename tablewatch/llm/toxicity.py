@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 BITS = 18
 NGRAMS = (3, 4, 5)
 MIN_ROWS = 4  # a place seen in fewer training rows says nothing
-WEAK = 0.5  # places whose |log-count ratio| is below this are left out
+WEAK = 1.5  # places whose |log-count ratio| is below this are left out
 
 
 def char_places(text: str | None, seen: np.ndarray) -> np.ndarray:
@@ -71,7 +71,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFram
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, steps: int = 150, l2: float = 1.0) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, steps: int = 300, l2: float = 1.0) -> ToxicityModel:
     rows = training_rows(docs, labels, max_rows).repartition(8).persist()
     counts = rows.mapInArrow(_count_places, "place int, clean long, toxic long").groupBy("place").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")

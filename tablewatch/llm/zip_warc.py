@@ -60,7 +60,7 @@ class ZipDirectory:
         tail_at = max(0, size - (22 + _BIG16))
         tail = read_at(size - tail_at, tail_at)
         end = tail.rfind(b"PK\x05\x06")
-        while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+        while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
             end = tail.rfind(b"PK\x05\x06", 0, end)  # a comment may hold the signature
         if end < 0:
             raise ValueError("no end-of-central-directory record")
