@@ -27,6 +27,15 @@ def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored step that nothing reads any more, to bound the space a job takes.
+    What was made of it must be stored itself."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/tablewatch/" in folder:
+            fs, path = filesystem(folder)
+            fs.delete_dir(path)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that clashes with none of ``df``'s (names compare without case)."""
     taken, name = {c.lower() for c in df.columns}, base

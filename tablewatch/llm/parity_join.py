@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import ASCII_BLANKS, free_name, stored
+from tablewatch.llm.common import ASCII_BLANKS, discard, free_name, stored
 from tablewatch.llm.components import components
 
 BAND = 1.25  # ratio of a band's end to its start
@@ -90,7 +90,7 @@ def _spare(start: int, need: int) -> tuple[int, int]:
     """How many shingles a light word has at most, and how many words a band spares: a tenth of the
     others for counting, and the light words to expect (two deviations more) in sets at its start.
     Any choice is exact."""
-    most = 1 + need // 5
+    most = 1 + need // 3
     for light in (2, 1, 0):
         spare, wanted = 0, 1
         while spare < wanted <= most:
@@ -203,8 +203,9 @@ def shingle_table(docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame
     return stored(rows.mapInArrow(run, kind), "shingles")
 
 
-def candidate_links(sets: DataFrame) -> DataFrame:
-    """(band, a, b): links whose components, band by band, hold every linked pair; a, b: ``set_hi``."""
+def shared_buckets(sets: DataFrame) -> DataFrame:
+    """(key, a, band, room, size, followers), stored: the members of buckets with more than one, and in
+    buckets that are not crowded the members after each. ``sets`` is discarded: it is large."""
     members = sets.select(F.col("set_hi").alias("a"), F.explode("shown").alias("s")).select(
         "a", "s.band", "s.room", F.explode("s.keys").alias("key")
     )
@@ -216,7 +217,13 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     shared = once.withColumns({"size": size, "followers": followers}).where("size > 1")
     shared = shared.withColumn("followers", F.when(F.col("size") <= CROWD, F.filter("followers", lambda x: x.isNotNull())))
     shared = stored(shared, "buckets")
+    discard(sets)
+    return shared
+
 
+def candidate_links(shared: DataFrame) -> DataFrame:
+    """(band, a, b): links whose components, band by band, hold every linked pair; a, b: ``set_hi``."""
+    in_order = Window.partitionBy("key").orderBy("a")
     crowded = shared.where(F.col("size") > CROWD).select("key", "a", "band", "room")
     left_out = crowded.groupBy("a", "band").agg(F.count(F.lit(1)).alias("_n"), F.first("room").alias("_room"))
     left_out = stored(left_out, "crowded")
@@ -312,7 +319,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, seed: int
     when 100 * |A and B| >= percent * |A or B|."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
-    sets = shingle_table(docs, n, percent, seed)
+    full = shingle_table(docs, n, percent, seed)
+    sets = stored(full.drop("shown"), "set-names")
     known_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))  # to fetch texts by
     # A vertex is the first half of a set's name. Should two sets ever share it, other hashes decide.
     names = sets.where("n_shingles > 0").groupBy("set_hi").agg(
@@ -323,7 +331,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, seed: int
     if not names.where("_lo <> _hi").isEmpty():
         return jaccard_components(docs, n, percent, seed + 1)
 
-    links = stored(candidate_links(sets), "links")
+    links = stored(candidate_links(shared_buckets(full)), "links")
     ends = [F.xxhash64("band", x).alias(y) for x, y in (("a", "a"), ("b", "b"))]
     ids = links.select("band", F.explode(F.array("a", "b")).alias("vertex")).distinct().withColumn("id", F.xxhash64("band", "vertex"))
     clusters = ids.join(components(links.select(*ends)), "id").select("vertex", F.col("component").alias("cluster"))
