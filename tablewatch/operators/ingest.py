@@ -20,7 +20,7 @@ from tablewatch.functions.columns import extract_paths
 from tablewatch.functions.time import AsOf, load_time, to_datetime
 from tablewatch.operators.audit import append_job_status
 from tablewatch.schemas import JOB_STATUS
-from tablewatch.session import local_frame
+from tablewatch.session import error_text, local_frame
 from tablewatch.sources.files import (
     CORRUPT_COLUMN,
     RAW_COLUMN,
@@ -70,7 +70,7 @@ def load_raw_json(
         raw = F.col(raw_column)
         elements = F.coalesce(F.try_variant_get(raw, "$", "array<variant>"), F.array(raw))
         keep = [F.col(c) for c in df.columns if c != raw_column]
-        df = df.select(F.explode_outer(elements).alias(raw_column), *keep)
+        df = df.select(F.explode(elements).alias(raw_column), *keep)
     cols = [F.col(raw_column), load_time(as_of).alias(loaded_at), *extract_paths(raw_column, paths)]
     if corrupt_column:
         cols.append(F.col(corrupt_column))
@@ -229,7 +229,7 @@ def load_table(
 
     Any other flag is a no-op that returns ``None`` and leaves the target as it was.
     """
-    if (run_flag or "").strip().upper() != "Y":
+    if run_flag != "Y":
         return None
     df = source() if callable(source) else read_table(spark, source)
     return replace_table(df, target, **kw)
@@ -320,7 +320,7 @@ def load_with_audit(
     try:
         res = write_load(df, target, mode=mode, **kw)
     except Exception as err:  # noqa: BLE001 - recorded, then re-raised
-        rec = job_status_row(spark, meta, start, clock(), "FAILURE", failure_reason=str(err)[:4000])
+        rec = job_status_row(spark, meta, start, clock(), "FAILURE", failure_reason=error_text(err))
         if audit_log is not None:
             append_job_status(rec, audit_log)
         raise

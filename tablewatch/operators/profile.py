@@ -31,8 +31,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField
 
+from tablewatch.functions.time import utc_ntz
 from tablewatch.schemas import COLUMN_PROFILE, SOURCE_PROFILE, TABLE_PROFILE, schema_of
-from tablewatch.session import local_frame
+from tablewatch.session import error_text, local_frame
 from tablewatch.sources.tables import TableLike, read_table
 
 # Fixed values (as in the reconciled systems' catalogs): the tables left out of every profile by
@@ -108,7 +109,7 @@ def table_profile(
             la = last_altered.get(key, last_altered.get(name))
         else:
             la = last_altered
-        changed = F.max(F.col(la)).cast("timestamp_ntz") if la else F.lit(None).cast("timestamp_ntz")
+        changed = F.max(utc_ntz(df, la)) if la else F.lit(None).cast("timestamp_ntz")
         i = len(keys)
         keys.append((cat, sch, name, len(df.columns)))
         parts.append(
@@ -334,7 +335,7 @@ def object_profile(
             df.schema  # resolves the relation: a missing object fails here, without a data job
             return name, df, None
         except Exception as err:  # noqa: BLE001 - an unreadable object is reported, not fatal
-            return name, None, str(err).splitlines()[0] if str(err) else type(err).__name__
+            return name, None, error_text(err)
 
     # Objects resolve independently (each may list files or ask a database): side by side.
     with ThreadPoolExecutor(max_workers=max(1, min(RESOLVE_CONCURRENCY, len(objects)))) as pool:
@@ -353,11 +354,15 @@ def object_profile(
     if resolved:
         try:
             rows = reduce(DataFrame.unionByName, [counted(n, d) for n, d in resolved.items()]).collect()
-        except Exception:  # noqa: BLE001 - isolate the failing objects
-            rows = []
-            for n, d in resolved.items():
+        except Exception:  # noqa: BLE001 - one object's rows cannot be read: each is counted by itself
+            def alone(item):
                 try:
-                    rows.extend(counted(n, d).collect())
-                except Exception as err:  # noqa: BLE001
-                    skipped.append((n, str(err).splitlines()[0] if str(err) else type(err).__name__))
+                    return counted(*item).collect(), None
+                except Exception as err:  # noqa: BLE001 - reported for this object
+                    return [], (item[0], error_text(err))
+
+            with ThreadPoolExecutor(max_workers=min(RESOLVE_CONCURRENCY, len(resolved))) as pool:
+                for got, failed in pool.map(alone, resolved.items()):
+                    rows.extend(got)
+                    skipped.extend([failed] if failed else [])
     return local_frame(spark, [tuple(r) for r in rows], SOURCE_PROFILE), skipped

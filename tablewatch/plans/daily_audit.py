@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,7 @@ from tablewatch.operators.audit import (
     table_resolver,
     to_job_status,
 )
-from tablewatch.session import local_frame
+from tablewatch.session import error_text, local_frame
 from tablewatch.sources.tables import TableLike, TableRef
 
 
@@ -51,14 +52,31 @@ def run_daily_audit(
                 raise ValueError(f"column {date_col!r} not in {name}")
             readable.append((name, date_col))
         except Exception as err:  # noqa: BLE001 - recorded as that table's FAILURE row
-            failures.append((name, str(err).splitlines()[0] if str(err) else type(err).__name__))
-    counts = audit_all(spark, readable, tables, as_of, include_empty=include_empty)
-    rows = to_job_status(counts, schema_name=schema_name, job_type=job_type, dag_id=dag_id, as_of=as_of)
-    measured = [tuple(r) for r in rows.collect()]
+            failures.append((name, error_text(err)))
+
+    def rows_of(pairs: list[tuple[str, str]]) -> DataFrame:
+        counts = audit_all(spark, pairs, tables, as_of, include_empty=include_empty)
+        return to_job_status(counts, schema_name=schema_name, job_type=job_type, dag_id=dag_id, as_of=as_of)
+
+    def alone(pair: tuple[str, str]) -> tuple[list, tuple[str, str] | None]:
+        try:
+            return [tuple(r) for r in rows_of([pair]).collect()], None
+        except Exception as err:  # noqa: BLE001 - recorded as that table's FAILURE row
+            return [], (pair[0], error_text(err))
+
+    rows = rows_of(readable)
+    try:
+        measured = [tuple(r) for r in rows.collect()]
+    except Exception:  # noqa: BLE001 - a table failed while running: each is counted in a job of its own
+        measured = []
+        with ThreadPoolExecutor(max_workers=min(16, len(readable))) as pool:
+            for got, failed in pool.map(alone, readable):
+                measured.extend(got)
+                failures.extend([failed] if failed else [])
     when, day = to_datetime(as_of), as_of_date(as_of) - dt.timedelta(days=1)
     for name, reason in failures:
         measured.append(
             (when, when, schema_name, name, DEFAULT_TASK_PREFIX + name, job_type, dag_id, day, "FAILURE",
-             0, 0, 0, 0, 0, reason[:4000])
+             0, 0, 0, 0, 0, reason)
         )
     return append_job_status(local_frame(spark, measured, rows.schema), log)

@@ -19,7 +19,7 @@ from tablewatch.functions.time import to_datetime
 from tablewatch.operators.audit import append_job_status
 from tablewatch.operators.ingest import JobMeta, LoadResult, job_status_values, load_table, success_values
 from tablewatch.schemas import JOB_STATUS
-from tablewatch.session import local_frame
+from tablewatch.session import error_text, local_frame
 from tablewatch.sources.tables import TableLike, TableRef
 
 DEFAULT_CONCURRENCY = 20
@@ -65,8 +65,7 @@ def run_gated_loads(
         try:
             res = load_table(spark, name, sources[name], target, flags.get(name))
         except Exception as err:  # noqa: BLE001 - recorded, raised after the others
-            reason = (str(err).splitlines()[0] if str(err) else type(err).__name__)[:4000]
-            return None, job_status_values(meta(name), start, clock(), "FAILURE", failure_reason=reason), err
+            return None, job_status_values(meta(name), start, clock(), "FAILURE", failure_reason=error_text(err)), err
         rec = None if res is None else success_values(meta(name), start, clock(), res)
         return res, rec, None
 

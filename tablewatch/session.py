@@ -69,6 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tablewatch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def error_text(err: BaseException) -> str:
+    """An error's whole text for a record; its type if it has none."""
+    return str(err) or type(err).__name__
+
+
 _STORED: weakref.WeakSet = weakref.WeakSet()  # DataFrames this library has already checkpointed
 
 

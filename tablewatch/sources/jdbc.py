@@ -14,6 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewatch.functions.time import utc_ntz
 from tablewatch.operators.profile import BASE_TABLE, DEFAULT_EXCLUDE
 from tablewatch.schemas import schema_of
 from tablewatch.session import local_frame
@@ -103,7 +104,7 @@ def catalog_tables(
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).cast("bigint").alias("column_count"))
     )
-    changed = F.col(last_altered).cast("timestamp_ntz") if last_altered else F.lit(None).cast("timestamp_ntz")
+    changed = utc_ntz(t, last_altered) if last_altered else F.lit(None).cast("timestamp_ntz")
     prof = t.select(
         *[F.col(k).cast("string").alias(k) for k in keys],
         F.col("table_type").cast("string").alias("table_type"),

@@ -48,7 +48,7 @@ def _cols(spark, rows, schema):
 
 @pytest.fixture()
 def cols(spark):
-    return _cols(spark, SOURCE, "REPLICA"), _cols(spark, TARGET, "EDW")
+    return _cols(spark, SOURCE, "REPLICA"), _cols(spark, TARGET, "SALES")
 
 
 def test_drift_rows(cols):
@@ -85,7 +85,7 @@ def _profile(spark, rows, schema):
 
 def test_reconcile_counts_three_way(spark):
     fresh = AS_OF - dt.timedelta(hours=1)
-    tgt = _profile(spark, [("ORDERS", 10, 7, fresh), ("CUSTOMER", 5, 5, None), ("EVENTS", 3, 6, None)], "EDW")
+    tgt = _profile(spark, [("ORDERS", 10, 7, fresh), ("CUSTOMER", 5, 5, None), ("EVENTS", 3, 6, None)], "SALES")
     rep = _profile(spark, [("orders", 12, 6, None), ("customer", 5, 5, None), ("SNAP", 9, 4, None)], "REPLICA")
     legacy = spark.createDataFrame([("ORDERS", 12, 6), ("CUSTOMER", 5, 5)], "tablename string, rowcount long, columncount long")
     rows = {r.table_view_name: r for r in reconcile_counts(tgt, rep, legacy, as_of=AS_OF, extra=["SNAP"]).collect()}
@@ -159,7 +159,7 @@ def test_validation_run_order_and_preview(spark, scratch):
 
 
 def test_d24_duplicate_legacy_rows_collapse_and_d26_left_keeps_target_only(spark):
-    tgt = _profile(spark, [("ORDERS", 10, 7, None), ("EVENTS", 3, 6, None)], "EDW")
+    tgt = _profile(spark, [("ORDERS", 10, 7, None), ("EVENTS", 3, 6, None)], "SALES")
     rep = _profile(spark, [("orders", 10, 7, None)], "REPLICA")
     legacy = spark.createDataFrame([("ORDERS", 10, 7), ("ORDERS", 10, 7)], "tablename string, rowcount long, columncount long")
     inner = reconcile_counts(tgt, rep, legacy, as_of=AS_OF).collect()
@@ -184,7 +184,7 @@ def test_merge_sources_and_checks(spark):
 
 
 def test_reconcile_without_legacy_is_two_way(spark):
-    tgt = _profile(spark, [("ORDERS", 10, 7, None), ("CUST", 5, 5, None)], "EDW")
+    tgt = _profile(spark, [("ORDERS", 10, 7, None), ("CUST", 5, 5, None)], "SALES")
     rep = _profile(spark, [("orders", 10, 6, None), ("cust", 4, 5, None)], "REPLICA")
     got = {r.table_view_name: (r.rows_match_check, r.columns_match_check) for r in reconcile_counts(tgt, rep, as_of=AS_OF).collect()}
     assert got == {"ORDERS": ("Y", "N"), "CUST": ("N", "Y")}

@@ -58,13 +58,13 @@ def test_partition_row_counts_from_catalog_views(spark):
         [(1, 0, 10), (1, 0, 5), (1, 2, 15), (2, 1, 7), (2, 3, 7), (3, 1, 4)],
         "object_id int, index_id int, rows long",
     )
-    tables = spark.createDataFrame([(1, "books", 1), (2, "TenStatus", 1), (3, "other", 2)], "object_id int, name string, schema_id int")
-    got = {r.table_name: r.source_rows for r in partition_row_counts(parts, tables, restrict_to=["BOOKS", "tenstatus"]).collect()}
-    assert got == {"BOOKS": 15, "TENSTATUS": 7}
+    tables = spark.createDataFrame([(1, "books", 1), (2, "MixedCase", 1), (3, "other", 2)], "object_id int, name string, schema_id int")
+    got = {r.table_name: r.source_rows for r in partition_row_counts(parts, tables, restrict_to=["BOOKS", "mixedcase"]).collect()}
+    assert got == {"BOOKS": 15, "MIXEDCASE": 7}
 
 
 def test_jdbc_ref_is_not_a_path():
-    ref = TableRef("etlaudit.etl_job_status", "jdbc", {"url": "jdbc:postgresql://db/x"})
+    ref = TableRef("ops.load_log", "jdbc", {"url": "jdbc:postgresql://db/x"})
     assert ref.is_jdbc and not ref.is_path
     assert TableRef("/data/t").is_path and not TableRef("db.t").is_path
 
@@ -73,22 +73,22 @@ def test_catalog_views_as_profiles(spark):
     from tablewatch.sources.jdbc import catalog_columns, catalog_tables
 
     tables = spark.createDataFrame(
-        [("PROD", "EDW", "ORDERS", "BASE TABLE", 10, dt.datetime(2024, 1, 30, 8)),
-         ("PROD", "EDW", "V_ORDERS", "VIEW", None, None),
-         ("PROD", "EDW", "DATABASECHANGELOG", "BASE TABLE", 3, None),
+        [("PROD", "SALES", "ORDERS", "BASE TABLE", 10, dt.datetime(2024, 1, 30, 8)),
+         ("PROD", "SALES", "V_ORDERS", "VIEW", None, None),
+         ("PROD", "SALES", "DATABASECHANGELOG", "BASE TABLE", 3, None),
          ("PROD", "OTHER", "X", "BASE TABLE", 1, None)],
         "TABLE_CATALOG string, TABLE_SCHEMA string, TABLE_NAME string, TABLE_TYPE string, ROW_COUNT long, LAST_ALTERED timestamp_ntz",
     )
     columns = spark.createDataFrame(
-        [("PROD", "EDW", "ORDERS", "O_KEY", 1, "NO", "NUMBER", None),
-         ("PROD", "EDW", "ORDERS", "O_NAME", 2, "YES", "TEXT", 10),
-         ("PROD", "EDW", "V_ORDERS", "O_KEY", 1, "NO", "NUMBER", None)],
+        [("PROD", "SALES", "ORDERS", "O_KEY", 1, "NO", "NUMBER", None),
+         ("PROD", "SALES", "ORDERS", "O_NAME", 2, "YES", "TEXT", 10),
+         ("PROD", "SALES", "V_ORDERS", "O_KEY", 1, "NO", "NUMBER", None)],
         "TABLE_CATALOG string, TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, ORDINAL_POSITION int, "
         "IS_NULLABLE string, DATA_TYPE string, CHARACTER_MAXIMUM_LENGTH int",
     )
-    prof = catalog_tables(tables, columns, schemas=["EDW"]).collect()
+    prof = catalog_tables(tables, columns, schemas=["SALES"]).collect()
     assert [(r.table_name, r.row_count, r.column_count, r.last_altered) for r in prof] == [
         ("ORDERS", 10, 2, dt.datetime(2024, 1, 30, 8))
     ]
-    cols = catalog_columns(columns, schemas=["EDW"]).where("table_name = 'ORDERS'").orderBy("ordinal_position").collect()
+    cols = catalog_columns(columns, schemas=["SALES"]).where("table_name = 'ORDERS'").orderBy("ordinal_position").collect()
     assert [(c.column_name, c.is_nullable, c.character_maximum_length) for c in cols] == [("O_KEY", "NO", None), ("O_NAME", "YES", 10)]
