@@ -354,4 +354,5 @@ def token_digests(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame
     """(doc_id, start, n_tokens, ids_crc32): written, then read back from the files."""
     folder, index = write_records(docs, tokenizer, end_id)
     starts = with_starts(index).select("file", "offset", "start")
-    return read_records(index, folder).join(starts, ["file", "offset"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+    # One row per document on both sides: Spark's estimate from the compressed index must not broadcast it.
+    return read_records(index, folder).join(starts.hint("merge"), ["file", "offset"]).select("doc_id", "start", "n_tokens", "ids_crc32")
