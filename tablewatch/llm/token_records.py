@@ -13,8 +13,8 @@ a file is closed at ``FILE_BYTES``. A shuffled read takes index rows in any orde
 by offset (``read_at``); ``read_records`` goes through whole files.
 
 Encoding keeps a cache of words, since words repeat: where blanks always end a token, a text's ids are
-the ids of its words in turn. So too where a full stop or comma after a word, or the case of letters,
-does not change how the word is split. Each of these is tried out on the tokenizer at hand
+the ids of its words in turn. So too where marks after a word, or the case of letters, do not change how
+the word is split. Each of these is tried out on the tokenizer at hand
 (``_holds``) before it is used; a tokenizer that merges across blanks is refused. The cache lives as
 long as the Python worker, is bounded, and only saves time.
 
@@ -33,6 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,10 +41,12 @@ from tablewatch.llm.common import filesystem, new_file, stored
 from tablewatch.session import scratch_path
 
 FILE_BYTES = 128 << 20
-CACHED_WORDS = 500_000
+CACHED_WORDS, CACHED_CORES = 200_000, 500_000  # in each of two generations
+MARKS = ".,;:!?#$%&*"  # tried out as marks that start a token after a letter
 _HEAD, _CRC = struct.Struct("<Q"), struct.Struct("<I")
 _PREFIX = struct.Struct("<Bq")
-GROUP = 256  # documents encoded, framed or checked at a time
+GROUP = 256  # documents checked at a time
+GROUP_BYTES = 8 << 20  # of text, encoded and framed at a time (a longer document makes a group of its own)
 
 
 # --- CRC-32C (Castagnoli), over whole arrays -----------------------------------------------------
@@ -171,58 +174,128 @@ def payload_length(head: bytes) -> int:
 # --- Encoding ------------------------------------------------------------------------------------
 
 
+class WordCache:
+    """Ids (as bytes) by word, in two generations: when the younger is full it becomes the older, whose
+    words come back when asked for. So the memory is bounded and frequent words stay."""
+
+    def __init__(self, room: int):
+        self.room, self.young, self.old = room, {}, {}
+
+    def find(self, words: list[str]) -> list[bytes | None]:
+        found, older = list(map(self.young.get, words)), self.old.get
+        for i, ids in enumerate(found):
+            if ids is None and (ids := older(words[i])) is not None:
+                found[i] = self.young[words[i]] = ids
+        return found
+
+    def tidy(self) -> None:
+        if len(self.young) > self.room:
+            self.young, self.old = {}, self.young
+
+
+def _strings(words: pa.Array) -> list[str]:
+    """Words without blanks as a list; one string is made and split, which is quicker than one by one."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), " ")[0].as_py().split(" ")
+
+
 class WordCachedEncoder:
     """Token ids of texts by a tokenizer file of the ``tokenizers`` library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.cores = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.known, self.cores = Tokenizer.from_file(path), WordCache(CACHED_WORDS), WordCache(CACHED_CORES)
         words = ["Alpha", "beta's", "42", "ñandú!?", "x", "ÉCOLE"]
-        blanks = (" ", "\n", "\t", "\r\n", "  ")
+        blanks = (" ", "\n", "\t", "\r\n", "\x0b", "\x0c", "  ")
         if not all(self._holds(words, s.join(words) + s) for s in blanks):
             raise ValueError(f"{path}: blanks do not end tokens, so words cannot be encoded one by one")
-        self.marks_apart = self._holds(["Alpha", ",", "beta's", ".", "École", "."], "Alpha, beta's. École.")
+        runs = [x for m in MARKS for x in ("École", m, "Alpha", m + "*" + m)]
+        self.marks_apart = self._holds(runs, " ".join(a + m for a, m in zip(runs[::2], runs[1::2])))
         self.any_case = self._holds([w.lower() for w in words], " ".join(words))
+        bar = self._encode("|")
+        self.bar = bar[0] if len(bar) == 1 and self._holds(["x", "|", "42", "|", "beta's"], "x | 42 | beta's") else None
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _holds(self, words: list[str], text: str) -> bool:
         """Whether the text's ids are the words' in turn."""
-        ids = [i for w in words for i in self.tokenizer.encode(w, add_special_tokens=False).ids]
-        return self.tokenizer.encode(text, add_special_tokens=False).ids == ids
+        return self._encode(text) == [i for w in words for i in self._encode(w)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        ids, ends = self.encode_all(pa.array(texts, pa.string()))
+        return np.split(ids, ends[:-1]) if len(ends) else []
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in turn, where each text's ids end). Each distinct word of the texts is
+        looked up once; the ids are then gathered by position."""
         for cache in (self.known, self.cores):
-            if len(cache) > CACHED_WORDS:
-                cache.clear()
-        words = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        get = self.known.get
-        found = [list(map(get, ws)) for ws in words]
-        self._learn({w for ws, ids in zip(words, found) if None in ids for w, i in zip(ws, ids) if i is None})
-        return [
-            np.frombuffer(b"".join(map(get, ws) if None in ids else ids), np.uint32) for ws, ids in zip(words, found)
-        ]
-
-    def _learn(self, words: set[str]) -> None:
-        parts, new = {}, set()
-        for w in words:
-            parts[w] = split = self._split(w)
-            new.update(x for x in split if x not in self.cores)
-        new = list(new)
-        for i in range(0, len(new), 4096):
-            for x, e in zip(new[i : i + 4096], self.tokenizer.encode_batch(new[i : i + 4096], add_special_tokens=False)):
-                self.cores[x] = np.array(e.ids, np.uint32).tobytes()
-        for w, split in parts.items():
-            self.known[w] = self.cores[split[0]] if len(split) == 1 else b"".join([self.cores[x] for x in split])
-
-    def _split(self, w: str) -> tuple[str, ...]:
-        """Parts whose ids in turn are the word's: without a mark at its end, in lower case."""
+            cache.tidy()
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        distinct, which = _strings(coded.dictionary), coded.indices.to_numpy()
+        found = self.known.find(distinct)
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(new, self._learn([distinct[i] for i in new])):
+            found[i] = ids
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        taken = sizes[which]
+        after = np.concatenate([[0], np.cumsum(taken)])
+        place = np.arange(after[-1]) + np.repeat(starts[which] - after[:-1], taken)
+        ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
+        return np.frombuffer(b"".join(found), np.uint32)[place], after[ends]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        cores, tails = [], []
+        for i in range(0, len(words), 1024):
+            for core, tail in zip(*self._split(words[i : i + 1024])):
+                cores.append(core)
+                tails.append(tail)
+        found = self.cores.find(cores)
+        young = self.cores.young
+        young.update(self._encode_words(list({c for c, ids in zip(cores, found) if ids is None})))
+        marks = dict(self._encode_words(list({t for t in tails if t})))
+        ids = [(young[c] if x is None else x) + marks[t] if t else young[c] if x is None else x for c, t, x in zip(cores, tails, found)]
+        self.known.young.update(zip(words, ids))
+        return ids
+
+    def _encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words go to the tokenizer many at a time, a bar between, where the bar's id marks the ends."""
+        alone = [w for w in words if self.bar is None or "|" in w]
+        joined = [w for w in words if "|" not in w] if self.bar is not None else []
+        for i in range(0, len(alone), 4096):
+            group = alone[i : i + 4096]
+            for w, e in zip(group, self.tokenizer.encode_batch(group, add_special_tokens=False)):
+                yield w, np.array(e.ids, np.uint32).tobytes()
+        for i in range(0, len(joined), 64):
+            group = joined[i : i + 64]
+            ids = np.array(self._encode(" | ".join(group)), np.uint32)
+            ends = [*np.flatnonzero(ids == self.bar).tolist(), len(ids)]
+            if len(ends) != len(group):
+                raise ValueError("the tokenizer did not keep words apart")
+            data, start = ids.tobytes(), 0
+            for w, end in zip(group, ends):
+                yield w, data[4 * start : 4 * end]
+                start = end + 1
+
+    def _split(self, words: list[str]) -> tuple[list[str], list[str]]:
+        """(cores, tails): two parts of each word whose ids in turn are the word's. The core is without
+        the marks at the word's end, in lower case; both may be empty."""
+        joined = " ".join(words)
         # Only composed letters with one lower-case form each; no special token's name.
-        if not w.isascii() and (not unicodedata.is_normalized("NFC", w) or "\u03a3" in w or "\u0130" in w) or "<|" in w:
-            return (w,)
-        mark = w[-1:] if self.marks_apart and w[-1:] in (".", ",") and w[-2:-1].isalpha() else ""
-        core = w[: len(w) - len(mark)]
-        core = core.lower() if self.any_case else core
-        return (core, mark) if mark else (core,)
+        if not joined.isascii() and (not unicodedata.is_normalized("NFC", joined) or "\u03a3" in joined or "\u0130" in joined) or "<|" in joined:
+            if len(words) == 1:
+                return words, [""]
+            split = [self._split([w]) for w in words]
+            return [c for core, _ in split for c in core], [t for _, tail in split for t in tail]
+        whole = joined.lower().split(" ") if self.any_case else words
+        if not self.marks_apart:
+            return whole, [""] * len(whole)
+        cores = [c if (c := w.rstrip(MARKS))[-1:].isalpha() else w for w in whole]
+        return cores, [w[len(c) :] for w, c in zip(whole, cores)]
 
 
 @functools.cache
@@ -235,6 +308,17 @@ def _encoder(path: str) -> WordCachedEncoder:
 INDEX = "doc_id long, file string, offset long, length long, n_tokens long, place int, row long"
 
 
+def _groups(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch (doc_id, text) by the bytes of text."""
+    before = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < b.num_rows:
+        base = before[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(before, base + GROUP_BYTES, side="right")))
+        yield b.slice(start, stop - start)
+        start = stop
+
+
 def _writer(folder: str, tokenizer: str, end_id: int | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -247,11 +331,11 @@ def _writer(folder: str, tokenizer: str, end_id: int | None) -> Callable:
 
         def records() -> Iterator[tuple[int | None, int, bytes]]:
             for b in batches:
-                for k in range(0, b.num_rows, GROUP):
-                    group = b.slice(k, GROUP)
-                    doc_ids, counts, payloads = group.column(0).to_pylist(), [], []
-                    for doc_id, ids in zip(doc_ids, encoder.encode(group.column(1).to_pylist())):
-                        ids = np.concatenate([ids, end])
+                for group in _groups(b):
+                    doc_ids, counts, payloads, start = group.column(0).to_pylist(), [], [], 0
+                    flat, ends = encoder.encode_all(group.column(1))
+                    for doc_id, stop in zip(doc_ids, ends.tolist()):
+                        ids, start = np.concatenate([flat[start:stop], end]), stop
                         counts.append(len(ids))
                         payloads.append(payload(doc_id, ids))
                     yield from zip(doc_ids, counts, frame_all(payloads))
