@@ -417,8 +417,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     kinds = [pa.string(), *[pa.int64()] * 4]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "offset", "doc_id", "n_tokens", "ids_crc32"])
 
+    # Dealt in turn, not by the file: with as many files as shuffle partitions, Spark would drop an exchange
+    # by the file after the distinct, merge its few bytes and read all files in one task.
     files = index.select("file").distinct()
-    spread = files.repartition(max(1, min(files.count(), 10_000)), "file")
+    spread = files.repartition(max(1, min(files.count(), 10_000)))
     return spread.mapInArrow(run, "file string, offset long, doc_id long, n_tokens long, ids_crc32 long")
 
 

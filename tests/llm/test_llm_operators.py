@@ -67,7 +67,7 @@ def test_word_cache_changes_no_id():
 
     plain, cached = Tokenizer.from_file(tokenizer_path()), token_records.WordCachedEncoder(tokenizer_path())
     texts = ["", " ", "a\x1cb ́c d <|endoftext|>x ΣΑΣ İ  q", "It's. We'll, go... A,. B.,C x.\n1. 2, É. ǅ. ß. ẞ, Ǆ K. Å.", "don't. x_. _. a1. a²,\t\x0bq\r\n", "<|ENDOFTEXT|> é. É,"]
-    texts += ["".join(random.Random(s).choices("aB.,'é \n!1Σ<|", k=60)) for s in range(200)]
+    texts += ["".join(random.Random(s).choices("aB.,'é \n!1Σ<|#$%", k=60)) for s in range(400)]
     assert [list(x) for x in cached.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
@@ -82,6 +82,25 @@ def test_token_records_odd_rows(spark, scratch):
     assert token_records.token_digests(docs(spark, []), tokenizer_path()).count() == 0
 
 
+def test_token_records_read_in_several_tasks(spark, scratch):
+    from pyspark.sql import functions as F
+
+    folder, parts = scratch("spread"), []
+    for part in range(4):
+        rows = [(k, f"words of text {k}", None) for k in range(part, 40, 4)]
+        parts.append(token_records.write_records(docs(spark, rows), tokenizer_path(), 1, folder)[1])
+    index = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(index.select("file").distinct().count()))
+    try:
+        read = token_records.read_records(index, folder).withColumn("_task", F.spark_partition_id())
+        files, tasks, rows = read.select(F.count_distinct("file"), F.count_distinct("_task"), F.count("*")).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert rows == 40
+    assert files >= 4 and tasks > 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(50, 60), (60, 55), (70, 70)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
