@@ -11,6 +11,7 @@ from tablewatch.session import scratch_path
 
 # A word is a run of characters other than the six ASCII blanks.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ASCII_BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -20,10 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later steps neither recompute it
-    nor depend on the executors that made it."""
+    nor depend on the executors that made it. The write's shuffle files go as soon as it is done, not
+    when the driver happens to collect garbage; should another plan want them, Spark makes them again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    (df if partitions is None else df.coalesce(partitions)).write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        (df if partitions is None else df.coalesce(partitions)).write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

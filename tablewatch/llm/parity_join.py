@@ -331,7 +331,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, seed: int
     if not names.where("_lo <> _hi").isEmpty():
         return jaccard_components(docs, n, percent, seed + 1)
 
-    links = stored(candidate_links(shared_buckets(full)), "links")
+    shared = shared_buckets(full)
+    links = stored(candidate_links(shared), "links")
+    discard(shared)
     ends = [F.xxhash64("band", x).alias(y) for x, y in (("a", "a"), ("b", "b"))]
     ids = links.select("band", F.explode(F.array("a", "b")).alias("vertex")).distinct().withColumn("id", F.xxhash64("band", "vertex"))
     clusters = ids.join(components(links.select(*ends)), "id").select("vertex", F.col("component").alias("cluster"))
