@@ -3,7 +3,11 @@
 The *items* are indexed (term -> postings in blocks, each with its largest impact), and every
 passage of every document is a query: its distinct terms. All items whose score is at least
 ``threshold`` of the score they give their own text are retrieved, and a retrieved pair counts when
-the passage holds enough of the question's and of the answer's word n-grams.
+the passage holds enough of the question's and of the answer's word n-grams, or when it holds at least
+``WHOLE_OVERLAP`` of the whole item (question and answer words together) in finer grams: no longer than
+``WHOLE_GRAM`` words, and shorter for short items, so that any one changed word leaves enough of them. A
+copy that was edited, or that lacks a short answer, counts by this; a question alone whose answer is
+longer than that does not.
 
 Passages are windows of the document's words, twice ``stride`` long and ``stride`` apart, where
 ``stride`` is at least the longest item: each copy of an item lies whole in one window.
@@ -39,6 +43,8 @@ ITEMS_PER_INDEX = 4096
 BOUND_ITEMS = 4  # items per block of the batch bound
 POSTINGS_PER_BLOCK = 16
 LEAST_STRIDE = 64
+WHOLE_OVERLAP = 0.65
+WHOLE_GRAM = 2
 _WORD = re.compile(r"\w+")
 
 
@@ -234,7 +240,7 @@ def _leaks(index: Bm25Index, ids: list, texts: list, threshold: float, least_q:
             if have is None:
                 have = split[row][low:high]
             q, a = (_overlap(part, have, n) for part in (item.question, item.answer))
-            if (q is None or q >= least_q) and (a is None or a >= least_a):
+            if ((q is None or q >= least_q) and (a is None or a >= least_a)) or _whole(item.question + item.answer, have) >= WHOLE_OVERLAP:
                 now = (score, 1.0 if q is None else q, 1.0 if a is None else a)
                 best[row, number] = max(best.get((row, number), now), now)
     return [(ids[row], index.items[number].item_id, *figures) for (row, number), figures in sorted(best.items())]
@@ -247,3 +253,14 @@ def _overlap(part: list[str], passage: list[str], n: int) -> float | None:
         return None
     size = len(next(iter(own)))
     return len(own & {tuple(passage[i : i + size]) for i in range(len(passage) - size + 1)}) / len(own)
+
+
+def _whole(item: list[str], passage: list[str]) -> float:
+    """Share of the whole item that the passage holds, in grams of which one changed word leaves
+    ``WHOLE_OVERLAP``. Items too short for grams of two words: their words within as long a stretch."""
+    size = min(WHOLE_GRAM, int((len(item) + 1) * (1 - WHOLE_OVERLAP) / (2 - WHOLE_OVERLAP)))
+    if size > 1:
+        return _overlap(item, passage, size)
+    own = Counter(item)
+    stretches = (Counter(passage[i : i + len(item)]) for i in range(max(1, len(passage) - len(item) + 1)))
+    return max((own & s).total() for s in stretches) / len(item)

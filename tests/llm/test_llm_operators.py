@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewatch.llm import bm25, column_bwt, components, cover_tree, mix, parity_join, preference, token_records, toxicity, url_trie, zip_warc
-from tablewatch.llm.queries import tokenizer_path
+from tablewatch.llm.queries import benchmark_items, tokenizer_path
 from test_llm_queries import brute_components, brute_repeats
 
 DOC = "doc_id long, text string, source string, `_key` string, SIZE int"
@@ -167,6 +167,32 @@ def test_leaks_odd_rows(spark):
     assert bm25.find_leaks(docs(spark, rows), items.limit(0)).count() == 0 and bm25.find_leaks(docs(spark, []), items).count() == 0
 
 
+def test_edited_copies_are_leaks(spark):
+    benchmark = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").where("item_id < 40")
+    items = benchmark_items(benchmark)
+    rows, expected = [], set()
+    for r in items.collect():
+        question, answer = bm25.words_of(r.question), bm25.words_of(r.answer)
+        whole = question + answer
+        copies = [whole[:k] + ["changed"] + whole[k + 1 :] for k in range(len(whole))]
+        copies += [[f"changed{k}" if k % 10 == 4 else w for k, w in enumerate(whole)]]
+        copies += [question] if len(answer) <= 0.3 * len(whole) else []
+        for words in copies:
+            expected.add((len(rows), r.item_id))
+            rows.append((len(rows), " ".join(["before", *words, "after"]), "a"))
+    assert len(expected) > 1000
+    assert {(r.doc_id, r.item_id) for r in bm25.find_leaks(docs(spark, rows), items).collect()} == expected
+    assert bm25.without_leaks(docs(spark, rows), items).count() == 0
+
+
+@pytest.mark.parametrize("length", [3, 4, 6, 7, 12])
+def test_one_changed_word_leaves_enough_of_a_short_item(length):
+    item, filler = [f"w{i}" for i in range(length)], [f"f{i}" for i in range(100)]
+    for k in range(length):
+        assert bm25._whole(item, filler + item[:k] + ["changed"] + item[k + 1 :] + filler) >= bm25.WHOLE_OVERLAP
+    assert bm25._whole(item, [w for i in item for w in (i, *filler)]) < bm25.WHOLE_OVERLAP
+
+
 def test_preferences(spark):
     kind = "pair_id long, turn int, role string, text string, part string"
     chosen = spark.createDataFrame([(1, 0, "user", "hi", "z"), (1, 1, "assistant", "good", "z"), (2, 0, "user", None, "z"), (3, 0, None, "x", "z"), (None, 0, "user", "q", "z")], kind)
