@@ -3,7 +3,9 @@
 Features are the distinct character n-grams (``NGRAMS``) of the lower-cased text, hashed to
 ``2**BITS`` places. Training counts in how many toxic and in how many clean rows each place occurs
 (Spark, partial sums), turns the counts into log-count ratios ``r``, and fits a logistic regression
-on the features ``r``-scaled (present or absent), by gradient steps over the training rows. The model
+on the features ``r``-scaled (present or absent), until its gradient has settled (L-BFGS). Which
+places are too weak to use and how strongly the weights are held back is chosen by the log loss on
+left-out training rows (``FOLDS`` parts by a hash of the text, so that copies stay together). The model
 is one float per place plus a bias: 1 MB whatever the corpus, so scoring broadcasts it.
 
 Training rows are a bounded sample, ``max_rows`` labelled rows, drawn by a hash of the id (all
@@ -29,7 +31,10 @@ from pyspark.sql import functions as F
 BITS = 18
 NGRAMS = (3, 4, 5)
 MIN_ROWS = 4  # a place seen in fewer training rows says nothing
-WEAK = 0.5  # places whose |log-count ratio| is below this are left out
+WEAK = (0.5, 1.0, 1.5, 2.0)  # places whose |log-count ratio| is below this are left out: the choices
+L2 = (10.0, 3.0, 1.0, 0.3, 0.1)  # the choices, strongest first
+FOLDS = 3
+SETTLED = 1e-3  # largest entry of the gradient, summed over the rows
 
 
 def char_places(text: str | None, seen: np.ndarray) -> np.ndarray:
@@ -71,64 +76,133 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFram
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, steps: int = 150, l2: float = 1.0) -> ToxicityModel:
-    rows = training_rows(docs, labels, max_rows).repartition(8).persist()
-    counts = rows.mapInArrow(_count_places, "place int, clean long, toxic long").groupBy("place").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
-    ).where(F.col("clean") + F.col("toxic") >= MIN_ROWS)
-    places = counts.toArrow()  # at most 2**BITS rows
-    totals = rows.groupBy("toxic").count().collect()
-    n_toxic = sum(r["count"] for r in totals if r.toxic == 1)
-    n_clean = sum(r["count"] for r in totals if r.toxic != 1)
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> ToxicityModel:
+    fold = F.coalesce(F.pmod(F.xxhash64("text"), F.lit(FOLDS)), F.lit(0)).cast("int").alias("fold")
+    rows = training_rows(docs, labels, max_rows).select("text", "toxic", fold).repartition(8).persist()
+    by_class = [f"{c}{k}" for c in ("clean", "toxic") for k in range(FOLDS)]
+    counted = rows.mapInArrow(_count_places, "place int, " + ", ".join(f"{c} int" for c in by_class))
+    sums = counted.groupBy("place").agg(*(F.sum(c).cast("int").alias(c) for c in by_class))
+    places = sums.where(sum(F.col(c) for c in by_class) >= MIN_ROWS).toArrow()  # at most 2**BITS rows
+    counts = np.zeros((2, FOLDS, 1 << BITS), np.int32)
+    counts.reshape(2 * FOLDS, -1)[:, places.column("place").to_numpy()] = [places.column(c).to_numpy() for c in by_class]
+    n = np.zeros((2, FOLDS), np.int64)
+    for r in rows.select((F.col("toxic") == 1).alias("toxic"), "fold").groupBy("toxic", "fold").count().collect():
+        n[int(r.toxic), r.fold] = r["count"]
+    n_clean, n_toxic = n.sum(axis=1).tolist()
     if not n_toxic or not n_clean:
         rows.unpersist()
         share = n_toxic / max(1, n_toxic + n_clean)
         return ToxicityModel(np.zeros(1 << BITS, np.float32), float(np.clip(np.log(max(share, 1e-12) / max(1 - share, 1e-12)), -500, 500)))
-    toxic, clean = (places.column(c).to_numpy() + 1.0 for c in ("toxic", "clean"))
-    ratio = np.log(toxic / (n_toxic + 2.0)) - np.log(clean / (n_clean + 2.0))
-    scaled = np.zeros(1 << BITS, np.float32)
-    scaled[places.column("place").to_numpy()] = np.where(np.abs(ratio) >= WEAK, ratio, 0.0)
-    held = rows.sparkSession.sparkContext.broadcast(scaled)
+    ratio = _ratios(counts.sum(axis=1), n.sum(axis=1))
+    without = [_ratios(counts.sum(axis=1) - counts[:, k], n.sum(axis=1) - n[:, k]) for k in range(FOLDS)]
+    held = rows.sparkSession.sparkContext.broadcast(np.any([np.abs(r) >= min(WEAK) for r in (ratio, *without)], axis=0))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, strong = np.zeros(1 << BITS, bool), held.value != 0
+        seen, strong = np.zeros(1 << BITS, bool), held.value
         for b in batches:
             kept = [p[strong[p]].astype(np.int32) for p in (char_places(t, seen) for t in b.column(0).to_pylist())]
-            yield pa.record_batch({"places": pa.array(kept, pa.list_(pa.int32())), "toxic": pa.array(b.column(1)).cast(pa.int32())})
+            yield pa.record_batch({"places": pa.array(kept, pa.list_(pa.int32())), "toxic": pa.array(b.column(1)).cast(pa.int32()), "fold": b.column(2)})
 
-    sample = rows.mapInArrow(features, "places array<int>, toxic int").toArrow().combine_chunks()
+    sample = rows.mapInArrow(features, "places array<int>, toxic int, fold int").toArrow().combine_chunks()
     rows.unpersist()
     held.unpersist()
-    return _fit(sample, scaled, steps, l2)
+    lists = sample.column("places").combine_chunks()
+    flat, lengths = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+    label, part = (sample.column("toxic").to_numpy() == 1).astype(np.float64), sample.column("fold").to_numpy()
+    loss = {}
+    for weak in WEAK:
+        for k in range(FOLDS):
+            learn = _Rows(flat, lengths, part != k, _strong(without[k], weak))
+            rest = _Rows(flat, lengths, part == k, _strong(without[k], weak))
+            fitted = None
+            for l2 in L2:
+                fitted = _fit(learn, label[part != k], l2, fitted)
+                margin = rest.margins(fitted)
+                loss[weak, l2] = loss.get((weak, l2), 0.0) + np.logaddexp(0, margin).sum() - margin @ label[part == k]
+    weak, l2 = min(loss, key=loss.get)
+    learn = _Rows(flat, lengths, part >= 0, _strong(ratio, weak))
+    fitted = _fit(learn, label, l2)
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[learn.places] = fitted[:-1] * learn.scale
+    return ToxicityModel(weights, float(fitted[-1]))
 
 
 def _count_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen, sums = np.zeros(1 << BITS, bool), np.zeros((2, 1 << BITS), np.int64)
+    seen, sums = np.zeros(1 << BITS, bool), np.zeros((2, FOLDS, 1 << BITS), np.int32)
     for b in batches:
-        for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            sums[int(toxic == 1)][char_places(text, seen)] += 1
-    found = np.flatnonzero(sums.any(axis=0))
+        for text, toxic, fold in zip(*(c.to_pylist() for c in b.columns)):
+            sums[int(toxic == 1), fold][char_places(text, seen)] += 1
+    found = np.flatnonzero(sums.any(axis=(0, 1)))
     if len(found):
-        yield pa.record_batch({"place": pa.array(found, pa.int32()), "clean": sums[0][found], "toxic": sums[1][found]})
+        names = [f"{c}{k}" for c in ("clean", "toxic") for k in range(FOLDS)]
+        yield pa.record_batch({"place": pa.array(found, pa.int32())} | dict(zip(names, sums.reshape(2 * FOLDS, -1)[:, found])))
 
 
-def _fit(sample: pa.Table, scaled: np.ndarray, steps: int, l2: float) -> ToxicityModel:
-    """Logistic regression over the scaled features: gradient steps with per-weight step sizes."""
-    lists = sample.column("places").combine_chunks()
-    label = (sample.column("toxic").to_numpy() == 1).astype(np.float64)
-    flat = lists.flatten().to_numpy()
-    row = np.repeat(np.arange(len(label)), np.diff(lists.offsets.to_numpy()))
-    value = scaled[flat].astype(np.float64)
-    weight, bias, speed, seen = np.zeros(1 << BITS), 0.0, np.full(1 << BITS, 1e-8), 1e-8
-    for _ in range(steps):
-        margin = np.bincount(row, weight[flat] * value, len(label)) + bias
+def _ratios(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log-count ratio of each place from its (clean, toxic) rows of ``n``; 0 where it is too rare."""
+    ratio = np.log((counts[1] + 1.0) / (n[1] + 2.0)) - np.log((counts[0] + 1.0) / (n[0] + 2.0))
+    return np.where(counts.sum(axis=0) >= MIN_ROWS, ratio, 0.0)
+
+
+def _strong(ratio: np.ndarray, weak: float) -> np.ndarray:
+    return np.where(np.abs(ratio) >= weak, ratio, 0.0)
+
+
+class _Rows:
+    """Some rows' scaled features, in row order and in place order: two sums a step, no matrix."""
+
+    def __init__(self, flat: np.ndarray, lengths: np.ndarray, kept: np.ndarray, scaled: np.ndarray):
+        self.places = np.flatnonzero(scaled)
+        self.scale = scaled[self.places].astype(np.float64)
+        number = np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32)
+        row = np.repeat(number, lengths)
+        use = (row >= 0) & (scaled[flat] != 0)
+        row, place = row[use], flat[use]
+        self.column = (np.cumsum(scaled != 0) - 1).astype(np.int32)[place]
+        self.row_at = np.searchsorted(row, np.arange(kept.sum() + 1))
+        order = np.argsort(self.column, kind="stable")
+        self.row = row[order]
+        self.column_at = np.searchsorted(self.column[order], np.arange(len(self.places) + 1))
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0.0], np.cumsum((x[:-1] * self.scale)[self.column])])
+        return np.diff(sums[self.row_at]) + x[-1]
+
+    def slopes(self, off: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0.0], np.cumsum(off[self.row])])
+        return np.append(np.diff(sums[self.column_at]) * self.scale, off.sum())
+
+
+def _fit(rows: _Rows, label: np.ndarray, l2: float, start: np.ndarray | None = None) -> np.ndarray:
+    """Weights and, last, the bias of the logistic regression: L-BFGS until the gradient has settled,
+    or until rounding lets no step go down further."""
+
+    def at(x: np.ndarray) -> tuple[float, np.ndarray]:
+        margin = rows.margins(x)
         off = 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500))) - label
-        slope = np.bincount(flat, off[row] * value, 1 << BITS) + l2 * weight
-        speed += slope**2
-        seen += off.sum() ** 2
-        weight -= 0.1 * slope / np.sqrt(speed)
-        bias -= 0.5 * off.sum() / np.sqrt(seen)
-    return ToxicityModel((weight * scaled).astype(np.float32), float(bias))
+        held_back = np.append(l2 * x[:-1], 0.0)
+        return np.logaddexp(0, margin).sum() - margin @ label + 0.5 * held_back @ x, rows.slopes(off) + held_back
+
+    x = np.zeros(len(rows.places) + 1) if start is None else start
+    loss, slope = at(x)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    while np.abs(slope).max() > SETTLED:
+        way, shares = -slope, []
+        for s, y in reversed(past):
+            shares.append((s @ way) / (s @ y))
+            way = way - shares[-1] * y
+        way = way * ((past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1.0 / np.linalg.norm(slope))
+        for (s, y), share in zip(past, reversed(shares)):
+            way = way + (share - (y @ way) / (s @ y)) * s
+        step, down = 1.0, slope @ way
+        while (new := at(x + step * way))[0] > loss + 1e-4 * step * down and step > 1e-9:
+            step /= 2
+        if new[0] >= loss:
+            break
+        if step * (new[1] - slope) @ way > 1e-12:
+            past = [*past[-9:], (step * way, new[1] - slope)]
+        x, loss, slope = x + step * way, *new
+    return x
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
