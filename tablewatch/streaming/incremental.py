@@ -11,7 +11,8 @@ One checkpoint belongs to one (prefix, target) pair; point a new prefix or targe
 checkpoint.
 
 Parse counts are observed on the stream (``observe``): each micro-batch reports how many records
-it read and how many did not parse, and a run can leave a job-status record like a batch load.
+it read and how many did not parse, and a run can leave a job-status record like a batch load: also
+when it fails, with the counts of the batches it had committed.
 On a landing prefix that keeps growing, ``clean_source="archive"`` (or ``"delete"``) moves
 processed files away, so each run lists only what is new.
 """
@@ -31,13 +32,15 @@ from pyspark.sql.types import StructType
 from tablewatch.functions.time import AsOf, to_datetime
 from tablewatch.operators.audit import append_job_status
 from tablewatch.operators.ingest import LOADED_AT, JobMeta, job_status_row, load_raw_json
+from tablewatch.session import error_text
 from tablewatch.sources.files import CORRUPT_COLUMN, RAW_COLUMN, read_csv
 from tablewatch.sources.tables import TableRef
 
 _METRICS = "tablewatch_load"
 _PROGRESS_KEEP = "spark.sql.streaming.numRecentProgressUpdates"
-# Micro-batches whose progress a run keeps for its counts (default Spark keeps 100).
-PROGRESS_RETAINED = 100_000
+# Micro-batches whose progress Spark keeps until a run has added it to its counts (default 100).
+PROGRESS_RETAINED = 10_000
+POLL_SECONDS = 0.5
 
 
 _RETENTION_LOCK = threading.Lock()
@@ -46,7 +49,7 @@ _RETENTION_USERS: dict[int, list] = {}  # session id -> [active runs, previous v
 
 @contextlib.contextmanager
 def _progress_retained(spark: SparkSession):
-    """Keep every micro-batch's progress while at least one run of this session is active.
+    """Keep each micro-batch's progress until it is counted, while a run of this session is active.
 
     The setting is read by running queries, so it is raised by the first run to start and put
     back by the last one to finish (runs may overlap, e.g. from a thread pool).
@@ -78,6 +81,36 @@ class IncrementalRun:
     rejected: int = 0  # of those, records that did not parse (kept with their text)
 
 
+class _Counts:
+    """Sums over the micro-batches that had new input, added up while the query runs."""
+
+    def __init__(self):
+        self.batches = self.rows = self.rejected = 0
+        self.upto = -1  # last batch counted
+
+    def follow(self, query) -> None:
+        """Wait for the end of the query; what it has committed is counted even when it fails."""
+        try:
+            while not query.awaitTermination(POLL_SECONDS):
+                last = query.lastProgress
+                if last is not None and last["batchId"] - self.upto > PROGRESS_RETAINED // 10:
+                    self.add(query.recentProgress)
+        finally:
+            self.add(query.recentProgress)
+
+    def add(self, recent) -> None:
+        if len(recent) >= PROGRESS_RETAINED and recent[0]["batchId"] > self.upto + 1:
+            raise RuntimeError("micro-batches ended faster than they were counted: raise PROGRESS_RETAINED or max_files_per_trigger")
+        for p in recent:
+            if p.get("numInputRows", 0) > 0 and p["batchId"] > self.upto:
+                self.upto = p["batchId"]
+                self.batches += 1
+                self.rows += int(p["numInputRows"])
+                observed = (p.get("observedMetrics") or {}).get(_METRICS)
+                if observed is not None and "rejected" in observed:
+                    self.rejected += int(observed["rejected"])
+
+
 def _source_options(options: dict, max_files: int | None, clean_source: str | None, archive_dir: str | None) -> dict:
     out = dict(options)
     if max_files:
@@ -104,37 +137,32 @@ def _run(
     clock = clock or (lambda: to_datetime(None))
     start = clock()
     spark = stream.sparkSession
-    with _progress_retained(spark):
-        q = (
-            stream.observe(_METRICS, *metrics)
-            .writeStream.format(fmt)
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start(target)
-        )
-        q.awaitTermination()
-        recent = q.recentProgress
-    if q.exception() is not None:
-        raise q.exception()
-    if len(recent) >= PROGRESS_RETAINED:
-        raise RuntimeError("more micro-batches than progress kept: raise PROGRESS_RETAINED or max_files_per_trigger")
-    progress = [p for p in recent if p.get("numInputRows", 0) > 0]
-    rows = sum(int(p["numInputRows"]) for p in progress)
-    rejected = 0
-    for p in progress:
-        observed = (p.get("observedMetrics") or {}).get(_METRICS)
-        if observed is not None and "rejected" in observed:
-            rejected += int(observed["rejected"])
-    run = IncrementalRun(batches=len(progress), rows=rows, rejected=rejected)
-    if audit is not None:
-        meta, log = audit
-        rec = job_status_row(
-            stream.sparkSession, meta, start, clock(), "SUCCESS",
-            parsed=run.rows, staged=run.rows - run.rejected, inserted=run.rows,
-        )
-        append_job_status(rec, log)
-    return run
+    counts = _Counts()
+
+    def record(status: str, **reason) -> None:
+        if audit is not None:
+            meta, log = audit
+            rec = job_status_row(
+                spark, meta, start, clock(), status,
+                parsed=counts.rows, staged=counts.rows - counts.rejected, inserted=counts.rows, **reason,
+            )
+            append_job_status(rec, log)
+
+    try:
+        with _progress_retained(spark):
+            counts.follow(
+                stream.observe(_METRICS, *metrics)
+                .writeStream.format(fmt)
+                .option("checkpointLocation", checkpoint)
+                .outputMode("append")
+                .trigger(availableNow=True)
+                .start(target)
+            )
+    except Exception as err:  # noqa: BLE001 - recorded, then re-raised
+        record("FAILURE", failure_reason=error_text(err))
+        raise
+    record("SUCCESS")
+    return IncrementalRun(batches=counts.batches, rows=counts.rows, rejected=counts.rejected)
 
 
 def ingest_new_json_files(

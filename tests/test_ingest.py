@@ -1,8 +1,11 @@
 """Ingest operators on small files (FIXTURES 3.3, 3.4) and load properties."""
 
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tablewatch.operators import (
@@ -15,7 +18,7 @@ from tablewatch.operators import (
     replace_table,
 )
 from tablewatch.plans import run_gated_loads
-from tablewatch.streaming import ingest_new_json_files
+from tablewatch.streaming import incremental, ingest_new_json_files
 
 LINES = ['{"id":"b1","device":{"id":"d9"}}', '{"id":7,"device":3}', "{bad"]
 AS_OF = dt.datetime(2024, 1, 31)
@@ -165,6 +168,31 @@ def test_incremental_counts_cover_many_batches(spark, scratch):
     assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", None) in (None, "100")
 
 
+def test_incremental_counts_more_batches_than_are_retained(spark, scratch, monkeypatch):
+    monkeypatch.setattr(incremental, "PROGRESS_RETAINED", 6)
+    monkeypatch.setattr(incremental, "POLL_SECONDS", 0.02)
+    prefix, target, ck = scratch("more"), scratch("more-t"), scratch("more-ck")
+    spark.createDataFrame([(f'{{"id":{i}}}',) for i in range(20)], "value string").repartition(10).write.text(f"{prefix}/b")
+    files = spark.read.text(f"{prefix}/*").select("_metadata.file_path").distinct().count()
+    run = ingest_new_json_files(spark, f"{prefix}/*", target, ck, as_of=AS_OF, max_files_per_trigger=1)
+    assert files > 6 and (run.batches, run.rows, run.rejected) == (files, 20, 0)
+
+
+def test_incremental_failure_leaves_a_record(spark, scratch):
+    prefix, target, ck, log = scratch("fails"), scratch("fails-t"), scratch("fails-ck"), scratch("fails-log")
+    _write_lines(spark, f"{prefix}/b1", LINES)
+    time.sleep(1.1)  # the stream takes the older file first
+    folder = Path(prefix.removeprefix("file:")) / "b2"
+    folder.mkdir()
+    (folder / "broken.json.gz").write_bytes(b"not gzip at all")
+    meta = JobMeta("RAW", "TRIPS", "load_trips", "LOAD", "loads")
+    with pytest.raises(StreamingQueryException):
+        ingest_new_json_files(spark, f"{prefix}/*", target, ck, as_of=AS_OF, max_files_per_trigger=1, audit=(meta, log), clock=lambda: AS_OF)
+    rec = spark.read.parquet(log).collect()
+    assert [(r.job_status, r.recs_parsed, r.recs_staged, r.recs_inserted) for r in rec] == [("FAILURE", 3, 2, 3)]
+    assert rec[0].failure_reason
+
+
 def test_audited_refresh_records_deleted_rows_and_partitioned_append(spark, scratch):
     target = scratch("refresh-audit")
     append_load(spark.range(5).toDF("id"), target)
