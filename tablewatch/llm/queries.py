@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm import bm25, column_bwt, cover_tree, mix, parity_join, preference, token_records, toxicity, url_trie, zip_warc
+from tablewatch.llm import (
+    bm25,
+    column_bwt,
+    cover_tree,
+    mix,
+    parity_join,
+    preference,
+    spelling,
+    token_records,
+    toxicity,
+    url_trie,
+    zip_warc,
+)
 from tablewatch.llm.common import table
 
 # Fixed by the contract of op1: (host, path, verdict).
@@ -91,6 +103,10 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_trie": op1_url_trie,
     "op2_token_records": op2_token_records,
@@ -102,6 +118,7 @@ QUERIES = {
     "op9_zip_warc": op9_zip_warc,
     "op10_cover_tree": op10_cover_tree,
     "op8_mix": op8_mix,
+    "op11_spelling": op11_spelling,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -172,4 +189,40 @@ ORACLE_SQL = {
                (size * (epochs + (2 * upto - size <= 2 * (target - epochs * source_size))::BIGINT))::BIGINT AS taken
         FROM p
     """,
+    "op11_spelling": f"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+                       lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        runs AS (
+            SELECT coalesce(doc_id::VARCHAR, 'null') AS id,
+                   unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run
+            FROM documents),
+        kinds AS (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+        hashed AS (
+            SELECT run, n, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(hex(encode(id || ':' || run))), 2),
+                       lambda i: ('0x' || substr(hex(encode(id || ':' || run)), i, 2))::BIGINT)),
+                       lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+            FROM kinds, crc_table),
+        thinned AS (
+            SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+            FROM hashed),
+        w AS (SELECT word, sum(n)::BIGINT AS n FROM thinned WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS form
+                FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM w)),
+        links AS (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.form = b.form AND a.i = b.i AND a.word <> b.word
+            UNION SELECT cut.word, w.word, w.n FROM cut JOIN w ON cut.form = w.word
+            UNION SELECT w.word, cut.word, cut.n FROM cut JOIN w ON cut.form = w.word),
+        best AS (
+            SELECT word, count(*) AS n_near, max(near_n) AS most FROM links GROUP BY word),
+        pick AS (SELECT links.word, min(near) AS form FROM links JOIN best ON links.word = best.word AND near_n = most GROUP BY links.word),
+        judged AS (
+            SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+                   CASE WHEN most >= 2 * w.n THEN form END AS form, CASE WHEN most >= 2 * w.n THEN most END::BIGINT AS form_n
+            FROM w LEFT JOIN best ON w.word = best.word LEFT JOIN pick ON w.word = pick.word),
+        walk AS (
+            SELECT word, word AS root, form AS next FROM judged
+            UNION ALL SELECT walk.word, j.word, j.form FROM walk JOIN judged j ON walk.next = j.word)
+        SELECT judged.word, judged.form, walk.root, n, n_near, form_n FROM judged JOIN walk ON walk.word = judged.word AND walk.next IS NULL
+    """,
 }
