@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.llm import (
     bm25,
+    collocations,
     column_bwt,
     cover_tree,
     mix,
@@ -107,6 +108,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_trie": op1_url_trie,
     "op2_token_records": op2_token_records,
@@ -119,6 +124,7 @@ QUERIES = {
     "op10_cover_tree": op10_cover_tree,
     "op8_mix": op8_mix,
     "op11_spelling": op11_spelling,
+    "op13_collocations": op13_collocations,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -225,4 +231,32 @@ ORACLE_SQL = {
             UNION ALL SELECT walk.word, j.word, j.form FROM walk JOIN judged j ON walk.next = j.word)
         SELECT judged.word, judged.form, walk.root, n, n_near, form_n FROM judged JOIN walk ON walk.word = judged.word AND walk.next IS NULL
     """,
+    "op13_collocations": f"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(text, '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents WHERE text IS NOT NULL),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+        n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+        g AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+            FROM w, (SELECT unnest(range(1, 5))::INT AS k) WHERE len(ws) >= k),
+        f AS (SELECT lang, k, phrase, count(*)::BIGINT AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+        c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+        cuts AS (
+            SELECT lang, phrase, a, i, array_to_string(ws[1:i], ' ') AS first, array_to_string(ws[i + 1:], ' ') AS rest
+            FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+        v AS (
+            SELECT cuts.*, x.a AS l, y.a AS r, ((2000000::HUGEINT * cuts.a) // (x.a + y.a))::BIGINT AS score
+            FROM cuts JOIN f x ON cuts.lang = x.lang AND first = x.phrase JOIN f y ON cuts.lang = y.lang AND rest = y.phrase),
+        s AS (SELECT lang, phrase, a, l, r, score FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+        inside AS (
+            SELECT lang, array_to_string(ws[b:b + m - 1], ' ') AS phrase, max(a) AS longer
+            FROM (SELECT *, unnest(range(1, k - m + 2)) AS b FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL)
+        SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase)::INTEGER AS rank,
+               s.phrase, s.a, l, r, n, score
+        FROM s JOIN n ON s.lang = n.lang LEFT JOIN inside ON s.lang = inside.lang AND s.phrase = inside.phrase
+        WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * s.a
+        QUALIFY rank <= 2000
+    """,
 }
