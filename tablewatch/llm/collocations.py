@@ -126,8 +126,9 @@ class Head:
         return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def head_of(units: DataFrame, head_units: int, head_bytes: int, filter_bits: int) -> Head:
-    """The level's broadcast, of bounded size: ranks of the most frequent units, bits for the others.
+def head_of(units: DataFrame, before: list[Head], head_units: int, head_bytes: int, filter_bits: int) -> Head:
+    """The level's broadcast, of bounded size: ranks of the most frequent units, bits for all units if some
+    have no rank or consist of parts without one (``before``: the heads of shorter units).
 
     ``units``: stored ``lang, phrase, a``. The driver receives at most ``head_units`` rows of at most
     ``head_bytes`` together, and at most ``filter_bits / 8`` bytes of table."""
@@ -143,7 +144,7 @@ def head_of(units: DataFrame, head_units: int, head_bytes: int, filter_bits: int
             head.ranked.setdefault(lang, []).append(phrase)
         if full:
             break
-    if units.count() == sum(map(len, head.ranked.values())):
+    if not any(h.table for h in before) and units.count() == sum(map(len, head.ranked.values())):
         return head
 
     def bits(batches):
@@ -205,7 +206,7 @@ class _Numbers:
         self.hashes = [_word_hash(lang, w) for w in self.words] if any(h.table for h in heads) else None
         # Each further level's ranked units as sorted (rank of the unit before, rank of the word) cells.
         self.levels = []
-        ranks, before = self.ranks, None
+        ranks = self.ranks
         for head in heads[1:]:
             units = head.ranked.get(lang, ())
             # A unit whose parts have no rank themselves cannot be addressed; the bit table has it too.
@@ -337,14 +338,14 @@ def frequent_phrases(
     counts = stored(word_counts(texts), "collocation-words")
     sizes = counts.groupBy("lang").agg(F.sum("a").alias("n"))
     found = [counts.where(F.col("a") >= min_count)]
-    heads = [head_of(found[0], head_units, head_bytes, filter_bits)]
+    heads = [head_of(found[0], [], head_units, head_bytes, filter_bits)]
     for level in range(2, max_words + 1):
         shared = spark.sparkContext.broadcast(heads)
         longer = stored(longer_counts(texts, shared).where(F.col("a") >= min_count), f"collocation-{level}")
         shared.destroy()
         found.append(longer)
         if level < max_words:
-            heads = [*heads, head_of(longer, head_units, head_bytes, filter_bits)]
+            heads = [*heads, head_of(longer, heads, head_units, head_bytes, filter_bits)]
     whole = found[0].withColumn("words", F.lit(1))
     for level, df in enumerate(found[1:], start=2):
         whole = whole.unionByName(df.withColumn("words", F.lit(level)))

@@ -13,6 +13,7 @@ from tablewatch.llm import (
     mix,
     parity_join,
     preference,
+    secret_scan,
     spelling,
     token_records,
     toxicity,
@@ -108,6 +109,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.with_digests(secret_scan.find_secrets(docs, secret_scan.train(docs)))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -124,6 +130,7 @@ QUERIES = {
     "op10_cover_tree": op10_cover_tree,
     "op8_mix": op8_mix,
     "op11_spelling": op11_spelling,
+    "op12_secret_scan": op12_secret_scan,
     "op13_collocations": op13_collocations,
 }
 

@@ -126,7 +126,7 @@ def brute_collocations(rows, min_count, top=2000, scale=2_000_000):
     return out
 
 
-@pytest.mark.parametrize("tiling", [{}, {"head_units": 6}, {"head_units": 1, "filter_bits": 64}, {"head_bytes": 40}])
+@pytest.mark.parametrize("tiling", [{}, {"head_units": 6}, {"head_units": 31}, {"head_units": 1, "filter_bits": 64}, {"head_bytes": 40}])
 def test_collocations_equal_brute_force(spark, tiling):
     rng = random.Random(9)
     vocabulary = ["the", "The", "of", "é x", "a-b", "and", "x" * 30, "it", "\x1cq", "zu"]
@@ -165,3 +165,97 @@ def test_collocations_of_no_documents(spark):
     empty = docs_of(spark, ["x"]).limit(0)
     assert collocations.collocations(empty).collect() == []
     assert collocations.collocations(docs_of(spark, [None, ""])).collect() == []
+
+
+# -------------------------------------------------------------------------------- secret scans
+
+
+def brute_base(text):
+    """(start, kind, end) in code points, straight from the contract's patterns."""
+    text = text or ""
+    assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+    out = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def secret_texts():
+    rng = random.Random(4)
+    hexed = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    mixed = lambda n: "".join(rng.choices("ABCDEFGHJKMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789", k=n))
+    plain = lambda: " ".join("".join(rng.choices("aeéinrst", k=rng.randint(2, 8))) for _ in range(rng.randint(1, 30)))
+    texts = []
+    for _ in range(900):
+        kind = rng.randrange(6)
+        middle = [
+            f'{rng.choice(["token", "Secret", "API_KEY", "passwd"])}{rng.choice([" = ", ":", "=", ": "])}"{mixed(rng.randint(12, 40))}"',
+            f"AKIA{''.join(rng.choices('ABCDEFG0123456789', k=16))}", hexed(40),
+            f"{''.join(rng.choices('aeinrst', k=6))}.{rng.randint(10, 99)}@mail{rng.randint(0, 9)}.example.com",
+            f"version-{rng.randint(1, 9)}.{rng.randint(0, 99)}.release", "",
+        ][kind]
+        texts.append(f"{plain()} {middle} {plain()}")
+    odd = ["", None, "secret: token: abcdefgh", "token=short", "xAKIA" + "A" * 15, "AKIA" + "9" * 300, "f" * 23, "ſecret = abcdefgh", "toKen" + " " * 50 + "= 'é", "key " + mixed(4000) + " " + hexed(9000)]
+    return texts + odd
+
+
+@pytest.fixture(scope="module")
+def secrets(spark):
+    from tablewatch.llm import secret_scan
+
+    texts = secret_texts()
+    net = secret_scan.train(docs_of(spark, texts), sample=400)
+    return texts, net
+
+
+def test_secret_base_findings_equal_brute_force(spark, secrets):
+    import hashlib
+
+    from tablewatch.llm import secret_scan
+
+    texts, net = secrets
+    for model in (net, None):
+        rows = secret_scan.with_digests(secret_scan.find_secrets(docs_of(spark, texts), model)).collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            base = [f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in brute_base(texts[r.doc_id])]
+            assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+            assert [r.n_assign, r.n_access, r.n_hex] == [sum(x.startswith(k + ":") for x in base) for k in secret_scan.KINDS]
+            assert [x for x in r.spans.split(",") if x and not x.startswith("model:")] == base
+            assert len([x for x in r.spans.split(",") if x]) == len(base) + r.n_model
+            if model is None:
+                assert r.n_model == 0
+
+
+def test_secret_network_finds_what_the_patterns_miss(spark, secrets):
+    from tablewatch.llm import secret_scan
+
+    _, net = secrets
+    assert 0 < net.threshold <= 1
+    rng = random.Random(11)
+    bare = ["".join(rng.choices("ABCDEFGHJKMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789", k=32)) for _ in range(60)]
+    mails = [f"{''.join(rng.choices('aeinrst', k=6))}.{rng.randint(10, 99)}@mail{rng.randint(0, 9)}.example.com" for _ in range(60)]
+    rows = secret_scan.find_secrets(docs_of(spark, [f'néw "{x}" here' for x in bare] + [f"write to {x} now" for x in mails]), net).collect()
+    found = {r.doc_id: r.findings for r in rows}
+    hit = sum(any(f.kind == "model" and (f.start, f.end) == (5, 37) for f in found[i]) for i in range(60))
+    assert hit >= 50 and sum(bool(found[60 + i]) for i in range(60)) <= 3
+
+
+def test_secret_scores_do_not_depend_on_chunks(secrets):
+    from tablewatch.llm import secret_scan
+
+    _, net = secrets
+    raw = bytes(random.Random(3).choices(range(33, 120), k=1000))
+    symbols, _ = secret_scan.encode([(raw, 24, 980)], chunk=1000)
+    values, _ = net.maxima(symbols)
+    whole = np.maximum(values[:, 0] + net.bias, 0).ravel() @ net.dense + net.offset
+    assert abs(net.logits([(raw, 24, 980)])[0] - whole) < 1e-3
+
+
+def test_secret_scan_without_labels_or_documents(spark):
+    from tablewatch.llm import secret_scan
+
+    plain = docs_of(spark, [None, "", "no secrets", "nothing 12345678a here"])
+    assert secret_scan.train(plain) is None and secret_scan.train(plain.limit(0)) is None
+    assert all(r.findings == [] for r in secret_scan.find_secrets(plain, None).collect())
+    assert secret_scan.find_secrets(plain.limit(0), None).collect() == []
