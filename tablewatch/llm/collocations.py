@@ -40,11 +40,13 @@ NO_LANG = "und"
 TILE = 512
 #: A tile is dense if at least one cell in so many is hit.
 DENSE_FROM = 8
-BUFFER_CELLS = 1 << 21
-HEAD_UNITS = 1 << 18
-HEAD_BYTES = 8 << 20
+BUFFER_CELLS = 1 << 20
+HEAD_UNITS = 1 << 17
+HEAD_BYTES = 4 << 20
 FILTER_BITS = 1 << 26
 FLUSH_WORDS = 500_000
+#: Rows of a batch that a task hands on.
+ROWS_OUT = 1 << 16
 #: Words that only the bit table admits, held by a task before it counts and forgets them.
 MOST_LOCAL = 200_000
 #: Languages whose numbering a task keeps from one buffer to the next.
@@ -84,14 +86,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
             words = [w for words in held.values() for w in words]
             counts = [n for words in held.values() for n in words.values()]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), _utf8(words), pa.array(counts, pa.int64())], names=["lang", "phrase", "a"])
+            out = pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), _utf8(words), pa.array(counts, pa.int64())], names=["lang", "phrase", "a"])
+            for lo in range(0, out.num_rows, ROWS_OUT):
+                yield out.slice(lo, ROWS_OUT)
 
         for batch in batches:
             for lang, text in _texts(batch):
                 held[lang].update(text.translate(_FOLDED).split())
                 if sum(map(len, held.values())) >= FLUSH_WORDS:
-                    yield rows()
-        yield rows()
+                    yield from rows()
+        yield from rows()
 
     return docs.mapInArrow(count, _COUNTS).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
@@ -118,6 +122,10 @@ class Head:
     ranked: dict = field(default_factory=dict)  # lang -> units by rank (byte strings, words joined by one space)
     table: bytes = b""  # bits over hashes of the frequent units without a rank; empty if all have one
 
+    def admits_one(self, h: int) -> bool:
+        at = h % (len(self.table) * 8)
+        return self.table[at >> 3] >> (at & 7) & 1 == 1
+
     def admits(self, hashes: np.ndarray) -> np.ndarray:
         if not self.table:
             return np.zeros(len(hashes), bool)
@@ -219,7 +227,7 @@ class _Numbers:
     def number(self, word: bytes) -> int:
         """The number of a word that is not ranked: -1 if it is not frequent."""
         h = _word_hash(self.lang, word)
-        if self.heads[0].admits(np.array([h], np.uint64))[0]:
+        if self.heads[0].admits_one(h):
             self.ranks[word] = len(self.words)
             self.words.append(word)
             self.hashes.append(h)
@@ -287,11 +295,11 @@ def longer_counts(docs: DataFrame, shared) -> DataFrame:
         heads, known, buffers = shared.value, {}, {}
 
         def flush(lang):
-            codes = np.array(buffers.pop(lang), np.int64)
-            out = _count_buffer(known[lang], codes)
-            if len(known[lang].ranks) > MOST_LOCAL:
+            out = _count_buffer(known[lang], np.concatenate(buffers.pop(lang)))
+            if len(known[lang].ranks) - known[lang].ranked > MOST_LOCAL:
                 known[lang].forget()
-            return out
+            for lo in range(0, out.num_rows, ROWS_OUT):
+                yield out.slice(lo, ROWS_OUT)
 
         size = 0
         for batch in batches:
@@ -299,24 +307,23 @@ def longer_counts(docs: DataFrame, shared) -> DataFrame:
                 if lang not in known:
                     known[lang] = _Numbers(lang, heads)
                 numbers = known[lang]
-                ranks, codes = numbers.ranks, buffers.setdefault(lang, [])
-                before = len(codes)
-                rank = ranks.get
+                rank, codes = numbers.ranks.get, []
                 for piece in pieces(text):
                     if numbers.open:
                         codes.extend([numbers.number(w) if (k := rank(w)) is None else k for w in piece])
                     else:
                         codes.extend([rank(w, -1) for w in piece])
                     codes.append(-1)
-                size += len(codes) - before
+                buffers.setdefault(lang, []).append(np.array(codes, np.int32))
+                size += len(codes)
                 if size >= BUFFER_CELLS:
                     for x in list(buffers):
-                        yield flush(x)
+                        yield from flush(x)
                     if len(known) > MOST_LANGS:
                         known.clear()
                     size = 0
         for x in list(buffers):
-            yield flush(x)
+            yield from flush(x)
 
     return docs.mapInArrow(count, _COUNTS).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
