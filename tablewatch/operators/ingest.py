@@ -1,14 +1,15 @@
 """File-to-table loads (raw JSON, positional CSV, whole CSV), append / full refresh, gated reloads and
 loads that leave a job-status record.
 
-A load is one scan of the files and one write. Parse counts are taken with ``DataFrame.observe``
-during that write, so auditing a load costs no second pass. Rejected records are written to a
-side location only when there are some.
+The files of a load are scanned once. A load that can hold bad records writes what it reads into a
+staged folder, split into good and rejected; its counts are observed on the way. From there the rejects are
+published first and the good rows last, so a load that fails at any point has not changed its target.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -20,7 +21,8 @@ from tablewatch.functions.columns import extract_paths
 from tablewatch.functions.time import AsOf, load_time, to_datetime
 from tablewatch.operators.audit import append_job_status
 from tablewatch.schemas import JOB_STATUS
-from tablewatch.session import error_text, local_frame
+from tablewatch.session import error_text, local_frame, scratch_path
+from tablewatch.sources import store
 from tablewatch.sources.files import (
     CORRUPT_COLUMN,
     RAW_COLUMN,
@@ -28,7 +30,18 @@ from tablewatch.sources.files import (
     read_csv,
     read_raw_json,
 )
-from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, table_exists, write_table
+from tablewatch.sources.tables import (
+    LOAD_RUN,
+    TableLike,
+    TableRef,
+    as_ref,
+    drop_run,
+    has_runs,
+    read_table,
+    table_exists,
+    write_runs,
+    write_table,
+)
 
 LOADED_AT = "loaded_at"
 
@@ -103,10 +116,21 @@ def load_csv(
     *,
     header: bool = True,
     sep: str = ",",
+    corrupt_column: str | None = CORRUPT_COLUMN,
+    as_of: AsOf = None,
+    loaded_at: str | None = None,
+    streaming: bool = False,
     **options,
 ) -> DataFrame:
-    """A CSV file (or folder) as it is, typed by ``schema``."""
-    return read_csv(spark, path, schema, header=header, sep=sep, **options)
+    """A CSV file (or folder) as it is, typed by ``schema``.
+
+    ``corrupt_column`` holds the text of a row that does not fit the schema (null for the others); loads
+    write such rows to the target's rejects. ``loaded_at`` names a load-time column to add.
+    """
+    df = read_csv(
+        spark, path, schema, header=header, sep=sep, corrupt_column=corrupt_column, streaming=streaming, **options
+    )
+    return df.select("*", load_time(as_of).alias(loaded_at)) if loaded_at else df
 
 
 # ---------------------------------------------------------------------------------------------
@@ -133,17 +157,22 @@ def rejects_of(target: TableRef | str) -> TableRef:
     return TableRef(t.location.rstrip("/") + REJECTS_SUFFIX, "parquet" if t.is_path else t.format)
 
 
-def _norm(uri: str) -> str:
-    """Comparable form of a local path / ``file:`` URI (other schemes are kept as they are)."""
-    u = uri[len("file:"):] if uri.startswith("file:") else uri
-    if u.startswith("/"):
-        u = "/" + u.lstrip("/")
-    return u.rstrip("/")
+_REJECTED = "_tablewatch_rejected"
 
 
-def _reads_location(df: DataFrame, location: str) -> bool:
-    root = _norm(location)
-    return any(_norm(f) == root or _norm(f).startswith(root + "/") for f in df.inputFiles())
+def _stage_split(df: DataFrame, corrupt_column: str, obs: Observation) -> tuple[str, DataFrame]:
+    """Write ``df`` once, good and rejected rows in partitions of their own; returns the folder and what
+    it holds."""
+    spark = df.sparkSession
+    staged = scratch_path(spark, "staged-load")
+    metrics = [F.count(F.lit(1)).alias("parsed"), F.count_if(F.col(corrupt_column).isNotNull()).alias("rejected")]
+    split = df.observe(obs, *metrics).withColumn(_REJECTED, F.col(corrupt_column).isNotNull())
+    try:
+        split.write.partitionBy(_REJECTED).parquet(staged)
+    except Exception:
+        store.delete(spark, staged)
+        raise
+    return staged, spark.read.schema(split.schema).parquet(staged)
 
 
 def write_load(
@@ -155,14 +184,19 @@ def write_load(
     rejects: TableRef | str | bool | None = True,
     partition_by: list[str] | None = None,
     count_replaced: bool = True,
+    load_run: str | None = None,
 ) -> LoadResult:
     """Write ``df`` to ``target``; rows whose ``corrupt_column`` is set go to ``rejects`` instead.
 
-    One pass: counts are observed on the way into the write. The rejected rows are read a second
-    time only if some exist. ``rejects=True`` (default) appends them to ``rejects_of(target)``;
-    a location appends them there; ``False`` / ``None`` keeps only their count. On an overwrite,
-    ``count_replaced`` counts the rows being replaced (a footer-only count of the old target,
-    one job; turn it off for targets with very many files, ``deleted`` is then 0).
+    The source is scanned once: a load with a ``corrupt_column`` is staged, good and rejected rows apart,
+    and published from there -- rejects first, into a ``load_run`` partition of their own, then the good
+    rows. If the rejects cannot be written, the target is untouched; if the target cannot, the rejects
+    of this load are taken back. ``rejects=True`` (default) is ``rejects_of(target)``; ``False`` / ``None`` keeps
+    only the count. On an overwrite, ``count_replaced`` counts the rows being replaced (a footer-only
+    count; turn it off for targets with very many files, ``deleted`` is then 0).
+
+    A target that is partitioned by ``load_run`` (incremental loads make such tables) gets the rows in a
+    partition of this load; ``load_run`` names it, and a load repeated under one name replaces itself.
     """
     target = as_ref(target)
     if rejects is True:
@@ -170,45 +204,59 @@ def write_load(
     elif rejects is False:
         rejects = None
     spark = df.sparkSession
-    has_corrupt = corrupt_column in df.columns
+    if target.is_path and store.exists(spark, f"{target.location.rstrip('/')}/_spark_metadata"):
+        # Readers of such a folder see only what the stream's own log lists.
+        raise ValueError(f"{target.location} is a stream's output folder: rows appended to it would not be seen")
+    run = load_run or f"load-{uuid.uuid4().hex[:16]}"
     deleted = 0
-    if mode == "overwrite" and table_exists(spark, target):
-        # A path overwrite deletes the old files before the job reads them: a load that reads its
-        # own target would lose it. (The check lists the load's input files, once per refresh.)
-        if target.is_path and _reads_location(df, target.location):
-            raise ValueError(f"refusing to overwrite {target.location}: the load reads from it")
-        if count_replaced:
-            deleted = read_table(spark, target).count()
+    if mode == "overwrite" and count_replaced and table_exists(spark, target):
+        deleted = read_table(spark, target).count()
 
     obs = Observation("load")
-    metrics = [F.count(F.lit(1)).alias("parsed")]
-    if has_corrupt:
-        metrics.append(F.count_if(F.col(corrupt_column).isNotNull()).alias("rejected"))
-    observed = df.observe(obs, *metrics)
-    good = observed.where(F.col(corrupt_column).isNull()).drop(corrupt_column) if has_corrupt else observed
-    write_table(good, target, mode=mode, partition_by=partition_by)
-
+    staged = rejects_location = None
+    try:
+        if corrupt_column in df.columns:
+            staged, split = _stage_split(df, corrupt_column, obs)
+            good = split.where(~F.col(_REJECTED)).drop(_REJECTED, corrupt_column)
+            bad = split.where(F.col(_REJECTED)).drop(_REJECTED)
+        else:
+            good, bad = df.observe(obs, F.count(F.lit(1)).alias("parsed")), None
+        if bad is not None and rejects is not None and int(obs.get["rejected"]):
+            write_runs(bad.withColumn(LOAD_RUN, F.lit(run)), rejects, [run])
+            rejects_location = as_ref(rejects).location
+        try:
+            _write_good(good, target, mode, partition_by, run, named=load_run is not None)
+        except Exception:
+            if rejects_location is not None:
+                drop_run(spark, rejects, run)
+            raise
+    finally:
+        if staged is not None:
+            store.delete(spark, staged)
     m = obs.get
     parsed, rejected = int(m["parsed"]), int(m.get("rejected", 0))
-    rejects_location = None
-    if rejected and rejects is not None:
-        bad = df.where(F.col(corrupt_column).isNotNull())
-        write_table(bad, rejects, mode="append")
-        rejects_location = as_ref(rejects).location
     return LoadResult(target, parsed, rejected, parsed - rejected, deleted, rejects_location)
 
 
+def _write_good(good: DataFrame, target: TableRef, mode: str, partition_by: list[str] | None, run: str, named: bool) -> None:
+    spark = good.sparkSession
+    if LOAD_RUN in good.columns or not (named or has_runs(spark, target)):
+        write_table(good, target, mode=mode, partition_by=partition_by)
+    elif mode == "overwrite":
+        write_table(good.withColumn(LOAD_RUN, F.lit(run)), target, mode=mode, partition_by=[LOAD_RUN])
+    else:
+        write_runs(good.withColumn(LOAD_RUN, F.lit(run)), target, [run])
+
+
 def append_load(df: DataFrame, target: TableRef | str, **kw) -> LoadResult:
     """Append a load to ``target`` (created when absent)."""
     return write_load(df, target, mode="append", **kw)
 
 
 def replace_table(df: DataFrame, target: TableRef | str, **kw) -> LoadResult:
-    """Full refresh: the target afterwards holds exactly ``df`` (delete-all and load in one write).
-
-    ``df`` must not read ``target`` itself: Spark refuses that for catalog tables, and for a path
-    target it is refused here before anything is deleted.
-    """
+    """Full refresh: the target afterwards holds exactly ``df``. The new rows are complete before the old
+    ones go (see ``write_table``), so a refresh that fails leaves the target as it was, and ``df`` may
+    read the target."""
     return write_load(df, target, mode="overwrite", **kw)
 
 

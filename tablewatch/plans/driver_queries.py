@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import contextvars
 import functools
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +51,9 @@ from tablewatch.operators.reconcile import (
 from tablewatch.plans.daily_audit import run_daily_audit
 from tablewatch.plans.loads import run_gated_loads
 from tablewatch.plans.validation import run_validation
-from tablewatch.session import scratch_path
-from tablewatch.sources.files import read_delimited_config
-from tablewatch.sources.tables import TableRef
+from tablewatch.session import materialize, scratch_path
+from tablewatch.sources.files import CORRUPT_COLUMN, read_delimited_config
+from tablewatch.sources.tables import LOAD_RUN, TableRef
 from tablewatch.streaming.incremental import ingest_new_csv_files, ingest_new_json_files
 
 # Fixed run times and cut-offs of the registered queries (the oracle SQL uses the same values).
@@ -237,18 +238,53 @@ def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def csv_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-5 + ING-8: supplier as CSV with a header, beside each row a broken copy whose key is its name; the
+    copies go to the rejects table with their text. Both tables are read back."""
+    sup = _t(spark, sf_dir, "supplier")
+    stage = scratch_path(spark, "rejects-csv")
+    sup.write.option("header", True).csv(f"{stage}/good")
+    broken = sup.select(F.col("s_name").alias("s_suppkey"), "s_name", "s_nationkey", "s_acctbal")
+    broken.write.option("header", True).csv(f"{stage}/broken")
+    target = scratch_path(spark, "rejects-csv-target")
+    load = append_load(load_csv(spark, [f"{stage}/good", f"{stage}/broken"], sup.schema), target)
+    good = spark.read.parquet(target).select(F.lit("good").alias("part"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    # The name is the second field of the rejected text.
+    text = F.split(CORRUPT_COLUMN, ",")
+    bad = spark.read.parquet(load.rejects_location).select(F.lit("rejected").alias("part"), F.lit(None).cast("bigint").alias("key"), text[1].alias("name"))
+    return good.unionByName(bad)
+
+
+GATED_EARLIER = "1998-01-01 00:00:00"
+
+
 def gated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ING-6: reloads gated by run flag: ORDERS (``Y``) is reloaded, LINEITEM (``N``) is not."""
+    """ING-6: two tables hold an earlier load; reloads are gated by run flag: ORDERS (``Y``) holds all rows
+    afterwards, LINEITEM (``N``) what it held. The targets are read back."""
     root = scratch_path(spark, "gated")
     flags = {"ORDERS": "Y", "LINEITEM": "N"}
     sources = {"ORDERS": _t(spark, sf_dir, "orders"), "LINEITEM": _t(spark, sf_dir, "lineitem")}
+    day = {"ORDERS": "o_orderdate", "LINEITEM": "l_shipdate"}
+    for n, df in sources.items():
+        replace_table(df.where(F.col(day[n]) < F.lit(GATED_EARLIER).cast("timestamp_ntz")), f"{root}/{n.lower()}")
     results = run_gated_loads(spark, flags, sources, lambda n: TableRef(f"{root}/{n.lower()}"))
-    rows = [(n, flags[n], results[n].inserted if results[n] else 0) for n in flags]
-    return spark.createDataFrame(rows, "table_name string, run_flag string, rows_loaded bigint")
+    parts = [
+        spark.read.parquet(f"{root}/{n.lower()}").agg(F.count(F.lit(1)).alias("target_rows"), F.max(day[n]).alias("last_day")).select(
+            F.lit(n).alias("table_name"),
+            F.lit(flags[n]).alias("run_flag"),
+            F.lit(results[n].inserted if results[n] else 0).cast("bigint").alias("rows_loaded"),
+            F.lit(results[n].deleted if results[n] else 0).cast("bigint").alias("rows_replaced"),
+            "target_rows",
+            "last_day",
+        )
+        for n in flags
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def gated_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ING-6 + ING-8: gated reloads of three tables (two flagged ``Y``) leaving job-status records."""
+    """ING-6 + ING-8: gated reloads of three tables (two flagged ``Y``) leaving job-status records; beside each
+    record stands what its target holds."""
     root = scratch_path(spark, "gated-audited")
     flags = {"ORDERS": "Y", "LINEITEM": "N", "CUSTOMER": "Y"}
     sources = {n: _t(spark, sf_dir, n.lower()) for n in flags}
@@ -257,8 +293,11 @@ def gated_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_gated_loads(
         spark, flags, sources, lambda n: TableRef(f"{root}/{n.lower()}"), audit_log=log, clock=lambda: clock_value
     )
-    return spark.read.parquet(log).select(
-        "job_id", "table_name", "task_id", "job_status", "recs_parsed", "recs_inserted", "recs_deleted"
+    held = table_profile(spark, {n: f"{root}/{n.lower()}" for n in ("ORDERS", "CUSTOMER")}).select(
+        "table_name", F.col("row_count").alias("target_rows")
+    )
+    return spark.read.parquet(log).join(held, "table_name", "left").select(
+        "job_id", "table_name", "task_id", "job_status", "recs_parsed", "recs_inserted", "recs_deleted", "target_rows"
     )
 
 
@@ -285,21 +324,21 @@ def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING-7 on CSV: part lands as two header CSV batches (by size); two runs load every part once,
-    typed by the table's schema."""
+    typed by the table's schema, with its load time."""
     part = _t(spark, sf_dir, "part")
     prefix = scratch_path(spark, "csv-landing")
     target, ckpt = scratch_path(spark, "csv-landing-target"), scratch_path(spark, "csv-landing-checkpoint")
     small = F.col("p_size") <= PART_BATCH_MAX_SIZE
     part.where(small).write.option("header", True).csv(f"{prefix}/batch1")
-    ingest_new_csv_files(spark, f"{prefix}/*", target, ckpt, part.schema)
+    ingest_new_csv_files(spark, f"{prefix}/*", target, ckpt, part.schema, as_of=LOAD_AS_OF)
     part.where(~small).write.option("header", True).csv(f"{prefix}/batch2")
-    ingest_new_csv_files(spark, f"{prefix}/*", target, ckpt, part.schema)
-    return spark.read.parquet(target)
+    ingest_new_csv_files(spark, f"{prefix}/*", target, ckpt, part.schema, as_of=LOAD_AS_OF)
+    return spark.read.parquet(target).drop(LOAD_RUN)
 
 
 def incremental_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING-7 + ING-8: orders land as two JSON batches, the second with an unterminated copy of
-    every pending order; each of three runs leaves a job-status record of what it read and parsed."""
+    every pending order; each of three runs leaves a job-status record of what it read, parsed and wrote."""
     orders = _t(spark, sf_dir, "orders")
     prefix = scratch_path(spark, "audited-landing")
     target, ckpt = scratch_path(spark, "audited-landing-target"), scratch_path(spark, "audited-landing-ckpt")
@@ -326,6 +365,39 @@ def incremental_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-7 + ING-5: orders of one status land as JSON and are loaded incrementally into a catalog table, those of
+    another are appended as a batch, the rest land and are loaded incrementally; the table is read
+    back, and its load runs are counted."""
+    orders = _t(spark, sf_dir, "orders")
+    prefix, ckpt = scratch_path(spark, "backfill-landing"), scratch_path(spark, "backfill-ckpt")
+    name = f"tablewatch_backfill_{uuid.uuid4().hex[:12]}"
+    rec = _json(F.col("o_orderkey").alias("id"), "o_orderstatus", "o_totalprice")
+    paths = {"id": ("$.id", "bigint"), "status": "$.o_orderstatus", "price": ("$.o_totalprice", "double")}
+
+    def ingest():
+        ingest_new_json_files(spark, f"{prefix}/*", name, ckpt, paths=paths, as_of=LOAD_AS_OF)
+
+    _stage_lines(orders.where("o_orderstatus = 'F'").select(rec), f"{prefix}/batch1")
+    ingest()
+    batch = _stage_lines(orders.where("o_orderstatus = 'O'").select(rec), scratch_path(spark, "backfill-batch"))
+    append_load(load_raw_json(spark, batch, paths, LOAD_AS_OF), name)
+    _stage_lines(orders.where("o_orderstatus NOT IN ('F', 'O')").select(rec), f"{prefix}/batch2")
+    ingest()
+    ingest()
+    loaded = spark.read.table(name)
+    out = materialize(
+        loaded.groupBy("status").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct("id").alias("n_ids"),
+            F.max("price").alias("max_price"),
+            F.count_distinct(LOAD_RUN).alias("n_runs"),
+        )
+    )
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING-8: orders as JSON plus an unterminated (corrupt) copy of every pending order; the
     load's job-status record counts parsed, staged and inserted records."""
@@ -645,6 +717,8 @@ _QUERY_FUNCTIONS = {
     "load_audit": load_audit,
     "incremental_csv": incremental_csv,
     "incremental_audit": incremental_audit,
+    "incremental_backfill": incremental_backfill,
+    "csv_load_rejects": csv_load_rejects,
     "daily_ingest_audit": daily_ingest_audit,
     "daily_ingest_audit_recent": daily_ingest_audit_recent,
     "job_status_rows": job_status_rows,

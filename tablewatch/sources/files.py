@@ -56,14 +56,21 @@ def read_csv(
     *,
     header: bool = False,
     sep: str = ",",
+    corrupt_column: str | None = None,
     streaming: bool = False,
     **options,
 ) -> DataFrame:
     """CSV with an explicit schema (never inferred: inference is a full extra pass over the data).
 
-    In the default PERMISSIVE mode a short row is padded with nulls and extra fields are dropped.
+    In the default PERMISSIVE mode a short row is padded with nulls and extra fields are dropped. With
+    ``corrupt_column`` the text of a row that does not fit the schema (a value of another type, more or
+    fewer fields) is kept in that column; it is null for the others.
     """
     reader = spark.readStream if streaming else spark.read
+    if corrupt_column:
+        schema = StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))
+        schema = schema.add(corrupt_column, StringType(), True)
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     r = reader.schema(schema).option("header", header).option("sep", sep).options(**options).format("csv")
     return r.load(path)
 

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablewatch.session import scratch_path
+from tablewatch.sources import store
+
+# Partition column of tables that are loaded run by run.
+LOAD_RUN = "load_run"
+
 
 @dataclass(frozen=True)
 class TableRef:
     """Where a table lives. ``location`` is a catalog name (``db.table``) or a path (has ``/`` or ``:``).
 
-    ``format`` is any Spark data source. Plain Parquet overwrites delete then write; use a
-    transactional format (Delta, Iceberg) when a replace must be atomic for readers. With
+    ``format`` is any Spark data source. With
     ``format="jdbc"`` the location is the database table (``dbtable``) and ``options`` carry the
     ``url`` and credentials: reads and appends go through Spark's JDBC source (appends in batches
     of ``batchsize`` rows per task, not row by row).
@@ -95,7 +102,15 @@ def write_table(
     mode: str = "append",
     partition_by: list[str] | None = None,
 ) -> None:
+    """Append ``df`` to a table or make it the table's content.
+
+    An overwrite is staged: the rows are written in full beside the target first, so a job that
+    fails leaves the rows that were there. A path target then gets the new version by rename. An
+    existing catalog table gets it by ``INSERT OVERWRITE`` (columns by name), which keeps its
+    definition: partitioning, comments, properties. ``df`` may read the target.
+    """
     ref = as_ref(t)
+    spark = df.sparkSession
     w = df.write.mode(mode).format(ref.format).options(**ref.options)
     if ref.is_jdbc:
         if mode == "overwrite" and "truncate" not in ref.options:
@@ -106,11 +121,96 @@ def write_table(
     if partition_by:
         w = w.partitionBy(*partition_by)
     if ref.is_path:
-        w.save(ref.location)
+        store.restore_folder(spark, ref.location)
+        if mode != "overwrite":
+            w.save(ref.location)
+            return
+        staged = store.staging_name(ref.location)
+        try:
+            w.save(staged)
+            store.publish_folder(spark, staged, ref.location)
+        finally:
+            store.delete(spark, staged)  # there only if a step failed
+    elif mode == "overwrite" and spark.catalog.tableExists(ref.location):
+        staged = scratch_path(spark, "staged-overwrite")
+        try:
+            df.write.parquet(staged)
+            _insert_overwrite(spark.read.schema(df.schema).parquet(staged), ref.location)
+        finally:
+            store.delete(spark, staged)
     else:
         w.saveAsTable(ref.location)
 
 
+def quoted(name: str) -> str:
+    """A qualified table name with each part quoted."""
+    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in name.split("."))
+
+
+def _insert_overwrite(df: DataFrame, table: str, partition: tuple[str, str] | None = None) -> None:
+    """Replace a catalog table's rows, or those of one partition, by ``df`` (columns by name)."""
+    view = f"tablewatch_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    value = "" if partition is None else partition[1].replace("\\", "\\\\").replace("'", "\\'")
+    where = "" if partition is None else f" PARTITION (`{partition[0]}` = '{value}')"
+    try:
+        df.sparkSession.sql(f"INSERT OVERWRITE TABLE {quoted(table)}{where} BY NAME SELECT * FROM {view}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
+
+
+def write_runs(df: DataFrame, t: TableRef | str, runs: list[str], run_column: str = LOAD_RUN) -> None:
+    """Write the rows of the named runs, each into its own partition of the target, in place of what that
+    partition held: a step that is repeated after a failure adds nothing.
+
+    ``df`` has ``run_column`` (string); a run without rows leaves its partition alone. The target
+    is created when absent; one that exists must be partitioned by ``run_column``."""
+    ref = as_ref(t)
+    spark = df.sparkSession
+    if ref.is_jdbc:
+        raise ValueError("a database table has no run partitions: append to it instead")
+    columns = [c for c in df.columns if c != run_column]
+    df = df.where(F.col(run_column).isin(runs)).select(*columns, run_column)
+    if ref.is_path:
+        store.restore_folder(spark, ref.location)
+        if store.exists(spark, ref.location) and not has_runs(spark, ref, run_column) and _holds_rows(spark, ref.location):
+            raise ValueError(f"{ref.location} is not partitioned by {run_column}")
+        w = df.write.mode("overwrite").format(ref.format).options(**ref.options)
+        w.option("partitionOverwriteMode", "dynamic").partitionBy(run_column).save(ref.location)
+    elif not spark.catalog.tableExists(ref.location):
+        df.write.format(ref.format).options(**ref.options).partitionBy(run_column).saveAsTable(ref.location)
+    elif not has_runs(spark, ref, run_column):
+        raise ValueError(f"{ref.location} is not partitioned by {run_column}")
+    else:
+        for run in runs:
+            _insert_overwrite(df.where(F.col(run_column) == run).drop(run_column), ref.location, (run_column, run))
+
+
+def drop_run(spark: SparkSession, t: TableRef | str, run: str, run_column: str = LOAD_RUN) -> None:
+    """Take a run's partition back."""
+    ref = as_ref(t)
+    if ref.is_path:
+        store.delete(spark, f"{ref.location.rstrip('/')}/{run_column}={run}")
+    else:
+        spark.sql(f"ALTER TABLE {quoted(ref.location)} DROP IF EXISTS PARTITION (`{run_column}` = '{run}')")
+
+
+def _holds_rows(spark: SparkSession, folder: str) -> bool:
+    return any(not n.startswith(("_", ".")) for n in store.children(spark, folder))
+
+
+def has_runs(spark: SparkSession, t: TableRef | str, run_column: str = LOAD_RUN) -> bool:
+    """Whether a table is partitioned by its load run."""
+    ref = as_ref(t)
+    if ref.is_jdbc:
+        return False
+    if ref.is_path:
+        return any(n.startswith(f"{run_column}=") for n in store.children(spark, ref.location))
+    if not spark.catalog.tableExists(ref.location):
+        return False
+    return any(c.name == run_column and c.isPartition for c in spark.catalog.listColumns(ref.location))
+
+
 def database_tables(
     spark: SparkSession,
     database: str,

@@ -9,7 +9,7 @@ from tablewatch.plans import run_daily_audit
 from tablewatch.schemas import JOB_STATUS_COLUMNS
 from tablewatch.sources import read_delimited_config
 
-from conftest import SF_MID, SF_SMALL
+from sf_paths import SF_MID, SF_SMALL
 
 CONFIG = [("ORDERS", "o_orderdate"), ("LINEITEM", "l_shipdate"), ("EVENTS", "ts")]
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from oracle_check import compare, duck
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from tablewatch.plans import driver_queries
 
 

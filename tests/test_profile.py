@@ -2,7 +2,7 @@
 
 from tablewatch.operators import column_counts, column_profile, object_profile, source_profile, table_profile
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def test_column_profile_observed(spark):
