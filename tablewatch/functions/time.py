@@ -12,7 +12,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import DataType, TimestampType
 
 AsOf = dt.datetime | dt.date | str | None
 
@@ -61,7 +61,12 @@ def utc_ntz(df: DataFrame, column: str) -> Column:
     """A time column as UTC wall-clock ``timestamp_ntz``: a ``timestamp`` (an instant) is converted
     exactly, whatever the session time zone; ``timestamp_ntz`` is taken as UTC already."""
     c = F.col(column)
-    if isinstance(df.schema[column].dataType if column in df.columns else df.select(c).schema[0].dataType, TimestampType):
+    return utc_ntz_of(c, df.schema[column].dataType if column in df.columns else df.select(c).schema[0].dataType)
+
+
+def utc_ntz_of(c: Column, data_type: DataType) -> Column:
+    """``utc_ntz`` of an expression of a known type."""
+    if isinstance(data_type, TimestampType):
         seconds = (F.unix_micros(c).cast("decimal(24,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
         return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
     return c.cast("timestamp_ntz")

@@ -20,16 +20,19 @@ from tablewatch.operators.ingest import (
     replace_table,
     write_load,
 )
+from tablewatch.operators.job_log import close_job, job_runs, open_job
 from tablewatch.operators.profile import (
     FILE_MODIFIED,
     column_counts,
     column_profile,
     column_profiles,
-    file_row_counts,
+    footer_row_counts,
+    listed_source_rows,
     object_profile,
     source_profile,
     table_profile,
 )
+from tablewatch.operators.profile_state import ProfileState, Variant, measure_profiles
 from tablewatch.operators.reconcile import (
     column_drift,
     failed_checks,
@@ -48,9 +51,12 @@ __all__ = [
     "FILE_MODIFIED",
     "JobMeta",
     "LoadResult",
+    "ProfileState",
+    "Variant",
     "append_job_status",
     "append_load",
     "audit_all",
+    "close_job",
     "column_counts",
     "column_drift",
     "column_profile",
@@ -58,20 +64,24 @@ __all__ = [
     "daily_ingest_counts",
     "failed_checks",
     "failed_rows",
-    "file_row_counts",
+    "footer_row_counts",
+    "listed_source_rows",
     "freshness",
     "inventory",
+    "job_runs",
     "job_status_row",
     "load_csv",
     "load_csv_positional",
     "load_raw_json",
     "load_table",
     "load_with_audit",
+    "measure_profiles",
     "merge_sources",
     "merged_report",
     "missing_columns",
     "normalize_counts",
     "object_profile",
+    "open_job",
     "reconcile_counts",
     "replace_table",
     "source_profile",

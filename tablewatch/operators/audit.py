@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tablewatch.functions.time import AsOf, as_of_ts, previous_day
-from tablewatch.operators.sequence import consecutive_ids
+from tablewatch.operators.sequence import claim_ids, consecutive_ids
 from tablewatch.schemas import JOB_STATUS, JOB_STATUS_COLUMNS, schema_of
 from tablewatch.session import local_frame
-from tablewatch.sources.tables import TableLike, TableRef, as_ref, read_table, try_read_table, write_table
+from tablewatch.sources import store
+from tablewatch.sources.tables import TableLike, TableRef, append_rows, as_ref, read_table, try_read_table
 
 # Fixed values of the job-status rows written by the audit.
 DEFAULT_STATUS = "SUCCESS"
@@ -101,43 +102,59 @@ def to_job_status(
 
 
 # AUD-3
-def with_job_ids(rows: DataFrame, start_after: int | DataFrame = 0) -> DataFrame:
+def with_job_ids(rows: DataFrame, start_after: int | DataFrame | Callable[[int], int] = 0) -> DataFrame:
     """Give each row the next id: ``start_after + 1, +2, ...`` in (run date, table, task) order.
 
-    ``start_after`` is a number or the existing log (its ``max(job_id)`` is used). Ids are
-    assigned with ``consecutive_ids``, so a batch of any size is numbered without gathering it in
-    one task. Correct with a single writer per log; concurrent writers need a sequence the store
-    provides.
+    ``start_after`` is a number, the existing log (its ``max(job_id)`` is used) or a function of the
+    number of rows that claims as many ids (``claim_ids``, safe with several writers). Rows that
+    the driver holds are numbered where they are, others with ``consecutive_ids``, which gathers
+    no batch in one task; both give the same ids.
     """
     if isinstance(start_after, DataFrame):
-        # One scalar comes back: the log's highest id (reads only the job_id column).
-        start_after = start_after.agg(F.coalesce(F.max("job_id"), F.lit(0))).first()[0]
+        start_after = highest_id(start_after)
     keys = ["dag_run_exec_date", "table_name", "task_id"]
     on_driver = rows.isLocal()  # asked before any projection, which would hide the local rows
     rows = rows.drop("job_id") if "job_id" in rows.columns else rows
     if on_driver:
         # Rows already held by the driver (e.g. one record of a load): number them where they are.
         local = sorted(rows.collect(), key=lambda r: tuple((r[k] is not None, r[k]) for k in keys))
+        first = start_after(len(local)) if callable(start_after) else int(start_after)
         spark = rows.sparkSession
         schema = StructType([StructField("job_id", LongType(), True), *rows.schema.fields])
-        numbered = local_frame(spark, [(int(start_after) + i, *r) for i, r in enumerate(local, start=1)], schema)
+        numbered = local_frame(spark, [(first + i, *r) for i, r in enumerate(local, start=1)], schema)
         return numbered.select(*JOB_STATUS_COLUMNS)
     order = [F.col(k).asc_nulls_first() for k in keys]
-    numbered = consecutive_ids(rows, order, int(start_after), "job_id")
+    numbered = consecutive_ids(rows, order, start_after, "job_id")
     return numbered.select(*JOB_STATUS_COLUMNS)
 
 
+def highest_id(log: DataFrame) -> int:
+    """The log's highest id (one scalar; reads only the job_id column)."""
+    return int(log.agg(F.coalesce(F.max("job_id"), F.lit(0))).first()[0])
+
+
+def ids_folder(spark: SparkSession, log: TableRef | str) -> str:
+    """Where the id claims of a log are kept: beside a path, in the warehouse folder for a table."""
+    ref = as_ref(log)
+    base = ref.location.rstrip("/") if ref.is_path else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{ref.location}"
+    return f"{base}__ids"
+
+
 def append_job_status(rows: DataFrame, log: TableRef | str) -> DataFrame:
     """Append job-status rows to ``log`` with fresh ids, in one write; returns the rows written.
 
-    The starting id is read once, as a number, and the numbering works on stored rows, so the write
-    and the returned frame give the same ids, whatever the log holds afterwards.
+    The ids are a block claimed for this batch, so batches that several writers append at once never share
+    one; a log that had rows before its ids were claimed goes on above its highest.
     """
     spark = rows.sparkSession
     log = as_ref(log)
-    existing = try_read_table(spark, log, JOB_STATUS)  # fixed schema: no inference job
-    batch = with_job_ids(rows, existing if existing is not None else 0)
-    write_table(batch, log, mode="append")
+    folder = ids_folder(spark, log)
+    above = 0
+    if not store.children(spark, folder):
+        existing = try_read_table(spark, log, JOB_STATUS)  # fixed schema: no inference job
+        above = highest_id(existing) if existing is not None else 0
+    batch = with_job_ids(rows, lambda n: claim_ids(spark, folder, n, above))
+    append_rows(batch, log)
     return batch
 
 

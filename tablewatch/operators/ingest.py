@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 from tablewatch.functions.columns import extract_paths
 from tablewatch.functions.time import AsOf, load_time, to_datetime
 from tablewatch.operators.audit import append_job_status
+from tablewatch.operators.job_log import close_job, open_job
 from tablewatch.schemas import JOB_STATUS
 from tablewatch.session import error_text, local_frame, scratch_path
 from tablewatch.sources import store
@@ -352,6 +353,7 @@ def load_with_audit(
     *,
     mode: str = "append",
     audit_log: TableRef | str | None = None,
+    event_log: TableRef | str | None = None,
     clock: Callable[[], dt.datetime] | None = None,
     **kw,
 ) -> tuple[LoadResult | None, DataFrame]:
@@ -360,19 +362,34 @@ def load_with_audit(
     Success: ``SUCCESS`` with ``recs_parsed`` (records read), ``recs_staged`` (records that parsed),
     ``recs_inserted`` (rows written), ``recs_deleted`` (rows replaced by a full refresh). Failure:
     ``FAILURE`` with the error text, the record is still written, then the error is raised again.
-    Returns the load result and the record (already appended when ``audit_log`` is given).
+    ``event_log`` also gets a row before the load starts and one at its end (see ``job_log``), so that
+    a load whose driver is lost is on record. Returns the load result and the record (already
+    appended when ``audit_log`` is given).
     """
     spark = df.sparkSession
     clock = clock or (lambda: to_datetime(None))
     start = clock()
+    run_key = None
+    if event_log is not None:
+        run_key = open_job(spark, opening_values(meta, start), event_log, lambda: start)
+
+    def leave(values: tuple) -> DataFrame:
+        rec = local_frame(spark, [values], JOB_STATUS)
+        if audit_log is not None:
+            append_job_status(rec, audit_log)
+        if run_key is not None:
+            close_job(spark, run_key, values, event_log, clock)
+        return rec
+
     try:
         res = write_load(df, target, mode=mode, **kw)
     except Exception as err:  # noqa: BLE001 - recorded, then re-raised
-        rec = job_status_row(spark, meta, start, clock(), "FAILURE", failure_reason=error_text(err))
-        if audit_log is not None:
-            append_job_status(rec, audit_log)
+        leave(job_status_values(meta, start, clock(), "FAILURE", failure_reason=error_text(err)))
         raise
-    rec = local_frame(spark, [success_values(meta, start, clock(), res)], JOB_STATUS)
-    if audit_log is not None:
-        append_job_status(rec, audit_log)
-    return res, rec
+    return res, leave(success_values(meta, start, clock(), res))
+
+
+def opening_values(meta: JobMeta, start: dt.datetime) -> tuple:
+    """A job's record as far as it is known at its start."""
+    values = job_status_values(meta, start, start, "RUNNING")
+    return values[:2] + (None,) + values[3:]

@@ -8,8 +8,8 @@ computed by Spark jobs that scale with the tables.
   sizes; the plan's ``ReadSchema`` is empty) plus an optional last-change time.
 - ``column_profile(s)``: every column of a table in **one** aggregate (a null count and, for text,
   a max length per column); never a job per column.
-- ``source_profile``: row counts summed from per-file counts (``_metadata.file_path``), the file
-  level being what a partition-statistics view reports.
+- ``source_profile``: row counts summed from partition counts that come from file footers, as a
+  partition-statistics view reports them.
 - ``object_profile``: row and column counts per object; an object that cannot be read is skipped
   and reported, not fatal.
 
@@ -33,8 +33,9 @@ from pyspark.sql.types import BinaryType, StringType, StructField
 
 from tablewatch.functions.time import utc_ntz
 from tablewatch.schemas import COLUMN_PROFILE, SOURCE_PROFILE, TABLE_PROFILE, schema_of
-from tablewatch.session import error_text, local_frame
-from tablewatch.sources.tables import TableLike, read_table
+from tablewatch.session import error_text, is_read_error, local_frame
+from tablewatch.sources import store
+from tablewatch.sources.tables import TableLike, as_ref, read_table
 
 # Fixed values (as in the reconciled systems' catalogs): the tables left out of every profile by
 # default (schema-migration bookkeeping) and the table type of a base table.
@@ -241,11 +242,54 @@ def column_counts(
 
 
 # REC-7
-def file_row_counts(df: DataFrame, table_name: str) -> DataFrame:
-    """Rows per data file of a file-based table: ``table_name, file_path, rows``."""
-    return df.groupBy(F.col(f"`_metadata`.`file_path`").alias("file_path")).agg(
-        F.count(F.lit(1)).alias("rows")
-    ).select(F.lit(table_name).alias("table_name"), "file_path", "rows")
+def partition_columns(spark: SparkSession, folder: str) -> list[str]:
+    """Partition columns of a table's folder, from the names of its first partition."""
+    found: list[str] = []
+    while inner := [n for n in store.children(spark, folder) if "=" in n and not n.startswith((".", "_"))]:
+        found.append(inner[0].split("=", 1)[0])
+        folder = f"{folder.rstrip('/')}/{inner[0]}"
+    return found
+
+
+# Settings of the session that reads row counts from file footers: Parquet through the source that
+# takes aggregates, and partition values as the text they are in the folder's name.
+FOOTER_CONF = {
+    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+}
+
+
+def footer_row_counts(spark: SparkSession, folder: str, table_name: str) -> DataFrame:
+    """Rows per partition of a Parquet folder from its files' footers: ``table_name, partition, rows``
+    (``partition``: the folder's name below the table, empty if the table has none).
+
+    The count is pushed into the scan, grouped by the partition columns, so no row is read and nothing is
+    computed for each row. It runs in a session of its own; the caller's settings stay."""
+    reader = spark.newSession()
+    for k, v in FOOTER_CONF.items():
+        reader.conf.set(k, v)
+    keys = partition_columns(spark, folder)
+    df = reader.read.parquet(folder)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")) if keys else df.agg(F.count(F.lit(1)).alias("rows"))
+    path = F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.coalesce(_q(k), F.lit(NULL_PARTITION))) for k in keys])
+    return counted.select(F.lit(table_name).alias("table_name"), path.alias("partition"), "rows")
+
+
+# Fixed value: the folder name Spark and Hive give a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def listed_source_rows(source: DataFrame, listed: DataFrame, table_column: str = "table_name") -> DataFrame:
+    """Rows of each listed table of a source that keeps all its tables in one folder, partitioned by table:
+    ``table_name, source_rows`` (names upper-cased).
+
+    ``listed`` (``table_name``) is a frame, e.g. a filtered catalog table. It meets the source in a semi-join
+    whose keys prune the source's partitions while the query runs (dynamic partition pruning): unlisted
+    tables are not read, and the list never passes through the driver."""
+    wanted = listed.select(F.col("table_name").alias("_listed"))
+    kept = source.join(wanted, F.col(table_column) == F.col("_listed"), "left_semi")
+    return kept.groupBy(F.upper(F.col(table_column)).alias("table_name")).agg(F.count(F.lit(1)).alias("source_rows"))
 
 
 def source_profile(
@@ -258,10 +302,10 @@ def source_profile(
 ) -> DataFrame:
     """Source-side profile ``table_name, source_rows, source_columns`` (names upper-cased).
 
-    Rows of a ``partitioned`` table are the sum of its per-file counts; ``direct`` tables are
+    Rows of a ``partitioned`` table are the sum of its partitions' counts, taken from file footers where
+    the table is a Parquet folder (``footer_row_counts``); ``direct`` tables are
     counted whole. ``restrict_to`` (names, or a frame with ``table_name``) keeps only the listed
-    partitioned tables; the list is read first and unlisted tables are never scanned. The two
-    parts are combined with a distinct union. ``source_columns`` comes from ``columns``
+    partitioned tables; unlisted ones are not read. ``source_columns`` comes from ``columns``
     (``table_name, column_count``) or, by default, from the schemas of the listed tables; a table
     outside the list gets null.
     """
@@ -269,50 +313,43 @@ def source_profile(
     allowed: set[str] | None = None
     if restrict_to is not None:
         if isinstance(restrict_to, DataFrame):
-            # Table names only: metadata-sized, and it decides which tables get scanned.
+            # Table names only: metadata-sized, and it decides which tables are opened at all. (A list that
+            # is joined to one table's partitions needs no collect: ``listed_source_rows``.)
             restrict_to = [r[0] for r in restrict_to.select("table_name").distinct().collect()]
         allowed = {str(n).upper() for n in restrict_to}
 
     def listed(name: str) -> bool:
         return allowed is None or name.upper() in allowed
 
-    per_file = [
-        file_row_counts(read_table(spark, t), name.upper())
-        for name, t in partitioned.items()
-        if listed(name)
-    ]
-    parts = []
-    if per_file:
-        parts.append(
-            reduce(DataFrame.unionByName, per_file)
-            .groupBy("table_name")
-            .agg(F.sum("rows").cast("bigint").alias("source_rows"))
-        )
-    for name, t in direct.items():
-        parts.append(
-            read_table(spark, t)
-            .agg(F.count(F.lit(1)).cast("bigint").alias("source_rows"))
-            .select(F.lit(name.upper()).alias("table_name"), "source_rows")
-        )
-    if not parts:
+    def whole(name: str, t: TableLike) -> DataFrame:
+        counted = read_table(spark, t).agg(F.count(F.lit(1)).cast("bigint").alias("source_rows"))
+        return counted.select(F.lit(name.upper()).alias("table_name"), "source_rows")
+
+    opened = {n: t for n, t in partitioned.items() if listed(n)}
+    rows, parts = [], []
+    for name, t in opened.items():
+        ref = None if isinstance(t, DataFrame) else as_ref(t)
+        if ref is not None and ref.is_path and ref.format == "parquet":
+            by_partition = footer_row_counts(spark, ref.location, name.upper())
+            rows += [tuple(r) for r in by_partition.groupBy("table_name").agg(F.sum("rows").alias("n")).collect()]
+        else:
+            parts.append(whole(name, t))
+    parts += [whole(name, t) for name, t in direct.items()]
+    # One job counts the others; the result, one row a table, is kept as a local frame.
+    rows += [tuple(r) for r in _measure(spark, parts)]
+    if not rows:
         return local_frame(spark, [], SOURCE_PROFILE)
-    # One job counts every table; its result (one row per table) is kept as a local frame.
-    measured = reduce(DataFrame.unionByName, parts).distinct().collect()
-    rows = local_frame(spark, [tuple(r) for r in measured], schema_of("table_name string, source_rows bigint"))
+    measured = local_frame(spark, sorted(set(rows)), schema_of("table_name string, source_rows bigint"))
 
     if columns is None:
-        counted = [
-            (name.upper(), len(read_table(spark, t).columns))
-            for name, t in {**partitioned, **direct}.items()
-            if listed(name)
-        ]
+        counted = [(name.upper(), len(read_table(spark, t).columns)) for name, t in {**opened, **direct}.items() if listed(name)]
         columns = local_frame(spark, counted, schema_of("table_name string, column_count bigint"))
     else:
         columns = columns.select(F.upper("table_name").alias("table_name"), "column_count")
         if allowed is not None:
             columns = columns.where(F.col("table_name").isin(sorted(allowed)))
         columns = columns.groupBy("table_name").agg(F.sum("column_count").alias("column_count"))
-    return rows.join(columns, "table_name", "left").select(
+    return measured.join(columns, "table_name", "left").select(
         "table_name", "source_rows", F.col("column_count").cast("bigint").alias("source_columns")
     )
 
@@ -335,6 +372,8 @@ def object_profile(
             df.schema  # resolves the relation: a missing object fails here, without a data job
             return name, df, None
         except Exception as err:  # noqa: BLE001 - an unreadable object is reported, not fatal
+            if not is_read_error(err):
+                raise
             return name, None, error_text(err)
 
     # Objects resolve independently (each may list files or ask a database): side by side.
@@ -354,11 +393,16 @@ def object_profile(
     if resolved:
         try:
             rows = reduce(DataFrame.unionByName, [counted(n, d) for n, d in resolved.items()]).collect()
-        except Exception:  # noqa: BLE001 - one object's rows cannot be read: each is counted by itself
+        except Exception as err:  # noqa: BLE001 - one object's rows cannot be read: each is counted by itself
+            if not is_read_error(err):
+                raise
+
             def alone(item):
                 try:
                     return counted(*item).collect(), None
                 except Exception as err:  # noqa: BLE001 - reported for this object
+                    if not is_read_error(err):
+                        raise
                     return [], (item[0], error_text(err))
 
             with ThreadPoolExecutor(max_workers=min(RESOLVE_CONCURRENCY, len(resolved))) as pool:

@@ -19,7 +19,7 @@ from tablewatch.operators.audit import (
     table_resolver,
     to_job_status,
 )
-from tablewatch.session import error_text, local_frame
+from tablewatch.session import error_text, is_read_error, local_frame
 from tablewatch.sources.tables import TableLike, TableRef
 
 
@@ -52,6 +52,8 @@ def run_daily_audit(
                 raise ValueError(f"column {date_col!r} not in {name}")
             readable.append((name, date_col))
         except Exception as err:  # noqa: BLE001 - recorded as that table's FAILURE row
+            if not is_read_error(err):
+                raise
             failures.append((name, error_text(err)))
 
     def rows_of(pairs: list[tuple[str, str]]) -> DataFrame:
@@ -62,12 +64,16 @@ def run_daily_audit(
         try:
             return [tuple(r) for r in rows_of([pair]).collect()], None
         except Exception as err:  # noqa: BLE001 - recorded as that table's FAILURE row
+            if not is_read_error(err):
+                raise
             return [], (pair[0], error_text(err))
 
     rows = rows_of(readable)
     try:
         measured = [tuple(r) for r in rows.collect()]
-    except Exception:  # noqa: BLE001 - a table failed while running: each is counted in a job of its own
+    except Exception as err:  # noqa: BLE001 - a table failed while running: each is counted in a job of its own
+        if not is_read_error(err):
+            raise
         measured = []
         with ThreadPoolExecutor(max_workers=min(16, len(readable))) as pool:
             for got, failed in pool.map(alone, readable):

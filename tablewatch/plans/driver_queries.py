@@ -11,12 +11,15 @@ column), never a sample.
 from __future__ import annotations
 
 import contextvars
+import datetime as dt
 import functools
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewatch.functions.columns import lower_columns, typed_null
 from tablewatch.functions.time import as_of_ts, to_datetime
 from tablewatch.operators.audit import audit_all, daily_ingest_counts, to_job_status
 from tablewatch.operators.ingest import (
@@ -26,14 +29,20 @@ from tablewatch.operators.ingest import (
     load_csv_positional,
     load_raw_json,
     load_with_audit,
+    opening_values,
     replace_table,
 )
+from tablewatch.operators.job_log import job_runs, open_job
 from tablewatch.operators.profile import (
+    column_counts,
     column_profiles,
+    footer_row_counts,
+    listed_source_rows,
     object_profile,
     source_profile,
     table_profile,
 )
+from tablewatch.operators.profile_state import ProfileState, Variant, measure_profiles
 from tablewatch.operators.reconcile import (
     COUNTS_REPORT,
     DRIFT_REPORT,
@@ -48,12 +57,15 @@ from tablewatch.operators.reconcile import (
     missing_columns,
     reconcile_counts,
 )
+from tablewatch.operators.sequence import claim_ids, consecutive_ids
 from tablewatch.plans.daily_audit import run_daily_audit
 from tablewatch.plans.loads import run_gated_loads
-from tablewatch.plans.validation import run_validation
+from tablewatch.plans.validation import REPORT_RUN, REPORTS, ValidationRun, run_validation
 from tablewatch.session import materialize, scratch_path
 from tablewatch.sources.files import CORRUPT_COLUMN, read_delimited_config
+from tablewatch.sources.jdbc import catalog_columns, catalog_tables, partition_row_counts
 from tablewatch.sources.tables import LOAD_RUN, TableRef
+from tablewatch.sources.warehouse import warehouse_view
 from tablewatch.streaming.incremental import ingest_new_csv_files, ingest_new_json_files
 
 # Fixed run times and cut-offs of the registered queries (the oracle SQL uses the same values).
@@ -67,7 +79,6 @@ TARGET_LOADED_BEFORE = "2001-07-01 00:00:00"
 EVENTS_BATCH_SPLIT = "2024-01-16 00:00:00"
 ORDERS_BATCH_SPLIT = "1998-01-01 00:00:00"
 PART_BATCH_MAX_SIZE = 25
-LINEITEM_ROWS_PER_FILE = 20_000
 CLEANED_PRIORITY = "4-NOT SPECIFIED"
 AUDIT_CONFIG = [("ORDERS", "o_orderdate"), ("LINEITEM", "l_shipdate"), ("EVENTS", "ts")]
 CATALOG = "WH"
@@ -423,6 +434,48 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def job_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-8: an event log of four loads: orders succeeds, customer fails on its last row, part is running, and the
+    driver of lineitem's load ended after its rows were written, before its closing row. Each job's state,
+    and what its target holds."""
+    root = scratch_path(spark, "job-runs")
+    events, day = f"{root}/events", to_datetime(LOAD_AS_OF)
+    meta = lambda n: JobMeta("SALES", n.upper(), f"load_{n}", "LOAD", "file_loads")
+    early = lambda: day - dt.timedelta(days=2)
+    load_with_audit(_t(spark, sf_dir, "orders"), f"{root}/orders", meta("orders"), event_log=events, clock=early)
+    customer = _t(spark, sf_dir, "customer")
+    last = customer.agg(F.max("c_custkey").alias("last_key"))
+    broken = customer.join(F.broadcast(last)).withColumn(
+        "c_name", F.when(F.col("c_custkey") == F.col("last_key"), F.raise_error(F.lit("unreadable row"))).otherwise(F.col("c_name"))
+    )
+    try:
+        load_with_audit(broken.drop("last_key"), f"{root}/customer", meta("customer"), event_log=events, clock=early)
+    except PySparkException:
+        pass  # the load's failure is what the log must show
+    open_job(spark, opening_values(meta("lineitem"), early()), events, early)
+    append_load(_t(spark, sf_dir, "lineitem"), f"{root}/lineitem")
+    open_job(spark, opening_values(meta("part"), day), events, lambda: day)
+    held = table_profile(spark, {n.upper(): f"{root}/{n}" for n in ("orders", "lineitem")}).select("table_name", F.col("row_count").alias("target_rows"))
+    runs = job_runs(spark.read.parquet(events), as_of=LOAD_AS_OF)
+    return runs.join(held, "table_name", "left").select(
+        "table_name", "task_id", "job_status", "recs_inserted", F.col("failure_reason").contains("unreadable row").alias("told_why"),
+        "job_end_ts", "target_rows",
+    )
+
+
+def lineitem_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUD-3 ``nextval``: all of lineitem numbered in two batches, each with a block of ids claimed from one
+    sequence; the rows of a batch in key order, none gathered in one task."""
+    li, folder = _t(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem-ids")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    returned = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    batches = []
+    for batch in (li.where(returned), li.where(~returned)):
+        batches.append(consecutive_ids(batch.select(*keys), order, lambda n: claim_ids(spark, folder, n), "row_id"))
+    return batches[0].unionByName(batches[1])
+
+
 # ---------------------------------------------------------------------------------------------
 # Ingest audit
 # ---------------------------------------------------------------------------------------------
@@ -504,91 +557,121 @@ def column_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------------------------
 
 
-def target_orders(orders: DataFrame) -> DataFrame:
-    """The target's ORDERS: loaded up to a cut-off, with the columns of ``target_columns_of_orders``."""
-    return target_columns_of_orders(orders.where(F.col("o_orderdate") < F.lit(TARGET_LOADED_BEFORE).cast("timestamp_ntz")))
+def target_order_columns() -> dict[str, Column]:
+    """The target's columns of ORDERS: keys narrowed, price as decimal, date without time, the 'not specified'
+    priority cleaned to null, a load-time column added."""
+    return {
+        "o_orderkey": F.col("o_orderkey"),
+        "o_custkey": F.col("o_custkey").cast("int"),
+        "o_orderstatus": F.col("o_orderstatus"),
+        "o_totalprice": F.col("o_totalprice").cast("decimal(12,2)"),
+        "o_orderdate": F.to_date("o_orderdate"),
+        "o_orderpriority": F.nullif(F.col("o_orderpriority"), F.lit(CLEANED_PRIORITY)),
+        "loaded_at": as_of_ts(LOAD_AS_OF),
+    }
 
 
-def target_columns_of_orders(orders: DataFrame) -> DataFrame:
-    """Every row of ``orders`` with the target's columns: keys narrowed, price as decimal, date without
-    time, the 'not specified' priority cleaned to null, a load-time column added."""
-    return orders.select(
-        "o_orderkey",
-        F.col("o_custkey").cast("int").alias("o_custkey"),
-        "o_orderstatus",
-        F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
-        F.to_date("o_orderdate").alias("o_orderdate"),
-        F.nullif(F.col("o_orderpriority"), F.lit(CLEANED_PRIORITY)).alias("o_orderpriority"),
-        as_of_ts(LOAD_AS_OF).alias("loaded_at"),
+TARGET, REPLICA = "TARGET", "REPLICA"
+# Base tables of the reports; CRM's customer also has the nation's name (and no row without a nation).
+_BASES = ("orders", "customer", "lineitem", "events", "part")
+
+
+def _variants(group: str) -> dict:
+    """The tables that one report reads, as variants of the base tables."""
+    own = lambda name: {c: F.col(c) for c, _ in DRIVER_SCHEMAS[name]}
+    customer, orders = own("customer"), own("orders")
+    if group == "counts":  # up to the load cut-off: the matter of this report
+        loaded = F.col("o_orderdate") < F.lit(TARGET_LOADED_BEFORE).cast("timestamp_ntz")
+        found = {
+            (CATALOG, TARGET, "ORDERS"): Variant("orders", target_order_columns(), loaded, "o_orderdate"),
+            (CATALOG, TARGET, "CUSTOMER"): Variant("customer", customer),
+            (CATALOG, TARGET, "EVENTS"): Variant("events", changed="ts"),
+            (CATALOG, REPLICA, "ORDERS"): Variant("orders", orders, changed="o_orderdate"),
+            (CATALOG, REPLICA, "customer"): Variant("customer", customer),
+            (CATALOG, REPLICA, "lineitem"): Variant("lineitem", changed="l_shipdate"),
+            ("", "LEGACY", "ORDERS"): Variant("orders", orders),
+            ("", "LEGACY", "CUSTOMER"): Variant("customer", customer),
+        }
+    elif group == "columns":  # every row, whatever was loaded
+        found = {
+            (CATALOG, TARGET, "ORDERS"): Variant("orders", target_order_columns(), observe=True),
+            (CATALOG, TARGET, "CUSTOMER"): Variant("customer", customer, observe=True),
+            (CATALOG, TARGET, "EVENTS"): Variant("events", observe=True),
+            (CATALOG, REPLICA, "ORDERS"): Variant("orders", orders, observe=True),
+            (CATALOG, REPLICA, "CUSTOMER"): Variant("customer", customer, observe=True),
+            (CATALOG, REPLICA, "LINEITEM"): Variant("lineitem", observe=True),
+        }
+    elif group == "inventory":
+        found = {
+            (CATALOG, "SALES", "ORDERS"): Variant("orders", orders, changed="o_orderdate"),
+            (CATALOG, "SALES", "LINEITEM"): Variant("lineitem", changed="l_shipdate"),
+            (CATALOG, "SALES", "CUSTOMER"): Variant("customer", customer),
+            (CATALOG, "CRM", "CUSTOMER"): Variant("customer", {**customer, "n_name": F.col("n_name")}, F.col("n_nationkey").isNotNull()),
+            (CATALOG, "CRM", "PART"): Variant("part"),
+            ("HUB", "EVENTS", "EVENTS"): Variant("events", changed="ts"),
+        }
+    else:
+        found = {
+            ("", "SALES", "ORDERS"): Variant("orders", orders),
+            ("", "SALES", "LINEITEM"): Variant("lineitem"),
+            ("", "SALES", "CUSTOMER"): Variant("customer", customer),
+            ("", "CRM", "CUSTOMER"): Variant("customer", customer),
+            ("", "CRM", "PART"): Variant("part"),
+        }
+    return {(group, key): v for key, v in found.items()}
+
+
+def _state_inputs(spark: SparkSession, sf_dir: str, *groups: str):
+    variants: dict = {}
+    for g in groups:
+        variants |= _variants(g)
+    used = {v.base for v in variants.values()}
+    bases = {n: _t(spark, sf_dir, n) for n in _BASES if n in used}
+    if "inventory" in groups:
+        nation = _t(spark, sf_dir, "nation")
+        bases["customer"] = bases["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return bases, variants
+
+
+def _measured(spark: SparkSession, sf_dir: str, *groups: str) -> ProfileState:
+    """The profiles of several reports, each base table scanned once."""
+    return measure_profiles(spark, *_state_inputs(spark, sf_dir, *groups))
+
+
+def _in_schema(name: str):
+    return lambda key: key[1] == name
+
+
+def _count_inputs(state: ProfileState):
+    """Target, replica and legacy table profiles."""
+    return (
+        state.table_profile("counts", _in_schema(TARGET)),
+        state.table_profile("counts", _in_schema(REPLICA)),
+        state.legacy_stats("counts", _in_schema("LEGACY")),
     )
 
 
-def _systems(spark: SparkSession, sf_dir: str, replica_case=str.lower):
-    orders, customer = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer")
-    target = {"ORDERS": target_orders(orders), "CUSTOMER": customer, "EVENTS": _t(spark, sf_dir, "events")}
-    replica = {
-        replica_case("ORDERS"): orders,
-        replica_case("CUSTOMER"): customer,
-        replica_case("LINEITEM"): _t(spark, sf_dir, "lineitem"),
-    }
-    return target, replica
-
-
-def _count_inputs(spark: SparkSession, sf_dir: str):
-    """Target, replica and legacy table profiles, measured together in one job."""
-    target, replica = _systems(spark, sf_dir)
-    legacy_tables = {"ORDERS": _t(spark, sf_dir, "orders"), "CUSTOMER": _t(spark, sf_dir, "customer")}
-    tables = {
-        **{(CATALOG, "TARGET", n): df for n, df in target.items()},
-        **{(CATALOG, "REPLICA", n): df for n, df in replica.items()},
-        **{("", "LEGACY", n): df for n, df in legacy_tables.items()},
-    }
-    changed = {
-        (CATALOG, "TARGET", "ORDERS"): "o_orderdate",
-        (CATALOG, "TARGET", "EVENTS"): "ts",
-        (CATALOG, "REPLICA", "orders"): "o_orderdate",
-        (CATALOG, "REPLICA", "lineitem"): "l_shipdate",
-    }
-    prof = table_profile(spark, tables, last_altered=changed)
-    tp = prof.where(F.col("table_schema") == "TARGET")
-    rp = prof.where(F.col("table_schema") == "REPLICA")
-    legacy = prof.where(F.col("table_schema") == "LEGACY").select(
-        F.col("table_name").alias("tablename"),
-        F.col("row_count").alias("rowcount"),
-        F.col("column_count").alias("columncount"),
-    )
-    return tp, rp, legacy
+def _column_inputs(state: ProfileState):
+    """Target and replica column profiles over every row."""
+    return state.column_profile("columns", _in_schema(TARGET)), state.column_profile("columns", _in_schema(REPLICA))
 
 
 def count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REC-4 + REC-11: target vs replica vs legacy rows and columns, with the replica-only
     ``lineitem`` added; EVENTS has no replica and drops out."""
-    tp, rp, legacy = _count_inputs(spark, sf_dir)
+    tp, rp, legacy = _count_inputs(_measured(spark, sf_dir, "counts"))
     return reconcile_counts(tp, rp, legacy, as_of=LOAD_AS_OF, extra=["lineitem"]).select(*COUNTS_REPORT)
 
 
-def _column_inputs(spark: SparkSession, sf_dir: str):
-    """Target and replica column profiles, measured together in one job over every row: the load
-    cut-off is a matter of row counts, not of columns."""
-    target, replica = _systems(spark, sf_dir, replica_case=str.upper)
-    target["ORDERS"] = target_columns_of_orders(replica["ORDERS"])
-    tables = {
-        **{(CATALOG, "TARGET", n): df for n, df in target.items()},
-        **{(CATALOG, "REPLICA", n): df for n, df in replica.items()},
-    }
-    prof = column_profiles(spark, tables)
-    return prof.where(F.col("table_schema") == "TARGET"), prof.where(F.col("table_schema") == "REPLICA")
-
-
 def column_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REC-5: type / nullability drift between replica and target columns; key columns exempt."""
-    tc, rc = _column_inputs(spark, sf_dir)
+    tc, rc = _column_inputs(_measured(spark, sf_dir, "columns"))
     return column_drift(rc, tc, as_of=LOAD_AS_OF, exempt_suffix="key").select(*DRIFT_REPORT)
 
 
 def missing_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REC-6: target columns the replica lacks, for tables the replica has."""
-    tc, rc = _column_inputs(spark, sf_dir)
+    tc, rc = _column_inputs(_measured(spark, sf_dir, "columns"))
     return missing_columns(tc, rc, as_of=LOAD_AS_OF).select(*MISSING_REPORT)
 
 
@@ -600,13 +683,10 @@ SALES_TABLES = ["ORDERS", "LINEITEM", "PART"]
 
 
 def partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """REC-7: lineitem rewritten as files partitioned by return flag; source rows summed from
-    per-file counts for the listed tables, three small tables counted directly."""
+    """REC-7: lineitem rewritten as files partitioned by return flag; source rows summed from the counts of
+    its partitions (file footers) for the listed tables, three small tables counted directly."""
     li = scratch_path(spark, "lineitem-files")
-    # Several files per return flag without a shuffle: the writer rolls files every N rows.
-    _t(spark, sf_dir, "lineitem").write.option("maxRecordsPerFile", LINEITEM_ROWS_PER_FILE).partitionBy(
-        "l_returnflag"
-    ).parquet(li)
+    _t(spark, sf_dir, "lineitem").write.partitionBy("l_returnflag").parquet(li)
     return source_profile(
         spark,
         {"orders": _t(spark, sf_dir, "orders"), "lineitem": li, "customer": _t(spark, sf_dir, "customer")},
@@ -615,6 +695,74 @@ def partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REC-7: orders rewritten as files partitioned by status and priority; rows of each partition from the
+    footers of its files."""
+    path = scratch_path(spark, "orders-files")
+    _t(spark, sf_dir, "orders").write.partitionBy("o_orderstatus", "o_orderpriority").parquet(path)
+    return materialize(footer_row_counts(spark, path, "ORDERS"))
+
+
+SOURCE_LIST = [("orders", "Y"), ("lineitem", "N"), ("customer", "Y"), ("part", "N")]
+
+
+def partition_profile_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REC-7: a source that keeps four tables in one folder, partitioned by table; the tables that a catalog
+    frame lists as wanted are counted, the partitions of the others are pruned by the join."""
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey", "part": "p_partkey"}
+    root, names = scratch_path(spark, "one-source"), scratch_path(spark, "source-list")
+    rows = [_t(spark, sf_dir, n).select(F.col(k).alias("key"), F.lit(n).alias("table_name")) for n, k in keys.items()]
+    functools.reduce(DataFrame.unionByName, rows).write.partitionBy("table_name").parquet(root)
+    spark.createDataFrame(SOURCE_LIST, "table_name string, wanted string").write.parquet(names)
+    return listed_source_rows(spark.read.parquet(root), spark.read.parquet(names).where("wanted = 'Y'"))
+
+
+def database_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REC-7 on a database's catalog views: partition statistics of three tables (a row for each partition of the
+    base data and, repeated, of a second index) and the object names; base data of the listed
+    tables summed by name."""
+    parted = {"orders": "o_orderstatus", "lineitem": "l_returnflag", "customer": "c_mktsegment"}
+    stats, objects = [], []
+    for i, (n, part) in enumerate(parted.items(), 1):
+        counted = _t(spark, sf_dir, n).groupBy(part).agg(F.count(F.lit(1)).alias("rows"))
+        both = counted.select(F.lit(i).alias("object_id"), F.explode(F.array(F.lit(i % 2), F.lit(2))).alias("index_id"), "rows")
+        stats.append(both)
+        objects.append((i, n.title()))
+    names = spark.createDataFrame(objects, "object_id int, name string")
+    return partition_row_counts(functools.reduce(DataFrame.unionByName, stats), names, restrict_to=["ORDERS", "lineitem"])
+
+
+WAREHOUSE = {
+    "SALES": ["orders", "lineitem", "customer", "supplier", "part"],
+    "REF": ["region", "nation"],
+    "CORPUS": ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"],
+    "HUB": ["events"],
+}
+DENIED_TABLES = ["LABELS", "databasechangelog"]
+
+
+def catalog_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REC-1, REC-2, REC-3 on catalog metadata: all driver tables lie in a warehouse folder of four schemas; its
+    information schema is read as relations for three of them, with one table denied; rows and
+    declared columns per table, and the columns counted again from the column view."""
+    root = scratch_path(spark, "warehouse")
+    for schema, names in WAREHOUSE.items():
+        for n in names:
+            _t(spark, sf_dir, n).write.parquet(f"{root}/{schema}/{n}")
+    listed = [s for s in WAREHOUSE if s != "HUB"]
+    tables = lower_columns(warehouse_view(spark, root, "tables", CATALOG).where(F.col("TABLE_SCHEMA").isin(listed)))
+    columns = lower_columns(warehouse_view(spark, root, "columns", CATALOG).where(F.col("TABLE_SCHEMA").isin(listed)))
+    prof = catalog_tables(tables, columns, exclude=DENIED_TABLES)
+    widths = column_counts(catalog_columns(columns)).select(
+        "table_schema", "table_name", F.col("column_count").alias("counted_columns")
+    )
+    out = prof.join(widths, ["table_schema", "table_name"]).select(
+        "table_catalog", "table_schema", "table_name", "row_count", "column_count", "counted_columns",
+        F.col("last_altered").isNotNull().alias("has_change_time"),
+    )
+    return materialize(out)
+
+
 def _crm_objects(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"customer": _t(spark, sf_dir, "customer"), "part": _t(spark, sf_dir, "part")}
 
@@ -633,46 +781,27 @@ def object_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof
 
 
-def _inventory_inputs(spark: SparkSession, sf_dir: str):
-    customer, nation = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "nation")
-    crm_customer = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
-        *[customer[c] for c in customer.columns], nation["n_name"]
-    )
-    schemas = {
-        (CATALOG, "SALES"): {"ORDERS": _t(spark, sf_dir, "orders"), "LINEITEM": _t(spark, sf_dir, "lineitem"), "CUSTOMER": customer},
-        (CATALOG, "CRM"): {"CUSTOMER": crm_customer, "PART": _t(spark, sf_dir, "part")},
-        ("HUB", "EVENTS"): {"EVENTS": _t(spark, sf_dir, "events")},
-    }
-    changed = {"ORDERS": "o_orderdate", "LINEITEM": "l_shipdate", "EVENTS": "ts"}
-    # All three schemas measured in one job.
-    profiles = table_profile(
-        spark, {(c, s, n): df for (c, s), tabs in schemas.items() for n, df in tabs.items()}, last_altered=changed
-    )
-    columns = [column_profiles(spark, tabs, catalog=c, schema=s, observe=False) for (c, s), tabs in schemas.items()]
-    return profiles, columns
+def _inventory_inputs(state: ProfileState):
+    return state.table_profile("inventory"), state.column_profile("inventory")
 
 
 def inventory_query(spark: SparkSession, sf_dir: str, as_of: str = LOAD_AS_OF) -> DataFrame:
     """REC-9: rows, columns and last change across three schemas in two catalogs (CUSTOMER is in
     two schemas with different columns)."""
-    profiles, columns = _inventory_inputs(spark, sf_dir)
+    profiles, columns = _inventory_inputs(_measured(spark, sf_dir, "inventory"))
     return inventory(profiles, columns, as_of=as_of).select(*INVENTORY)
 
 
-def _sources(spark: SparkSession, sf_dir: str):
-    sales = source_profile(
-        spark,
-        {n: _t(spark, sf_dir, n) for n in ("orders", "lineitem", "customer")},
-        restrict_to=["ORDERS", "LINEITEM", "CUSTOMER"],
-    )
-    crm, _ = object_profile(spark, _crm_objects(spark, sf_dir))
-    return {"SALES": sales, "CRM": crm, "EVENTS": None}
+def _sources(state: ProfileState):
+    return {"SALES": state.source_profile("sources", _in_schema("SALES")), "CRM": state.source_profile("sources", _in_schema("CRM")), "EVENTS": None}
 
 
 def merged_report_query(spark: SparkSession, sf_dir: str, as_of: str = LOAD_AS_OF) -> DataFrame:
-    """REC-10 + REC-11 + REC-12: inventory joined with each schema's source profile, flagged."""
-    inv = inventory_query(spark, sf_dir, as_of)
-    return merged_report(inv, _sources(spark, sf_dir), as_of).select(*MERGED_REPORT)
+    """REC-10 + REC-11 + REC-12: inventory joined with each schema's source profile, flagged; each base table is
+    scanned once for both."""
+    state = _measured(spark, sf_dir, "inventory", "sources")
+    inv = inventory(*_inventory_inputs(state), as_of=as_of)
+    return merged_report(inv, _sources(state), as_of).select(*MERGED_REPORT)
 
 
 def failed_checks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -680,24 +809,71 @@ def failed_checks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed_rows("merged", merged_report_query(spark, sf_dir))
 
 
+REPORT_GROUPS = ("counts", "columns", "inventory", "sources")
+
+
+def _validate(state: ProfileState, as_of: str, **kw) -> ValidationRun:
+    tp, rp, legacy = _count_inputs(state)
+    tc, rc = _column_inputs(state)
+    profiles, columns = _inventory_inputs(state)
+    return run_validation(
+        target_profile=tp, replica_profile=rp, target_columns=tc, replica_columns=rc,
+        inventory_profiles=profiles, inventory_columns=columns, sources=_sources(state),
+        as_of=as_of, legacy=legacy, extra=["lineitem"], exempt_suffix="key", **kw,
+    )
+
+
+# The columns of each report under common names: catalog, schema, table, column, flags.
+_REPORT_COLUMNS = {
+    "counts": ("database_name", "schema_name", "table_view_name", None, ["daily_refresh_check", "rows_match_check", "columns_match_check"]),
+    "drift": ("target_table_catalog", "target_table_schema", "target_table_name", "target_column_name", ["data_type_length_check", "is_nullable_check"]),
+    "missing": ("target_table_catalog", "target_table_schema", "target_table_name", "target_column_name", ["column_name_check"]),
+    "merged": ("database_name", "schema_name", "table_name", None, ["daily_refresh_check", "columns_match_check", "rows_match_check"]),
+}
+
+
+def _flat(report: str, df: DataFrame, *more: Column) -> DataFrame:
+    """A report's rows under the common names, its flags joined."""
+    catalog, schema, table, column, flags = _REPORT_COLUMNS[report]
+    return df.select(
+        F.lit(report).alias("report"), "insert_date", F.col(catalog).alias("catalog_name"), F.col(schema).alias("schema_name"),
+        F.col(table).alias("table_name"), (F.col(column) if column else typed_null("string")).alias("column_name"),
+        F.concat_ws("|", *flags).alias("checks"), *more,
+    )
+
+
 def report_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """REC-14 + REC-15: the full validation run on two days, appending all four reports; the
-    merged-report table then holds both runs."""
-    root = scratch_path(spark, "reports")
-    sinks = {name: TableRef(f"{root}/{name}") for name in ("counts", "drift", "missing", "merged")}
-    # The profiles do not depend on the run day: they are measured once, both runs read the
-    # measured rows.
-    tp, rp, legacy = _count_inputs(spark, sf_dir)
-    tc, rc = _column_inputs(spark, sf_dir)
-    profiles, columns = _inventory_inputs(spark, sf_dir)
-    sources = _sources(spark, sf_dir)
-    for as_of in (LOAD_AS_OF, REPORT_AS_OF_NEXT):
-        run_validation(
-            target_profile=tp, replica_profile=rp, target_columns=tc, replica_columns=rc,
-            inventory_profiles=profiles, inventory_columns=columns, sources=sources,
-            as_of=as_of, legacy=legacy, extra=["lineitem"], exempt_suffix="key", sinks=sinks,
-        )
-    return spark.read.parquet(sinks["merged"].location).select(*MERGED_REPORT)
+    """REC-14 + REC-15: the full validation run on two days, the first day's run repeated, all four complete
+    reports appended to catalog tables by run key. The tables are read back: each holds both runs once.
+    The profiles do not depend on the run day: they are measured once, each base table in one scan."""
+    state = _measured(spark, sf_dir, *REPORT_GROUPS)
+    tag = uuid.uuid4().hex[:12]
+    sinks = {name: f"tablewatch_report_{name}_{tag}" for name in REPORTS}
+    for as_of in (LOAD_AS_OF, LOAD_AS_OF, REPORT_AS_OF_NEXT):
+        _validate(state, as_of, sinks=sinks, run_key=as_of[:10])
+    held = [_flat(name, spark.read.table(sinks[name]), F.col(REPORT_RUN)) for name in REPORTS]
+    out = materialize(functools.reduce(DataFrame.unionByName, held))
+    for name in sinks.values():
+        spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REC-15: the first three rows of each report in its display order, with their places."""
+    run = _validate(_measured(spark, sf_dir, *REPORT_GROUPS), LOAD_AS_OF)
+    shown = []
+    for name, df in run.preview(3).items():
+        # A few sorted rows in one partition: their place is their number there.
+        place = (F.monotonically_increasing_id() + 1).alias("place")
+        shown.append(_flat(name, df.coalesce(1), place))
+    return functools.reduce(DataFrame.unionByName, shown)
+
+
+def failed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REC-13: the rows of the drift, missing-column and merged reports that failed by each report's rule; the
+    counts report is not filtered."""
+    run = _validate(_measured(spark, sf_dir, *REPORT_GROUPS), LOAD_AS_OF)
+    return functools.reduce(DataFrame.unionByName, [_flat(name, df) for name, df in run.failed.items()])
 
 
 def freshness_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -734,6 +910,14 @@ _QUERY_FUNCTIONS = {
     "failed_checks": failed_checks_query,
     "report_append": report_append,
     "freshness": freshness_query,
+    "job_runs": job_runs_query,
+    "lineitem_ids": lineitem_ids,
+    "partition_counts": partition_counts,
+    "partition_profile_listed": partition_profile_listed,
+    "database_partitions": database_partitions,
+    "catalog_inventory": catalog_inventory,
+    "report_preview": report_preview,
+    "failed_reports": failed_reports,
 }
 
 QUERIES = {name: _registered(fn) for name, fn in _QUERY_FUNCTIONS.items()}

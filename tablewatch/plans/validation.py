@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tablewatch.functions.time import AsOf
 from tablewatch.operators.reconcile import (
@@ -27,7 +28,7 @@ from tablewatch.operators.reconcile import (
     reconcile_counts,
 )
 from tablewatch.session import materialize
-from tablewatch.sources.tables import TableRef, write_table
+from tablewatch.sources.tables import TableRef, drop_run, has_runs, write_runs, write_table
 
 REPORTS = ("counts", "drift", "missing", "merged")
 
@@ -62,16 +63,33 @@ class ValidationRun:
         return {name: df.limit(n) for name, df in self.ordered(failed).items()}
 
 
-def append_reports(reports: Mapping[str, DataFrame], sinks: Mapping[str, TableRef | str]) -> None:
+# Partition column of the report tables.
+REPORT_RUN = "report_run"
+
+
+def append_reports(
+    reports: Mapping[str, DataFrame], sinks: Mapping[str, TableRef | str], run_key: str | None = None
+) -> None:
     """REC-14: append each complete report to its table (created when absent).
 
-    The appends are independent jobs, submitted together so they run side by side.
+    With ``run_key`` the rows go into the run's own partition in place of what it held, so a run that is
+    repeated, whole or after a failure, is in the tables once. The appends are independent jobs,
+    submitted together so they run side by side.
     """
     todo = [(df, sinks[name]) for name, df in reports.items() if name in sinks]
     if not todo:
         return
+
+    def append(df: DataFrame, sink: TableRef | str) -> None:
+        if run_key is None:
+            write_table(df, sink, "append")
+            return
+        write_runs(df.withColumn(REPORT_RUN, F.lit(run_key)), sink, [run_key], REPORT_RUN)
+        if df.isEmpty() and has_runs(df.sparkSession, sink, REPORT_RUN):
+            drop_run(df.sparkSession, sink, run_key, REPORT_RUN)  # the run reports nothing any more
+
     with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-        for f in [pool.submit(write_table, df, sink, "append") for df, sink in todo]:
+        for f in [pool.submit(append, df, sink) for df, sink in todo]:
             f.result()
 
 
@@ -95,9 +113,11 @@ def run_validation(
     match_on: Iterable[str] = ("table_catalog", "table_schema", "table_name"),
     sinks: Mapping[str, TableRef | str] | None = None,
     checkpoint: bool = False,
+    run_key: str | None = None,
 ) -> ValidationRun:
     """REC-15: build the counts, drift, missing-column and merged reports, append the complete
-    reports to ``sinks`` (when given) and return them with their failed rows.
+    reports to ``sinks`` (when given) and return them with their failed rows. ``run_key`` makes the append
+    one that can be repeated (see ``append_reports``).
 
     Errors are raised, not swallowed: a step that fails stops the run.
     """
@@ -117,6 +137,6 @@ def run_validation(
 
     run = ValidationRun(counts, drift, missing, merged)
     if sinks:
-        append_reports(run.reports(), sinks)
+        append_reports(run.reports(), sinks, run_key)
     run.failed = {name: failed_rows(name, df) for name, df in run.reports().items()}
     return run

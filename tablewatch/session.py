@@ -11,6 +11,7 @@ import tempfile
 import uuid
 import weakref
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -74,6 +75,14 @@ def error_text(err: BaseException) -> str:
     return str(err) or type(err).__name__
 
 
+def is_read_error(err: BaseException) -> bool:
+    """Whether an error lies in one table (missing, unreadable, a bad value), so that other tables may go on
+    without it. Spark names such errors by a condition; a job that the cluster broke off has none."""
+    if isinstance(err, PySparkException):
+        return bool(err.getCondition())
+    return isinstance(err, (KeyError, ValueError, OSError))
+
+
 _STORED: weakref.WeakSet = weakref.WeakSet()  # DataFrames this library has already checkpointed
 
 

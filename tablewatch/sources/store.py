@@ -110,3 +110,14 @@ def publish_folder(spark: SparkSession, staged: str, target: str) -> None:
         restore_folder(spark, target)
         raise
     delete(spark, old)
+
+
+def move_files(spark: SparkSession, staged: str, target: str) -> None:
+    """Move the data files of a staged folder into ``target`` and drop the folder. Spark's file names are
+    unique, so several writers may do this to one target at once."""
+    fs, p = _fs(spark, target)
+    fs.mkdirs(p)
+    for name in children(spark, staged):
+        if not name.startswith(("_", ".")):
+            rename(spark, f"{staged}/{name}", f"{target.rstrip('/')}/{name}")
+    delete(spark, staged)

@@ -142,6 +142,23 @@ def write_table(
         w.saveAsTable(ref.location)
 
 
+def append_rows(df: DataFrame, t: TableRef | str) -> None:
+    """Append a small batch to a log that several writers append to at once.
+
+    Spark jobs that append to one folder at the same time share its temporary folder, which the first to
+    finish removes. So a path gets its files from a private folder, by rename."""
+    ref = as_ref(t)
+    if not ref.is_path:
+        write_table(df, ref, "append")
+        return
+    staged = store.staging_name(ref.location)
+    try:
+        df.write.format(ref.format).options(**ref.options).save(staged)
+        store.move_files(df.sparkSession, staged, ref.location)
+    finally:
+        store.delete(df.sparkSession, staged)
+
+
 def quoted(name: str) -> str:
     """A qualified table name with each part quoted."""
     return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in name.split("."))

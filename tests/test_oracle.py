@@ -43,7 +43,7 @@ def test_column_queries_profile_every_row_and_table(spark, monkeypatch):
     monkeypatch.setattr(
         driver_queries, "_t", lambda s, d, n: orders.withColumn("o_orderstatus", changed) if n == "orders" else read(s, d, n)
     )
-    target, replica = driver_queries._column_inputs(spark, SF_SMALL)
+    target, replica = driver_queries._column_inputs(driver_queries._measured(spark, SF_SMALL, "columns"))
     status = target.where("table_name = 'ORDERS' and column_name = 'o_orderstatus'").collect()
     assert [r.character_maximum_length for r in status] == [len("a longer status")]
     profiled = {r.column_name for r in replica.where("table_name = 'LINEITEM'").collect()}

@@ -65,3 +65,17 @@ def test_empty_arrays_give_no_row(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"id": 1}, {"id": 2}]\n[]\nnot json\n')
     rows = load_raw_json(spark, str(tmp_path), {"id": "$.id"}, dt.datetime(2024, 1, 1), strip_outer_array=True).collect()
     assert sorted(str(r.id) for r in rows) == ["1", "2", "None"]
+
+
+def test_a_broken_cluster_is_not_a_failing_table(spark, scratch, monkeypatch):
+    from pyspark.errors.exceptions.captured import UnknownException
+    from tablewatch.plans import daily_audit
+    from tablewatch.session import is_read_error
+
+    lost = UnknownException("Job aborted due to stage failure: executor lost")
+    assert not is_read_error(lost) and is_read_error(KeyError("x"))
+    monkeypatch.setattr(daily_audit, "audit_all", lambda *a, **k: (_ for _ in ()).throw(lost))
+    spark.range(1).selectExpr("TIMESTAMP_NTZ '2024-01-01 05:00:00' AS ts").createOrReplaceTempView("tw_good2")
+    log = scratch("log")
+    with pytest.raises(UnknownException):
+        run_daily_audit(spark, [("G", "ts")], {"G": "tw_good2"}, dt.datetime(2024, 1, 2), log=log, schema_name="s", job_type="j", dag_id="d")

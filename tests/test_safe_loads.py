@@ -212,3 +212,83 @@ def test_a_file_is_created_by_one_writer(spark, scratch):
     with ThreadPoolExecutor(8) as pool:
         won = list(pool.map(lambda i: store.create_once(spark, path, str(i)), range(8)))
     assert sum(won) == 1 and store.read_text(spark, path) == str(won.index(True))
+
+
+# ------------------------------------------------------------------------- job log, ids, reports
+
+
+class DriverLost(BaseException):
+    """Ends a load as a killed driver would: nothing after it runs."""
+
+
+def test_a_load_cut_off_between_its_records_is_found_lost(spark, scratch, monkeypatch):
+    from tablewatch.operators import ingest, job_runs
+
+    events = scratch("events")
+    meta = JobMeta("S", "T", "load_t")
+    load_with_audit(spark.range(3), scratch("a"), meta, event_log=events, clock=lambda: AS_OF)
+
+    def cut(*a, **k):
+        raise DriverLost
+
+    monkeypatch.setattr(ingest, "write_load", cut)
+    with pytest.raises(DriverLost):
+        load_with_audit(spark.range(3), scratch("b"), meta, event_log=events, clock=lambda: AS_OF)
+    log = spark.read.parquet(events)
+    assert log.count() == 3
+    later = {r.job_status: r.recs_inserted for r in job_runs(log, AS_OF + dt.timedelta(hours=25)).collect()}
+    assert later == {"SUCCESS": 3, "LOST": 0}
+    assert {r.job_status for r in job_runs(log, AS_OF + dt.timedelta(hours=2)).collect()} == {"SUCCESS", "RUNNING"}
+
+
+def test_writers_at_once_never_share_an_id(spark, scratch):
+    from tablewatch.operators import append_job_status, job_status_row
+    from tablewatch.schemas import JOB_STATUS
+    from tablewatch.session import local_frame
+
+    log, meta = scratch("log"), JobMeta("S", "T", "t")
+    one = job_status_row(spark, meta, AS_OF, AS_OF, "SUCCESS").first()
+
+    def append(i):
+        append_job_status(local_frame(spark, [tuple(one)] * (i % 3 + 1), JOB_STATUS), log)
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(append, range(12)))
+    ids = sorted(r.job_id for r in spark.read.parquet(log).collect())
+    assert ids == list(range(1, 25))
+
+
+def test_both_ways_of_numbering_agree(spark):
+    from tablewatch.operators import job_status_row, with_job_ids
+
+    rows = [job_status_row(spark, JobMeta("S", f"T{(i * 7) % 20:02d}", "t"), AS_OF, AS_OF, "SUCCESS").first() for i in range(20)]
+    from tablewatch.schemas import JOB_STATUS
+    from tablewatch.session import local_frame
+
+    local = local_frame(spark, [tuple(r) for r in rows], JOB_STATUS)
+    spread = spark.createDataFrame(rows, JOB_STATUS).repartition(5)
+    assert local.isLocal() and not spread.isLocal()
+    got = [{(r.table_name, r.job_id) for r in with_job_ids(x, lambda n: 100 + n).collect()} for x in (local, spread)]
+    assert got[0] == got[1] and min(i for _, i in got[0]) == 121
+
+
+def test_claims_go_on_above_an_older_log(spark, scratch):
+    from tablewatch.operators.sequence import claim_ids
+
+    folder = scratch("seq")
+    assert [claim_ids(spark, folder, 5, 40), claim_ids(spark, folder, 0), claim_ids(spark, folder, 2)] == [40, 45, 45]
+
+
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_reports_appended_again_replace_their_run(spark, scratch, table, kind):
+    from tablewatch.plans import append_reports
+
+    sink = scratch("report") if kind == "path" else table
+    df = spark.range(3).selectExpr("id", "'x' AS flag")
+    for key, n in (("d1", 3), ("d1", 2), ("d2", 3)):
+        append_reports({"counts": df.limit(n)}, {"counts": TableRef(sink)}, key)
+    read = spark.read.parquet(sink) if kind == "path" else spark.table(sink)
+    assert sorted((r.report_run, r["count"]) for r in read.groupBy("report_run").count().collect()) == [("d1", 2), ("d2", 3)]
+    append_reports({"counts": df.limit(0)}, {"counts": TableRef(sink)}, "d1")
+    read = spark.read.parquet(sink) if kind == "path" else spark.table(sink)
+    assert [r.report_run for r in read.select("report_run").distinct().collect()] == ["d2"]
