@@ -11,7 +11,8 @@ import tempfile
 import uuid
 import weakref
 
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException, UnknownException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -78,8 +79,11 @@ def error_text(err: BaseException) -> str:
 def is_read_error(err: BaseException) -> bool:
     """Whether an error lies in one table (missing, unreadable, a bad value), so that other tables may go on
     without it. Spark names such errors by a condition; a job that the cluster broke off has none."""
+    if isinstance(err, Py4JJavaError):
+        condition = getattr(err.java_exception, "getCondition", None)
+        return bool(condition and condition())
     if isinstance(err, PySparkException):
-        return bool(err.getCondition())
+        return not isinstance(err, UnknownException) and bool(err.getCondition())
     return isinstance(err, (KeyError, ValueError, OSError))
 
 

@@ -72,7 +72,7 @@ def test_a_broken_cluster_is_not_a_failing_table(spark, scratch, monkeypatch):
     from tablewatch.plans import daily_audit
     from tablewatch.session import is_read_error
 
-    lost = UnknownException("Job aborted due to stage failure: executor lost")
+    lost = UnknownException("Job aborted due to stage failure: executor lost", "")
     assert not is_read_error(lost) and is_read_error(KeyError("x"))
     monkeypatch.setattr(daily_audit, "audit_all", lambda *a, **k: (_ for _ in ()).throw(lost))
     spark.range(1).selectExpr("TIMESTAMP_NTZ '2024-01-01 05:00:00' AS ts").createOrReplaceTempView("tw_good2")
