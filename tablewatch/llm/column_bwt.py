@@ -12,7 +12,8 @@ included) is removed. Texts are UTF-8 bytes; matches never cross documents, over
    repeat nothing. Both are settled without their bytes.
 3. **The rest** -- of each kind of window one -- goes, with its bytes, to a task by anchor. There windows are
    first trimmed: a string reaches some bytes to the left and to the right of its anchor, and if no other window of
-   the anchor has as many in common there, it is not repeated. The trimmed windows
+   the anchor has as many in common there, it is not repeated. Every string that is left holds its anchor
+   whole, so the anchor's ``KMER`` bytes become ``CODE`` symbols that name them. The trimmed windows
    are the documents of a collection whose BWT and common prefixes are built column by column:
    round j inserts the j-th symbol from the end of each window, its place found by counting symbols in
    the BWT so far, its common prefixes by the smallest entries between neighbours. Both columns are
@@ -46,9 +47,10 @@ from tablewatch.llm.common import stored
 LENGTH, KMER = 200, 32
 PIECE = (1 << 24) - 1  # longer texts are worked through in pieces; a place must fit into 24 bits
 CROWD = 8192
-GROUP_WINDOWS = 1024  # small anchors' windows share a collection up to about this many
+GROUP_WINDOWS = 512  # small anchors' windows share a collection up to about this many
 TRIM = 14  # bytes by which contexts are compared when windows are trimmed
 SPOOL_BYTES = 32 << 20
+CODE, CODE_SYMBOLS = 4, bytes(range(0xF8, 0xFF))  # an anchor's name: bytes that no UTF-8 text has
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PLACE = np.uint64(PIECE)
 
@@ -175,13 +177,14 @@ def repeated_starts(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray
     bwt = _Column(np.where(sizes > 0, flat[ends - 1] if len(flat) else 0, 0).astype(np.uint8))
     common = _Column(np.zeros(m, np.uint8))
     alive, place = np.flatnonzero(sizes > 0), np.flatnonzero(sizes > 0)  # place: of the suffix last inserted
+    at_all = np.arange(m + int(sizes.sum()), dtype=np.int32)
     for j in range(1, int(sizes.max(initial=0)) + 1):
         b, lcp = bwt.get(), common.get()
-        order = np.argsort(b, kind="stable")
-        rank = np.empty(len(b), np.int64)
-        rank[order] = np.arange(len(b))
-        done = int((b == 0).sum())
-        k, symbol = rank[place], b[place]
+        order = np.argsort(b, kind="stable")  # of bytes: a counting pass
+        rank = np.empty(len(b), np.int32)
+        rank[order] = at_all[: len(b)]
+        done = len(b) - int(np.count_nonzero(b))
+        k, symbol = rank[place].astype(np.int64), b[place]
         new = m + k - done  # all empty suffixes, then the suffixes in the order of their first symbols
         before, after = order[np.maximum(k - 1, 0)], order[np.minimum(k + 1, len(b) - 1)]
         has_before, has_after = (k > 0) & (b[before] == symbol), (k + 1 < len(b)) & (b[after] == symbol)
@@ -193,9 +196,9 @@ def repeated_starts(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray
         left = ends[alive] - j - 1
         next_b[new] = np.where(sizes[alive] > j, flat[np.maximum(left, 0)], 0)
         next_lcp[new] = 0
-        for has, low, high, shift in ((has_before, before + 1, place, 0), (has_after, place + 1, after, 1)):
-            least = _least_between(lcp, low[has], high[has])
-            next_lcp[new[has] + shift] = np.minimum(least, length - 1) + 1
+        low = np.concatenate([before[has_before] + 1, place[has_after] + 1])
+        least = _least_between(lcp, low, np.concatenate([place[has_before], after[has_after]]))
+        next_lcp[np.concatenate([new[has_before], new[has_after] + 1])] = np.minimum(least, length - 1) + 1
         bwt.put(next_b)
         common.put(next_lcp)
         alive, place = alive[sizes[alive] > j], new[sizes[alive] > j]
@@ -268,18 +271,35 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     for _, group in itertools.groupby(rows, key=lambda r: r[2]):
         group = list(group)
-        for (doc_id, text_key, _, first, _, _, single, data), (low, high) in zip(group, trimmed([(r[7], r[5]) for r in group])):
+        for (doc_id, text_key, _, first, _, ahead, single, data), (low, high) in zip(group, trimmed([(r[7], r[5]) for r in group])):
             if low < high:
-                held.append((doc_id, text_key, first + low, single, data[low : high + LENGTH - 1]))
+                held.append((doc_id, text_key, first + low, single, data[low : high + LENGTH - 1], ahead - low))
         if len(held) >= GROUP_WINDOWS:
             yield from _intervals(held)
             held = []
     yield from _intervals(held)
 
 
+def named_anchors(texts: list[bytes], places: list[int]) -> list[bytes]:
+    """The texts with their anchors' bytes (at ``places``) replaced by a name of ``CODE`` symbols: the same for the
+    same bytes, another for others."""
+    known: dict[bytes, bytes] = {}
+    out = []
+    for text, a in zip(texts, places):
+        anchor = text[a : a + KMER]
+        if anchor not in known:
+            n = len(known)
+            known[anchor] = bytes(CODE_SYMBOLS[n // len(CODE_SYMBOLS) ** i % len(CODE_SYMBOLS)] for i in range(CODE))
+        out.append(text[:a] + known[anchor] + text[a + KMER :])
+    if len(known) > len(CODE_SYMBOLS) ** CODE:
+        raise ValueError("more anchors in a collection than names")
+    return out
+
+
 def _intervals(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     out = []
-    for (doc_id, text_key, first, single, _), starts in zip(rows, repeated_starts([r[4] for r in rows]) if rows else []):
+    texts = named_anchors([r[4] for r in rows], [r[5] for r in rows])
+    for (doc_id, text_key, first, single, _, _), starts in zip(rows, repeated_starts(texts, LENGTH - KMER + CODE) if rows else []):
         if single and len(starts):
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 out.append((doc_id, text_key, first + int(run[0]), first + int(run[-1]) + LENGTH))
