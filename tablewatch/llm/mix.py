@@ -7,8 +7,9 @@ fraction of them: each document draws an exponential key ``-ln(u) / weight`` (u
 id, so reruns agree), documents are sorted by key within the source, and the prefix whose summed
 sizes come nearest the rest of the target is taken once more.
 
-DataFrame functions only. Word counts are taken once and stored with the keys; the texts are never
-shuffled. The sort is not done per source (one source may hold a third of all rows): keys fall into
+DataFrame functions only. Sizes and keys are computed in the pass that finds the cuts and again, as
+cheaply as the texts are read, in the pass that applies them: the texts are never shuffled, as a join
+with stored sizes would have to. The sort is not done per source (one source may hold a third of all rows): keys fall into
 ``KEY_BUCKETS`` ranges, sizes are summed per (source, range) with map-side partial sums, and only
 the one range per source in which the target ends is sorted.
 
@@ -16,7 +17,7 @@ Defined results: null sources form a source of their own, ordered last. Null tex
 Sizes of 0 cost nothing, take nothing, and still get their ``times``. A null id hashes like the
 text ``null``; equal ids tie and are ordered by size (equal rows are interchangeable). A null,
 NaN or non-positive quality weight sorts behind all others. An empty table gives an empty result.
-Extra columns of the input are ignored.
+Extra columns of the input are kept by ``repeat_mixed``, whatever their names, and not read.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import WORD_PATTERN, stored
+from tablewatch.llm.common import WORD_PATTERN, free_name, stored
 
 KEY_BUCKETS = 4096
 MOST_BROADCAST_SOURCES = 100_000
@@ -115,33 +116,45 @@ def with_times(
     max_epochs: int = 3,
     budget: float = 1.0,
     seed: str = "mix",
+    into: str = "_mix",
 ) -> DataFrame:
-    """``docs`` with ``_mix``: a struct of size, source_size, target and times (how often it is taken)."""
+    """``docs`` with the column ``into``: a struct of size, source_size, target and times (how often it is taken).
+    The caller's columns travel as one struct, so their names clash with none here; ``into`` must be free."""
+    if into.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the input has a column {into!r} already")
     size = word_count(F.col("text")) if size is None else size
     weight = F.lit(1.0) if quality is None else quality.cast("double")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    drawn = docs.select(
+        whole, F.col(doc_id).alias("doc_id"), size.alias("size"), F.col(source).alias("source"),
+        sampling_key(F.col(doc_id), weight, seed).alias("_key"),
+    )
     # exp(-key) lies in [0, 1): its ranges hold like shares of the documents whatever the keys' scale.
-    bucket = F.floor((F.lit(1.0) - F.exp(-F.col("_m._key"))) * F.lit(KEY_BUCKETS)).cast("int")
-    drawn = F.struct(F.col(doc_id).alias("doc_id"), size.alias("size"), F.col(source).alias("source"), sampling_key(F.col(doc_id), weight, seed).alias("_key"))
-    keyed = docs.withColumn("_m", drawn).withColumn("_b", bucket)
-    sized = stored(keyed.select("_m.doc_id", "_m.size", "_m.source", "_m._key", F.col("_b").alias("_bucket")), "mix-sizes")
+    keyed = drawn.withColumn("_bucket", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * F.lit(KEY_BUCKETS)).cast("int"))
+    sized = stored(keyed.drop("row"), "mix-sizes")
     cuts = stored(source_cuts(sized, cycle, max_epochs, budget), "mix-cuts", partitions=1)
     # One row per source: broadcast, unless sources are so many that they are a table of their own.
     cuts = F.broadcast(cuts) if cuts.count() <= MOST_BROADCAST_SOURCES else cuts
-    joined = keyed.join(cuts, F.col("_m.source").eqNullSafe(F.col("_source")))
-    own = F.struct("_m._key", "_m.doc_id", "_m.size")
-    extra = (F.col("_b") < F.col("_edge_bucket")) | ((F.col("_b") == F.col("_edge_bucket")) & F.coalesce(own <= F.col("_last"), F.lit(False)))
+    joined = keyed.join(cuts, F.col("source").eqNullSafe(F.col("_source")))
+    own = F.struct("_key", "doc_id", "size")
+    extra = (F.col("_bucket") < F.col("_edge_bucket")) | ((F.col("_bucket") == F.col("_edge_bucket")) & F.coalesce(own <= F.col("_last"), F.lit(False)))
     times = (F.col("_epochs") + extra.cast("long")).cast("int")
-    out = joined.withColumn("_mix", F.struct(F.col("_m.size").alias("size"), "source_size", "target", times.alias("times")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "_mix")
+    out = joined.select("row", F.struct("size", "source_size", "target", times.alias("times")).alias("mixed"))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], F.col("mixed").alias(into))
 
 
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """One row per input row: (doc_id, size, source_size, target, times, taken); options of ``with_times``."""
-    mixed = with_times(docs, doc_id, **options)
-    return mixed.select(F.col(doc_id).alias("doc_id"), "_mix.*", (F.col("_mix.times") * F.col("_mix.size")).cast("long").alias("taken"))
+    into = free_name(docs, "_mix")
+    mixed = with_times(docs, doc_id, into=into, **options)
+    return mixed.select(F.col(doc_id).alias("doc_id"), F.col(into).alias("m")).select(
+        "doc_id", "m.*", (F.col("m.times") * F.col("m.size")).cast("long").alias("taken")
+    )
 
 
 def repeat_mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken."""
-    mixed = with_times(docs, **options).where(F.col("_mix.times") > 0)
-    return mixed.withColumn("_mix", F.explode(F.array_repeat(F.lit(0), F.col("_mix.times")))).drop("_mix")
+    into = free_name(docs, "_mix")
+    mixed = with_times(docs, into=into, **options).where(F.col(into).getField("times") > 0)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return mixed.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col(into).getField("times"))).alias(into)).drop(into)

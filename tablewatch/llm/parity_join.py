@@ -1,10 +1,15 @@
 """N-gram Jaccard self-join by parity sketches: exact links, and the groups they form.
 
-A document's set is its distinct word shingles as 64-bit hashes. A sketch of k words of 64 bits is
+A document's set is its distinct word shingles as 64-bit hashes. A sketch of k words is
 made by XOR: each shingle flips one bit, whose word and place its hash names. Two sketches differ in
 at most as many bits as the sets differ in shingles, so a limit ``d`` on the symmetric difference is
 a limit on the Hamming distance, and of ``d + 1`` words one must be equal (pigeonhole).
 
+A word that few shingles fall into has few values if it is 64 bits wide, and unrelated documents would
+meet in it by chance, in numbers that grow with their square. So the words that candidates are joined
+on are 2**32 bits wide. They are nearly empty; a word is held as the XOR of a hash of each set
+bit, which is equal where the words are. Verification compares 64-bit words bit by bit.
+
 - **Size bands.** Two sets at the threshold differ little in size, so sizes are cut into bands
   (ratio ``BAND``); a band's largest pair gives its ``d`` and so its k. A document joins in its own
   band and in a lower one that a smaller partner could have.
@@ -87,21 +92,17 @@ def bands(percent: int, longest: int = 1 << 31) -> list[Band]:
 
 
 def _spare(start: int, need: int) -> tuple[int, int]:
-    """How many shingles a light word has at most, and how many words a band spares: a tenth of the
-    others for counting, and the light words to expect (two deviations more) in sets at its start.
-    Any choice is exact."""
+    """How many shingles a light word has at most -- none: a wide word with one is rare enough -- and how many
+    words a band spares: a tenth of the others for counting, and the light words to expect (two
+    deviations more) in sets at its start. Any choice is exact."""
     most = 1 + need // 3
-    for light in (2, 1, 0):
-        spare, wanted = 0, 1
-        while spare < wanted <= most:
-            spare = wanted
-            words = need + spare
-            mean = start / words
-            p = sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(light + 1))
-            wanted = 1 + math.ceil(need / 10 + words * p + 2 * math.sqrt(words * p * (1 - p)))
-        if wanted <= spare:
-            return light, spare
-    return 0, most
+    spare, wanted = 0, 1
+    while spare < wanted <= most:
+        spare = wanted
+        words = need + spare
+        p = math.exp(-start / words)
+        wanted = 1 + math.ceil(need / 10 + words * p + 2 * math.sqrt(words * p * (1 - p)))
+    return 0, spare if wanted <= spare else most
 
 
 class Shingler:
@@ -137,10 +138,11 @@ def _mix(z: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def sketch(shingles: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(the sketch's words, how many shingles each got). Sorted hashes fall into words in order."""
+def sketch(shingles: np.ndarray, words: int, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(the sketch's words, how many shingles each got). Sorted hashes fall into words in order. ``wide``: words
+    of 2**32 bits, each as the XOR of its set bits' hashes; else of 64 bits."""
     word = ((shingles >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
-    bit = np.uint64(1) << (shingles & np.uint64(63))
+    bit = _mix((shingles & np.uint64(0xFFFFFFFF)) + np.uint64(1)) if wide else np.uint64(1) << (shingles & np.uint64(63))
     count = np.bincount(word.astype(np.int64), minlength=words)
     out = np.zeros(words, np.uint64)
     full = np.flatnonzero(count)
@@ -156,7 +158,7 @@ def bucket_keys(shingles: np.ndarray, plan: list[Band], starts: list[int]) -> li
     while at >= 0 and (plan[at].start <= n < plan[at].end or plan[at].partner >= n):
         band = plan[at]
         if band.words > 1:  # else linked sets of the band are equal, and one vertex
-            parity, count = sketch(shingles, band.words)
+            parity, count = sketch(shingles, band.words, wide=True)
             heavy = count > band.light
             room = band.spare - int((~heavy).sum())
             shown = np.flatnonzero(heavy) if room >= 0 else np.arange(band.words)
@@ -172,7 +174,7 @@ def set_name(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def shingle_table(docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, set_hi, set_lo, shown), stored. ``shown``: band, room and bucket keys."""
+    """(doc_id, text_key, n_shingles, set_hi, set_lo, shown), stored. ``shown``: band, room and bucket keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, plan = Shingler(n, seed), bands(percent)
@@ -194,12 +196,12 @@ def shingle_table(docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame
                 [pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], pa.int32()), keys], ["band", "room", "keys"]
             )
             yield pa.record_batch({
-                "doc_id": b.column(0), "n_shingles": pa.array(sizes, pa.int64()), "set_hi": name[:, 0], "set_lo": name[:, 1],
+                "doc_id": b.column(0), "text_key": b.column(2), "n_shingles": pa.array(sizes, pa.int64()), "set_hi": name[:, 0], "set_lo": name[:, 1],
                 "shown": pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, shown)]), pa.int32()), entries),
             })
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    kind = "doc_id long, n_shingles long, set_hi long, set_lo long, shown array<struct<band:int,room:int,keys:array<long>>>"
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.xxhash64("text"))
+    kind = "doc_id long, text_key long, n_shingles long, set_hi long, set_lo long, shown array<struct<band:int,room:int,keys:array<long>>>"
     return stored(rows.mapInArrow(run, kind), "shingles")
 
 
@@ -321,10 +323,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, seed: int
         raise ValueError("percent must be from 50 to 100")
     full = shingle_table(docs, n, percent, seed)
     sets = stored(full.drop("shown"), "set-names")
-    known_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))  # to fetch texts by
+    # To fetch texts by: an id may be null, or many rows' own.
+    row_key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "text_key")
     # A vertex is the first half of a set's name. Should two sets ever share it, other hashes decide.
     names = sets.where("n_shingles > 0").groupBy("set_hi").agg(
-        F.min("doc_id").alias("first_id"), F.min(known_id).alias("_id"), F.max("n_shingles").alias("n_shingles"),
+        F.min("doc_id").alias("first_id"), F.min(row_key).alias("_id"), F.max("n_shingles").alias("n_shingles"),
         F.min("set_lo").alias("_lo"), F.max("set_lo").alias("_hi"),
     )
     names = stored(names, "sets")
@@ -340,7 +343,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, seed: int
     inside = names.withColumnRenamed("set_hi", "vertex").join(clusters, "vertex")
     # Of each vertex in a cluster, one document's text is fetched.
     wanted = block_pairs(inside.select("vertex", "cluster", "n_shingles", "_id"))
-    texts = docs.select(known_id.alias("_id"), "text")
+    # Rows that share id and text are fetched once.
+    texts = docs.select(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("text")).alias("_id"), "text")
+    texts = texts.join(inside.select("_id").distinct(), "_id", "left_semi").groupBy("_id").agg(F.first("text").alias("text"))
     rows = wanted.join(texts, "_id").select("cluster", "left", "right", "side", "vertex", "text")
     links = (
         rows.repartition("cluster", "left", "right")

@@ -34,6 +34,7 @@ MIN_ROWS = 4  # a place seen in fewer training rows says nothing
 WEAK = (0.5, 1.0, 1.5, 2.0)  # places whose |log-count ratio| is below this are left out: the choices
 L2 = (10.0, 3.0, 1.0, 0.3, 0.1)  # the choices, strongest first
 FOLDS = 3
+BLOCK = 1 << 20  # features summed at once on the driver
 SETTLED = 1e-3  # largest entry of the gradient, summed over the rows
 
 
@@ -165,12 +166,21 @@ class _Rows:
         self.column_at = np.searchsorted(self.column[order], np.arange(len(self.places) + 1))
 
     def margins(self, x: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum((x[:-1] * self.scale)[self.column])])
-        return np.diff(sums[self.row_at]) + x[-1]
+        return _sums(x[:-1] * self.scale, self.column, self.row_at) + x[-1]
 
     def slopes(self, off: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum(off[self.row])])
-        return np.append(np.diff(sums[self.column_at]) * self.scale, off.sum())
+        return np.append(_sums(off, self.row, self.column_at) * self.scale, off.sum())
+
+
+def _sums(values: np.ndarray, which: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of values[which] between the places ``at``, a block at a time: the driver holds no second copy."""
+    out, lo = np.empty(len(at) - 1), 0
+    while lo < len(out):
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + BLOCK, side="right")) - 1)
+        upto = np.concatenate([[0.0], np.cumsum(values[which[at[lo] : at[hi]]])])
+        out[lo:hi] = np.diff(upto[at[lo : hi + 1] - at[lo]])
+        lo = hi
+    return out
 
 
 def _fit(rows: _Rows, label: np.ndarray, l2: float, start: np.ndarray | None = None) -> np.ndarray:

@@ -255,8 +255,9 @@ def read_packages(packages: DataFrame, folder: str) -> DataFrame:
                     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
+    # Dealt in turn, as many tasks as packages: by the file, Spark would merge the few names into one task.
     files = packages.select("file").distinct()
-    spread = files.repartition(max(1, min(files.count(), 10_000)), "file")
+    spread = files.repartition(max(1, min(files.count(), 10_000)))
     return spread.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 

@@ -328,3 +328,36 @@ def test_top_k_odd_rows(spark):
         (100, 1, 7, 65536), (100, 2, 7, 65536), (100, 3, 0, 32768), (100, 4, 1, 32768),
     ]
     assert cover_tree.top_k(df.limit(0), "vec_id", "embedding", F.lit(True)).count() == 0
+
+
+HELPER_NAMES = ["target", "source_size", "_last", "_epochs", "_source", "_mix", "_m", "_b", "_key", "_bucket", "_edge_bucket", "size", "row", "mixed"]
+
+
+def test_mix_keeps_columns_that_clash(spark):
+    plain = [(i, f"w{i} " * (i % 7 + 1), "ab"[i % 2]) for i in range(60)]
+    base = spark.createDataFrame(plain, "doc_id long, text string, source string")
+    want = Counter(tuple(r) for r in mix.repeat_mixed(base).collect())
+    assert len(want) > 20
+    clashing = base.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in HELPER_NAMES])
+    got = mix.repeat_mixed(clashing)
+    assert got.columns == clashing.columns
+    rows = got.collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in rows) == want
+    assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in HELPER_NAMES)
+    assert mix.mix_sources(clashing, size=F.lit(1)).count() == 60
+
+
+def test_jaccard_fetches_rows_that_share_an_id_by_their_text(spark):
+    one, two = "a b c d e f g h i j k l m n o p q r s t", "a b c d e f g h i j k l m n o p q r s u"
+    rows = [(None, one)] * 30 + [(None, two)] * 30 + [(None, f"{x} other words that stand alone here") for x in range(40)] + [(7, one)]
+    got = parity_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 50).collect()
+    assert Counter(r.component_id for r in got) == {7: 61, None: 40}
+
+
+def test_wide_sketch_words_meet_only_where_shingles_are_equal():
+    rng = np.random.default_rng(0)
+    plan = parity_join.bands(80)
+    starts = [b.start for b in plan]
+    sets = [np.unique(rng.integers(0, 2**63, 300).astype(np.uint64) * np.uint64(2)) for _ in range(400)]
+    keys = Counter(k for s in sets for _, _, ks in parity_join.bucket_keys(s, plan, starts) for k in ks.tolist())
+    assert max(keys.values()) == 1
