@@ -247,8 +247,7 @@ class _Numbers:
 def _count_buffer(numbers: _Numbers, codes: np.ndarray) -> pa.RecordBatch:
     """Distinct phrases of one more word than the last level's units, with their counts. ``codes``: word
     numbers in text order, -1 between pieces and for words that are not frequent."""
-    if not numbers.words:  # no frequent word in this language
-        codes = codes[:0]
+    codes = codes.astype(np.int64) if numbers.words else codes[:0].astype(np.int64)  # none: no frequent word in this language
     words = _utf8(numbers.words)
     hashes = None if numbers.hashes is None else np.array(numbers.hashes, np.uint64)
     unit, unit_text = codes, words

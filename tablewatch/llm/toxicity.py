@@ -79,7 +79,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFram
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> ToxicityModel:
     fold = F.coalesce(F.pmod(F.xxhash64("text"), F.lit(FOLDS)), F.lit(0)).cast("int").alias("fold")
-    rows = training_rows(docs, labels, max_rows).select("text", "toxic", fold).repartition(8).persist()
+    rows = training_rows(docs, labels, max_rows).select("text", "toxic", fold, F.xxhash64("text", "toxic").alias("h")).repartition(8).persist()
     by_class = [f"{c}{k}" for c in ("clean", "toxic") for k in range(FOLDS)]
     counted = rows.mapInArrow(_count_places, "place int, " + ", ".join(f"{c} int" for c in by_class))
     sums = counted.groupBy("place").agg(*(F.sum(c).cast("int").alias(c) for c in by_class))
@@ -102,11 +102,31 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> Toxicit
         seen, strong = np.zeros(1 << BITS, bool), held.value
         for b in batches:
             kept = [p[strong[p]].astype(np.int32) for p in (char_places(t, seen) for t in b.column(0).to_pylist())]
-            yield pa.record_batch({"places": pa.array(kept, pa.list_(pa.int32())), "toxic": pa.array(b.column(1)).cast(pa.int32()), "fold": b.column(2)})
+            columns = {"toxic": pa.array(b.column(1)).cast(pa.int32()), "fold": b.column(2), "h": b.column(3)}
+            yield pa.record_batch({"places": pa.array(kept, pa.list_(pa.int32()))} | columns)
 
-    sample = rows.mapInArrow(features, "places array<int>, toxic int, fold int").toArrow().combine_chunks()
+    strong = rows.mapInArrow(features, "places array<int>, toxic int, fold int, h long")
+    judged = rows.sparkSession.sparkContext.broadcast((ratio, without))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = pa.Table.from_batches(list(batches))
+        places, weights = _choose_and_fit(sample.combine_chunks(), *judged.value)
+        yield pa.record_batch({"place": pa.array(places, pa.int32()), "weight": pa.array(weights, pa.float64())})
+
+    # The sample is bounded: one task fits it, in the same order whenever it runs. The driver gets weights.
+    fitted = strong.repartition(1).sortWithinPartitions("h").mapInArrow(fit, "place int, weight double").toArrow()
     rows.unpersist()
     held.unpersist()
+    judged.unpersist()
+    place, weight = fitted.column("place").to_numpy(), fitted.column("weight").to_numpy()
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[place[place >= 0]] = weight[place >= 0]
+    return ToxicityModel(weights, float(weight[place < 0][0]))
+
+
+def _choose_and_fit(sample: pa.Table, ratio: np.ndarray, without: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(places, weights), the bias last at place -1: least held back and weak places by the loss on left-out
+    folds, then a fit on all rows."""
     lists = sample.column("places").combine_chunks()
     flat, lengths = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
     label, part = (sample.column("toxic").to_numpy() == 1).astype(np.float64), sample.column("fold").to_numpy()
@@ -123,15 +143,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> Toxicit
     weak, l2 = min(loss, key=loss.get)
     learn = _Rows(flat, lengths, part >= 0, _strong(ratio, weak))
     fitted = _fit(learn, label, l2)
-    weights = np.zeros(1 << BITS, np.float32)
-    weights[learn.places] = fitted[:-1] * learn.scale
-    return ToxicityModel(weights, float(fitted[-1]))
+    return np.append(learn.places, -1), np.append(fitted[:-1] * learn.scale, fitted[-1])
 
 
 def _count_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, sums = np.zeros(1 << BITS, bool), np.zeros((2, FOLDS, 1 << BITS), np.int32)
     for b in batches:
-        for text, toxic, fold in zip(*(c.to_pylist() for c in b.columns)):
+        for text, toxic, fold, _ in zip(*(c.to_pylist() for c in b.columns)):
             sums[int(toxic == 1), fold][char_places(text, seen)] += 1
     found = np.flatnonzero(sums.any(axis=(0, 1)))
     if len(found):

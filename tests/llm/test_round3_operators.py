@@ -153,6 +153,15 @@ def test_tiles_count_every_cell():
     assert got == Counter(zip(rows.tolist(), columns.tolist()))
 
 
+def test_cells_beyond_32_bits():
+    """A buffer of 32-bit word numbers whose cells' addresses need more."""
+    heads = [collocations.Head({"en": [b"w%d" % i for i in range(100_000)]})]
+    codes = np.array([99_990 + i % 7 for i in range(3000)] + [-1], np.int32)
+    got = collocations._count_buffer(collocations._Numbers("en", heads), codes).to_pydict()
+    want = Counter(f"w{a} w{b}" for a, b in zip(codes[:-2].tolist(), codes[1:-1].tolist()))
+    assert dict(zip(got["phrase"], got["a"])) == want
+
+
 def test_products_beyond_64_bits(spark):
     # 2,000,000 * a passes 2**63 for a over 4.6e12
     expr = "CAST(2000000 AS DECIMAL(18,0)) * CAST(a AS DECIMAL(20,0)) div (CAST(l AS DECIMAL(20,0)) + CAST(r AS DECIMAL(20,0)))"
