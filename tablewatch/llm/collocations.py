@@ -40,9 +40,9 @@ NO_LANG = "und"
 TILE = 512
 #: A tile is dense if at least one cell in so many is hit.
 DENSE_FROM = 8
-BUFFER_CELLS = 1 << 20
-HEAD_UNITS = 1 << 17
-HEAD_BYTES = 4 << 20
+BUFFER_CELLS = 1 << 19
+HEAD_UNITS = 1 << 18
+HEAD_BYTES = 8 << 20
 FILTER_BITS = 1 << 26
 FLUSH_WORDS = 500_000
 #: Rows of a batch that a task hands on.
