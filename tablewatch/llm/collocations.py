@@ -40,7 +40,7 @@ NO_LANG = "und"
 TILE = 512
 #: A tile is dense if at least one cell in so many is hit.
 DENSE_FROM = 8
-BUFFER_CELLS = 1 << 19
+BUFFER_CELLS = 1 << 20
 HEAD_UNITS = 1 << 18
 HEAD_BYTES = 8 << 20
 FILTER_BITS = 1 << 26
@@ -121,6 +121,18 @@ class Head:
 
     ranked: dict = field(default_factory=dict)  # lang -> units by rank (byte strings, words joined by one space)
     table: bytes = b""  # bits over hashes of the frequent units without a rank; empty if all have one
+    cells: dict = field(default_factory=dict)  # lang -> rank of the unit before << 32 | rank of the word, by rank; -1: none
+    hashes: dict = field(default_factory=dict)  # lang -> hashes of the ranked words, where a level has a table
+
+    def address(self, before: list[Head]) -> None:
+        """Set ``cells``: where the ranked units lie in the grid of the ``before`` level's units and the words. A
+        unit whose parts have no rank themselves cannot be addressed; the bit table has it too."""
+        for lang, units in self.ranked.items():
+            words = {w: i for i, w in enumerate(before[0].ranked.get(lang, ()))}
+            shorter = {u: i for i, u in enumerate(before[-1].ranked.get(lang, ()))}
+            parts = [u.rpartition(b" ") for u in units]
+            cells = [(shorter.get(p, -1), words.get(w, -1)) for p, _, w in parts]
+            self.cells[lang] = np.array([(p << 32) | w if p >= 0 and w >= 0 else -1 for p, w in cells], np.int64)
 
     def admits_one(self, h: int) -> bool:
         at = h % (len(self.table) * 8)
@@ -211,18 +223,25 @@ class _Numbers:
         self.ranks = {w: i for i, w in enumerate(self.words)}
         self.ranked = len(self.words)
         self.open = bool(heads[0].table)  # words without a rank may be frequent
-        self.hashes = [_word_hash(lang, w) for w in self.words] if any(h.table for h in heads) else None
-        # Each further level's ranked units as sorted (rank of the unit before, rank of the word) cells.
+        self.hashed = any(h.table for h in heads)
+        self.hashes = heads[0].hashes[lang].tolist() if lang in heads[0].hashes else []
+        self._text = self._hash = None
+        # Each further level's ranked units as sorted cells.
         self.levels = []
-        ranks = self.ranks
         for head in heads[1:]:
-            units = head.ranked.get(lang, ())
-            # A unit whose parts have no rank themselves cannot be addressed; the bit table has it too.
-            cells = [(ranks.get(u.rpartition(b" ")[0], -1), self.ranks.get(u.rpartition(b" ")[2], -1)) for u in units]
-            keys = np.array([(p << 32) | w if p >= 0 and w >= 0 else -1 for p, w in cells], np.int64)
+            keys = head.cells.get(lang, np.empty(0, np.int64))
             order = np.argsort(keys, kind="stable")
-            self.levels.append((keys[order], order, list(units)))
-            ranks = {u: i for i, u in enumerate(units)}
+            self.levels.append((keys[order], order, _utf8(head.ranked.get(lang, ()))))
+
+    def text(self) -> pa.Array:
+        if self._text is None or len(self._text) != len(self.words):
+            self._text = _utf8(self.words)
+        return self._text
+
+    def hash(self) -> np.ndarray:
+        if self._hash is None or len(self._hash) != len(self.hashes):
+            self._hash = np.array(self.hashes, np.uint64)
+        return self._hash
 
     def number(self, word: bytes) -> int:
         """The number of a word that is not ranked: -1 if it is not frequent."""
@@ -238,9 +257,8 @@ class _Numbers:
     def forget(self) -> None:
         for w in self.words[self.ranked :]:
             del self.ranks[w]
-        del self.words[self.ranked :]
-        if self.hashes is not None:
-            del self.hashes[self.ranked :]
+        del self.words[self.ranked :], self.hashes[self.ranked :]
+        self._text = self._hash = None
         self.ranks = {w: i for w, i in self.ranks.items() if i >= 0}
 
 
@@ -248,11 +266,11 @@ def _count_buffer(numbers: _Numbers, codes: np.ndarray) -> pa.RecordBatch:
     """Distinct phrases of one more word than the last level's units, with their counts. ``codes``: word
     numbers in text order, -1 between pieces and for words that are not frequent."""
     codes = codes.astype(np.int64) if numbers.words else codes[:0].astype(np.int64)  # none: no frequent word in this language
-    words = _utf8(numbers.words)
-    hashes = None if numbers.hashes is None else np.array(numbers.hashes, np.uint64)
+    words = numbers.text()
+    hashes = numbers.hash() if numbers.hashed else None
     unit, unit_text = codes, words
     unit_hash = None if hashes is None else hashes[codes]
-    for level, (keys, order, units) in enumerate(numbers.levels, start=1):
+    for level, (keys, order, text) in enumerate(numbers.levels, start=1):
         n = len(codes) - level  # places where a unit of level + 1 words may start
         n = max(n, 0)
         word = codes[level : level + n]
@@ -262,7 +280,7 @@ def _count_buffer(numbers: _Numbers, codes: np.ndarray) -> pa.RecordBatch:
         found = (keys[at] == cell) if len(keys) else np.zeros(n, bool)
         after = np.full(n, -1, np.int64)
         after[found] = order[at[found]]
-        text = _utf8(units)
+        ranked = len(text)
         if hashes is not None:
             unit_hash = _joined(unit_hash[:n], hashes[word])
         if numbers.heads[level].table:
@@ -270,7 +288,7 @@ def _count_buffer(numbers: _Numbers, codes: np.ndarray) -> pa.RecordBatch:
             loose[loose] = numbers.heads[level].admits(unit_hash[loose])
             if loose.any():
                 cells, local = np.unique(cell[loose], return_inverse=True)
-                after[loose] = local + len(units)
+                after[loose] = local + ranked
                 more = pc.binary_join_element_wise(unit_text.take(pa.array(cells >> 32)), words.take(pa.array(cells & 0xFFFFFFFF)), " ")
                 text = pa.concat_arrays([text, more])
         unit, unit_text = after, text
@@ -346,12 +364,16 @@ def frequent_phrases(
     found = [counts.where(F.col("a") >= min_count)]
     heads = [head_of(found[0], [], head_units, head_bytes, filter_bits)]
     for level in range(2, max_words + 1):
+        if any(h.table for h in heads) and not heads[0].hashes:
+            heads[0].hashes = {lang: np.array([_word_hash(lang, w) for w in words], np.uint64) for lang, words in heads[0].ranked.items()}
         shared = spark.sparkContext.broadcast(heads)
         longer = stored(longer_counts(texts, shared).where(F.col("a") >= min_count), f"collocation-{level}")
         shared.destroy()
         found.append(longer)
         if level < max_words:
-            heads = [*heads, head_of(longer, heads, head_units, head_bytes, filter_bits)]
+            head = head_of(longer, heads, head_units, head_bytes, filter_bits)
+            head.address(heads)
+            heads = [*heads, head]
     whole = found[0].withColumn("words", F.lit(1))
     for level, df in enumerate(found[1:], start=2):
         whole = whole.unionByName(df.withColumn("words", F.lit(level)))
