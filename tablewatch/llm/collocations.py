@@ -57,10 +57,15 @@ _COUNTS = "lang string, phrase string, a bigint"
 _FOLDED = bytes(10 if b in PIECE_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def pieces(text: bytes) -> list[list[bytes]]:
-    """The words of each piece of a text."""
-    # split() parts at ASCII blanks, of which only spaces and tabs are left inside a piece.
-    return [p.split() for p in text.translate(_FOLDED).split(b"\n")]
+# The same with piece ends as a byte that no UTF-8 text has.
+PIECE_MARK = b"\xff"
+_MARKED = bytes(PIECE_MARK[0] if b in PIECE_ENDS else _FOLDED[b] for b in range(256))
+
+
+def marked_words(text: bytes) -> list[bytes]:
+    """The words of a text in order, piece ends as words of their own. split() parts at ASCII blanks, of which
+    only spaces and tabs are left."""
+    return text.translate(_MARKED).replace(PIECE_MARK, b" \xff ").split()
 
 
 def _texts(batch: pa.RecordBatch):
@@ -221,6 +226,7 @@ class _Numbers:
         self.lang, self.heads = lang, heads
         self.words = list(heads[0].ranked.get(lang, ()))
         self.ranks = {w: i for i, w in enumerate(self.words)}
+        self.ranks[PIECE_MARK] = -1
         self.ranked = len(self.words)
         self.open = bool(heads[0].table)  # words without a rank may be frequent
         self.hashed = any(h.table for h in heads)
@@ -259,7 +265,7 @@ class _Numbers:
             del self.ranks[w]
         del self.words[self.ranked :], self.hashes[self.ranked :]
         self._text = self._hash = None
-        self.ranks = {w: i for w, i in self.ranks.items() if i >= 0}
+        self.ranks = {w: i for w, i in self.ranks.items() if i >= 0} | {PIECE_MARK: -1}
 
 
 def _count_buffer(numbers: _Numbers, codes: np.ndarray) -> pa.RecordBatch:
@@ -324,13 +330,12 @@ def longer_counts(docs: DataFrame, shared) -> DataFrame:
                 if lang not in known:
                     known[lang] = _Numbers(lang, heads)
                 numbers = known[lang]
-                rank, codes = numbers.ranks.get, []
-                for piece in pieces(text):
-                    if numbers.open:
-                        codes.extend([numbers.number(w) if (k := rank(w)) is None else k for w in piece])
-                    else:
-                        codes.extend([rank(w, -1) for w in piece])
-                    codes.append(-1)
+                rank = numbers.ranks.get
+                if numbers.open:
+                    codes = [numbers.number(w) if (k := rank(w)) is None else k for w in marked_words(text)]
+                else:
+                    codes = [rank(w, -1) for w in marked_words(text)]
+                codes.append(-1)
                 buffers.setdefault(lang, []).append(np.array(codes, np.int32))
                 size += len(codes)
                 if size >= BUFFER_CELLS:
