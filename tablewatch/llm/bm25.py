@@ -17,8 +17,9 @@ whole batch of documents at once: per block of items, the largest impact of each
 terms summed up. Only passages for which some block reaches the threshold are queried, and WAND,
 which then skips by the postings' block maxima, decides exactly.
 
-The index holds at most ``ITEMS_PER_INDEX`` items; a larger benchmark is cut into several, queried in
-turn, so what is broadcast stays bounded.
+An index holds about ``ITEMS_PER_INDEX`` items; a larger benchmark is cut into several, queried in turn.
+Document frequencies, the mean length and the stride are those of the whole benchmark (counted in
+Spark), so scores and passages do not depend on the cut.
 
 Defined results: null, blank or word-free texts and items match nothing. An item whose answer has no
 words is judged by its question alone (and the other way round). Repeated items each match; repeated
@@ -35,9 +36,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewatch.llm.common import stored
+
 K1, B = 1.2, 0.75
 ITEMS_PER_INDEX = 4096
 BOUND_ITEMS = 4  # items per block of the batch bound
@@ -64,22 +67,38 @@ class Item:
     answer: list[str]
 
 
+@dataclass
+class Statistics:
+    """Of a whole benchmark: items with words, their words, the longest one's; per word, items that hold it."""
+
+    items: int
+    words: int
+    longest: int
+    found: dict[str, int]
+
+    @staticmethod
+    def of(items: list[Item]) -> Statistics:
+        texts = [i.question + i.answer for i in items if i.question or i.answer]
+        lengths = [len(t) for t in texts]
+        return Statistics(len(texts), sum(lengths), max(lengths, default=0), Counter(w for t in texts for w in set(t)))
+
+
 class Bm25Index:
-    """Impacts are divided by the score of the item's own text, so 1.0 is a full match."""
+    """Impacts are divided by the score of the item's own text, so 1.0 is a full match. ``whole``: the
+    benchmark's statistics, where ``items`` are a part of it."""
 
-    def __init__(self, items: list[Item]):
+    def __init__(self, items: list[Item], whole: Statistics | None = None):
+        whole = whole or Statistics.of(items)
         self.items = [i for i in items if i.question or i.answer]
         texts = [Counter(i.question + i.answer) for i in self.items]
-        lengths = np.array([sum(t.values()) for t in texts], float)
-        self.longest = int(lengths.max()) if len(lengths) else 0
-        found = Counter(w for t in texts for w in t)
-        self.term = {w: k for k, w in enumerate(found)}
-        mean = lengths.mean() if len(lengths) else 1.0
+        self.longest, found = whole.longest, whole.found
+        self.term = {w: k for k, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
+        mean = whole.words / whole.items if whole.items else 1.0
         postings = defaultdict(list)
         for number, t in enumerate(texts):
-            norm = K1 * (1 - B + B * lengths[number] / mean)
+            norm = K1 * (1 - B + B * t.total() / mean)
             weights = {
-                w: np.log(1 + (len(texts) - found[w] + 0.5) / (found[w] + 0.5)) * tf * (K1 + 1) / (tf + norm) for w, tf in t.items()
+                w: np.log(1 + (whole.items - found[w] + 0.5) / (found[w] + 0.5)) * tf * (K1 + 1) / (tf + norm) for w, tf in t.items()
             }
             own = sum(weights.values())
             for w, x in weights.items():
@@ -156,12 +175,34 @@ class Bm25Index:
 
 
 def indexes(benchmark: DataFrame) -> Iterator[Bm25Index]:
-    """The items (item_id, question, answer) as indexes of at most about ``ITEMS_PER_INDEX``."""
+    """The items (item_id, question, answer) as indexes of about ``ITEMS_PER_INDEX``. The driver holds
+    one of them at a time, with the counts of its own words."""
     shards = max(1, -(-benchmark.count() // ITEMS_PER_INDEX))
-    numbered = benchmark.withColumn("_shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
+    place = F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(shards)).cast("int")
+    numbered = benchmark.select(place.alias("shard"), "item_id", "question", "answer")
+    words = stored(numbered.select("shard", "question", "answer").mapInArrow(_item_words, "shard int, word string, length long"), "item-words")
+    whole = words.where("word is null").agg(F.count("length"), F.sum("length"), F.max("length")).first()
+    own = words.where("word is not null").groupBy("shard", "word").count()
+    found = stored(own.select("shard", "word", F.sum("count").over(Window.partitionBy("word")).alias("found")), "item-word-counts")
     for shard in range(shards):
-        rows = numbered.where(F.col("_shard") == shard).orderBy("item_id", "question", "answer").toLocalIterator()
-        yield Bm25Index([Item(r.item_id, words_of(r.question), words_of(r.answer)) for r in rows])
+        held = found.where(F.col("shard") == shard).toArrow()
+        counts = dict(zip(held.column("word").to_pylist(), held.column("found").to_pylist()))
+        rows = numbered.where(F.col("shard") == shard).orderBy("item_id", "question", "answer").toLocalIterator()
+        items = [Item(r.item_id, words_of(r.question), words_of(r.answer)) for r in rows]
+        yield Bm25Index(items, Statistics(*(n or 0 for n in whole), counts))
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per item with words: its distinct words, then a row without a word and with its length."""
+    for b in batches:
+        rows = []
+        for shard, question, answer in zip(*(c.to_pylist() for c in b.columns)):
+            words = words_of(question) + words_of(answer)
+            rows += [(shard, w, None) for w in dict.fromkeys(words)]
+            rows += [(shard, None, len(words))] if words else []
+        if rows:
+            shards, found, lengths = zip(*rows)
+            yield pa.record_batch({"shard": pa.array(shards, pa.int32()), "word": pa.array(found, pa.string()), "length": pa.array(lengths, pa.int64())})
 
 
 def _passages(words: np.ndarray, stride: int) -> list[tuple[int, int]]:

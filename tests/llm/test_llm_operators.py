@@ -3,6 +3,7 @@
 import io
 import random
 import zipfile
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -144,6 +145,45 @@ def test_toxicity_odd_rows(spark):
     assert clean.columns == docs(spark, ODD).columns
 
 
+def plain_places(text):
+    """The distinct places of a text's n-grams, one n-gram at a time."""
+    places = set()
+    for n in toxicity.NGRAMS:
+        for i in range(len((text or "").lower()) - n + 1):
+            h = n
+            for c in (text or "").lower()[i : i + n]:
+                h = (h * 0x01000193 + ord(c)) % 2**32
+            h ^= h >> 15
+            places.add((h * 0x9E3779B1) % 2**32 >> (32 - toxicity.BITS))
+    return places
+
+
+def test_toxicity_equals_brute_force(spark):
+    r = random.Random(9)
+    common, bad = [f"word{i}" for i in range(30)], ["vile", "scum", "idiots"]
+    rows = [(i, " ".join(r.choices(common, k=12) + (r.choices(bad, k=2) if i % 4 == 0 else [])), "a") for i in range(240)]
+    learn = [(t, int(i % 4 == 0)) for i, t, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, *_ in rows], "doc_id long, toxic int")
+    assert sorted(map(tuple, toxicity.training_rows(docs(spark, rows), labels, 1000).collect())) == sorted(learn)
+    model = toxicity.train(docs(spark, rows), labels)
+    seen, n = Counter(), Counter(y for _, y in learn)
+    for text, y in learn:
+        seen.update((p, y) for p in plain_places(text))
+    ratio = {p: np.log((seen[p, 1] + 1) / (n[1] + 2)) - np.log((seen[p, 0] + 1) / (n[0] + 2)) for p, _ in seen if seen[p, 0] + seen[p, 1] >= toxicity.MIN_ROWS}
+    used = np.flatnonzero(model.weights)
+    assert len(used) and all(abs(ratio[p]) >= min(toxicity.WEAK) for p in used)
+    # The fitted weights are a minimum of the regression on the ratio-scaled features, for one of the choices.
+    x = np.array([[ratio[p] if p in places else 0.0 for p in used] for places in (plain_places(t) for t, _ in learn)])
+    w = np.array([model.weights[p] / ratio[p] for p in used])
+    off = 1 / (1 + np.exp(-(x @ w + model.bias))) - np.array([y for _, y in learn])
+    assert min(np.abs(off @ x + l2 * w).max() for l2 in toxicity.L2) < 0.01 and abs(off.sum()) < 0.01
+    everything = rows + ODD
+    expected = sorted(round(1 / (1 + np.exp(-(sum(float(model.weights[p]) for p in plain_places(t)) + model.bias))), 6) for _, t, _ in everything)
+    got = toxicity.score_toxicity(docs(spark, everything), model).collect()
+    assert np.allclose(sorted(g.score for g in got), expected, atol=2e-6)
+    assert {g.doc_id: g.predicted for g in got if g.doc_id is not None and g.doc_id >= 10} == {i: int(i % 4 == 0) for i, *_ in rows if i >= 10}
+
+
 def test_wand_retrieves_what_brute_force_does():
     r = random.Random(5)
     vocabulary = [f"w{i}" for i in range(80)]
@@ -185,6 +225,23 @@ def test_edited_copies_are_leaks(spark):
     assert bm25.without_leaks(docs(spark, rows), items).count() == 0
 
 
+def test_leaks_do_not_depend_on_how_the_items_are_cut(spark, monkeypatch):
+    benchmark = benchmark_items(spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").where("item_id < 60"))
+    rows = []
+    for r in benchmark.orderBy("item_id").collect():
+        words = bm25.words_of(r.question) + bm25.words_of(r.answer)
+        rows += [(len(rows) + i, " ".join(["before", *part, "after"]), "a") for i, part in enumerate((words, words[: len(words) * 2 // 3], words[len(words) // 3 :], words[::2]))]
+
+    def found():
+        got = bm25.find_leaks(docs(spark, rows), benchmark, threshold=0.3, question_overlap=0.2, answer_overlap=0.2).collect()
+        return sorted((r.doc_id, r.item_id, round(r.score, 9)) for r in got), bm25.without_leaks(docs(spark, rows), benchmark).count()
+
+    whole = found()
+    monkeypatch.setattr(bm25, "ITEMS_PER_INDEX", 7)
+    assert len(list(bm25.indexes(benchmark))) > 5
+    assert found() == whole and len(whole[0]) > 60
+
+
 @pytest.mark.parametrize("length", [3, 4, 6, 7, 12])
 def test_one_changed_word_leaves_enough_of_a_short_item(length):
     item, filler = [f"w{i}" for i in range(length)], [f"f{i}" for i in range(100)]
