@@ -147,11 +147,11 @@ def test_toxicity_odd_rows(spark):
 
 def plain_places(text):
     """The distinct places of a text's n-grams, one n-gram at a time."""
-    places = set()
+    places, text = set(), (text or "").lower()
     for n in toxicity.NGRAMS:
-        for i in range(len((text or "").lower()) - n + 1):
+        for i in range(len(text) - n + 1):
             h = n
-            for c in (text or "").lower()[i : i + n]:
+            for c in text[i : i + n]:
                 h = (h * 0x01000193 + ord(c)) % 2**32
             h ^= h >> 15
             places.add((h * 0x9E3779B1) % 2**32 >> (32 - toxicity.BITS))
