@@ -35,6 +35,7 @@ WEAK = (0.5, 1.0, 1.5, 2.0)  # places whose |log-count ratio| is below this are
 L2 = (10.0, 3.0, 1.0, 0.3, 0.1)  # the choices, strongest first
 FOLDS = 3
 BLOCK = 1 << 20  # features summed at once on the driver
+SLICE = 512  # texts made Python strings at a time
 SETTLED = 1e-3  # largest entry of the gradient, summed over the rows
 
 
@@ -58,9 +59,10 @@ class ToxicityModel:
     weights: np.ndarray  # float32, 2**BITS
     bias: float
 
-    def scores(self, texts) -> np.ndarray:
+    def scores(self, texts: pa.Array) -> np.ndarray:
         seen = np.zeros(1 << BITS, bool)
-        sums = np.array([self.weights[char_places(t, seen)].sum(dtype=np.float64) for t in texts], np.float64)
+        slices = (texts.slice(start, SLICE).to_pylist() for start in range(0, len(texts), SLICE))
+        sums = np.array([self.weights[char_places(t, seen)].sum(dtype=np.float64) for part in slices for t in part], np.float64)
         return 1.0 / (1.0 + np.exp(-np.clip(sums + self.bias, -500, 500)))
 
 
@@ -109,8 +111,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> Toxicit
     judged = rows.sparkSession.sparkContext.broadcast((ratio, without))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample = pa.Table.from_batches(list(batches))
-        places, weights = _choose_and_fit(sample.combine_chunks(), *judged.value)
+        places, weights = _choose_and_fit(pa.Table.from_batches(list(batches)), *judged.value)
+        pa.default_memory_pool().release_unused()  # the worker lives on
         yield pa.record_batch({"place": pa.array(places, pa.int32()), "weight": pa.array(weights, pa.float64())})
 
     # The sample is bounded: one task fits it, in the same order whenever it runs. The driver gets weights.
@@ -133,6 +135,7 @@ def _choose_and_fit(sample: pa.Table, ratio: np.ndarray, without: list[np.ndarra
     loss = {}
     for weak in WEAK:
         for k in range(FOLDS):
+            learn = rest = None  # one choice's rows go before the next one's are made
             learn = _Rows(flat, lengths, part != k, _strong(without[k], weak))
             rest = _Rows(flat, lengths, part == k, _strong(without[k], weak))
             fitted = None
@@ -140,6 +143,7 @@ def _choose_and_fit(sample: pa.Table, ratio: np.ndarray, without: list[np.ndarra
                 fitted = _fit(learn, label[part != k], l2, fitted)
                 margin = rest.margins(fitted)
                 loss[weak, l2] = loss.get((weak, l2), 0.0) + np.logaddexp(0, margin).sum() - margin @ label[part == k]
+    learn = rest = None
     weak, l2 = min(loss, key=loss.get)
     learn = _Rows(flat, lengths, part >= 0, _strong(ratio, weak))
     fitted = _fit(learn, label, l2)
@@ -173,11 +177,11 @@ class _Rows:
     def __init__(self, flat: np.ndarray, lengths: np.ndarray, kept: np.ndarray, scaled: np.ndarray):
         self.places = np.flatnonzero(scaled)
         self.scale = scaled[self.places].astype(np.float64)
-        number = np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32)
-        row = np.repeat(number, lengths)
-        use = (row >= 0) & (scaled[flat] != 0)
-        row, place = row[use], flat[use]
-        self.column = (np.cumsum(scaled != 0) - 1).astype(np.int32)[place]
+        number = (np.cumsum(kept) - 1).astype(np.int32)
+        use = np.repeat(kept, lengths)
+        use &= (scaled != 0)[flat]
+        row = np.repeat(number, lengths)[use]
+        self.column = (np.cumsum(scaled != 0) - 1).astype(np.int32)[flat[use]]
         self.row_at = np.searchsorted(row, np.arange(kept.sum() + 1))
         order = np.argsort(self.column, kind="stable")
         self.row = row[order]
@@ -238,7 +242,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array(held.value.scores(texts.to_pylist()), pa.float64())
+        return pa.array(held.value.scores(texts), pa.float64())
 
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.arrow_udf(score, "double")(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -249,6 +253,6 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def clean(texts: pa.Array) -> pa.Array:
-        return pa.array(held.value.scores(texts.to_pylist()) < threshold)
+        return pa.array(held.value.scores(texts) < threshold)
 
     return docs.where(F.arrow_udf(clean, "boolean")(F.col("text")))
