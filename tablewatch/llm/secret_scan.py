@@ -3,13 +3,16 @@
 The patterns give the base findings. Every run of value characters that holds a letter and a digit is a
 candidate; those that a base finding covers are the labelled findings, the others the labelled rest.
 A network of one convolution over characters (candidate and surrounding context told apart),
-maxima over candidate and over context, and one dense unit is fitted in numpy on a sample of
-distinct windows of at most ``sample`` a label. Its output is calibrated (Platt) on windows it was not fitted
-on, and on a third part the threshold is set: the highest that still finds ``recall`` of the labelled
-findings there. Candidates outside base findings that reach it are added; base findings stay.
+maxima over candidate and over context, and one dense unit is fitted on three fifths of all distinct
+windows (a candidate with its context), by a hash of the window: each round, every block of windows goes on from
+the common weights by itself (Adam), and the blocks' weights and moments are averaged by their windows (in
+integers, so that the order does not count). Its output is calibrated (Platt) on another fifth, and on the last the threshold is set: the
+highest that still finds ``recall`` of the labelled findings there. Candidates outside base findings that reach
+it are added; base findings stay.
 
-A maximum over positions may be taken piece by piece, so a candidate of any length is scored whole, in
-chunks. Documents are scanned twice (sample, findings), each time in one pass without a shuffle of texts.
+A maximum over positions may be taken piece by piece, so a candidate of any length is learnt from and scored
+whole, in chunks. Documents are scanned twice (windows, findings), each time in one pass without a shuffle of
+texts. The driver gets sums and weights.
 
 Defined results: a null or empty text has no findings; a null id stays null; repeated rows each give a row;
 no labelled findings or no rest (or no documents) leave the base findings alone; columns beside id
@@ -18,6 +21,7 @@ and text are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -42,7 +46,10 @@ CANDIDATE_LEAST = 8
 BEFORE, AFTER = 24, 16
 WIDTH, FILTERS = 5, 24
 CHUNK = 128
-SAMPLE = 3_000
+ROWS = 512  # chunks convolved at a time
+HELD = 50_000  # windows a task holds before it passes them on
+BLOCK, BLOCK_BYTES = 4_096, 8 << 20  # windows of a block, and their bytes, about
+BUCKETS = 1_024
 RECALL = 0.98
 
 # Symbols: printable ASCII, one for all else, one for padding; twice, for context and candidate.
@@ -147,7 +154,27 @@ class Network:
             values.append(np.take_along_axis(zz, a[:, None, :], 1)[:, 0])
         return np.stack(values), np.stack(at)
 
-    def logits(self, windows: list[tuple[bytes, int, int]], rows: int = 512) -> np.ndarray:
+    def tops(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of whole windows (``owner`` ascends from 0): (``maxima``: windows x 2 x FILTERS; the symbols under them:
+        the same x WIDTH)."""
+        best = np.full((owner[-1] + 1, 2, FILTERS), -np.inf, np.float32)
+        under = np.zeros((*best.shape, WIDTH), np.int16)
+        for lo in range(0, len(symbols), ROWS):
+            x, who = symbols[lo : lo + ROWS], owner[lo : lo + ROWS]
+            values, at = self.maxima(x)
+            first = np.flatnonzero(np.diff(who, prepend=-1))
+            top = np.maximum.reduceat(values, first, axis=1)
+            mine = np.repeat(np.arange(len(first)), np.diff(first, append=len(who)))
+            row = np.maximum.reduceat(np.where(values == top[:, mine], np.arange(len(who))[:, None], -1), first, axis=1)
+            place = np.take_along_axis(at, row, 1)
+            found = x[row[..., None], place[..., None] + np.arange(WIDTH)].transpose(1, 0, 2, 3)
+            top, who = top.transpose(1, 0, 2), who[first]
+            better = top > best[who]
+            best[who] = np.where(better, top, best[who])
+            under[who] = np.where(better[..., None], found, under[who])
+        return best, under
+
+    def logits(self, windows: list[tuple[bytes, int, int]], rows: int = ROWS) -> np.ndarray:
         """Raw outputs of whole windows; bounded memory whatever their number or length."""
         best = np.full((len(windows), 2, FILTERS), -1e9, np.float32)
         for lo in range(0, len(windows), rows):
@@ -156,74 +183,153 @@ class Network:
                 values, _ = self.maxima(symbols[a : a + rows])
                 np.maximum.at(best, lo + owner[a : a + rows], values.transpose(1, 0, 2))
         hidden = np.maximum(best + self.bias, 0).reshape(len(windows), -1)
-        return hidden @ self.dense + self.offset
+        return (hidden @ self.dense + np.float32(self.offset)).astype(np.float32)
+
+    def calibrated(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * logits + self.shift).clip(-60, 60)))
 
     def probabilities(self, windows: list[tuple[bytes, int, int]]) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * self.logits(windows) + self.shift).clip(-60, 60)))
+        return self.calibrated(self.logits(windows))
+
+    def weights(self) -> np.ndarray:
+        return np.concatenate([self.kernel.ravel(), self.bias, self.dense, [self.offset]]).astype(np.float64)
+
+    @staticmethod
+    def parts(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Views of ``weights``: kernel, bias, dense, offset."""
+        kernel, bias, dense, offset = np.split(weights, np.cumsum([WIDTH * 2 * _SYMBOLS * FILTERS, FILTERS, 2 * FILTERS]))
+        return kernel.reshape(WIDTH, 2 * _SYMBOLS, FILTERS), bias, dense, offset
+
+    @staticmethod
+    def of(weights: np.ndarray) -> Network:
+        kernel, bias, dense, offset = Network.parts(weights.astype(np.float32, copy=False))
+        return Network(kernel, bias, dense, float(offset[0]))
 
 
-def _fit(windows, labels: np.ndarray, epochs: int, seed: int = 7) -> Network:
-    """Adam on the logistic loss, both labels weighing the same. Only windows of one chunk are learnt from."""
+def _start(seed: int = 7) -> Network:
     rng = np.random.default_rng(seed)
-    one = [k for k, w in enumerate(windows) if len(w[0]) <= CHUNK]
-    symbols, _ = encode([windows[k] for k in one])
-    y = labels[one].astype(np.float32)
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
-    net = Network(
+    return Network(
         rng.normal(0, 0.1, (WIDTH, 2 * _SYMBOLS, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32),
         rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32), 0.0,
     )
-    params = [net.kernel, net.bias, net.dense, np.zeros(1, np.float32)]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    step = 0
-    for _ in range(epochs):
-        order = rng.permutation(len(y))
-        for lo in range(0, len(order), 128):
-            pick = order[lo : lo + 128]
-            x = symbols[pick]
-            values, at = net.maxima(x)
-            raw = values.transpose(1, 0, 2) + net.bias
-            hidden = np.maximum(raw, 0).reshape(len(pick), -1)
-            p = 1 / (1 + np.exp(-(hidden @ net.dense + params[3][0]).clip(-60, 60)))
-            d = ((p - y[pick]) * weight[pick] / len(pick)).astype(np.float32)
-            back = (d[:, None] * net.dense[None, :]).reshape(len(pick), 2, FILTERS) * (raw > 0)
-            g_kernel = np.zeros_like(net.kernel)
-            filters = np.broadcast_to(np.arange(FILTERS), at[0].shape)
-            for pool in range(2):
-                for k in range(WIDTH):
-                    np.add.at(g_kernel[k], (np.take_along_axis(x, at[pool] + k, 1), filters), back[:, pool])
-            grads = [g_kernel, back.sum((0, 1)), hidden.T @ d + 1e-4 * net.dense, np.array([d.sum()], np.float32)]
-            step += 1
-            for q, g, m, v in zip(params, grads, first, second):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                q -= 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    net.offset = float(params[3][0])
-    return net
 
 
-def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve through (output, label), labels smoothed by their counts."""
-    up, down = y.sum(), (1 - y).sum()
-    t = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
-    scale = max(float(np.abs(z).max()), 1e-6)
-    x = np.stack([z / scale, np.ones_like(z)], 1)
+def _learn(state: np.ndarray, done: int, windows, labels: np.ndarray, weight: tuple[float, float], decay: float, seed) -> np.ndarray:
+    """Adam on the logistic loss, once through the windows, after ``done`` steps; ``weight`` is that of a window by
+    its label, ``decay`` holds the dense unit back. The state: weights, first moments, roots of the second ones."""
+    symbols, owner = encode(windows)
+    first = np.searchsorted(owner, np.arange(len(windows) + 1))
+    y = labels.astype(np.float32)
+    each = np.where(y == 1, weight[1], weight[0])
+    state = state.astype(np.float32)
+    state[2] **= 2
+    net = Network.of(state[0])  # its arrays are views
+    params, one, two = ([*Network.parts(x)] for x in state)
+    offset = params[3]
+    order = np.random.default_rng(seed).permutation(len(y))
+    filters = np.arange(FILTERS)
+    for step, lo in enumerate(range(0, len(order), 128), done + 1):
+        pick = order[lo : lo + 128]
+        long = first[pick + 1] - first[pick]
+        rows = np.repeat(first[pick] - (np.cumsum(long) - long), long) + np.arange(long.sum())
+        values, under = net.tops(symbols[rows], np.repeat(np.arange(len(pick)), long))
+        raw = values + net.bias
+        hidden = np.maximum(raw, 0).reshape(len(pick), -1)
+        p = 1 / (1 + np.exp(-(hidden @ net.dense + offset[0]).clip(-60, 60)))
+        d = ((p - y[pick]) * each[pick] / len(pick)).astype(np.float32)
+        back = (d[:, None] * net.dense[None, :]).reshape(len(pick), 2, FILTERS) * (raw > 0)
+        g_kernel = np.zeros_like(net.kernel)
+        for k in range(WIDTH):
+            np.add.at(g_kernel[k], (under[..., k], np.broadcast_to(filters, back.shape)), back)
+        grads = [g_kernel, back.sum((0, 1)), hidden.T @ d + decay * net.dense, np.array([d.sum()], np.float32)]
+        for q, g, m, v in zip(params, grads, one, two):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            q -= 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    state[2] **= 0.5
+    return state.astype(np.float64)
+
+
+def _fit(windows: DataFrame, count: dict[int, int], n_bytes: int, epochs: int, block: int) -> Network:
+    """The network fitted on all ``windows`` (label, h, raw, s, e), ``count`` by label. What a round gives depends
+    on the windows alone, not on how they are dealt out."""
+    rows = sum(count.values())
+    n_blocks = max(math.ceil(rows / block), math.ceil(n_bytes / BLOCK_BYTES))
+    # Both labels weigh the same; the rarer one's windows 1, so that moments stay small however rare it is.
+    fewest = min(count.values())
+    weight, decay = (fewest / count[0], fewest / count[1]), 1e-4 * 2 * fewest / rows
+    dealt = windows.withColumn("block", F.pmod(F.xxhash64("h"), F.lit(n_blocks))).repartition(n_blocks, "block").persist()
+    state = np.stack([_start().weights(), *np.zeros((2, len(_start().weights())))])
+    unit = 2.0 ** (52 - math.ceil(math.log2(rows)))  # sums of values below 2**10 fit in 63 bits
+    for epoch in range(epochs):
+        shared = windows.sparkSession.sparkContext.broadcast(state)
+
+        def learn(held):
+            held = held.sort_by([("h", "ascending"), ("label", "ascending")])
+            raw, s, e, labels = (held.column(c) for c in ("raw", "s", "e", "label"))
+            spans = list(zip(raw.to_pylist(), s.to_pylist(), e.to_pylist()))
+            done, seed = epoch * math.ceil(rows / n_blocks / 128), [epoch, held.column("block")[0].as_py()]
+            new = _learn(shared.value, done, spans, labels.to_numpy(), weight, decay, seed)
+            sums = np.rint(new.ravel() * unit).astype(np.int64) * len(spans)
+            return pa.table({"place": pa.array(np.arange(len(sums)), pa.int32()), "sum": pa.array(sums, pa.int64())})
+
+        learnt = dealt.groupBy("block").applyInArrow(learn, "place int, sum long")
+        sums = learnt.groupBy("place").agg(F.sum("sum").alias("sum")).toArrow()  # as many rows as the state has values
+        state.ravel()[sums.column("place").to_numpy()] = sums.column("sum").to_numpy() / rows / unit
+        shared.unpersist()
+    dealt.unpersist()
+    return Network.of(state[0])
+
+
+def _platt(scored: DataFrame) -> tuple[float, float]:
+    """Slope and shift of the logistic curve through (z, label), labels smoothed by their counts: Newton's method,
+    the sums by Spark."""
+    up, down, most = scored.agg(F.sum("label"), F.sum(1 - F.col("label")), F.max(F.abs("z")).cast("double")).first()
+    scale = max(most, 1e-6)
+    x = F.col("z").cast("double") / F.lit(scale)
+    t = F.when(F.col("label") == 1, F.lit((up + 1) / (up + 2))).otherwise(F.lit(1 / (down + 2)))
     w = np.array([1.0, 0.0])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-(x @ w).clip(-60, 60)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        w = w - np.clip(np.linalg.solve(h, x.T @ (p - t) + 1e-6 * w), -5, 5)
-    return float(w[0] / scale), float(w[1])
+        out = F.greatest(F.least(x * F.lit(float(w[0])) + F.lit(float(w[1])), F.lit(60.0)), F.lit(-60.0))
+        rows = scored.select(x.alias("x"), (1 / (1 + F.exp(-out))).alias("p"), t.alias("t"))
+        v = F.col("p") * (1 - F.col("p"))
+        off = F.col("p") - F.col("t")
+        xx, x1, one, ox, o1 = rows.agg(F.sum(v * F.col("x") * F.col("x")), F.sum(v * F.col("x")), F.sum(v), F.sum(off * F.col("x")), F.sum(off)).first()
+        step = np.clip(np.linalg.solve(np.array([[xx, x1], [x1, one]]) + 1e-6 * np.eye(2), np.array([ox, o1]) + 1e-6 * w), -5, 5)
+        w = w - step
+        if np.abs(step).max() < 1e-6:
+            break
+    return float(np.float32(w[0] / scale)), float(np.float32(w[1]))
+
 
+def _ranked(values: DataFrame, place: int) -> float:
+    """The value ``v`` at ``place`` (from 0) in ascending order: counted in buckets, each time those of one bucket."""
+    lo, hi = values.agg(F.min("v"), F.max("v")).first()
+    while lo < hi:
+        bucket = F.floor((F.col("v") - F.lit(lo)) / F.lit(hi - lo) * BUCKETS)
+        inside = values.where(F.col("v").between(lo, hi)).groupBy(bucket.alias("bucket"))
+        for r in inside.agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("bucket").collect():
+            if place < r.n:
+                lo, hi = r.lo, r.hi
+                break
+            place -= r.n
+    return lo
 
-def sample_windows(docs: DataFrame, text_col: str, sample: int) -> DataFrame:
-    """``label, h, raw, s, e``: of all documents' distinct windows the ``sample`` of smallest hash a label. A task
-    keeps as many of its own, so that what is shuffled is bounded by tasks, not by documents."""
+
+def all_windows(docs: DataFrame, text_col: str) -> DataFrame:
+    """``label, h, raw, s, e``: all documents' distinct windows, with a hash of each."""
+
+    def passed_on(held) -> pa.RecordBatch:
+        names = ["label", "h", "raw", "s", "e"]
+        types = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
+        columns = list(zip(*held)) if held else [()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     def pick(batches):
-        held: list[dict] = [{}, {}]
+        held = {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(0):
+                text = text.as_py()
                 if not text:
                     continue
                 starts, ends = candidates(text)
@@ -231,41 +337,46 @@ def sample_windows(docs: DataFrame, text_col: str, sample: int) -> DataFrame:
                     continue
                 for s, e, label in zip(starts.tolist(), ends.tolist(), covered(starts, ends, base_findings(text)).tolist()):
                     raw, a, b = window(text, s, e)
-                    if len(raw) <= CHUNK:
-                        held[label][xxhash.xxh64_intdigest(raw, a) >> 1] = (raw, a, b)
-                for label in (0, 1):
-                    if len(held[label]) > 4 * sample:
-                        held[label] = {h: held[label][h] for h in sorted(held[label])[:sample]}
-        rows = [(label, h, *held[label][h]) for label in (0, 1) for h in sorted(held[label])[:sample]]
-        names = ["label", "h", "raw", "s", "e"]
-        types = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
-        columns = list(zip(*rows)) if rows else [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+                    held[int(label), xxhash.xxh64_intdigest(raw, a) >> 1, raw, a, b] = None
+                    if len(held) >= HELD:
+                        yield passed_on(held)
+                        held.clear()
+        yield passed_on(held)
 
     texts = docs.select(F.col(text_col).cast("binary"))
-    return texts.mapInArrow(pick, "label int, h bigint, raw binary, s int, e int").dropDuplicates(["label", "h"])
-
-
-def train(docs: DataFrame, text_col: str = "text", *, sample: int = SAMPLE, recall: float = RECALL, epochs: int = 8) -> Network | None:
-    """The network, calibrated and with its threshold; ``None`` if the labels are too few to fit and judge one.
-
-    At most ``2 * sample`` windows of at most CHUNK bytes reach the driver, whatever the input's size."""
-    picked = stored(sample_windows(docs, text_col, sample), "secret-sample")
-    rows = []
-    for label in (0, 1):
-        rows += picked.where(F.col("label") == label).orderBy("h").limit(sample).select("label", "h", "raw", "s", "e").toArrow().to_pylist()
-    windows = [(r["raw"], r["s"], r["e"]) for r in rows]
-    labels = np.array([r["label"] for r in rows])
-    # Three parts by hash: fit, calibrate, set the threshold.
-    part = np.array([r["h"] % 5 for r in rows])
-    parts = [np.flatnonzero(part < 3), np.flatnonzero(part == 3), np.flatnonzero(part == 4)]
-    if any(len(set(labels[p])) < 2 for p in parts):
+    return texts.mapInArrow(pick, "label int, h bigint, raw binary, s int, e int").distinct()
+
+
+def train(docs: DataFrame, text_col: str = "text", *, sample: int | None = None, recall: float = RECALL, epochs: int = 8, block: int = BLOCK) -> Network | None:
+    """The network, fitted, calibrated and given its threshold on all distinct windows of ``docs`` (``sample``, if the
+    caller wants a quick look: on so many a label); ``None`` if the labels are too few to fit and judge one."""
+    found = all_windows(docs, text_col)
+    if sample is not None:
+        found = stored(found, "secret-windows-all")
+        found = found.where("label = 0").orderBy("h").limit(sample).union(found.where("label = 1").orderBy("h").limit(sample))
+    # Five parts by hash: three fit, one calibrates, one sets the threshold.
+    windows = stored(found.withColumn("part", F.greatest(F.col("h") % 5, F.lit(2)).cast("int")), "secret-windows")
+    n, n_bytes = {}, 0
+    for r in windows.groupBy("part", "label").agg(F.count("h").alias("n"), F.sum(F.length("raw")).alias("n_bytes")).collect():
+        n[r.part, r.label] = r.n
+        n_bytes += r.n_bytes if r.part == 2 else 0
+    if len(n) < 6:
         return None
-    of = lambda p: [windows[k] for k in p]
-    net = _fit(of(parts[0]), labels[parts[0]], epochs)
-    net.slope, net.shift = _platt(net.logits(of(parts[1])), labels[parts[1]])
-    scores = np.sort(net.probabilities(of(parts[2]))[labels[parts[2]] == 1])
-    net.threshold = float(scores[int(np.floor((1 - recall) * len(scores)))])
+    net = _fit(windows.where("part = 2").drop("part"), {label: n[2, label] for label in (0, 1)}, n_bytes, epochs, block)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    def score(batches):
+        for b in batches:
+            spans = list(zip(*(b.column(c).to_pylist() for c in range(2, 5))))
+            yield pa.record_batch({"label": b.column(0), "part": b.column(1), "z": pa.array(shared.value.logits(spans), pa.float32())})
+
+    left = windows.where("part > 2").select("label", "part", "raw", "s", "e")
+    scored = stored(left.mapInArrow(score, "label int, part int, z float"), "secret-scores")
+    net.slope, net.shift = _platt(scored.where("part = 3"))
+    way = 1 if net.slope >= 0 else -1
+    known = scored.where("part = 4 and label = 1").select((F.col("z").cast("double") * way).alias("v"))
+    lowest = way * _ranked(known, int(np.floor((1 - recall) * n[4, 1])))
+    net.threshold = float(net.calibrated(np.array([lowest], np.float32))[0])
     return net
 
 
