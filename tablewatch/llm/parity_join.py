@@ -53,7 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import ASCII_BLANKS, discard, free_name, stored
+from tablewatch.llm.common import ASCII_BLANKS, discard, free_name, slices, stored
 from tablewatch.llm.components import components
 
 BAND = 1.25  # ratio of a band's end to its start
@@ -179,7 +179,7 @@ def shingle_table(docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, plan = Shingler(n, seed), bands(percent)
         starts = [b.start for b in plan]
-        for b in batches:
+        for b in slices(batches):
             sizes, names, shown = [], [], []
             for text in b.column(1).to_pylist():
                 s = shingler(text)
@@ -290,7 +290,7 @@ def _verify(n: int, percent: int, seed: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n, seed)
-        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        rows = (r for b in slices(batches) for r in zip(*(c.to_pylist() for c in b.columns)))
         for _, group in itertools.groupby(rows, key=lambda r: r[:3]):
             found = list(links(list(group), shingler))
             if found:

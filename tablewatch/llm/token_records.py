@@ -41,12 +41,12 @@ from tablewatch.llm.common import filesystem, new_file, stored
 from tablewatch.session import scratch_path
 
 FILE_BYTES = 128 << 20
-CACHED_WORDS, CACHED_CORES = 200_000, 500_000  # in each of two generations
+CACHED_WORDS, CACHED_CORES = 200_000, 200_000  # in each of two generations
 MARKS = ".,;:!?#$%&*"  # tried out as marks that start a token after a letter
 _HEAD, _CRC = struct.Struct("<Q"), struct.Struct("<I")
 _PREFIX = struct.Struct("<Bq")
 GROUP = 256  # documents checked at a time
-GROUP_BYTES = 8 << 20  # of text, encoded and framed at a time (a longer document makes a group of its own)
+GROUP_BYTES = 2 << 20  # of text, encoded and framed at a time (a longer document makes a group of its own)
 
 
 # --- CRC-32C (Castagnoli), over whole arrays -----------------------------------------------------
@@ -355,6 +355,7 @@ def _writer(folder: str, tokenizer: str, end_id: int | None) -> Callable:
                 columns = list(zip(*index[k : k + 10_000]))
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in INDEX.split(", ")])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return run
 

@@ -418,3 +418,25 @@ def test_wide_sketch_words_meet_only_where_shingles_are_equal():
     sets = [np.unique(rng.integers(0, 2**63, 300).astype(np.uint64) * np.uint64(2)) for _ in range(400)]
     keys = Counter(k for s in sets for _, _, ks in parity_join.bucket_keys(s, plan, starts) for k in ks.tolist())
     assert max(keys.values()) == 1
+
+
+def test_workers_hold_a_small_part_of_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tablewatch.llm import token_records
+    from tablewatch.llm.common import slices
+    from tablewatch.llm.queries import tokenizer_path
+
+    text = " ".join(["some", "of", "few", "words"] * 500)
+    batch = pa.record_batch({"doc_id": pa.array(range(1_000), pa.int64()), "text": pa.array([text] * 1_000)})
+    encoder = token_records._encoder(tokenizer_path())
+    encoder.encode([text])
+    tracemalloc.start()
+    rows = sum(len(encoder.encode_all(group.column(1))[1]) for group in token_records._groups(batch))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows == 1_000 and peak < 40 << 20
+    parts = list(slices(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
+    assert [p.num_rows for p in parts] == [512, 488, 3] and pa.Table.from_batches(parts).num_rows == 1_003
