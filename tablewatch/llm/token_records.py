@@ -15,8 +15,8 @@ by offset (``read_at``); ``read_records`` goes through whole files.
 Encoding keeps a cache of words, since words repeat: where blanks always end a token, a text's ids are
 the ids of its words in turn. So too where marks after a word, or the case of letters, do not change how
 the word is split. Each of these is tried out on the tokenizer at hand
-(``_holds``) before it is used; a tokenizer that merges across blanks is refused. The cache lives as
-long as the Python worker, is bounded, and only saves time.
+(``_holds``) before it is used; a tokenizer that merges across blanks is refused. The cache holds the parts
+that words are cut into, lives as long as the Python worker, is bounded, and only saves time.
 
 Defined results: null and empty texts have no ids but the end id. Null ids sort first. Rows that
 repeat an id are ordered by text and each get a record. An empty table gives an empty index. Extra
@@ -41,7 +41,7 @@ from tablewatch.llm.common import filesystem, new_file, stored
 from tablewatch.session import scratch_path
 
 FILE_BYTES = 128 << 20
-CACHED_WORDS, CACHED_CORES = 200_000, 200_000  # in each of two generations
+CACHED_WORDS, CACHED_BYTES = 600_000, 32 << 20
 MARKS = ".,;:!?#$%&*"  # tried out as marks that start a token after a letter
 _HEAD, _CRC = struct.Struct("<Q"), struct.Struct("<I")
 _PREFIX = struct.Struct("<Bq")
@@ -175,29 +175,79 @@ def payload_length(head: bytes) -> int:
 
 
 class WordCache:
-    """Ids (as bytes) by word, in two generations: when the younger is full it becomes the older, whose
-    words come back when asked for. So the memory is bounded and frequent words stay."""
+    """Ids by word, as Arrow strings and flat arrays: some 50 bytes a word. When there are more than ``room``
+    words, or more bytes of words and ids than ``room_bytes``, the half used last stays; a word of more than a
+    thousandth of the bytes does not."""
+
+    def __init__(self, room: int, room_bytes: int):
+        self.room, self.room_bytes, self.turn = room, room_bytes, 0
+        self.words, self.ids = pa.array([], pa.string()), np.empty(0, np.uint32)
+        self.starts, self.sizes, self.used = (np.empty(0, np.int64) for _ in range(3))
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Place of each of some distinct words; -1: not here. They make the hash table and the cache is
+        looked up in it, so the table stays small."""
+        places = np.full(len(words), -1, np.int64)
+        if len(words) and len(self.words):
+            at = pc.fill_null(pc.index_in(self.words, value_set=words), -1).to_numpy(zero_copy_only=False)
+            here = np.flatnonzero(at >= 0)
+            places[at[here]] = here
+            self.used[here] = self.turn
+        return places
+
+    def add(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Add words that are not here; returns their places."""
+        places = np.arange(len(self.words), len(self.words) + len(words))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.words, self.ids = pa.concat_arrays([self.words, words]), np.concatenate([self.ids, ids])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.used = np.concatenate([self.used, np.full(len(words), self.turn)])
+        return places
 
-    def __init__(self, room: int):
-        self.room, self.young, self.old = room, {}, {}
+    def tidy(self) -> None:
+        """To be called between uses: places change."""
+        self.turn += 1
+        if len(self.words) <= self.room and self.words.nbytes + self.ids.nbytes <= self.room_bytes:
+            return
+        weight = pc.binary_length(self.words).to_numpy(zero_copy_only=False) + self.ids.itemsize * self.sizes
+        short = np.flatnonzero(weight <= self.room_bytes // 1000)
+        last = short[np.argsort(-self.used[short], kind="stable")][: self.room // 2]
+        kept = np.sort(last[np.cumsum(weight[last]) <= self.room_bytes // 2])
+        ids = self.ids[_spans(self.starts[kept], self.sizes[kept])]
+        words, sizes, used = self.words.take(pa.array(kept)), self.sizes[kept], self.used[kept]
+        self.words, self.ids, self.sizes, self.used, self.starts = words, ids, sizes, used, np.cumsum(sizes) - sizes
 
-    def find(self, words: list[str]) -> list[bytes | None]:
-        found, older = list(map(self.young.get, words)), self.old.get
-        for i, ids in enumerate(found):
-            if ids is None and (ids := older(words[i])) is not None:
-                found[i] = self.young[words[i]] = ids
-        return found
 
-    def tidy(self) -> None:
-        if len(self.young) > self.room:
-            self.young, self.old = {}, self.young
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of all spans in turn."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
+
+
+def _joined(words: pa.Array) -> str:
+    """Words without blanks as one string with blanks between."""
+    return pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
 
 
 def _strings(words: pa.Array) -> list[str]:
     """Words without blanks as a list; one string is made and split, which is quicker than one by one."""
-    if not len(words):
-        return []
-    return pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), " ")[0].as_py().split(" ")
+    return _joined(words).split(" ") if len(words) else []
+
+
+def _odd(text: str) -> bool:
+    """Whether some words may not be cut or put in lower case: other than composed letters with one lower-case
+    form each, or a special token's name."""
+    return not text.isascii() and (not unicodedata.is_normalized("NFC", text) or "\u03a3" in text or "\u0130" in text) or "<|" in text
+
+
+def _odd_words(words: pa.Array, joined: str) -> np.ndarray:
+    odd = np.zeros(len(words), bool)
+    if _odd(joined):
+        for i in range(0, len(words), 1024):
+            part = words.slice(i, 1024)
+            if _odd(_joined(part)):
+                odd[i : i + 1024] = [_odd(w) for w in _strings(part)]
+    return odd
 
 
 class WordCachedEncoder:
@@ -206,7 +256,7 @@ class WordCachedEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.cores = Tokenizer.from_file(path), WordCache(CACHED_WORDS), WordCache(CACHED_CORES)
+        self.tokenizer, self.known = Tokenizer.from_file(path), WordCache(CACHED_WORDS, CACHED_BYTES)
         words = ["Alpha", "beta's", "42", "ñandú!?", "x", "ÉCOLE"]
         blanks = (" ", "\n", "\t", "\r\n", "\x0b", "\x0c", "  ")
         if not all(self._holds(words, s.join(words) + s) for s in blanks):
@@ -229,73 +279,77 @@ class WordCachedEncoder:
         return np.split(ids, ends[:-1]) if len(ends) else []
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(the ids of all texts in turn, where each text's ids end). Each distinct word of the texts is
-        looked up once; the ids are then gathered by position."""
-        for cache in (self.known, self.cores):
-            cache.tidy()
+        """(the ids of all texts in turn, where each text's ids end). Each distinct word of the texts is cut
+        and its parts looked up once; the ids are then gathered by position."""
+        self.known.tidy()
         words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = words.flatten().dictionary_encode()
-        distinct, which = _strings(coded.dictionary), coded.indices.to_numpy()
-        found = self.known.find(distinct)
-        new = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(new, self._learn([distinct[i] for i in new])):
-            found[i] = ids
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = coded.indices.to_numpy()
+        parts = self._split(coded.dictionary).dictionary_encode()
+        places = self._places(parts.dictionary)[parts.indices.to_numpy()]
+        # The distinct words' ids, two parts each, then the texts'.
+        sizes = self.known.sizes[places]
+        distinct = self.known.ids[_spans(self.known.starts[places], sizes)]
+        sizes = sizes[0::2] + sizes[1::2]
         starts = np.cumsum(sizes) - sizes
         taken = sizes[which]
         after = np.concatenate([[0], np.cumsum(taken)])
-        place = np.arange(after[-1]) + np.repeat(starts[which] - after[:-1], taken)
         ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
-        return np.frombuffer(b"".join(found), np.uint32)[place], after[ends]
-
-    def _learn(self, words: list[str]) -> list[bytes]:
-        cores, tails = [], []
-        for i in range(0, len(words), 1024):
-            for core, tail in zip(*self._split(words[i : i + 1024])):
-                cores.append(core)
-                tails.append(tail)
-        found = self.cores.find(cores)
-        young = self.cores.young
-        young.update(self._encode_words(list({c for c, ids in zip(cores, found) if ids is None})))
-        marks = dict(self._encode_words(list({t for t in tails if t})))
-        ids = [(young[c] if x is None else x) + marks[t] if t else young[c] if x is None else x for c, t, x in zip(cores, tails, found)]
-        self.known.young.update(zip(words, ids))
-        return ids
-
-    def _encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Words go to the tokenizer many at a time, a bar between, where the bar's id marks the ends."""
-        alone = [w for w in words if self.bar is None or "|" in w]
-        joined = [w for w in words if "|" not in w] if self.bar is not None else []
-        for i in range(0, len(alone), 4096):
-            group = alone[i : i + 4096]
-            for w, e in zip(group, self.tokenizer.encode_batch(group, add_special_tokens=False)):
-                yield w, np.array(e.ids, np.uint32).tobytes()
+        return distinct[_spans(starts[which], taken)], after[ends]
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where ``known`` has each of some distinct words; those it does not have are encoded and added."""
+        places = self.known.find(words)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            order, ids, sizes = self._encode_words(_strings(words.take(pa.array(new))))
+            places[new[order]] = self.known.add(words.take(pa.array(new[order])), ids, sizes)
+        return places
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, ids, sizes): the words' ids in that order of the words, and their number by word. Words go to
+        the tokenizer many at a time, a bar between, where the bar's id marks the ends."""
+        alone = [i for i, w in enumerate(words) if self.bar is None or "|" in w]
+        joined = [i for i, w in enumerate(words) if "|" not in w] if self.bar is not None else []
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for i in range(0, len(joined), 64):
             group = joined[i : i + 64]
-            ids = np.array(self._encode(" | ".join(group)), np.uint32)
-            ends = [*np.flatnonzero(ids == self.bar).tolist(), len(ids)]
-            if len(ends) != len(group):
+            found = np.array(self._encode(" | ".join([words[k] for k in group])), np.uint32)
+            bars = found == self.bar
+            ends = np.concatenate([[-1], np.flatnonzero(bars), [len(found)]])
+            if len(ends) != len(group) + 1:
                 raise ValueError("the tokenizer did not keep words apart")
-            data, start = ids.tobytes(), 0
-            for w, end in zip(group, ends):
-                yield w, data[4 * start : 4 * end]
-                start = end + 1
-
-    def _split(self, words: list[str]) -> tuple[list[str], list[str]]:
-        """(cores, tails): two parts of each word whose ids in turn are the word's. The core is without
-        the marks at the word's end, in lower case; both may be empty."""
-        joined = " ".join(words)
-        # Only composed letters with one lower-case form each; no special token's name.
-        if not joined.isascii() and (not unicodedata.is_normalized("NFC", joined) or "\u03a3" in joined or "\u0130" in joined) or "<|" in joined:
-            if len(words) == 1:
-                return words, [""]
-            split = [self._split([w]) for w in words]
-            return [c for core, _ in split for c in core], [t for _, tail in split for t in tail]
-        whole = joined.lower().split(" ") if self.any_case else words
-        if not self.marks_apart:
-            return whole, [""] * len(whole)
-        cores = [c if (c := w.rstrip(MARKS))[-1:].isalpha() else w for w in whole]
-        return cores, [w[len(c) :] for w, c in zip(whole, cores)]
+            ids.append(found[~bars])
+            sizes.append(np.diff(ends) - 1)
+        for i in range(0, len(alone), 4096):
+            for e in self.tokenizer.encode_batch([words[k] for k in alone[i : i + 4096]], add_special_tokens=False):
+                ids.append(np.array(e.ids, np.uint32))
+                sizes.append(np.array([len(e.ids)]))
+        return np.array(joined + alone, np.int64), np.concatenate(ids), np.concatenate(sizes)
+
+    def _split(self, words: pa.Array) -> pa.Array:
+        """Two parts of each word, in turn, whose ids in turn are the word's: the core, without the marks at the
+        word's end and in lower case, and those marks; both may be empty."""
+        if not len(words):
+            return words
+        joined = _joined(words)
+        odd = _odd_words(words, joined)
+        whole = pc.split_pattern(pa.array([joined.lower()]), " ").flatten() if self.any_case else words
+        if odd.any():
+            whole = pc.if_else(pa.array(odd), words, whole)
+        kept = size = pc.binary_length(whole).to_numpy(zero_copy_only=False)
+        if self.marks_apart:
+            bare = pc.ascii_rtrim(whole, characters=MARKS)
+            marked = np.flatnonzero((pc.binary_length(bare).to_numpy(zero_copy_only=False) < size) & ~odd)
+            last = pc.utf8_slice_codeunits(bare.take(pa.array(marked)), -1, None).dictionary_encode()
+            alpha = np.array([c.isalpha() for c in last.dictionary.to_pylist()], bool)[last.indices.to_numpy()]
+            cut, kept = marked[alpha], size.copy()
+            kept[cut] = pc.binary_length(bare).to_numpy(zero_copy_only=False)[cut]
+        _, offsets, data = whole.buffers()
+        starts = np.frombuffer(offsets, np.int32)[whole.offset : whole.offset + len(whole) + 1]
+        cuts = np.empty(2 * len(whole) + 1, np.int32)
+        cuts[0::2], cuts[1::2] = starts, starts[:-1] + kept
+        return pa.StringArray.from_buffers(2 * len(whole), pa.py_buffer(cuts), data)
 
 
 @functools.cache

@@ -440,3 +440,50 @@ def test_workers_hold_a_small_part_of_a_batch():
     assert rows == 1_000 and peak < 40 << 20
     parts = list(slices(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
     assert [p.num_rows for p in parts] == [512, 488, 3] and pa.Table.from_batches(parts).num_rows == 1_003
+
+
+def test_token_records_encode_a_word_once(monkeypatch):
+    import itertools
+
+    import pyarrow as pa
+
+    from tablewatch.llm import token_records
+    from tablewatch.llm.queries import tokenizer_path
+
+    encoder = token_records.WordCachedEncoder(tokenizer_path())
+    words = ["".join(w) for w in itertools.islice(itertools.product("bcdfghjklmnpqrstvwxz", repeat=5), 500_000)]
+    groups = [pa.array([" ".join(words[i : i + 25_000])]) for i in range(0, len(words), 25_000)]
+    encoder.encode(["x"])  # and the empty mark after it
+    sent, encode = [], encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda text: sent.append(text.count("|") + 1) or encode(text))
+    first = [encoder.encode_all(g)[0].tolist() for g in groups]
+    assert sum(sent) == len(words)
+    marked = [pa.array([g[0].as_py().upper().replace(" ", ", ")]) for g in groups[:2]]
+    assert [encoder.encode_all(g)[0].tolist() for g in groups] == first and sum(sent) == len(words)
+    comma = encode(",")[0]
+    sent.clear()
+    assert [[i for i in encoder.encode_all(g)[0].tolist() if i != comma] for g in marked] == first[:2]
+    assert sent == [1]
+
+
+def test_word_cache_stays_within_bounds():
+    import numpy as np
+    import pyarrow as pa
+
+    from tablewatch.llm import token_records
+
+    cache = token_records.WordCache(100, 20_000)
+    for turn in range(30):
+        words = pa.array([f"w{turn}-{i}" for i in range(30)] + ["x" * 100 + str(turn)])
+        assert (cache.find(words) < 0).all()
+        sizes = np.arange(31) % 4
+        cache.add(words, np.repeat(np.arange(31), sizes).astype(np.uint32), sizes)
+        places = cache.find(words)
+        for i in (0, 3, 30):
+            at = cache.starts[places[i]]
+            assert cache.ids[at : at + cache.sizes[places[i]]].tolist() == [i] * (i % 4)
+        cache.tidy()
+        assert len(cache.words) <= 100 and cache.words.nbytes + cache.ids.nbytes <= 20_000
+    assert (cache.find(pa.array(["w29-0", "w29-29"])) >= 0).all() and cache.find(pa.array(["w0-0"]))[0] == -1
+    at = cache.find(pa.array(["w29-7"]))[0]
+    assert cache.ids[cache.starts[at] : cache.starts[at] + cache.sizes[at]].tolist() == [7, 7, 7]
