@@ -2,11 +2,12 @@
 
 Phrases grow by one word a level. On each level the *units* found so far -- words, then frequent pairs,
 then frequent triples -- are ranked by frequency and numbered. An occurrence of (unit, next word) is a
-cell of the grid rank x rank. The grid is split into square tiles; a task sorts its buffered cells by tile
-and counts a tile that holds many of them with a dense ``numpy.bincount`` over the tile's addresses,
-the thin tiles together as sorted coordinates. What a task has counted goes through Spark's partial and
-final sums, so a very common pair arrives as one row a buffer, not one row an occurrence. Pairs that
-are frequent enough are ranked again and are the rows of the next level's grid.
+cell of the grid rank x rank. The grid is split into square tiles; a task counts its buffered cells, those
+of a tile that holds many of them with a dense ``numpy.bincount`` over the tile's addresses, the thin
+tiles together as sorted coordinates. What a task has counted is summed by Spark, so a very common pair
+arrives as one row a buffer, not one row an occurrence; ranked units and words travel as the cell's
+number, and only the cells that are frequent become text. Those are ranked again and are the rows of the
+next level's grid. Words are cut, and looked up once per distinct word, in batches by Arrow.
 
 A phrase can be frequent only if its parts are, so a level looks only at places whose parts are known
 to be frequent. A task knows them from a broadcast of fixed size: the ``head_units`` most frequent units
@@ -21,7 +22,7 @@ as they are there; no documents, no rows; columns beside text and language are n
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import stored
+from tablewatch.llm.common import slices, stored
 
 # Fixed by the contract: piece ends, and the language of documents that have none.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -40,7 +41,11 @@ NO_LANG = "und"
 TILE = 512
 #: A tile is dense if at least one cell in so many is hit.
 DENSE_FROM = 8
-BUFFER_CELLS = 1 << 20
+#: Dense tiles counted at a time.
+DENSE_AT_ONCE = 16
+BUFFER_CELLS = 1 << 19
+#: Text cut into words at a time.
+BUFFER_BYTES = 1 << 20
 HEAD_UNITS = 1 << 18
 HEAD_BYTES = 8 << 20
 FILTER_BITS = 1 << 26
@@ -53,6 +58,7 @@ MOST_LOCAL = 200_000
 MOST_LANGS = 32
 
 _COUNTS = "lang string, phrase string, a bigint"
+_CELLS = "lang string, phrase string, cell bigint, a bigint"
 # A-Z to a-z, piece ends to line ends; other bytes of UTF-8 stay.
 _FOLDED = bytes(10 if b in PIECE_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -62,17 +68,30 @@ PIECE_MARK = b"\xff"
 _MARKED = bytes(PIECE_MARK[0] if b in PIECE_ENDS else _FOLDED[b] for b in range(256))
 
 
-def marked_words(text: bytes) -> list[bytes]:
-    """The words of a text in order, piece ends as words of their own. split() parts at ASCII blanks, of which
-    only spaces and tabs are left."""
-    return text.translate(_MARKED).replace(PIECE_MARK, b" \xff ").split()
-
-
-def _texts(batch: pa.RecordBatch):
-    """(language, text bytes) of each document with a text."""
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        if text:
-            yield lang, text
+def _words(texts: list[bytes], table: bytes) -> pa.Array:
+    """The words of texts in order, a piece end after each text, with the bytes replaced by ``table``. Piece
+    marks come as words of their own; there may be empty words at the ends. Arrow parts at ASCII blanks,
+    of which only spaces, tabs and line ends are left."""
+    joined = b".".join([*texts, b""]).translate(table).replace(PIECE_MARK, b" \xff ")
+    return pc.ascii_split_whitespace(pa.array([joined], pa.binary()).view(pa.string())).flatten()
+
+
+def _texts(batches):
+    """Texts of one language at a time, of ``BUFFER_BYTES`` together (or of one longer text): (language, texts)."""
+    held, size = defaultdict(list), defaultdict(int)
+    for batch in slices(batches):
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if text:
+                held[lang].append(text)
+                size[lang] += len(text)
+                if size[lang] >= BUFFER_BYTES:
+                    yield lang, held.pop(lang)
+                    del size[lang]
+        if sum(size.values()) >= 4 * BUFFER_BYTES or len(held) > MOST_LANGS:
+            yield from held.items()
+            held.clear()
+            size.clear()
+    yield from held.items()
 
 
 def _utf8(values) -> pa.Array:
@@ -84,25 +103,38 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``lang, phrase, a`` for single words, all occurrences."""
 
     def count(batches):
-        held: defaultdict = defaultdict(Counter)
+        held: defaultdict = defaultdict(list)
+
+        def merged(lang):
+            parts = pa.concat_tables(held[lang])
+            sums = parts.group_by("phrase", use_threads=False).aggregate([("a", "sum")])
+            return pa.table({"phrase": sums["phrase"], "a": sums["a_sum"]})
 
         def rows():
-            langs = [lang for lang, words in held.items() for _ in words]
-            words = [w for words in held.values() for w in words]
-            counts = [n for words in held.values() for n in words.values()]
-            held.clear()
-            out = pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), _utf8(words), pa.array(counts, pa.int64())], names=["lang", "phrase", "a"])
-            for lo in range(0, out.num_rows, ROWS_OUT):
-                yield out.slice(lo, ROWS_OUT)
+            for lang in list(held):
+                found = merged(lang)
+                held.pop(lang)
+                found = found.filter(pc.greater(pc.binary_length(found["phrase"]), 0)).combine_chunks()
+                for batch in found.to_batches(ROWS_OUT):
+                    langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(batch.num_rows, np.int32)), pa.array([lang])).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([langs, *batch.columns], names=["lang", "phrase", "a"])
 
-        for batch in batches:
-            for lang, text in _texts(batch):
-                held[lang].update(text.translate(_FOLDED).split())
-                if sum(map(len, held.values())) >= FLUSH_WORDS:
+        size = 0
+        for lang, texts in _texts(batches):
+            found = _words(texts, _FOLDED).value_counts()
+            held[lang].append(pa.table({"phrase": found.field(0), "a": found.field(1)}))
+            size += len(found)
+            if size >= FLUSH_WORDS:
+                for x in held:
+                    held[x] = [merged(x)]
+                size = sum(t.num_rows for [t] in held.values())
+                if size >= FLUSH_WORDS // 2:
                     yield from rows()
+                    size = 0
         yield from rows()
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
-    return docs.mapInArrow(count, _COUNTS).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+    return docs.mapInArrow(count, _COUNTS).repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -200,21 +232,25 @@ def count_cells(rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.n
         return rows, columns, rows
     wide = int(columns.max()) // TILE + 1
     tile = (rows // TILE) * wide + columns // TILE
-    order = np.argsort(tile, kind="stable")
-    tile, rows, columns = tile[order], rows[order], columns[order]
-    starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
-    ends = np.r_[starts[1:], len(tile)]
-    dense = ends - starts >= TILE * TILE // DENSE_FROM
+    dense = np.flatnonzero(np.bincount(tile) >= TILE * TILE // DENSE_FROM)
+    number = np.full(int(tile.max()) + 1, -1, np.int32)
+    number[dense] = np.arange(len(dense))
+    number = number[tile]
     out = []
-    for s, e in zip(starts[dense], ends[dense]):
-        counts = np.bincount((rows[s:e] % TILE) * TILE + columns[s:e] % TILE, minlength=TILE * TILE)
+    for first in range(0, len(dense), DENSE_AT_ONCE):
+        here = np.flatnonzero((number >= first) & (number < first + DENSE_AT_ONCE))
+        address = (number[here].astype(np.int64) - first) * (TILE * TILE) + (rows[here] % TILE) * TILE + columns[here] % TILE
+        counts = np.bincount(address)
         hit = np.flatnonzero(counts)
-        out.append((hit // TILE + rows[s] // TILE * TILE, hit % TILE + columns[s] // TILE * TILE, counts[hit]))
-    thin = np.repeat(~dense, ends - starts)
+        corner, inside = dense[first + hit // (TILE * TILE)], hit % (TILE * TILE)
+        out.append((corner // wide * TILE + inside // TILE, corner % wide * TILE + inside % TILE, counts[hit]))
+    thin = number < 0
     if thin.any():
         across = int(columns.max()) + 1
-        cells, counts = np.unique(rows[thin] * across + columns[thin], return_counts=True)
-        out.append((cells // across, cells % across, counts))
+        cells = np.sort(rows[thin] * across + columns[thin])
+        starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+        counts = np.diff(np.r_[starts, len(cells)])
+        out.append((cells[starts] // across, cells[starts] % across, counts))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -225,19 +261,20 @@ class _Numbers:
     def __init__(self, lang: str, heads: list[Head]):
         self.lang, self.heads = lang, heads
         self.words = list(heads[0].ranked.get(lang, ()))
-        self.ranks = {w: i for i, w in enumerate(self.words)}
-        self.ranks[PIECE_MARK] = -1
         self.ranked = len(self.words)
+        self.others = {PIECE_MARK: -1, b"": -1}  # numbers of words without a rank
+        self.ranked_text = _utf8(self.words)
         self.open = bool(heads[0].table)  # words without a rank may be frequent
         self.hashed = any(h.table for h in heads)
         self.hashes = heads[0].hashes[lang].tolist() if lang in heads[0].hashes else []
         self._text = self._hash = None
-        # Each further level's ranked units as sorted cells.
+        # Each further level's ranked units: their cells, in the order of the ranks, and texts.
         self.levels = []
         for head in heads[1:]:
             keys = head.cells.get(lang, np.empty(0, np.int64))
-            order = np.argsort(keys, kind="stable")
-            self.levels.append((keys[order], order, _utf8(head.ranked.get(lang, ()))))
+            self.levels.append((pa.array(keys), _utf8(head.ranked.get(lang, ()))))
+        # Units and words that all tasks number alike.
+        self.ranked_units = len(heads[-1].ranked.get(lang, ()))
 
     def text(self) -> pa.Array:
         if self._text is None or len(self._text) != len(self.words):
@@ -249,52 +286,65 @@ class _Numbers:
             self._hash = np.array(self.hashes, np.uint64)
         return self._hash
 
+    def codes(self, texts: list[bytes]) -> np.ndarray:
+        """Word numbers of texts in order, -1 between pieces and for words that are not frequent."""
+        coded = _words(texts, _MARKED).dictionary_encode()
+        distinct = coded.dictionary
+        numbers = np.full(len(distinct), -1, np.int32)
+        at = pc.fill_null(pc.index_in(self.ranked_text, value_set=distinct), -1).to_numpy(zero_copy_only=False)
+        here = np.flatnonzero(at >= 0)
+        numbers[at[here]] = here
+        if self.open:
+            rest = np.flatnonzero(numbers < 0)
+            known = self.others.get
+            words = distinct.take(pa.array(rest)).view(pa.binary()).to_pylist()
+            numbers[rest] = [self.number(w) if (k := known(w)) is None else k for w in words]
+        return numbers[coded.indices.to_numpy()]
+
     def number(self, word: bytes) -> int:
         """The number of a word that is not ranked: -1 if it is not frequent."""
         h = _word_hash(self.lang, word)
         if self.heads[0].admits_one(h):
-            self.ranks[word] = len(self.words)
+            self.others[word] = len(self.words)
             self.words.append(word)
             self.hashes.append(h)
         else:
-            self.ranks[word] = -1
-        return self.ranks[word]
+            self.others[word] = -1
+        return self.others[word]
 
     def forget(self) -> None:
-        for w in self.words[self.ranked :]:
-            del self.ranks[w]
         del self.words[self.ranked :], self.hashes[self.ranked :]
         self._text = self._hash = None
-        self.ranks = {w: i for w, i in self.ranks.items() if i >= 0} | {PIECE_MARK: -1}
+        self.others = {PIECE_MARK: -1, b"": -1}
 
 
-def _count_buffer(numbers: _Numbers, codes: np.ndarray) -> pa.RecordBatch:
-    """Distinct phrases of one more word than the last level's units, with their counts. ``codes``: word
-    numbers in text order, -1 between pieces and for words that are not frequent."""
+def _cells_of(numbers: _Numbers, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """(unit, word, count) of the distinct phrases of one more word than the last level's units, and the units'
+    texts. ``codes``: word numbers in text order, -1 between pieces and for words that are not frequent."""
     codes = codes.astype(np.int64) if numbers.words else codes[:0].astype(np.int64)  # none: no frequent word in this language
     words = numbers.text()
     hashes = numbers.hash() if numbers.hashed else None
     unit, unit_text = codes, words
     unit_hash = None if hashes is None else hashes[codes]
-    for level, (keys, order, text) in enumerate(numbers.levels, start=1):
+    for level, (keys, text) in enumerate(numbers.levels, start=1):
         n = len(codes) - level  # places where a unit of level + 1 words may start
         n = max(n, 0)
         word = codes[level : level + n]
         ok = (unit[:n] >= 0) & (unit[1 : n + 1] >= 0) & (word >= 0) if level > 1 else (unit[:n] >= 0) & (word >= 0)
-        cell = np.where(ok, (unit[:n].astype(np.int64) << 32) | np.maximum(word, 0), -2)
-        at = np.minimum(np.searchsorted(keys, cell), max(len(keys) - 1, 0))
-        found = (keys[at] == cell) if len(keys) else np.zeros(n, bool)
+        ok = np.flatnonzero(ok)
+        cell = unit[ok] << 32 | word[ok]
+        rank = pc.fill_null(pc.index_in(pa.array(cell), value_set=keys), -1).to_numpy(zero_copy_only=False)
         after = np.full(n, -1, np.int64)
-        after[found] = order[at[found]]
+        after[ok] = rank
         ranked = len(text)
         if hashes is not None:
             unit_hash = _joined(unit_hash[:n], hashes[word])
         if numbers.heads[level].table:
-            loose = ok & ~found
-            loose[loose] = numbers.heads[level].admits(unit_hash[loose])
+            loose = rank < 0
+            loose[loose] = numbers.heads[level].admits(unit_hash[ok[loose]])
             if loose.any():
                 cells, local = np.unique(cell[loose], return_inverse=True)
-                after[loose] = local + ranked
+                after[ok[loose]] = local + ranked
                 more = pc.binary_join_element_wise(unit_text.take(pa.array(cells >> 32)), words.take(pa.array(cells & 0xFFFFFFFF)), " ")
                 text = pa.concat_arrays([text, more])
         unit, unit_text = after, text
@@ -304,50 +354,99 @@ def _count_buffer(numbers: _Numbers, codes: np.ndarray) -> pa.RecordBatch:
     ok = (unit[:n] >= 0) & (word >= 0)
     if level > 1:
         ok &= unit[1 : n + 1] >= 0
-    rows, columns, counts = count_cells(unit[:n][ok], word[ok])
-    phrases = pc.binary_join_element_wise(unit_text.take(pa.array(rows)), words.take(pa.array(columns)), " ")
+    return *count_cells(unit[:n][ok], word[ok]), unit_text
+
+
+def _phrases(numbers: _Numbers, rows: np.ndarray, columns: np.ndarray, counts: np.ndarray, unit_text: pa.Array) -> pa.RecordBatch:
+    phrases = pc.binary_join_element_wise(unit_text.take(pa.array(rows)), numbers.text().take(pa.array(columns)), " ")
     langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(counts), np.int32)), pa.array([numbers.lang])).cast(pa.string())
     return pa.RecordBatch.from_arrays([langs, phrases, pa.array(counts, pa.int64())], names=["lang", "phrase", "a"])
 
 
-def longer_counts(docs: DataFrame, shared) -> DataFrame:
+def _count_buffer(numbers: _Numbers, codes: np.ndarray) -> pa.RecordBatch:
+    """Distinct phrases of one more word than the last level's units, with their counts."""
+    return _phrases(numbers, *_cells_of(numbers, codes))
+
+
+def _number_buffer(numbers: _Numbers, codes: np.ndarray, first: int) -> list[pa.RecordBatch]:
+    """The same: phrases of a ranked unit and a ranked word by the unit's number among all languages' units
+    (``first``: that of the language's first one) << 32 | the word's, the others as text."""
+    rows, columns, counts, unit_text = _cells_of(numbers, codes)
+    ranked = (rows < numbers.ranked_units) & (columns < numbers.ranked)
+    cells = rows[ranked] + first << 32 | columns[ranked]
+    none = pa.nulls(len(cells), pa.string())
+    rest = _phrases(numbers, rows[~ranked], columns[~ranked], counts[~ranked], unit_text)
+    names = [x.split()[0] for x in _CELLS.split(", ")]
+    return [
+        pa.RecordBatch.from_arrays([none, none, pa.array(cells), pa.array(counts[ranked], pa.int64())], names=names),
+        pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), pa.nulls(rest.num_rows, pa.int64()), rest.column(2)], names=names),
+    ]
+
+
+def _firsts(head: Head) -> dict[str, int]:
+    """Each language's first number, where its units are numbered after those of the languages before."""
+    langs = sorted(head.ranked)
+    return dict(zip(langs, np.cumsum([0, *(len(head.ranked[x]) for x in langs)]).tolist()))
+
+
+def longer_counts(docs: DataFrame, shared, min_count: int = 1) -> DataFrame:
     """``lang, phrase, a`` of phrases one word longer than the units of the last head in ``shared`` (a
-    broadcast list of heads, one a level)."""
+    broadcast list of heads, one a level) that occur ``min_count`` times or more."""
 
     def count(batches):
         heads, known, buffers = shared.value, {}, {}
+        firsts = _firsts(heads[-1])
 
         def flush(lang):
-            out = _count_buffer(known[lang], np.concatenate(buffers.pop(lang)))
-            if len(known[lang].ranks) - known[lang].ranked > MOST_LOCAL:
-                known[lang].forget()
-            for lo in range(0, out.num_rows, ROWS_OUT):
-                yield out.slice(lo, ROWS_OUT)
+            numbers = known[lang]
+            for out in _number_buffer(numbers, np.concatenate(buffers.pop(lang)), firsts.get(lang, 0)):
+                for lo in range(0, out.num_rows, ROWS_OUT):
+                    yield out.slice(lo, ROWS_OUT)
+            if len(numbers.others) > MOST_LOCAL:
+                numbers.forget()
 
         size = 0
-        for batch in batches:
-            for lang, text in _texts(batch):
-                if lang not in known:
-                    known[lang] = _Numbers(lang, heads)
-                numbers = known[lang]
-                rank = numbers.ranks.get
-                if numbers.open:
-                    codes = [numbers.number(w) if (k := rank(w)) is None else k for w in marked_words(text)]
-                else:
-                    codes = [rank(w, -1) for w in marked_words(text)]
-                codes.append(-1)
-                buffers.setdefault(lang, []).append(np.array(codes, np.int32))
-                size += len(codes)
-                if size >= BUFFER_CELLS:
-                    for x in list(buffers):
-                        yield from flush(x)
-                    if len(known) > MOST_LANGS:
-                        known.clear()
-                    size = 0
+        for lang, texts in _texts(batches):
+            if lang not in known:
+                known[lang] = _Numbers(lang, heads)
+            codes = known[lang].codes(texts)
+            buffers.setdefault(lang, []).append(codes)
+            size += len(codes)
+            if size >= BUFFER_CELLS:
+                for x in list(buffers):
+                    yield from flush(x)
+                if len(known) > MOST_LANGS:
+                    known.clear()
+                size = 0
         for x in list(buffers):
             yield from flush(x)
-
-    return docs.mapInArrow(count, _COUNTS).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+        pa.default_memory_pool().release_unused()  # the worker lives on
+
+    def spell(batches):
+        words, units = shared.value[0], shared.value[-1]
+        firsts, first_words = _firsts(units), _firsts(words)
+        langs = sorted(units.ranked)
+        starts = np.array([firsts[x] for x in langs])
+        word_starts = np.array([first_words.get(x, 0) for x in langs])
+        lang_text = pa.array(langs, pa.string())
+        unit_text, word_text = (_utf8([u for x in sorted(h.ranked) for u in h.ranked[x]]) for h in (units, words))
+        names = [x.split()[0] for x in _COUNTS.split(", ")]
+        for batch in batches:
+            numbered = pc.is_valid(batch.column(2))
+            lang, phrase, _, counts = batch.filter(pc.invert(numbered)).columns
+            yield pa.RecordBatch.from_arrays([lang, phrase, counts], names=names)
+            _, _, cells, counts = batch.filter(numbered).columns
+            if len(cells):
+                cell = cells.to_numpy()
+                unit, word = cell >> 32, cell & 0xFFFFFFFF
+                which = np.searchsorted(starts, unit, side="right") - 1
+                phrase = pc.binary_join_element_wise(unit_text.take(pa.array(unit)), word_text.take(pa.array(word_starts[which] + word)), " ")
+                yield pa.RecordBatch.from_arrays([lang_text.take(pa.array(which)), phrase, counts], names=names)
+
+    # A task's buffers repeat few cells: they are dealt before any sum.
+    dealt = docs.mapInArrow(count, _CELLS).repartition("lang", "phrase", "cell")
+    sums = dealt.groupBy("lang", "phrase", "cell").agg(F.sum("a").alias("a")).where(F.col("a") >= min_count)
+    return sums.select("lang", "phrase", "cell", "a").mapInArrow(spell, _COUNTS)
 
 
 def frequent_phrases(
@@ -372,7 +471,7 @@ def frequent_phrases(
         if any(h.table for h in heads) and not heads[0].hashes:
             heads[0].hashes = {lang: np.array([_word_hash(lang, w) for w in words], np.uint64) for lang, words in heads[0].ranked.items()}
         shared = spark.sparkContext.broadcast(heads)
-        longer = stored(longer_counts(texts, shared).where(F.col("a") >= min_count), f"collocation-{level}")
+        longer = stored(longer_counts(texts, shared, min_count), f"collocation-{level}")
         shared.destroy()
         found.append(longer)
         if level < max_words:

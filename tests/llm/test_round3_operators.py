@@ -7,6 +7,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tablewatch.llm import collocations, spelling
@@ -162,6 +164,46 @@ def test_cells_beyond_32_bits():
     assert dict(zip(got["phrase"], got["a"])) == want
 
 
+def test_ranked_phrases_travel_as_numbers(spark):
+    """Rows of ranked units and words hold no text until they are summed; the others do."""
+    heads = [
+        collocations.Head({"de": [b"b", b"a"], "en": [b"a", "é".encode()]}, table=b"\xff" * 8),
+        collocations.Head({"en": ["a é".encode(), b"a a"]}, table=b"\xff" * 8),
+    ]
+    heads[0].hashes = {x: np.array([collocations._word_hash(x, w) for w in words], np.uint64) for x, words in heads[0].ranked.items()}
+    heads[1].address(heads[:1])
+    texts = [("en", "A é a é a, a a a z a"), ("de", "a b a b"), ("fr", "a b a b"), ("en", "a é a é")] * 40
+    rows = spark.createDataFrame([(lang, text.encode()) for lang, text in texts], "lang string, text binary")
+
+    class Tap:
+        def mapInArrow(self, function, schema):
+            self.function = function
+            return rows.mapInArrow(function, schema)
+
+    for level in (1, 2):
+        want = Counter()
+        for lang, text in texts:
+            for piece in text.replace("A", "a").split(","):
+                w = piece.split()
+                want.update((lang, " ".join(w[i : i + level + 1])) for i in range(len(w) - level))
+        tap, shared = Tap(), spark.sparkContext.broadcast(heads[:level])
+        for least in (1, 80):
+            got = [tuple(r) for r in collocations.longer_counts(tap, shared, least).collect()]
+            assert len(got) == len(set(r[:2] for r in got)) and {r[:2]: r[2] for r in got} == {k: n for k, n in want.items() if n >= least}
+        sent = pa.Table.from_batches(tap.function(iter(rows.toArrow().to_batches())))
+        numbered = sent.filter(pc.is_valid(sent["cell"]))
+        assert numbered["phrase"].null_count == numbered.num_rows == (5 if level == 1 else 2)
+        assert pc.sum(sent["a"]).as_py() == sum(want.values())
+
+
+def test_words_of_one_text_are_looked_up_once(monkeypatch):
+    numbers = collocations._Numbers("en", [collocations.Head({"en": [b"a"]}, table=bytes(8), hashes={"en": np.zeros(1, np.uint64)})])
+    hashed, one = [], collocations._word_hash
+    monkeypatch.setattr(collocations, "_word_hash", lambda lang, word: hashed.append(word) or one(lang, word))
+    assert numbers.codes([b" a b. c A", b"", b"c b;;a"]).tolist() == [-1, 0, -1, -1, -1, 0, -1, -1, -1, -1, -1, -1, 0, -1, -1]
+    assert sorted(hashed) == [b"b", b"c"]
+
+
 def test_products_beyond_64_bits(spark):
     # 2,000,000 * a passes 2**63 for a over 4.6e12
     expr = "CAST(2000000 AS DECIMAL(18,0)) * CAST(a AS DECIMAL(20,0)) div (CAST(l AS DECIMAL(20,0)) + CAST(r AS DECIMAL(20,0)))"
